@@ -1 +1,270 @@
-"""Oracle SQL for the further query groups."""
+"""Oracle SQL for the ingest, text, de-duplication and quality queries."""
+
+from __future__ import annotations
+
+from sentimart.functions.enrich import (FINAL_SENTIMENTS, NEWS_QUERIES, PRICE_DIRECTIONS,
+                                        STRENGTHS, TICK_SYMBOLS)
+from sentimart.operators.scoring import ALPHA, LEXICON, NEGATION_SCALE_PCT, NEGATORS, UNIT
+from sentimart.oracle import (ARTICLES, MESSAGES, SQL, STG_NEWS, STG_PRICES, STG_SENTIMENT,
+                              TICKS, polarity, r, with_)
+
+TICK_COLS = "symbol, price, open, high, low, volume, price_change, change_pct, ingested_at, source"
+
+SQL["parse_ticks_json"] = with_(TICKS) + f"\nSELECT {TICK_COLS} FROM ticks"
+
+MESSAGE_FULL = f"""
+SELECT message_id, symbol, body, created_at, ingested_at, user_id, username, user_followers,
+  user_following, user_ideas, user_watchlist_count, user_sentiment,
+  greatest(sentiment_compound, 0.0) AS sentiment_pos,
+  greatest(-sentiment_compound, 0.0) AS sentiment_neg,
+  CAST(1.0 AS DOUBLE) - abs(sentiment_compound) AS sentiment_neu,
+  sentiment_compound,
+  {polarity('sentiment_compound')} AS sentiment_label,
+  user_sentiment = replace(replace({polarity('sentiment_compound')}, 'positive', 'bullish'), 'negative', 'bearish')
+    AS sentiment_agreement,
+  symbol AS symbols_mentioned_csv,
+  'stocktwits' AS data_source
+FROM messages"""
+
+SQL["parse_messages_json"] = with_(MESSAGES) + MESSAGE_FULL
+
+ARTICLE_FULL = f"""
+SELECT article_id, query, source, author, title, description, url, published_at, ingested_at,
+  greatest(sentiment_compound, 0.0) AS sentiment_pos,
+  greatest(-sentiment_compound, 0.0) AS sentiment_neg,
+  CAST(1.0 AS DOUBLE) - abs(sentiment_compound) AS sentiment_neu,
+  sentiment_compound,
+  {polarity('sentiment_compound')} AS sentiment_label,
+  'newsapi' AS data_source
+FROM articles"""
+
+SQL["parse_articles_json"] = with_(ARTICLES) + ARTICLE_FULL
+
+SQL["quarantine_split"] = with_(TICKS) + """
+SELECT "offset", quarantined,
+  CASE WHEN NOT quarantined THEN symbol END AS symbol,
+  CASE WHEN NOT quarantined THEN price END AS price
+FROM (
+  SELECT e.event_id AS "offset",
+    (e.event_type = 'error' OR (e.event_type = 'signup' AND e.user_id % 10 = 0)) AS quarantined,
+    t.symbol, t.price
+  FROM events e JOIN ticks t ON t.event_id = e.event_id
+)"""
+
+SQL["keyed_publish_news"] = with_(ARTICLES) + """
+SELECT 'market.news' AS topic, substring(query, 1, 50) AS key, article_id FROM articles"""
+
+SQL["normalize_ticker_payload"] = with_(TICKS) + """
+SELECT event_id AS "offset", symbol,
+  coalesce(price, 0.0) AS price, coalesce(open, 0.0) AS open, coalesce(high, 0.0) AS high,
+  coalesce(low, 0.0) AS low, coalesce(volume, 0.0) AS volume,
+  coalesce(price_change, 0.0) AS price_change, coalesce(change_pct, 0.0) AS change_pct,
+  ingested_at, 'binance_ws' AS source, FALSE AS quarantined
+FROM ticks"""
+
+
+# --- lexicon scorer, written with UNNEST + window functions -------------------
+
+def _lexicon_values() -> str:
+    return ", ".join(f"('{t}', {v})" for t, v in LEXICON)
+
+
+def _negators() -> str:
+    return ", ".join(f"'{w}'" for w in NEGATORS)
+
+
+def scoring_ctes(src: str, ids: list[str], text: str) -> str:
+    """CTEs ending in ``scores`` keyed by ``ids`` (rows of ``src`` with no
+    token are absent; callers LEFT JOIN and default to zero)."""
+    idl = ", ".join(ids)
+    part = ", ".join(ids)
+    u = float(UNIT)
+    return f"""
+lexicon(token, valence) AS (VALUES {_lexicon_values()}),
+tok_lists AS (
+  SELECT {idl}, list_filter(string_split_regex(lower(coalesce({text}, '')), '[^\\p{{L}}]+'), lambda x: x <> '') AS tl
+  FROM {src}
+),
+toks AS (SELECT {idl}, unnest(tl) AS tok, unnest(generate_series(1, len(tl))) AS pos FROM tok_lists),
+marked AS (
+  SELECT *, coalesce(max(CASE WHEN tok IN ({_negators()}) THEN 1 ELSE 0 END)
+      OVER (PARTITION BY {part} ORDER BY pos ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS neg
+  FROM toks
+),
+vals AS (
+  SELECT {", ".join("m." + i for i in ids)}, m.tok,
+    coalesce(CAST(round(l.valence * 1000) AS BIGINT), 0)
+      * CASE WHEN m.neg = 1 THEN {NEGATION_SCALE_PCT} ELSE 100 END AS v
+  FROM marked m LEFT JOIN lexicon l ON m.tok = l.token
+),
+agg AS (
+  SELECT {idl}, sum(v) AS s_u,
+    sum(CASE WHEN v > 0 THEN v + {UNIT} ELSE 0 END) AS pos_u,
+    sum(CASE WHEN v < 0 THEN v - {UNIT} ELSE 0 END) AS neg_u,
+    count_if(v = 0) AS neu_n, count(*) AS n_tokens
+  FROM vals GROUP BY {idl}
+),
+agg2 AS (
+  SELECT *, CAST(s_u AS DOUBLE) / CAST({u} AS DOUBLE) AS s,
+    CAST(pos_u - neg_u AS DOUBLE) / CAST({u} AS DOUBLE) + CAST(neu_n AS DOUBLE) AS total
+  FROM agg
+),
+scores AS (
+  SELECT {idl}, n_tokens,
+    CASE WHEN total > 0 THEN {r(f'abs((CAST(pos_u AS DOUBLE) / CAST({u} AS DOUBLE)) / total)', 3)} ELSE 0.0 END AS sentiment_pos,
+    CASE WHEN total > 0 THEN {r(f'abs((CAST(neg_u AS DOUBLE) / CAST({u} AS DOUBLE)) / total)', 3)} ELSE 0.0 END AS sentiment_neg,
+    CASE WHEN total > 0 THEN {r('abs(CAST(neu_n AS DOUBLE) / total)', 3)} ELSE 0.0 END AS sentiment_neu,
+    {r(f's / sqrt(s * s + CAST({ALPHA} AS DOUBLE))', 4)} AS sentiment_compound
+  FROM agg2
+)"""
+
+
+def scored_select(src: str, ids: list[str], extra: str = "") -> str:
+    on = " AND ".join(f"d.{i} = s.{i}" for i in ids)
+    comp = "coalesce(s.sentiment_compound, 0.0)"
+    return f"""
+SELECT {", ".join("d." + i for i in ids)}, coalesce(s.n_tokens, 0) AS n_tokens,
+  coalesce(s.sentiment_pos, 0.0) AS sentiment_pos, coalesce(s.sentiment_neg, 0.0) AS sentiment_neg,
+  coalesce(s.sentiment_neu, 0.0) AS sentiment_neu, {comp} AS sentiment_compound,
+  {polarity(comp)} AS sentiment_label{extra}
+FROM {src} d LEFT JOIN scores s ON {on}"""
+
+
+SQL["lexicon_score_documents"] = with_(scoring_ctes("documents", ["doc_id"], "text")) + \
+    scored_select("documents", ["doc_id"])
+SQL["lexicon_score_conversations"] = with_(scoring_ctes("conversations", ["conv_id", "turn"], "text")) + \
+    scored_select("conversations", ["conv_id", "turn"])
+
+SOCIAL_PAGED = MESSAGES.replace("FROM events\n  WHERE event_type <> 'view'",
+                                "FROM events\n  WHERE event_type <> 'view'").replace(
+    "SELECT\n    CAST(event_id AS VARCHAR) AS message_id,",
+    "SELECT\n    event_id, CAST(event_id AS VARCHAR) AS message_id,")
+
+SOCIAL = SOCIAL_PAGED + """,
+social AS (
+  SELECT *, max(ingested_at) OVER (PARTITION BY symbol, event_id // 100) AS page_ingested_at
+  FROM messages
+)"""
+
+SQL["normalize_social_payload"] = with_(SOCIAL, scoring_ctes("social", ["event_id"], "body")) + f"""
+SELECT m.message_id, m.symbol, m.body, m.created_at, m.page_ingested_at AS ingested_at,
+  m.user_id, m.username, m.user_followers, m.user_following, m.user_ideas, m.user_watchlist_count,
+  m.user_sentiment,
+  coalesce(s.sentiment_pos, 0.0) AS sentiment_pos, coalesce(s.sentiment_neg, 0.0) AS sentiment_neg,
+  coalesce(s.sentiment_neu, 0.0) AS sentiment_neu,
+  coalesce(s.sentiment_compound, 0.0) AS sentiment_compound,
+  {polarity('coalesce(s.sentiment_compound, 0.0)')} AS sentiment_label,
+  m.user_sentiment = replace(replace({polarity('coalesce(s.sentiment_compound, 0.0)')}, 'positive', 'bullish'),
+    'negative', 'bearish') AS sentiment_agreement,
+  m.symbol AS symbols_mentioned_csv, 'stocktwits' AS data_source, FALSE AS quarantined
+FROM social m LEFT JOIN scores s ON m.event_id = s.event_id"""
+
+NEWS_PAGED = ARTICLES.replace("  SELECT\n    md5(coalesce(url, '')) AS article_id,",
+                              "  SELECT\n    page_id, md5(coalesce(url, '')) AS article_id,")
+
+NEWS = NEWS_PAGED + """,
+news AS (
+  SELECT *, concat_ws(' ', title, description) AS score_text,
+    max(ingested_at) OVER (PARTITION BY query, page_id // 20) AS page_ingested_at
+  FROM articles
+)"""
+
+SQL["normalize_news_payload"] = with_(NEWS, scoring_ctes("news", ["page_id"], "score_text")) + f"""
+SELECT a.article_id, a.query, a.source, a.author, a.title, a.description, a.url, a.published_at,
+  a.page_ingested_at AS ingested_at,
+  coalesce(s.sentiment_pos, 0.0) AS sentiment_pos, coalesce(s.sentiment_neg, 0.0) AS sentiment_neg,
+  coalesce(s.sentiment_neu, 0.0) AS sentiment_neu,
+  coalesce(s.sentiment_compound, 0.0) AS sentiment_compound,
+  {polarity('coalesce(s.sentiment_compound, 0.0)')} AS sentiment_label, 'newsapi' AS data_source
+FROM news a LEFT JOIN scores s ON a.page_id = s.page_id"""
+
+SQL["latest_n_per_query"] = with_(ARTICLES) + """,
+recent AS (
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY published_at DESC NULLS LAST, article_id) AS rn
+  FROM articles
+  WHERE published_at >= CAST(CAST(TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 24 HOUR AS DATE) AS TIMESTAMP)
+)
+SELECT article_id, query, title, published_at FROM recent WHERE rn <= 20"""
+
+SQL["dedup_first_wins"] = """
+WITH firsts AS (SELECT md5(text) AS h, min(doc_id) AS doc_id FROM documents GROUP BY md5(text))
+SELECT d.doc_id, md5(d.text) AS text_md5, d.lang, d.source, d.n_chars, d.text
+FROM documents d JOIN firsts f ON d.doc_id = f.doc_id"""
+
+SQL["dedup_messages"] = with_(SOCIAL_PAGED) + """
+SELECT message_id, symbol,
+  ((event_id // 100) * 10 + CASE symbol WHEN 'BTC.X' THEN 0 WHEN 'ETH.X' THEN 1 WHEN 'SOL.X' THEN 2 ELSE 3 END) * 1000
+    + row_number() OVER (PARTITION BY symbol, event_id // 100 ORDER BY event_id DESC) - 1 AS arrival
+FROM messages"""
+
+SQL["polarity_class"] = with_(STG_SENTIMENT) + f"""
+SELECT message_id, sentiment_compound, {polarity('sentiment_compound')} AS sentiment_label FROM stg_sentiment"""
+
+SQL["label_agreement"] = with_(STG_SENTIMENT) + f"""
+SELECT message_id, user_sentiment, sentiment_compound,
+  user_sentiment = replace(replace({polarity('sentiment_compound')}, 'positive', 'bullish'), 'negative', 'bearish')
+    AS sentiment_agreement
+FROM stg_sentiment"""
+
+
+# --- quality ------------------------------------------------------------------
+
+def _in(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+CHECKS_SQL = [
+    ("not_null", "stg_crypto_prices", "symbol", None),
+    ("accepted_values", "stg_crypto_prices", "symbol", TICK_SYMBOLS),
+    ("not_null", "stg_crypto_prices", "price", None),
+    ("accepted_values", "stg_crypto_prices", "price_direction", PRICE_DIRECTIONS),
+    ("not_null", "stg_sentiment", "message_id", None),
+    ("unique", "stg_sentiment", "message_id", None),
+    ("accepted_values", "stg_sentiment", "final_sentiment", FINAL_SENTIMENTS),
+    ("not_null", "stg_sentiment", "influence_score", None),
+    ("not_null", "stg_news", "article_id", None),
+    ("unique", "stg_news", "article_id", None),
+    ("accepted_values", "stg_news", "sentiment_strength", STRENGTHS),
+]
+
+
+def _failing(kind, model, col, values) -> str:
+    name = f"{kind}_{model}_{col}"
+    head = f"SELECT '{name}' AS test_name, '{model}' AS model, '{col}' AS column_name"
+    if kind == "not_null":
+        return (f"{head}, CAST(NULL AS VARCHAR) AS value, count(*) AS n_records FROM {model} "
+                f"WHERE {col} IS NULL HAVING count(*) > 0")
+    if kind == "unique":
+        return (f"{head}, CAST({col} AS VARCHAR) AS value, count(*) AS n_records FROM {model} "
+                f"WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1")
+    return (f"{head}, CAST({col} AS VARCHAR) AS value, count(*) AS n_records FROM {model} "
+            f"GROUP BY {col} HAVING {col} NOT IN ({_in(values)})")
+
+
+STG_ALL = with_(STG_PRICES, STG_SENTIMENT, STG_NEWS)
+
+for kind in ("not_null", "unique", "accepted_values"):
+    parts = [_failing(*c) for c in CHECKS_SQL if c[0] == kind]
+    SQL[f"dq_{kind}"] = STG_ALL + "\n" + "\nUNION ALL\n".join(parts)
+
+
+def _count(kind, model, col, values) -> str:
+    name = f"{kind}_{model}_{col}"
+    inner = _failing(kind, model, col, values)
+    return (f"SELECT '{name}' AS test_name, '{model}' AS model, '{col}' AS column_name, "
+            f"'{kind}' AS test_kind, "
+            + (f"(SELECT coalesce(sum(n_records), 0) FROM ({inner}))" if kind == "not_null"
+               else f"(SELECT count(*) FROM ({inner}))")
+            + " AS failures")
+
+
+SQL["dq_report"] = STG_ALL + """
+, checks AS (
+""" + "\nUNION ALL\n".join(_count(*c) for c in CHECKS_SQL) + """
+)
+SELECT test_name, model, column_name, test_kind, CAST(failures AS BIGINT) AS failures,
+  failures <> 0 AS should_warn, failures <> 0 AS should_error,
+  CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM checks"""
+
+_ = (NEWS_QUERIES,)

@@ -1 +1,187 @@
-"""Further query groups (ingest, quality, text, streaming)."""
+"""Registered queries: ingest, text scoring, de-duplication, quality."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sentimart.functions import enrich as R
+from sentimart.operators import dedup as DD
+from sentimart.operators import quality as DQ
+from sentimart.operators import scoring as SCO
+from sentimart.plans.inputs import parsed_articles, staged
+from sentimart.queries import register
+from sentimart.sources import fixtures as FX
+from sentimart.sources import landing as L
+from sentimart.sources.catalog import read_table
+
+
+def _csv(col: str):
+    """FN-23: list -> delimited text (comparable across engines)."""
+    return F.array_join(F.col(col), ",").alias(f"{col}_csv")
+
+
+# --- ingest: wire JSON round trip (PRJ-1..3, FN-1..5) ------------------------
+
+@register("parse_ticks_json")
+def q_parse_ticks_json(spark, sf_dir):
+    t = FX.ticks_from_events(read_table(spark, sf_dir, "events"))
+    return L.parse_records(L.to_wire(t, "tick"), "tick").drop("processed_at")
+
+
+@register("parse_messages_json")
+def q_parse_messages_json(spark, sf_dir):
+    m = FX.messages_from_events(read_table(spark, sf_dir, "events"))
+    p = L.parse_records(L.to_wire(m, "message"), "message").drop("processed_at")
+    return p.select(*[c for c in p.columns if c != "symbols_mentioned"], _csv("symbols_mentioned"))
+
+
+@register("parse_articles_json")
+def q_parse_articles_json(spark, sf_dir):
+    a = FX.articles_from_pages(read_table(spark, sf_dir, "pages"))
+    return L.parse_records(L.to_wire(a, "article"), "article").drop("processed_at")
+
+
+@register("quarantine_split")
+def q_quarantine_split(spark, sf_dir):
+    """FLT-7: damaged wire records are flagged, never silently dropped."""
+    raw = FX.tick_wire_landing(read_table(spark, sf_dir, "events"), corrupt=True)
+    q = L.split_quarantine(raw, "tick", keep=["offset"])
+    ok = ~F.col("quarantined")
+    return q.select("offset", "quarantined", F.when(ok, F.col("symbol")).alias("symbol"),
+                    F.when(ok, F.col("price")).alias("price"))
+
+
+@register("keyed_publish")
+def q_keyed_publish(spark, sf_dir):
+    """SNK-6: (topic, key, JSON value) records of every canonical tick."""
+    t = FX.ticks_from_events(read_table(spark, sf_dir, "events"))
+    return L.keyed_records(t, "tick")
+
+
+@register("keyed_publish_news")
+def q_keyed_publish_news(spark, sf_dir):
+    """SNK-6 for articles: key = first 50 characters of the query (FN-24)."""
+    a = FX.articles_from_pages(read_table(spark, sf_dir, "pages"))
+    return L.keyed_records(a, "article").select("topic", "key", F.get_json_object("value", "$.article_id").alias("article_id"))
+
+
+# --- ingest: raw payload normalisers (SRC-6..9) -------------------------------
+
+@register("normalize_ticker_payload")
+def q_normalize_ticker_payload(spark, sf_dir):
+    raw = FX.ticker_landing(read_table(spark, sf_dir, "events"))
+    return L.normalize_ticker(raw)
+
+
+def social_messages(spark, sf_dir):
+    raw = FX.social_landing(read_table(spark, sf_dir, "events"))
+    m = L.watchlist_filter(L.normalize_social(raw), "symbol", R.SOCIAL_SYMBOLS)
+    m = SCO.attach_scores(m, ["offset", "msg_pos"], "body")
+    return (m.withColumn("sentiment_label", R.polarity_class())
+             .withColumn("sentiment_agreement", R.label_agreement()))
+
+
+@register("normalize_social_payload")
+def q_normalize_social_payload(spark, sf_dir):
+    m = social_messages(spark, sf_dir)
+    return m.select(
+        "message_id", "symbol", "body", "created_at", "ingested_at", "user_id", "username",
+        "user_followers", "user_following", "user_ideas", "user_watchlist_count",
+        "user_sentiment", *SCO.SCORE_COLUMNS, "sentiment_label", "sentiment_agreement",
+        _csv("symbols_mentioned"), "data_source", "quarantined")
+
+
+@register("normalize_news_payload")
+def q_normalize_news_payload(spark, sf_dir):
+    raw = FX.news_landing(read_table(spark, sf_dir, "pages"))
+    a = L.watchlist_filter(L.normalize_news(raw), "query", R.NEWS_QUERIES)
+    a = SCO.attach_scores(a, ["offset", "art_pos"], "score_text")
+    return a.select("article_id", "query", "source", "author", "title", "description", "url",
+                    "published_at", "ingested_at", *SCO.SCORE_COLUMNS,
+                    R.polarity_class().alias("sentiment_label"), "data_source")
+
+
+# --- request semantics and de-duplication ------------------------------------
+
+LATEST_REFERENCE_TIME = "2024-01-20 12:00:00"
+
+
+@register("latest_n_per_query")
+def q_latest_n_per_query(spark, sf_dir):
+    """SRC-10/SORT-2: lookback from a reference time, newest 20 per query."""
+    a = parsed_articles(spark, sf_dir).drop("processed_at")
+    return DD.latest_per_query(a, LATEST_REFERENCE_TIME, 24, 20).select(
+        "article_id", "query", "title", "published_at")
+
+
+@register("dedup_first_wins")
+def q_dedup_first_wins(spark, sf_dir):
+    """STR-7 batch form: one document per exact text, the lowest id wins."""
+    docs = read_table(spark, sf_dir, "documents")
+    out = DD.first_wins(docs, [F.md5(F.col("text"))], "doc_id")
+    return out.select("doc_id", F.md5("text").alias("text_md5"), "lang", "source", "n_chars", "text")
+
+
+@register("dedup_messages")
+def q_dedup_messages(spark, sf_dir):
+    """FLT-6: social messages de-duplicated on message id, first arrival wins."""
+    raw = FX.social_landing(read_table(spark, sf_dir, "events"))
+    m = L.normalize_social(raw).withColumn("arrival", F.col("offset") * 1000 + F.col("msg_pos"))
+    return DD.first_wins(m, ["message_id"], "arrival").select("message_id", "symbol", "arrival")
+
+
+# --- text (ENR-12..14) ----------------------------------------------------------
+
+@register("polarity_class")
+def q_polarity_class(spark, sf_dir):
+    st = staged(spark, sf_dir)
+    return st.sentiment.select("message_id", "sentiment_compound",
+                               R.polarity_class().alias("sentiment_label"))
+
+
+@register("label_agreement")
+def q_label_agreement(spark, sf_dir):
+    st = staged(spark, sf_dir)
+    return st.sentiment.select("message_id", "user_sentiment", "sentiment_compound",
+                               R.label_agreement().alias("sentiment_agreement"))
+
+
+@register("lexicon_score_documents")
+def q_lexicon_score_documents(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    sc = SCO.score_texts(docs, ["doc_id"], "text")
+    return sc.withColumn("sentiment_label", R.polarity_class())
+
+
+@register("lexicon_score_conversations")
+def q_lexicon_score_conversations(spark, sf_dir):
+    conv = read_table(spark, sf_dir, "conversations")
+    sc = SCO.score_texts(conv, ["conv_id", "turn"], "text")
+    return sc.withColumn("sentiment_label", R.polarity_class())
+
+
+# --- quality (DQ-1..4) ----------------------------------------------------------
+
+def _tables(spark, sf_dir):
+    st = staged(spark, sf_dir)
+    return {"stg_crypto_prices": st.prices, "stg_sentiment": st.sentiment, "stg_news": st.news}
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    return DQ.failures(_tables(spark, sf_dir), "not_null")
+
+
+@register("dq_unique")
+def q_dq_unique(spark, sf_dir):
+    return DQ.failures(_tables(spark, sf_dir), "unique")
+
+
+@register("dq_accepted_values")
+def q_dq_accepted_values(spark, sf_dir):
+    return DQ.failures(_tables(spark, sf_dir), "accepted_values")
+
+
+@register("dq_report")
+def q_dq_report(spark, sf_dir):
+    return DQ.report(_tables(spark, sf_dir))

@@ -53,11 +53,9 @@ WIRE = {"tick": TICK, "message": MESSAGE, "article": ARTICLE}
 # Numbers arrive as strings in the ticker envelope; they are read as strings
 # and converted with try_cast so one bad field never aborts a batch.
 
-TICKER_PAYLOAD = _struct(
-    ("stream", S),
-    ("data", _struct(("s", S), ("c", S), ("o", S), ("h", S), ("l", S),
-                     ("v", S), ("p", S), ("P", S))),
-)
+# The ticker object uses keys that differ only by case ("p" absolute change,
+# "P" percent change), so it is read as a case-sensitive map.
+TICKER_PAYLOAD = _struct(("stream", S), ("data", T.MapType(S, S)))
 
 SOCIAL_USER = _struct(
     ("id", S), ("username", S), ("followers", S), ("following", S),

@@ -42,7 +42,7 @@ def _score(x: Column) -> Column:
     return (x - 100).cast("double") / F.lit(100.0)
 
 
-def ticks_from_events(events: DataFrame) -> DataFrame:
+def ticks_from_events(events: DataFrame, keep: list | None = None) -> DataFrame:
     e = events
     price = F.col("value")
     open_ = price * ((F.lit(97) + F.col("event_id") % 7).cast("double") / F.lit(100.0))
@@ -50,6 +50,7 @@ def ticks_from_events(events: DataFrame) -> DataFrame:
     low = F.least(price, open_)
     change = price - open_
     return e.select(
+        *(keep or []),
         _pick(TICK_SYMBOLS, F.col("user_id") % 3).alias("symbol"),
         price.alias("price"),
         open_.alias("open"),
@@ -63,7 +64,7 @@ def ticks_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def messages_from_events(events: DataFrame) -> DataFrame:
+def messages_from_events(events: DataFrame, keep: list | None = None) -> DataFrame:
     compound = _score((F.col("event_id") * 37) % 201)
     sym = _pick(MESSAGE_SYMBOLS, F.col("user_id") % 4)
     user_sent = (F.when(F.col("event_type") == "purchase", F.lit("bullish"))
@@ -76,6 +77,7 @@ def messages_from_events(events: DataFrame) -> DataFrame:
     return (
         events.filter(F.col("event_type") != "view")
         .select(
+            *(keep or []),
             F.col("event_id").cast("string").alias("message_id"),
             sym.alias("symbol"),
             body.alias("body"),
@@ -105,11 +107,12 @@ TITLE_PATTERN = r"<title>([^<]*)</title>"
 HEADING_PATTERN = r"<h1>([^<]*)</h1>"
 
 
-def articles_from_pages(pages: DataFrame) -> DataFrame:
+def articles_from_pages(pages: DataFrame, keep: list | None = None) -> DataFrame:
     compound = _score((F.col("page_id") * 53) % 201)
     published = F.timestamp_seconds(F.lit(ARTICLE_EPOCH_SECONDS) + ((F.col("page_id") * 7) % 800) * 3600)
     return (
         pages.select(
+            *(keep or []),
             article_id("url").alias("article_id"),
             _pick(NEWS_QUERIES, F.col("page_id") % 5).alias("query"),
             F.regexp_extract("url", URL_HOST_PATTERN, 1).alias("source"),
@@ -127,3 +130,101 @@ def articles_from_pages(pages: DataFrame) -> DataFrame:
         .withColumn("sentiment_label", polarity_class("sentiment_compound"))
         .withColumn("data_source", F.lit("newsapi"))
     )
+
+
+# --- landing tables (queue-record shape) ------------------------------------
+# (key string, value string, offset bigint, ingested_at timestamp), derived
+# row by row from the tables above: offset = the source row id.
+
+def tick_wire_landing(events: DataFrame, corrupt: bool = False) -> DataFrame:
+    """Wire JSON of the ticks, one record per event.
+
+    With ``corrupt=True`` two deterministic kinds of damage are applied, for
+    the quarantine split: 'error' events lose their closing brace (not
+    JSON), and 'signup' events of users with id % 10 = 0 carry the price as
+    the text "n/a" (wrong type)."""
+    from sentimart.sources.landing import wire_value
+    t = ticks_from_events(events, keep=[F.col("event_id").alias("offset"),
+                                        F.col("event_type").alias("_et"),
+                                        F.col("user_id").alias("_uid")])
+    t = t.withColumn("_v", wire_value(t, "tick"))
+    v = F.col("_v")
+    if corrupt:
+        v = (F.when(F.col("_et") == "error", F.expr("substring(_v, 1, length(_v) - 1)"))
+             .when((F.col("_et") == "signup") & (F.col("_uid") % 10 == 0),
+                   F.regexp_replace("_v", r'"price":[^,]*,', '"price":"n/a",'))
+             .otherwise(F.col("_v")))
+    return t.select(F.col("symbol").alias("key"), v.alias("value"), "offset", "ingested_at")
+
+
+def ticker_landing(events: DataFrame) -> DataFrame:
+    """Raw ticker envelopes ``{stream, data:{s,c,o,h,l,v,p,P}}`` with the
+    numbers as strings and a lower-case pair, one per event."""
+    t = ticks_from_events(events, keep=[F.col("event_id").alias("offset")])
+    s = lambda c: F.col(c).cast("string")
+    payload = F.struct(
+        F.concat(F.lower("symbol"), F.lit("@ticker")).alias("stream"),
+        F.create_map(F.lit("s"), F.lower("symbol"), F.lit("c"), s("price"), F.lit("o"), s("open"),
+                     F.lit("h"), s("high"), F.lit("l"), s("low"), F.lit("v"), s("volume"),
+                     F.lit("p"), s("price_change"), F.lit("P"), s("change_pct")).alias("data"),
+    )
+    return t.select(F.col("symbol").alias("key"), F.to_json(payload).alias("value"),
+                    "offset", "ingested_at")
+
+
+SOCIAL_BATCH = 100   # messages per polled page (bounded by construction)
+NEWS_BATCH = 20      # articles per polled page
+
+
+def social_landing(events: DataFrame) -> DataFrame:
+    """Raw social pages ``{symbol:{symbol}, messages:[...]}``: messages of one
+    symbol whose ids share ``event_id div 100`` form one page (at most 100
+    messages, so each collected array is bounded)."""
+    from sentimart.sources.landing import iso_utc
+    m = messages_from_events(events, keep=[F.col("event_id"), F.col("event_type").alias("_et")])
+    basic = (F.when(F.col("_et") == "purchase", F.lit("Bullish"))
+             .when(F.col("_et") == "error", F.lit("Bearish")))
+    msg = F.struct(
+        F.col("event_id").alias("id"),
+        F.col("body"),
+        iso_utc("created_at").alias("created_at"),
+        F.struct(F.col("user_id").cast("long").alias("id"), F.col("username"),
+                 F.col("user_followers").alias("followers"), F.col("user_following").alias("following"),
+                 F.col("user_ideas").alias("ideas"),
+                 F.col("user_watchlist_count").alias("watchlist_stocks_count")).alias("user"),
+        F.struct(F.when(basic.isNotNull(), F.struct(basic.alias("basic"))).alias("sentiment"),
+                 F.array(F.struct(F.col("symbol").alias("symbol"))).alias("symbols")).alias("entities"),
+    )
+    pages = (m.select("symbol", (F.col("event_id") / SOCIAL_BATCH).cast("long").alias("page"),
+                      F.col("ingested_at"), F.struct(F.col("event_id").alias("k"), msg.alias("m")).alias("e"))
+             .groupBy("symbol", "page")
+             .agg(F.sort_array(F.collect_list("e"), asc=False).alias("es"),
+                  F.max("ingested_at").alias("ingested_at")))
+    payload = F.struct(F.struct(F.col("symbol").alias("symbol")).alias("symbol"),
+                       F.transform("es", lambda e: e["m"]).alias("messages"))
+    return pages.select(F.col("symbol").alias("key"), F.to_json(payload).alias("value"),
+                        (F.col("page") * 10 + F.when(F.col("symbol") == "BTC.X", 0)
+                         .when(F.col("symbol") == "ETH.X", 1).when(F.col("symbol") == "SOL.X", 2)
+                         .otherwise(3)).alias("offset"),
+                        "ingested_at")
+
+
+def news_landing(pages: DataFrame) -> DataFrame:
+    """Raw news pages ``{status, query, articles:[...]}``: articles of one
+    query whose page ids share ``page_id div 20`` form one response."""
+    from sentimart.sources.landing import iso_utc
+    a = articles_from_pages(pages, keep=[F.col("page_id")])
+    art = F.struct(
+        F.col("url"),
+        F.struct(F.lit(None).cast("string").alias("id"), F.col("source").alias("name")).alias("source"),
+        F.col("author"), F.col("title"), F.col("description"),
+        iso_utc("published_at").alias("publishedAt"),
+    )
+    g = (a.select("query", (F.col("page_id") / NEWS_BATCH).cast("long").alias("page"),
+                  F.col("ingested_at"), F.struct(F.col("page_id").alias("k"), art.alias("a")).alias("e"))
+         .groupBy("query", "page")
+         .agg(F.sort_array(F.collect_list("e")).alias("es"), F.max("ingested_at").alias("ingested_at")))
+    payload = F.struct(F.lit("ok").alias("status"), F.col("query"),
+                       F.transform("es", lambda e: e["a"]).alias("articles"))
+    return g.select(F.substring("query", 1, 50).alias("key"), F.to_json(payload).alias("value"),
+                    F.col("page").alias("offset"), "ingested_at")

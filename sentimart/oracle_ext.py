@@ -267,4 +267,10 @@ SELECT test_name, model, column_name, test_kind, CAST(failures AS BIGINT) AS fai
   CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status
 FROM checks"""
 
+# Streaming jobs are checked against the SQL of their batch twins.
+SQL["stream_tick_silver"] = SQL["tick_silver"]
+SQL["stream_message_dedup"] = SQL["message_silver"]
+SQL["stream_article_silver"] = SQL["article_silver"]
+SQL["stream_market_mood_refresh"] = SQL["market_mood"]
+
 _ = (NEWS_QUERIES,)

@@ -168,5 +168,5 @@ def q_dashboard_daily(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     # Import for the side effect of registering the remaining query groups.
-    from sentimart import queries_ext  # noqa: F401
+    from sentimart import queries_ext, queries_stream  # noqa: F401
     return dict(REGISTRY)

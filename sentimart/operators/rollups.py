@@ -24,19 +24,23 @@ def _keys(date_col: str, hour_col: str, grain: str) -> list[str]:
     return [date_col] if grain == "day" else [date_col, hour_col]
 
 
-def _avg(s: Column, n: Column) -> Column:
-    return F.try_divide(s, F.nullif(n, F.lit(0)).cast("double"))
+def _avg(s: str, n: str) -> Column:
+    """sum / count from partials (NULL when nothing was counted)."""
+    return F.expr(f"try_divide({s}, CAST(nullif({n}, 0) AS DOUBLE))")
 
 
 # --- ticks (AGG-1, AGG-6) -----------------------------------------------------
 
-def dominant_from_counts(n_bear: Column, n_bull: Column, n_neut: Column) -> Column:
-    """Most frequent direction, ties -> smallest value (bearish < bullish <
-    neutral), NULL when the group has no direction. Equal to the ordered-set
-    ``MODE() WITHIN GROUP (ORDER BY price_direction)`` over the closed set."""
-    return (F.when((n_bear > 0) & (n_bear >= n_bull) & (n_bear >= n_neut), F.lit("bearish"))
-            .when((n_bull > 0) & (n_bull >= n_neut), F.lit("bullish"))
-            .when(n_neut > 0, F.lit("neutral")))
+def _exprs(named: dict[str, str]) -> list[Column]:
+    return [F.expr(e).alias(n) for n, e in named.items()]
+
+
+# Most frequent direction, ties -> smallest value (bearish < bullish <
+# neutral), NULL when the group has no direction: equal to the ordered-set
+# MODE() WITHIN GROUP (ORDER BY price_direction) over the closed value set.
+DOMINANT_SQL = ("CASE WHEN _n_bear > 0 AND _n_bear >= _n_bull AND _n_bear >= _n_neut THEN 'bearish' "
+                "WHEN _n_bull > 0 AND _n_bull >= _n_neut THEN 'bullish' "
+                "WHEN _n_neut > 0 THEN 'neutral' END")
 
 
 def tick_rollup(stg_prices: DataFrame, grain: str = "hour", mode_impl: str = "counts") -> DataFrame:
@@ -48,25 +52,22 @@ def tick_rollup(stg_prices: DataFrame, grain: str = "hour", mode_impl: str = "co
     deterministic ``mode`` (ObjectHashAggregate, may fall back to sort).
     """
     keys = ["symbol"] + _keys("trade_date", "trade_hour", grain)
-    d = F.col("price_direction")
-    aggs = [
-        F.avg("price").alias("avg_price"),
-        F.max("price").alias("max_price"),
-        F.min("price").alias("min_price"),
-        F.avg("change_pct").alias("avg_change_pct"),
-        F.avg("change_magnitude").alias("avg_volatility"),
-        F.count(F.lit(1)).alias("price_tick_count"),
-    ]
+    aggs = _exprs({
+        "avg_price": "avg(price)",
+        "max_price": "max(price)",
+        "min_price": "min(price)",
+        "avg_change_pct": "avg(change_pct)",
+        "avg_volatility": "avg(change_magnitude)",
+        "price_tick_count": "count(1)",
+    })
     if mode_impl == "mode":
-        return stg_prices.groupBy(*keys).agg(*aggs, F.mode(d, True).alias("dominant_direction"))
-    out = stg_prices.groupBy(*keys).agg(
-        *aggs,
-        F.count_if(d == "bearish").alias("_n_bear"),
-        F.count_if(d == "bullish").alias("_n_bull"),
-        F.count_if(d == "neutral").alias("_n_neut"),
-    )
-    return (out.withColumn("dominant_direction",
-                           dominant_from_counts(F.col("_n_bear"), F.col("_n_bull"), F.col("_n_neut")))
+        return stg_prices.groupBy(*keys).agg(*aggs, F.mode(F.col("price_direction"), True).alias("dominant_direction"))
+    out = stg_prices.groupBy(*keys).agg(*aggs, *_exprs({
+        "_n_bear": "count_if(price_direction = 'bearish')",
+        "_n_bull": "count_if(price_direction = 'bullish')",
+        "_n_neut": "count_if(price_direction = 'neutral')",
+    }))
+    return (out.withColumn("dominant_direction", F.expr(DOMINANT_SQL))
             .drop("_n_bear", "_n_bull", "_n_neut"))
 
 
@@ -78,19 +79,18 @@ PARTIAL_SUMS = ["n", "sum_score", "n_score", "sum_infl", "n_infl",
 
 def message_partials(stg_sent: DataFrame) -> DataFrame:
     """One scan of messages -> mergeable partials at (symbol, date, hour)."""
-    s, w, f = F.col("combined_sentiment_score"), F.col("influence_score"), F.col("final_sentiment")
-    return stg_sent.groupBy("symbol", "sentiment_date", "sentiment_hour").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(s).alias("sum_score"),
-        F.count(s).alias("n_score"),
-        F.sum(w).alias("sum_infl"),
-        F.count(w).alias("n_infl"),
-        F.count_if(f == "bullish").alias("n_bullish"),
-        F.count_if(f == "bearish").alias("n_bearish"),
-        F.count_if(f == "neutral").alias("n_neutral"),
-        F.sum(s * w).alias("sum_wx"),
-        F.max("user_followers").alias("max_followers"),
-    )
+    return stg_sent.groupBy("symbol", "sentiment_date", "sentiment_hour").agg(*_exprs({
+        "n": "count(1)",
+        "sum_score": "sum(combined_sentiment_score)",
+        "n_score": "count(combined_sentiment_score)",
+        "sum_infl": "sum(influence_score)",
+        "n_infl": "count(influence_score)",
+        "n_bullish": "count_if(final_sentiment = 'bullish')",
+        "n_bearish": "count_if(final_sentiment = 'bearish')",
+        "n_neutral": "count_if(final_sentiment = 'neutral')",
+        "sum_wx": "sum(combined_sentiment_score * influence_score)",
+        "max_followers": "max(user_followers)",
+    }))
 
 
 def merge_partials(partials: DataFrame, keys: list) -> DataFrame:
@@ -101,10 +101,10 @@ def merge_partials(partials: DataFrame, keys: list) -> DataFrame:
     )
 
 
-def weighted_score(sum_wx="sum_wx", sum_w="sum_infl") -> Column:
+def weighted_score(sum_wx: str = "sum_wx", sum_w: str = "sum_infl") -> Column:
     """AGG-7: sum(score * w) / NULLIF(sum(w), 0); a NULL score still adds its
     weight to the denominator."""
-    return F.try_divide(F.col(sum_wx), F.nullif(F.col(sum_w), F.lit(0.0)))
+    return F.expr(f"try_divide({sum_wx}, nullif({sum_w}, 0D))")
 
 
 def symbol_sentiment(partials: DataFrame, grain: str = "hour") -> DataFrame:
@@ -118,8 +118,8 @@ def finalize_symbol_sentiment(p: DataFrame, keys: list[str]) -> DataFrame:
     return p.select(
         *keys,
         F.col("n").alias("message_count"),
-        _avg(F.col("sum_score"), F.col("n_score")).alias("avg_sentiment_score"),
-        _avg(F.col("sum_infl"), F.col("n_infl")).alias("avg_influence"),
+        _avg("sum_score", "n_score").alias("avg_sentiment_score"),
+        _avg("sum_infl", "n_infl").alias("avg_influence"),
         F.col("n_bullish").alias("bullish_count"),
         F.col("n_bearish").alias("bearish_count"),
         F.col("n_neutral").alias("neutral_count"),
@@ -134,8 +134,8 @@ def social_rollup(partials: DataFrame, grain: str = "hour") -> DataFrame:
     return p.select(
         *keys,
         F.col("n").alias("total_messages"),
-        _avg(F.col("sum_score"), F.col("n_score")).alias("avg_social_sentiment"),
-        _avg(F.col("sum_infl"), F.col("n_infl")).alias("avg_influence"),
+        _avg("sum_score", "n_score").alias("avg_social_sentiment"),
+        _avg("sum_infl", "n_infl").alias("avg_influence"),
     )
 
 
@@ -146,8 +146,8 @@ def leaderboard_rollup(partials: DataFrame) -> DataFrame:
         "symbol",
         F.col("sentiment_date").alias("date"),
         F.col("n").alias("total_messages"),
-        _avg(F.col("sum_score"), F.col("n_score")).alias("avg_sentiment"),
-        _avg(F.col("sum_infl"), F.col("n_infl")).alias("avg_influence"),
+        _avg("sum_score", "n_score").alias("avg_sentiment"),
+        _avg("sum_infl", "n_infl").alias("avg_influence"),
         F.col("max_followers"),
         F.col("n_bullish").alias("bullish_msgs"),
         F.col("n_bearish").alias("bearish_msgs"),
@@ -160,11 +160,10 @@ def leaderboard_rollup(partials: DataFrame) -> DataFrame:
 
 def news_rollup(stg_news: DataFrame, grain: str = "hour") -> DataFrame:
     keys = _keys("publish_date", "publish_hour", grain)
-    st = F.col("sentiment_strength")
-    return stg_news.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("article_count"),
-        F.avg("sentiment_compound").alias("avg_news_sentiment"),
-        F.count_if(F.col("is_high_impact")).alias("high_impact_count"),
-        F.count_if(st == "strong_positive").alias("strong_positive_news"),
-        F.count_if(st == "strong_negative").alias("strong_negative_news"),
-    )
+    return stg_news.groupBy(*keys).agg(*_exprs({
+        "article_count": "count(1)",
+        "avg_news_sentiment": "avg(sentiment_compound)",
+        "high_impact_count": "count_if(is_high_impact)",
+        "strong_positive_news": "count_if(sentiment_strength = 'strong_positive')",
+        "strong_negative_news": "count_if(sentiment_strength = 'strong_negative')",
+    }))

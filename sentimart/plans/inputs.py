@@ -8,7 +8,7 @@ so column pruning and filter pushdown reach the scan.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,16 +35,24 @@ def parsed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stamp(FX.articles_from_pages(read_table(spark, sf_dir, "pages")))
 
 
-@dataclass
 class Staged:
-    prices: DataFrame
-    sentiment: DataFrame
-    news: DataFrame
+    """The three staging relations, each built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def prices(self) -> DataFrame:
+        return ST.stg_crypto_prices(SV.tick_silver(parsed_ticks(self.spark, self.sf_dir)))
+
+    @cached_property
+    def sentiment(self) -> DataFrame:
+        return ST.stg_sentiment(SV.message_silver(parsed_messages(self.spark, self.sf_dir)))
+
+    @cached_property
+    def news(self) -> DataFrame:
+        return ST.stg_news(SV.article_silver(parsed_articles(self.spark, self.sf_dir)))
 
 
 def staged(spark: SparkSession, sf_dir: str) -> Staged:
-    return Staged(
-        prices=ST.stg_crypto_prices(SV.tick_silver(parsed_ticks(spark, sf_dir))),
-        sentiment=ST.stg_sentiment(SV.message_silver(parsed_messages(spark, sf_dir))),
-        news=ST.stg_news(SV.article_silver(parsed_articles(spark, sf_dir))),
-    )
+    return Staged(spark, sf_dir)

@@ -39,6 +39,9 @@ def build_session(master: str | None = None, app: str = "sentimart",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "static",
+        # no Python call-site capture per Column call (error-message context
+        # only; it costs milliseconds per expression while plans are built)
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -29,107 +29,101 @@ MESSAGE_BODIES = {
 ARTICLE_EPOCH_SECONDS = 1704067200  # 2024-01-01T00:00:00Z
 
 
-def _pick(values: list[str], idx: Column) -> Column:
+def _pick_sql(values: list[str], idx: str) -> str:
     """values[idx] (0-based) as a CASE expression."""
-    expr = None
-    for i, v in enumerate(values):
-        expr = (F.when(idx == i, F.lit(v)) if expr is None else expr.when(idx == i, F.lit(v)))
-    return expr
+    arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {idx} {arms} END"
 
 
-def _score(x: Column) -> Column:
-    """Integer in [-100, 100] -> score in [-1, 1]."""
-    return (x - 100).cast("double") / F.lit(100.0)
+def _score_sql(x: str) -> str:
+    """Integer in [0, 200] -> score in [-1, 1]."""
+    return f"(CAST(({x}) - 100 AS DOUBLE) / 100D)"
+
+
+def _cols(exprs: dict[str, str]) -> list[Column]:
+    return [F.expr(e).alias(n) for n, e in exprs.items()]
+
+
+OPEN = "(value * (CAST(97 + event_id % 7 AS DOUBLE) / 100D))"
+TICK_EXPRS = {
+    "symbol": _pick_sql(TICK_SYMBOLS, "user_id % 3"),
+    "price": "value",
+    "open": OPEN,
+    "high": f"greatest(value, {OPEN}) * (CAST(1000 + (event_id % 3) * 5 AS DOUBLE) / 1000D)",
+    "low": f"least(value, {OPEN})",
+    "volume": "try_cast(get_json_object(props, '$.k') AS DOUBLE)",
+    "price_change": f"value - {OPEN}",
+    "change_pct": f"try_divide((value - {OPEN}) * 100D, nullif({OPEN}, 0D))",
+    "ingested_at": "CAST(ts AS TIMESTAMP)",
+    "source": "event_type",
+}
 
 
 def ticks_from_events(events: DataFrame, keep: list | None = None) -> DataFrame:
-    e = events
-    price = F.col("value")
-    open_ = price * ((F.lit(97) + F.col("event_id") % 7).cast("double") / F.lit(100.0))
-    high = F.greatest(price, open_) * ((F.lit(1000) + (F.col("event_id") % 3) * 5).cast("double") / F.lit(1000.0))
-    low = F.least(price, open_)
-    change = price - open_
-    return e.select(
-        *(keep or []),
-        _pick(TICK_SYMBOLS, F.col("user_id") % 3).alias("symbol"),
-        price.alias("price"),
-        open_.alias("open"),
-        high.alias("high"),
-        low.alias("low"),
-        F.get_json_object("props", "$.k").try_cast("double").alias("volume"),
-        change.alias("price_change"),
-        F.try_divide(change * F.lit(100.0), F.nullif(open_, F.lit(0.0))).alias("change_pct"),
-        F.col("ts").cast("timestamp").alias("ingested_at"),
-        F.col("event_type").alias("source"),
-    )
+    return events.select(*(keep or []), *_cols(TICK_EXPRS))
+
+
+COMPOUND = _score_sql("(event_id * 37) % 201")
+MESSAGE_EXPRS = {
+    "message_id": "CAST(event_id AS STRING)",
+    "symbol": _pick_sql(MESSAGE_SYMBOLS, "user_id % 4"),
+    "body": "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in MESSAGE_BODIES.items()) + " END",
+    "created_at": "CAST(ts AS TIMESTAMP)",
+    "ingested_at": "CAST(ts AS TIMESTAMP)",
+    "user_id": "CAST(user_id AS STRING)",
+    "username": "concat('user_', CAST(user_id AS STRING))",
+    "user_followers": "CAST((user_id * 97) % 20000 AS INT)",
+    "user_following": "CAST((user_id * 13) % 500 AS INT)",
+    "user_ideas": "CAST(user_id % 50 AS INT)",
+    "user_watchlist_count": "CAST(user_id % 30 AS INT)",
+    "user_sentiment": "CASE event_type WHEN 'purchase' THEN 'bullish' WHEN 'error' THEN 'bearish' "
+                      "ELSE 'neutral' END",
+    "sentiment_pos": f"greatest({COMPOUND}, 0D)",
+    "sentiment_neg": f"greatest(-{COMPOUND}, 0D)",
+    "sentiment_neu": f"1D - abs({COMPOUND})",
+    "sentiment_compound": COMPOUND,
+}
 
 
 def messages_from_events(events: DataFrame, keep: list | None = None) -> DataFrame:
-    compound = _score((F.col("event_id") * 37) % 201)
-    sym = _pick(MESSAGE_SYMBOLS, F.col("user_id") % 4)
-    user_sent = (F.when(F.col("event_type") == "purchase", F.lit("bullish"))
-                 .when(F.col("event_type") == "error", F.lit("bearish"))
-                 .otherwise(F.lit("neutral")))
-    body = None
-    for k, v in MESSAGE_BODIES.items():
-        body = (F.when(F.col("event_type") == k, F.lit(v)) if body is None
-                else body.when(F.col("event_type") == k, F.lit(v)))
     return (
         events.filter(F.col("event_type") != "view")
-        .select(
-            *(keep or []),
-            F.col("event_id").cast("string").alias("message_id"),
-            sym.alias("symbol"),
-            body.alias("body"),
-            F.col("ts").cast("timestamp").alias("created_at"),
-            F.col("ts").cast("timestamp").alias("ingested_at"),
-            F.col("user_id").cast("string").alias("user_id"),
-            F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("username"),
-            ((F.col("user_id") * 97) % 20000).cast("int").alias("user_followers"),
-            ((F.col("user_id") * 13) % 500).cast("int").alias("user_following"),
-            (F.col("user_id") % 50).cast("int").alias("user_ideas"),
-            (F.col("user_id") % 30).cast("int").alias("user_watchlist_count"),
-            user_sent.alias("user_sentiment"),
-            F.greatest(compound, F.lit(0.0)).alias("sentiment_pos"),
-            F.greatest(-compound, F.lit(0.0)).alias("sentiment_neg"),
-            (F.lit(1.0) - F.abs(compound)).alias("sentiment_neu"),
-            compound.alias("sentiment_compound"),
-        )
-        .withColumn("sentiment_label", polarity_class("sentiment_compound"))
-        .withColumn("sentiment_agreement", label_agreement("user_sentiment", "sentiment_compound"))
-        .withColumn("symbols_mentioned", F.array("symbol"))
-        .withColumn("data_source", F.lit("stocktwits"))
+        .select(*(keep or []), *_cols(MESSAGE_EXPRS))
+        .withColumns({
+            "sentiment_label": polarity_class("sentiment_compound"),
+            "sentiment_agreement": label_agreement("user_sentiment", "sentiment_compound"),
+            "symbols_mentioned": F.expr("array(symbol)"),
+            "data_source": F.lit("stocktwits"),
+        })
     )
 
 
 URL_HOST_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)"
 TITLE_PATTERN = r"<title>([^<]*)</title>"
 HEADING_PATTERN = r"<h1>([^<]*)</h1>"
+PUBLISHED = f"timestamp_seconds({ARTICLE_EPOCH_SECONDS} + ((page_id * 7) % 800) * 3600)"
+ARTICLE_COMPOUND = _score_sql("(page_id * 53) % 201")
 
 
 def articles_from_pages(pages: DataFrame, keep: list | None = None) -> DataFrame:
-    compound = _score((F.col("page_id") * 53) % 201)
-    published = F.timestamp_seconds(F.lit(ARTICLE_EPOCH_SECONDS) + ((F.col("page_id") * 7) % 800) * 3600)
-    return (
-        pages.select(
-            *(keep or []),
-            article_id("url").alias("article_id"),
-            _pick(NEWS_QUERIES, F.col("page_id") % 5).alias("query"),
-            F.regexp_extract("url", URL_HOST_PATTERN, 1).alias("source"),
-            F.concat(F.lit("author_"), (F.col("page_id") % 17).cast("string")).alias("author"),
-            F.regexp_extract("html", TITLE_PATTERN, 1).alias("title"),
-            F.nullif(F.regexp_extract("html", HEADING_PATTERN, 1), F.lit("")).alias("description"),
-            F.col("url"),
-            published.alias("published_at"),
-            (published + F.expr("INTERVAL 5 MINUTES")).alias("ingested_at"),
-            F.greatest(compound, F.lit(0.0)).alias("sentiment_pos"),
-            F.greatest(-compound, F.lit(0.0)).alias("sentiment_neg"),
-            (F.lit(1.0) - F.abs(compound)).alias("sentiment_neu"),
-            compound.alias("sentiment_compound"),
-        )
-        .withColumn("sentiment_label", polarity_class("sentiment_compound"))
-        .withColumn("data_source", F.lit("newsapi"))
-    )
+    cols = [
+        article_id("url").alias("article_id"),
+        F.expr(_pick_sql(NEWS_QUERIES, "page_id % 5")).alias("query"),
+        F.regexp_extract("url", URL_HOST_PATTERN, 1).alias("source"),
+        F.expr("concat('author_', CAST(page_id % 17 AS STRING))").alias("author"),
+        F.regexp_extract("html", TITLE_PATTERN, 1).alias("title"),
+        F.nullif(F.regexp_extract("html", HEADING_PATTERN, 1), F.lit("")).alias("description"),
+        F.col("url"),
+        F.expr(PUBLISHED).alias("published_at"),
+        F.expr(f"{PUBLISHED} + INTERVAL 5 MINUTES").alias("ingested_at"),
+        *_cols({"sentiment_pos": f"greatest({ARTICLE_COMPOUND}, 0D)",
+                "sentiment_neg": f"greatest(-{ARTICLE_COMPOUND}, 0D)",
+                "sentiment_neu": f"1D - abs({ARTICLE_COMPOUND})",
+                "sentiment_compound": ARTICLE_COMPOUND}),
+    ]
+    return (pages.select(*(keep or []), *cols)
+            .withColumns({"sentiment_label": polarity_class("sentiment_compound"),
+                          "data_source": F.lit("newsapi")}))
 
 
 # --- landing tables (queue-record shape) ------------------------------------

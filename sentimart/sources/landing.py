@@ -163,7 +163,7 @@ def normalize_social(landing: DataFrame) -> DataFrame:
         F.coalesce(F.col("m.user.id"), F.lit("")).alias("user_id"),
         F.coalesce(F.col("m.user.username"), F.lit("")).alias("username"),
         *[c.alias(n) for n, c in ints.items()],
-        R.self_label(F.col("m.entities.sentiment.basic")).alias("user_sentiment"),
+        R.self_label("m.entities.sentiment.basic").alias("user_sentiment"),
         F.coalesce(F.transform(F.col("m.entities.symbols"),
                                lambda s: F.coalesce(s["symbol"], F.lit(""))),
                    F.array().cast("array<string>")).alias("symbols_mentioned"),
@@ -185,7 +185,7 @@ def normalize_news(landing: DataFrame) -> DataFrame:
     url = F.coalesce(F.col("a.url"), F.lit(""))
     return a.select(
         "offset", "art_pos", "status",
-        R.article_id(url).alias("article_id"),
+        R.article_id("a.url").alias("article_id"),
         F.col("query"),
         F.coalesce(F.col("a.source.name"), F.lit("unknown")).alias("source"),
         F.coalesce(F.col("a.author"), F.lit("")).alias("author"),

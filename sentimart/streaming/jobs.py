@@ -90,12 +90,13 @@ def start_stream(spark: SparkSession, kind: str, raw: DataFrame, paths: StreamPa
     part = ("event_date", "symbol") if kind in ("tick", "message") else ("event_date",)
     ok = F.col("ingested_at").isNotNull() if kind in ID_COLUMN else F.lit(True)
     layers = [
-        LayerSpec(paths.layer(kind, "bronze"), transform=lambda b: b.filter(ok)),
+        LayerSpec(paths.layer(kind, "bronze"), transform=lambda b: b.filter(ok), name="bronze"),
         LayerSpec(paths.layer(kind, "silver"), transform=lambda b: SILVER[kind](b.filter(ok)),
-                  partition_by=part, add_columns={"event_date": date_col}),
+                  partition_by=part, add_columns={"event_date": date_col}, name="silver"),
     ]
     if kind in ID_COLUMN:
-        layers.append(LayerSpec(paths.layer(kind, "quarantine"), transform=lambda b: b.filter(~ok)))
+        layers.append(LayerSpec(paths.layer(kind, "quarantine"), transform=lambda b: b.filter(~ok),
+                                name="quarantine"))
 
     def sink(batch: DataFrame, epoch: int) -> None:
         write_layers(batch, epoch, layers, metrics, after=after)

@@ -25,6 +25,11 @@ class LayerSpec:
     transform: Callable[[DataFrame], DataFrame] | None = None
     partition_by: tuple[str, ...] = ()
     add_columns: dict = field(default_factory=dict)
+    name: str | None = None
+
+    @property
+    def layer_name(self) -> str:
+        return self.name or self.path.rstrip("/").rsplit("/", 1)[-1]
 
 
 @dataclass
@@ -57,7 +62,7 @@ def write_layers(batch: DataFrame, epoch: int, layers: list[LayerSpec],
                 w = w.partitionBy(*spec.partition_by)
             w.save(f"{spec.path}/batch_id={epoch}")
             if metrics is not None:
-                metrics.record(epoch, spec.path.rsplit("/", 1)[-1], obs.get.get("rows", 0))
+                metrics.record(epoch, spec.layer_name, obs.get.get("rows", 0))
         if after is not None:
             after(batch, epoch)
     finally:

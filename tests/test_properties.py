@@ -1,0 +1,62 @@
+"""Property tests: roll-up consistency, ratio bounds, dedup idempotence."""
+
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sentimart.operators import dedup as DD
+from sentimart.operators import rollups as G
+from sentimart.plans import marts as M
+
+SCHEMA = ("symbol string, sentiment_date date, sentiment_hour int, combined_sentiment_score double, "
+          "influence_score double, final_sentiment string, user_followers int")
+
+row = st.tuples(
+    st.sampled_from(["BTC.X", "ETH.X", "AAPL"]),
+    st.sampled_from([dt.date(2024, 1, 1), dt.date(2024, 1, 2), None]),
+    st.one_of(st.none(), st.integers(0, 23)),
+    st.one_of(st.none(), st.integers(-10000, 10000).map(lambda i: i / 10000)),
+    st.sampled_from([0.1, 0.4, 0.7, 1.0]),
+    st.sampled_from(["bullish", "bearish", "neutral"]),
+    st.one_of(st.none(), st.integers(0, 50000)),
+)
+
+SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+@SETTINGS
+@given(st.lists(row, min_size=1, max_size=40))
+def test_rollups_are_consistent(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    p = G.message_partials(df)
+    social = {(r["sentiment_date"], r["sentiment_hour"]): r for r in G.social_rollup(p).collect()}
+    direct = df.groupBy("sentiment_date", "sentiment_hour").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("combined_sentiment_score").alias("a")).collect()
+    assert len(social) == len(direct)
+    for r in direct:
+        s = social[(r["sentiment_date"], r["sentiment_hour"])]
+        assert s["total_messages"] == r["n"]
+        assert (s["avg_social_sentiment"] is None) == (r["a"] is None)
+        if r["a"] is not None:
+            assert abs(s["avg_social_sentiment"] - r["a"]) < 1e-9
+    lb = M.leaderboard(p).collect()
+    assert sum(r["total_messages"] for r in lb) == len(rows)
+    assert all(0.0 <= r["bullish_pct"] <= 1.0 for r in lb)
+    assert all(r["bullish_msgs"] + r["bearish_msgs"] <= r["total_messages"] for r in lb)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 10**6), st.sampled_from(["a", "b", "c", None])),
+                min_size=1, max_size=40, unique_by=lambda t: t[0]))
+def test_first_wins_is_idempotent(spark, rows):
+    df = spark.createDataFrame(rows, "off long, k string")
+    once = DD.first_wins(df, ["k"], "off")
+    twice = DD.first_wins(once, ["k"], "off")
+    a = sorted(r["off"] for r in once.collect())
+    assert a == sorted(r["off"] for r in twice.collect())
+    expected = {}
+    for off, k in rows:
+        expected[k] = min(off, expected.get(k, off))
+    assert a == sorted(expected.values())

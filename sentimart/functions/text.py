@@ -17,12 +17,21 @@ def tokens(text) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), TOKEN_SPLIT), lambda t: t != "")
 
 
-def negated(toks: Column, negators: list[str], window: int = NEGATION_WINDOW) -> Column:
-    """Per token: does a negator occur among the ``window`` tokens before it?"""
-    neg = F.array(*[F.lit(w) for w in negators])
-
-    def before(_t, i):
-        start = F.greatest(i - (window - 1), F.lit(1))
-        return F.arrays_overlap(F.slice(toks, start, i - start + 1), neg)
-
-    return F.transform(toks, before)
+def negator_mask(toks: str, negators: list[str]) -> Column:
+    """Per token: is it a negator? (``toks`` names an array column)"""
+    words = ", ".join("'" + w.replace("'", "''") + "'" for w in negators)
+    return F.expr(f"transform({toks}, t -> t IN ({words}))")
+
+
+def negated(mask: str, window: int = NEGATION_WINDOW) -> Column:
+    """Per token: is one of the ``window`` tokens before it a negator?
+
+    Built from whole-array shifts of the mask (``mask`` shifted right by k,
+    padded with false) OR-ed element-wise, so the work stays linear in the
+    text length even when the optimiser inlines the mask expression."""
+    def shift(k: int) -> str:
+        return f"slice(concat(array_repeat(false, {k}), {mask}), 1, size({mask}))"
+    expr = shift(1)
+    for k in range(2, window + 1):
+        expr = f"zip_with({expr}, {shift(k)}, (a, b) -> a OR b)"
+    return F.expr(f"CASE WHEN size({mask}) = 0 THEN array() ELSE {expr} END")

@@ -220,5 +220,7 @@ def news_landing(pages: DataFrame) -> DataFrame:
          .agg(F.sort_array(F.collect_list("e")).alias("es"), F.max("ingested_at").alias("ingested_at")))
     payload = F.struct(F.lit("ok").alias("status"), F.col("query"),
                        F.transform("es", lambda e: e["a"]).alias("articles"))
+    query_index = F.expr("CASE query " + " ".join(f"WHEN '{q}' THEN {i}" for i, q in enumerate(NEWS_QUERIES))
+                         + f" ELSE {len(NEWS_QUERIES)} END")
     return g.select(F.substring("query", 1, 50).alias("key"), F.to_json(payload).alias("value"),
-                    F.col("page").alias("offset"), "ingested_at")
+                    (F.col("page") * 8 + query_index).alias("offset"), "ingested_at")

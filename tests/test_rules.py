@@ -113,3 +113,20 @@ def test_iso_round_trip(spark):
     parsed = df.select(F.try_to_timestamp("t").alias("ts"))
     back = [r[0] for r in parsed.select(L.iso_utc("ts")).collect()]
     assert back == ["2024-01-01T00:00:07.179575+00:00", None, None, None]
+
+
+def test_lexicon_scorer_negation_and_shares(spark):
+    from sentimart.operators.scoring import score_texts
+    df = spark.createDataFrame([(1, "good"), (2, "not good"), (3, "not a very big good"),
+                                (4, "Très bon, pas mauvais!"), (5, ""), (6, None), (7, "nothing here")],
+                               "id long, text string")
+    out = {r["id"]: r for r in score_texts(df, ["id"], "text").collect()}
+    assert out[1]["sentiment_compound"] > 0 and out[1]["sentiment_pos"] == 1.0
+    assert out[2]["sentiment_compound"] < 0 and out[2]["n_tokens"] == 2     # negated within 3 tokens
+    assert out[3]["sentiment_compound"] > 0                                  # negator 4 tokens back
+    assert out[4]["n_tokens"] == 4 and out[4]["sentiment_compound"] > 0      # accents kept; "pas mauvais" flips
+    for i in (5, 6):
+        assert (out[i]["n_tokens"], out[i]["sentiment_compound"], out[i]["sentiment_neu"]) == (0, 0.0, 0.0)
+    assert out[7]["sentiment_neu"] == 1.0 and out[7]["sentiment_compound"] == 0.0
+    r = out[2]
+    assert abs(r["sentiment_pos"] + r["sentiment_neg"] + r["sentiment_neu"] - 1.0) < 2e-3

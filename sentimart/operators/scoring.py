@@ -3,11 +3,11 @@ call in the producers to a Spark job.
 
     tokens (in-row array functions; negation marks look back 3 tokens)
       -> explode
-      -> INNER JOIN lexicon (broadcast after a row-count check, else shuffle):
-         only hits survive, inside the same codegen'd stage
+      -> LEFT JOIN lexicon (broadcast after a row-count check, else shuffle),
+         keeping hits plus one row per text that carries its token count
       -> GROUP BY text id (partial aggregation collapses each text map-side,
-         because all tokens of a text come from one input row)
-      -> LEFT JOIN back to the per-text token counts (one row per text)
+         because all tokens of a text come from one input row, so the
+         shuffle carries one row per text and task)
 
 Scores follow the published rule-based method: a negated valence is scaled
 by -0.74; compound = s / sqrt(s^2 + 15) over the valence sum s; pos / neg /
@@ -55,9 +55,9 @@ def score_texts(df: DataFrame, id_cols: list[str], text_col: str,
                 lexicon: DataFrame | None = None, max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Scores per text id: (id_cols..., sentiment_pos/neg/neu/compound, n_tokens).
 
-    Every input row yields one output row. Only lexicon *hits* survive the
-    inner join, so the aggregation and its shuffle carry a few rows per
-    text; the neutral count is the in-row token count minus the hits.
+    ``id_cols`` must identify a row. Every input row yields one output row
+    (an empty text has no tokens and scores 0). One scan, one tokenising
+    pass and one shuffle of a single partial row per text and task.
     """
     spark = df.sparkSession
     lex = lexicon if lexicon is not None else lexicon_table(spark)
@@ -65,40 +65,37 @@ def score_texts(df: DataFrame, id_cols: list[str], text_col: str,
                      F.round(F.col("valence") * 1000).cast("bigint").alias("v_milli"))
     toks = df.select(*id_cols, tokens(text_col).alias("toks"))
     toks = toks.select(*id_cols, "toks", negator_mask("toks", NEGATORS).alias("negm"))
-    marked = toks.select(*id_cols, F.size("toks").alias("n_tokens"),
+    marked = toks.select(*id_cols, F.size("toks").alias("n_tok"),
                          F.arrays_zip(F.col("toks").alias("token"), negated("negm").alias("neg")).alias("z"))
-    counts = marked.select(*id_cols, "n_tokens")
-    # explode_outer: a plain explode makes the optimiser infer size(z) > 0 and
-    # push it below the projections, re-evaluating tokenising per reference.
-    # NULL tokens of empty texts never match the inner join below.
-    exploded = marked.select(*id_cols, F.explode_outer("z").alias("t")).select(
-        *id_cols, F.col("t.token").alias("token"), F.col("t.neg").alias("neg"))
-    hits = exploded.join(bounded_broadcast(lex, max_broadcast_rows),
-                         exploded["token"] == F.col("lex_token"), "inner")
-    v = F.col("v_milli") * F.when(F.col("neg"), F.lit(NEGATION_SCALE_PCT)).otherwise(F.lit(100))
-    g = hits.select(*id_cols, v.alias("v")).groupBy(*id_cols).agg(
+    # posexplode_outer: a plain explode makes the optimiser infer size(z) > 0
+    # and push it below the projections, re-evaluating the tokenising per
+    # reference; outer also keeps texts without tokens (one NULL row).
+    exploded = marked.select(*id_cols, "n_tok", F.posexplode_outer("z").alias("pos", "t")).select(
+        *id_cols, "n_tok", "pos", F.col("t.token").alias("token"), F.col("t.neg").alias("neg"))
+    j = exploded.join(bounded_broadcast(lex, max_broadcast_rows),
+                      exploded["token"] == F.col("lex_token"), "left")
+    # keep lexicon hits plus one row per text (its first token) that carries
+    # the in-row token count: the aggregate sees ~(texts + hits) rows
+    j = j.filter(F.col("lex_token").isNotNull() | (F.coalesce(F.col("pos"), F.lit(0)) == 0))
+    v = (F.coalesce(F.col("v_milli"), F.lit(0))
+         * F.when(F.col("neg"), F.lit(NEGATION_SCALE_PCT)).otherwise(F.lit(100)))
+    g = j.select(*id_cols, "n_tok", v.alias("v")).groupBy(*id_cols).agg(
         F.sum("v").alias("s_u"),
         F.sum(F.when(F.col("v") > 0, F.col("v") + UNIT).otherwise(0)).alias("pos_u"),
         F.sum(F.when(F.col("v") < 0, F.col("v") - UNIT).otherwise(0)).alias("neg_u"),
         F.count_if(F.col("v") != 0).alias("n_scored"),
-    )
-    j = counts.join(g, on=id_cols, how="left").select(
-        *id_cols, "n_tokens",
-        F.coalesce(F.col("s_u"), F.lit(0)).alias("s_u"),
-        F.coalesce(F.col("pos_u"), F.lit(0)).alias("pos_u"),
-        F.coalesce(F.col("neg_u"), F.lit(0)).alias("neg_u"),
-        (F.col("n_tokens") - F.coalesce(F.col("n_scored"), F.lit(0))).alias("neu_n"),
-    )
+        F.max("n_tok").cast("bigint").alias("n_tokens"),
+    ).withColumn("neu_n", F.col("n_tokens") - F.col("n_scored"))
     s = F.col("s_u").cast("double") / F.lit(float(UNIT))
     total = (F.col("pos_u") - F.col("neg_u")).cast("double") / F.lit(float(UNIT)) + F.col("neu_n").cast("double")
     share = lambda x: F.when(total > 0, half_up(F.abs(x / total), 3)).otherwise(F.lit(0.0))
-    return j.select(
+    return g.select(
         *id_cols,
         share(F.col("pos_u").cast("double") / F.lit(float(UNIT))).alias("sentiment_pos"),
         share(F.col("neg_u").cast("double") / F.lit(float(UNIT))).alias("sentiment_neg"),
         share(F.col("neu_n").cast("double")).alias("sentiment_neu"),
         half_up(s / F.sqrt(s * s + F.lit(ALPHA)), 4).alias("sentiment_compound"),
-        F.col("n_tokens").cast("bigint").alias("n_tokens"),
+        "n_tokens",
     )
 
 

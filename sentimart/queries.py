@@ -19,7 +19,7 @@ from sentimart.functions.numeric import half_up
 from sentimart.operators import rollups as G
 from sentimart.plans import marts as M
 from sentimart.plans.inputs import staged
-from sentimart.session import pin_session
+from sentimart.session import ensure_checkpoint_dir, pin_session
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -141,8 +141,13 @@ def q_market_mood(spark, sf_dir):
 
 
 def dashboard_for(spark, sf_dir, grain: str = "hour", normalize: bool = True) -> DataFrame:
+    """Both branches (correlation and mood) need the message partials. They
+    are computed by one scan of the messages and checkpointed to the shared
+    folder (small: one row per symbol-hour), so the dominant input is read
+    once, not twice, and the lineage is cut."""
     st = staged(spark, sf_dir)
-    partials = G.message_partials(st.sentiment)
+    ensure_checkpoint_dir(spark)
+    partials = G.message_partials(st.sentiment).checkpoint(eager=True)
     corr = M.price_sentiment(st.prices, partials, grain, normalize)
     mood = M.market_mood(st.news, partials, grain)
     return _present(M.dashboard(corr, mood, grain))

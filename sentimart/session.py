@@ -42,6 +42,11 @@ def build_session(master: str | None = None, app: str = "sentimart",
         # no Python call-site capture per Column call (error-message context
         # only; it costs milliseconds per expression while plans are built)
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # streaming dedup state lives off-heap in RocksDB, with changelog
+        # checkpoints (state grows with arrival rate x watermark delay)
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

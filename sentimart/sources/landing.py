@@ -202,3 +202,20 @@ def normalize_news(landing: DataFrame) -> DataFrame:
 def watchlist_filter(df: DataFrame, column: str, watchlist: list[str]) -> DataFrame:
     """SRC-9: keep rows whose symbol / query is on the configured list."""
     return df.filter(F.col(column).isin(watchlist))
+
+
+def publish(records: DataFrame, bootstrap: str | None = None, folder: str | None = None) -> None:
+    """Write ``(topic, key, value)`` records (SNK-6).
+
+    To the broker when a bootstrap address is given and the connector is on
+    the classpath (the ``topic`` column routes each record); otherwise as
+    one-JSON-per-line text files per topic under ``folder`` — the layout the
+    streaming jobs read. Both are plain distributed writes (no driver loop).
+    """
+    if bootstrap:
+        (records.select("topic", "key", "value").write.format("kafka")
+         .option("kafka.bootstrap.servers", bootstrap).save())
+        return
+    if folder is None:
+        raise ValueError("either bootstrap or folder is required")
+    records.select("topic", "value").write.mode("append").partitionBy("topic").text(folder)

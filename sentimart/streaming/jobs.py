@@ -110,9 +110,25 @@ def start_stream(spark: SparkSession, kind: str, raw: DataFrame, paths: StreamPa
 
 
 def await_all(spark: SparkSession, queries, timeout_s: int | None = None) -> None:
-    """STR-6: wait for the queries; the first failure is raised (the
-    caller exits non-zero and the supervisor restarts from checkpoints)."""
+    """Wait for finite (``availableNow``) queries; the first failure is raised."""
     for q in queries:
         q.awaitTermination(timeout_s)
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+
+
+def run_until_failure(spark: SparkSession, queries) -> None:
+    """STR-6: several continuous queries in one session. Returns when all
+    have stopped; when any query fails, the others are stopped and the
+    failure is raised, so the process exits non-zero and the supervisor
+    restarts it from the checkpoints."""
+    active = list(queries)
+    while any(q.isActive for q in active):
+        spark.streams.awaitAnyTermination()
+        spark.streams.resetTerminated()
+        failed = [q for q in active if not q.isActive and q.exception() is not None]
+        if failed:
+            for q in active:
+                if q.isActive:
+                    q.stop()
+            raise RuntimeError(str(failed[0].exception()))

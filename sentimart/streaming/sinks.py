@@ -69,9 +69,29 @@ def write_layers(batch: DataFrame, epoch: int, layers: list[LayerSpec],
         batch.unpersist()
 
 
-def read_layer(spark, path: str, schema=None) -> DataFrame:
-    """Read every committed batch of a layer (batch_id becomes a column)."""
+def read_layer(spark, path: str, schema=None, merge_schema: bool = False) -> DataFrame:
+    """Read every committed batch of a layer (batch_id becomes a column).
+
+    SNK-5: batches may carry more columns over time. ``merge_schema=True``
+    unions the file schemas (reads every footer — for ad-hoc use); for jobs,
+    pass the declared ``schema`` instead, and missing columns read as NULL.
+    """
     r = spark.read.option("basePath", path)
     if schema is not None:
         r = r.schema(schema)
+    elif merge_schema:
+        r = r.option("mergeSchema", "true")
     return r.parquet(path)
+
+
+def conform(df: DataFrame, target) -> DataFrame:
+    """Project ``df`` onto a declared target schema: missing columns become
+    NULL of the declared type, extra columns are dropped (SNK-5)."""
+    have = set(df.columns)
+    return df.select(*[F.col(f.name).cast(f.dataType) if f.name in have
+                       else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields])
+
+
+def preview(batch: DataFrame, n: int = 3) -> list:
+    """SNK-10 / SORT-3: the first ``n`` rows of a batch for a debug log."""
+    return batch.limit(n).collect()

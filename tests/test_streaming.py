@@ -78,3 +78,38 @@ def test_stream_equals_batch_for_ticks(spark):
     assert streamed.select(cols).exceptAll(batch.select(cols)).count() == 0
     assert batch.select(cols).exceptAll(streamed.select(cols)).count() == 0
     assert sum(n for (e, layer), n in m.rows.items() if layer == "bronze") == ticks.count()
+
+
+def test_app_runs_all_topics_from_published_folders(spark):
+    from conftest import SMALL
+    from sentimart.sources import fixtures as FX
+    from sentimart.sources import landing as L
+    from sentimart.sources.catalog import read_table
+    from sentimart.streaming.app import start_all
+    root = run_folder(spark, "app")
+    events, pages = read_table(spark, SMALL, "events"), read_table(spark, SMALL, "pages")
+    land = f"{root}/landing"
+    L.publish(L.keyed_records(FX.ticks_from_events(events), "tick")
+              .unionByName(L.keyed_records(FX.messages_from_events(events), "message"))
+              .unionByName(L.keyed_records(FX.articles_from_pages(pages), "article")), folder=land)
+    qs = start_all(spark, root, landing=land, available_now=True, dedup_delay="45 days")
+    J.run_until_failure(spark, qs)
+    mood = spark.read.parquet(f"{root}/marts/market_mood")
+    assert read_layer(spark, f"{root}/silver/tick").count() == events.count()
+    assert read_layer(spark, f"{root}/silver/message").count() == FX.messages_from_events(events).count()
+    assert mood.count() > 0
+
+
+def test_schema_evolving_layer(spark):
+    from sentimart.streaming.sinks import conform
+    root = run_folder(spark, "evolve")
+    a = spark.createDataFrame([("BTCUSDT", 1.0)], "symbol string, price double")
+    b = spark.createDataFrame([("ETHUSDT", 2.0, 5.0)], "symbol string, price double, volume double")
+    write_layers(a, 0, [LayerSpec(f"{root}/t")])
+    write_layers(b, 1, [LayerSpec(f"{root}/t")])
+    merged = read_layer(spark, f"{root}/t", merge_schema=True)
+    assert sorted((r["symbol"], r["volume"]) for r in merged.collect()) == [("BTCUSDT", None), ("ETHUSDT", 5.0)]
+    from pyspark.sql import types as T
+    with_batch = T.StructType(b.schema.fields + [T.StructField("batch_id", T.IntegerType())])
+    declared = conform(read_layer(spark, f"{root}/t", schema=with_batch), b.schema)
+    assert declared.columns == ["symbol", "price", "volume"] and declared.count() == 2

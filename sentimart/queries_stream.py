@@ -1,10 +1,11 @@
 """Registered streaming queries.
 
 Each one lands the canonical records of the driver's tables as JSON text
-files in a fresh run folder under ``spark.checkpoint.dir`` (chunks written
-oldest first, a replay of the topic), runs the streaming job with
-``availableNow`` from an empty checkpoint, and returns the table the job
-wrote — so the result is compared with the same SQL as its batch twin.
+files in a fresh run folder under ``spark.checkpoint.dir`` (a replay of the
+topic, one file set per week, re-polled duplicates landed after their
+originals), runs the streaming job with ``availableNow`` from an empty
+checkpoint (one file per micro-batch), and returns the table the job wrote
+— so the result is compared with the same SQL as its batch twin.
 """
 
 from __future__ import annotations
@@ -26,29 +27,27 @@ from sentimart.streaming.sinks import BatchMetrics, read_layer
 # dedup state must outlive the replay span (production default: 1 day).
 REPLAY_DEDUP_DELAY = "45 days"
 CHUNK_SECONDS = 7 * 86400
+DUPLICATE_CHUNK = 10**9
 STREAM_COLUMNS_TO_DROP = ["processed_at", "batch_id", "event_date"]
 
 
 def land(records: DataFrame, kind: str, folder: str, time_col: str,
          duplicates: DataFrame | None = None) -> None:
-    """Write wire JSON in weekly chunks, oldest first (one write per chunk,
-    so file modification order follows time), then the re-polled
-    duplicates as the last chunk."""
+    """Write the wire JSON as one file set per week of ``time_col`` (one
+    distributed write, folders ``chunk=<week>``), then the re-polled
+    duplicates in a later write, so they arrive after their originals."""
     wired = records.select(F.floor(F.unix_seconds(F.col(time_col)) / CHUNK_SECONDS).alias("chunk"),
                            L.wire_value(records, kind).alias("value"))
-    chunks = sorted(r[0] for r in wired.select("chunk").distinct().collect() if r[0] is not None)
-    for i, c in enumerate(chunks):
-        wired.filter(F.col("chunk") == c).select("value").write.text(f"{folder}/{i:05d}")
-    nulls = wired.filter(F.col("chunk").isNull()).select("value")
-    nulls.write.text(f"{folder}/{len(chunks):05d}")
+    wired.write.partitionBy("chunk").text(folder)
     if duplicates is not None:
-        duplicates.select(L.wire_value(duplicates, kind).alias("value")).write.text(
-            f"{folder}/{len(chunks) + 1:05d}")
+        (duplicates.select(F.lit(DUPLICATE_CHUNK).cast("long").alias("chunk"),
+                           L.wire_value(duplicates, kind).alias("value"))
+         .write.mode("append").partitionBy("chunk").text(folder))
 
 
 def run_kind(spark: SparkSession, kind: str, folder: str, paths: J.StreamPaths, after=None) -> BatchMetrics:
     metrics = BatchMetrics()
-    raw = J.read_topic(spark, J.ID_COLUMN.get(kind, kind), folder=f"{folder}/*", max_files_per_trigger=1)
+    raw = J.read_topic(spark, J.ID_COLUMN.get(kind, kind), folder=folder, max_files_per_trigger=1)
     q = J.start_stream(spark, kind, raw, paths, available_now=True,
                        dedup_delay=REPLAY_DEDUP_DELAY, metrics=metrics, after=after)
     J.await_all(spark, [q])

@@ -58,6 +58,30 @@ def build_session(master: str | None = None, app: str = "sentimart",
     return spark
 
 
+def cluster_settings(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Sizing for a large cluster run (e.g. 100 TB on 1000 executors).
+
+    The initial shuffle width is chosen so each reducer starts at about
+    ``target_partition_bytes`` of input (at least 3 waves of tasks, at most
+    100k partitions — beyond that map-output metadata grows as maps x
+    reducers and reducers spill instead); AQE then coalesces small
+    partitions toward the advisory size and splits skewed ones (a partition
+    5x the median and above 512 MB is split). Scan splits stay at 256 MB so
+    a task's input fits executor memory.
+    """
+    shuffle = min(100_000, max(3 * total_cores, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(32 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
 def pin_session(spark: SparkSession) -> None:
     """Session settings the query semantics depend on (bucket zone)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -50,6 +50,8 @@ def read_topic(spark: SparkSession, topic: str, folder: str | None = None,
                 .option("subscribe", topic)
                 .option("startingOffsets", "earliest")
                 .option("failOnDataLoss", "false")
+                .option("kafka.request.timeout.ms", "60000")
+                .option("kafka.session.timeout.ms", "60000")
                 .load()
                 .select(F.col("value").cast("string").alias("value")))
     r = spark.readStream.format("text")

@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sentimart.functions.numeric import half_up
 from sentimart.operators import rollups as G

@@ -60,3 +60,69 @@ def test_first_wins_is_idempotent(spark, rows):
     for off, k in rows:
         expected[k] = min(off, expected.get(k, off))
     assert a == sorted(expected.values())
+
+
+# Plain-Python statement of the row rules, used as a brute-force reference.
+def _py_direction(p):
+    return "neutral" if p is None else "bullish" if p > 0.5 else "bearish" if p < -0.5 else "neutral"
+
+
+def _py_influence(f):
+    if f is None:
+        return 0.1
+    return 1.0 if f > 10000 else 0.7 if f > 1000 else 0.4 if f > 100 else 0.1
+
+
+def _py_strength(c):
+    if c is None:
+        return "neutral"
+    if c >= 0.5:
+        return "strong_positive"
+    if c >= 0.05:
+        return "mild_positive"
+    if c <= -0.5:
+        return "strong_negative"
+    if c <= -0.05:
+        return "mild_negative"
+    return "neutral"
+
+
+def _py_signal(w, m):
+    def gt(a, b):
+        return None if a is None else a > b
+
+    def lt(a, b):
+        return None if a is None else a < b
+
+    def and3(a, b):
+        return False if a is False or b is False else (None if a is None or b is None else True)
+
+    def or3(a, b):
+        return True if a is True or b is True else (None if a is None or b is None else False)
+
+    if and3(gt(w, 0.2), gt(m, 0.1)) is True:
+        return "strong_buy_signal"
+    if or3(gt(w, 0.1), gt(m, 0.05)) is True:
+        return "mild_buy_signal"
+    if and3(lt(w, -0.2), lt(m, -0.1)) is True:
+        return "strong_sell_signal"
+    if or3(lt(w, -0.1), lt(m, -0.05)) is True:
+        return "mild_sell_signal"
+    return "hold_signal"
+
+
+edge = st.sampled_from([0.5, -0.5, 0.05, -0.05, 0.1, -0.1, 0.2, -0.2, 0.0])
+num = st.one_of(st.none(), edge, st.floats(-2, 2, allow_nan=False))
+followers = st.one_of(st.none(), st.sampled_from([100, 101, 1000, 1001, 10000, 10001]),
+                      st.integers(0, 50000))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(num, followers, num, num, num), min_size=1, max_size=30))
+def test_rules_match_python_reference(spark, rows):
+    from sentimart.functions import enrich as R
+    df = spark.createDataFrame(rows, "p double, f int, c double, w double, m double")
+    out = df.select(R.price_direction("p"), R.influence_score("f"), R.sentiment_strength("c"),
+                    R.composite_signal("w", "m")).collect()
+    for (p, f, c, w, m), r in zip(rows, out):
+        assert tuple(r) == (_py_direction(p), _py_influence(f), _py_strength(c), _py_signal(w, m))

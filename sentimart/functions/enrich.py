@@ -48,6 +48,10 @@ NEWS_QUERIES = [
 ]
 QUOTE_SUFFIX = "USDT"
 SOCIAL_SUFFIX_PATTERN = r"\.X$"
+TOPICS = {"tick": "crypto.prices", "message": "market.sentiment", "article": "market.news"}
+DATA_SOURCES = {"tick": "binance_ws", "message": "stocktwits", "article": "newsapi"}
+UNKNOWN_NEWS_SOURCE = "unknown"
+PUBLISH_KEY_CHARS = 50
 
 
 def _e(text: str) -> Column:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentimart.functions.enrich import (NEWS_QUERIES, TICK_SYMBOLS, article_id,
+from sentimart.functions.enrich import (DATA_SOURCES, NEWS_QUERIES, TICK_SYMBOLS, article_id,
                                         label_agreement, polarity_class)
 
 # Fixed values of the fixture mapping.
@@ -93,7 +93,7 @@ def messages_from_events(events: DataFrame, keep: list | None = None) -> DataFra
             "sentiment_label": polarity_class("sentiment_compound"),
             "sentiment_agreement": label_agreement("user_sentiment", "sentiment_compound"),
             "symbols_mentioned": F.expr("array(symbol)"),
-            "data_source": F.lit("stocktwits"),
+            "data_source": F.lit(DATA_SOURCES["message"]),
         })
     )
 
@@ -123,7 +123,7 @@ def articles_from_pages(pages: DataFrame, keep: list | None = None) -> DataFrame
     ]
     return (pages.select(*(keep or []), *cols)
             .withColumns({"sentiment_label": polarity_class("sentiment_compound"),
-                          "data_source": F.lit("newsapi")}))
+                          "data_source": F.lit(DATA_SOURCES["article"])}))
 
 
 # --- landing tables (queue-record shape) ------------------------------------

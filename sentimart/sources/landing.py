@@ -74,7 +74,6 @@ def split_quarantine(raw: DataFrame, kind: str, keep: list[str] | None = None) -
 # --- keyed publish (SNK-6) --------------------------------------------------
 
 PUBLISH_KEY = {"tick": "symbol", "message": "symbol", "article": "query"}
-TOPICS = {"tick": "crypto.prices", "message": "market.sentiment", "article": "market.news"}
 
 
 def keyed_records(parsed: DataFrame, kind: str) -> DataFrame:
@@ -82,8 +81,8 @@ def keyed_records(parsed: DataFrame, kind: str) -> DataFrame:
     news query (FN-24); value = the JSON wire record."""
     key = F.col(PUBLISH_KEY[kind])
     if kind == "article":
-        key = F.substring(key, 1, 50)
-    return parsed.select(F.lit(TOPICS[kind]).alias("topic"), key.alias("key"),
+        key = F.substring(key, 1, R.PUBLISH_KEY_CHARS)
+    return parsed.select(F.lit(R.TOPICS[kind]).alias("topic"), key.alias("key"),
                          wire_value(parsed, kind).alias("value"))
 
 
@@ -100,7 +99,7 @@ TICKER_FIELDS = [("price", "c"), ("open", "o"), ("high", "h"), ("low", "l"),
                  ("volume", "v"), ("price_change", "p"), ("change_pct", "P")]
 
 
-def normalize_ticker(landing: DataFrame, source: str = "binance_ws") -> DataFrame:
+def normalize_ticker(landing: DataFrame, source: str = R.DATA_SOURCES["tick"]) -> DataFrame:
     """Ticker envelope ``{data:{s,c,o,h,l,v,p,P}}`` -> tick records.
 
     Symbol is upper-cased (missing -> '' and dropped, FLT-5); numbers arrive
@@ -167,7 +166,7 @@ def normalize_social(landing: DataFrame) -> DataFrame:
         F.coalesce(F.transform(F.col("m.entities.symbols"),
                                lambda s: F.coalesce(s["symbol"], F.lit(""))),
                    F.array().cast("array<string>")).alias("symbols_mentioned"),
-        F.lit("stocktwits").alias("data_source"),
+        F.lit(R.DATA_SOURCES["message"]).alias("data_source"),
         quarantined.alias("quarantined"),
     )
 
@@ -187,7 +186,7 @@ def normalize_news(landing: DataFrame) -> DataFrame:
         "offset", "art_pos", "status",
         R.article_id("a.url").alias("article_id"),
         F.col("query"),
-        F.coalesce(F.col("a.source.name"), F.lit("unknown")).alias("source"),
+        F.coalesce(F.col("a.source.name"), F.lit(R.UNKNOWN_NEWS_SOURCE)).alias("source"),
         F.coalesce(F.col("a.author"), F.lit("")).alias("author"),
         F.col("a.title").alias("title"),
         F.col("a.description").alias("description"),
@@ -195,7 +194,7 @@ def normalize_news(landing: DataFrame) -> DataFrame:
         F.try_to_timestamp(F.coalesce(F.col("a.publishedAt"), F.lit(""))).alias("published_at"),
         F.col("ingested_at"),
         F.concat_ws(" ", F.col("a.title"), F.col("a.description")).alias("score_text"),
-        F.lit("newsapi").alias("data_source"),
+        F.lit(R.DATA_SOURCES["article"]).alias("data_source"),
     )
 
 

@@ -71,23 +71,29 @@ class StreamPaths:
         return f"{self.root}/_checkpoints/{kind}"
 
 
-def parsed_stream(raw: DataFrame, kind: str, dedup_delay: str | None = "1 day") -> DataFrame:
-    """Parse and, for messages / articles, drop repeated ids (first wins)."""
+def parsed_stream(raw: DataFrame, kind: str, dedup_delay: str | None = "1 day",
+                  dedup_keys: list[str] | None = None) -> DataFrame:
+    """Parse and, for messages / articles, drop repeated ids (first wins).
+
+    ``dedup_keys`` defaults to the record id (a message seen under several
+    symbols is kept once, as the producers did); ``["message_id", "symbol"]``
+    keeps one copy per symbol instead."""
     p = L.parse_records(raw, kind)
     if kind not in ID_COLUMN or dedup_delay is None:
         return p
     timed = p.filter(F.col("ingested_at").isNotNull())
     untimed = p.filter(F.col("ingested_at").isNull())
     deduped = (timed.withWatermark("ingested_at", dedup_delay)
-               .dropDuplicatesWithinWatermark([ID_COLUMN[kind]]))
+               .dropDuplicatesWithinWatermark(dedup_keys or [ID_COLUMN[kind]]))
     return deduped.unionByName(untimed)
 
 
 def start_stream(spark: SparkSession, kind: str, raw: DataFrame, paths: StreamPaths,
                  available_now: bool = False, dedup_delay: str | None = "1 day",
-                 metrics: BatchMetrics | None = None, after=None):
+                 metrics: BatchMetrics | None = None, after=None,
+                 dedup_keys: list[str] | None = None):
     """Start the bronze + silver query for one record kind."""
-    stream = parsed_stream(raw, kind, dedup_delay)
+    stream = parsed_stream(raw, kind, dedup_delay, dedup_keys)
     date_col = F.to_date(F.col(DATE_SOURCE[kind]))
     part = ("event_date", "symbol") if kind in ("tick", "message") else ("event_date",)
     ok = F.col("ingested_at").isNotNull() if kind in ID_COLUMN else F.lit(True)

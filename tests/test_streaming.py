@@ -113,3 +113,18 @@ def test_schema_evolving_layer(spark):
     with_batch = T.StructType(b.schema.fields + [T.StructField("batch_id", T.IntegerType())])
     declared = conform(read_layer(spark, f"{root}/t", schema=with_batch), b.schema)
     assert declared.columns == ["symbol", "price", "volume"] and declared.count() == 2
+
+
+def test_dedup_key_per_symbol(spark):
+    root = run_folder(spark, "dedupsym")
+    land = root.replace("file:", "") + "/landing"
+    recs = [{"message_id": "1", "symbol": s, "created_at": "2024-01-01T00:00:00Z",
+             "ingested_at": "2024-01-01T00:00:00Z", "user_followers": 5} for s in ("BTC.X", "ETH.X")]
+    _land(land, "a.json", recs[:1])
+    _land(land, "b.json", recs[1:] + recs[:1])
+    paths = J.StreamPaths(root)
+    raw = J.read_topic(spark, "m", folder=land, max_files_per_trigger=1)
+    J.await_all(spark, [J.start_stream(spark, "message", raw, paths, available_now=True,
+                                       dedup_keys=["message_id", "symbol"])])
+    got = sorted(r["symbol"] for r in read_layer(spark, paths.layer("message", "silver")).collect())
+    assert got == ["BTC.X", "ETH.X"]

@@ -128,3 +128,30 @@ def test_dedup_key_per_symbol(spark):
                                        dedup_keys=["message_id", "symbol"])])
     got = sorted(r["symbol"] for r in read_layer(spark, paths.layer("message", "silver")).collect())
     assert got == ["BTC.X", "ETH.X"]
+
+
+def test_late_rows_refresh_their_date_in_the_mood_mart(spark):
+    from sentimart.streaming.refresh import mood_refresher
+    root = run_folder(spark, "late")
+    land = root.replace("file:", "") + "/landing"
+    paths = J.StreamPaths(root)
+    mood_path = f"{root}/marts/market_mood"
+
+    def msg(i, t, c):
+        return {"message_id": str(i), "symbol": "BTC.X", "created_at": t, "ingested_at": t,
+                "sentiment_compound": c, "user_sentiment": "neutral", "user_followers": 5}
+
+    _land(land, "a.json", [msg(1, "2024-01-01T10:00:00Z", 1.0)])
+    _land(land, "b.json", [msg(2, "2024-01-03T10:00:00Z", 1.0)])
+    # a late message for Jan 1 arrives after Jan 3 (created long before it landed)
+    late = msg(3, "2024-01-01T10:30:00Z", -1.0)
+    late["ingested_at"] = "2024-01-03T11:00:00Z"
+    _land(land, "c.json", [late])
+    raw = J.read_topic(spark, "m", folder=land, max_files_per_trigger=1)
+    q = J.start_stream(spark, "message", raw, paths, available_now=True,
+                       after=mood_refresher(spark, paths, "message", mood_path))
+    J.await_all(spark, [q])
+    rows = {(str(r["date"]), r["hour"]): r for r in spark.read.parquet(mood_path).collect()}
+    assert rows[("2024-01-01", 10)]["social_message_count"] == 2          # late row folded in
+    assert rows[("2024-01-01", 10)]["avg_social_sentiment"] == 0.0
+    assert rows[("2024-01-03", 10)]["social_message_count"] == 1

@@ -37,3 +37,17 @@ def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None
     """Expose DataFrames under their model names (lazy views)."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
+
+
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Store ``df`` as a catalog table bucketed and sorted by ``key``.
+
+    Joins and semi-joins on ``key`` against a bucketed table shuffle only
+    the other side (the planner uses the buckets as the partitioning), so a
+    large table such as the documents is not moved by a key-based
+    de-duplication or score join-back. Returns the table as a DataFrame."""
+    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    if path is not None:
+        w = w.option("path", path)
+    w.saveAsTable(table)
+    return df.sparkSession.table(table)

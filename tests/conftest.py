@@ -14,7 +14,8 @@ def spark():
     from sentimart.session import build_session
     s = build_session("local[4]", shuffle_partitions=4,
                       extra={"spark.ui.showConsoleProgress": "false",
-                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="sentimart-test-")})
+                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="sentimart-test-"),
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="sentimart-wh-")})
     yield s
     s.stop()
 

@@ -39,3 +39,22 @@ def test_cluster_settings_bounds():
     s = cluster_settings(100 * 1024 ** 4, 8000)
     assert s["spark.sql.shuffle.partitions"] == "100000"
     assert cluster_settings(10 ** 9, 8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def test_first_wins_on_bucketed_documents_moves_only_the_small_side(spark):
+    from pyspark.sql import functions as F
+    from sentimart.operators.dedup import first_wins
+    from sentimart.sources.catalog import read_table, save_bucketed
+    docs = save_bucketed(read_table(spark, SMALL, "documents"), "documents_by_id", "doc_id", 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = first_wins(docs, [F.md5("text")], "doc_id")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        # one exchange for the md5 aggregation, one moving the winners to the
+        # document buckets; the documents side itself is read in place
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert "SortMergeJoin" in plan
+        assert out.count() == read_table(spark, SMALL, "documents").select(F.md5("text")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -35,6 +35,12 @@ def _pick_sql(values: list[str], idx: str) -> str:
     return f"CASE {idx} {arms} END"
 
 
+def _index_sql(values: list[str], col: str) -> str:
+    """Position of ``col`` in ``values`` (len(values) when absent)."""
+    arms = " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(values))
+    return f"CASE {col} {arms} ELSE {len(values)} END"
+
+
 def _score_sql(x: str) -> str:
     """Integer in [0, 200] -> score in [-1, 1]."""
     return f"(CAST(({x}) - 100 AS DOUBLE) / 100D)"
@@ -196,10 +202,9 @@ def social_landing(events: DataFrame) -> DataFrame:
                   F.max("ingested_at").alias("ingested_at")))
     payload = F.struct(F.struct(F.col("symbol").alias("symbol")).alias("symbol"),
                        F.transform("es", lambda e: e["m"]).alias("messages"))
+    # offset: a unique page number per (page, symbol), like a queue offset
     return pages.select(F.col("symbol").alias("key"), F.to_json(payload).alias("value"),
-                        (F.col("page") * 10 + F.when(F.col("symbol") == "BTC.X", 0)
-                         .when(F.col("symbol") == "ETH.X", 1).when(F.col("symbol") == "SOL.X", 2)
-                         .otherwise(3)).alias("offset"),
+                        (F.col("page") * 10 + F.expr(_index_sql(MESSAGE_SYMBOLS, "symbol"))).alias("offset"),
                         "ingested_at")
 
 
@@ -220,7 +225,6 @@ def news_landing(pages: DataFrame) -> DataFrame:
          .agg(F.sort_array(F.collect_list("e")).alias("es"), F.max("ingested_at").alias("ingested_at")))
     payload = F.struct(F.lit("ok").alias("status"), F.col("query"),
                        F.transform("es", lambda e: e["a"]).alias("articles"))
-    query_index = F.expr("CASE query " + " ".join(f"WHEN '{q}' THEN {i}" for i, q in enumerate(NEWS_QUERIES))
-                         + f" ELSE {len(NEWS_QUERIES)} END")
     return g.select(F.substring("query", 1, 50).alias("key"), F.to_json(payload).alias("value"),
-                    (F.col("page") * 8 + query_index).alias("offset"), "ingested_at")
+                    (F.col("page") * 8 + F.expr(_index_sql(NEWS_QUERIES, "query"))).alias("offset"),
+                    "ingested_at")

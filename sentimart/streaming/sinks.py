@@ -12,6 +12,7 @@ paths come from one run folder, so a fresh checkpoint (epochs restarting at
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -19,6 +20,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+log = logging.getLogger("sentimart.streaming")
+
+
 @dataclass
 class LayerSpec:
     path: str
@@ -61,8 +65,12 @@ def write_layers(batch: DataFrame, epoch: int, layers: list[LayerSpec],
             if spec.partition_by:
                 w = w.partitionBy(*spec.partition_by)
             w.save(f"{spec.path}/batch_id={epoch}")
+            n = obs.get.get("rows", 0)
+            log.info("[%s] batch %d: %d rows -> %s", spec.layer_name, epoch, n, spec.path)
+            if log.isEnabledFor(logging.DEBUG) and n:
+                log.debug("[%s] batch %d preview: %s", spec.layer_name, epoch, preview(df))
             if metrics is not None:
-                metrics.record(epoch, spec.layer_name, obs.get.get("rows", 0))
+                metrics.record(epoch, spec.layer_name, n)
         if after is not None:
             after(batch, epoch)
     finally:

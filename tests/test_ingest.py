@@ -120,3 +120,12 @@ def test_publish_to_folder_round_trip(spark):
     raw = spark.read.text(f"{root}/topic=crypto.prices")
     back = L.parse_records(raw, "tick").drop("processed_at")
     assert back.exceptAll(t).count() == 0 and t.exceptAll(back).count() == 0
+
+
+def test_latest_n_language_filter(spark):
+    import datetime as dt
+    rows = [("a", "q", dt.datetime(2024, 1, 2, 1), "en"), ("b", "q", dt.datetime(2024, 1, 2, 2), "fr"),
+            ("c", "q", dt.datetime(2024, 1, 2, 3), "en")]
+    df = spark.createDataFrame(rows, "article_id string, query string, published_at timestamp, language string")
+    out = DD.latest_per_query(df, "2024-01-02 12:00:00", 24, 1, language="en").collect()
+    assert [r["article_id"] for r in out] == ["c"]

@@ -58,3 +58,15 @@ def test_first_wins_on_bucketed_documents_moves_only_the_small_side(spark):
         assert out.count() == read_table(spark, SMALL, "documents").select(F.md5("text")).distinct().count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_rollups_combine_map_side_before_the_shuffle(spark):
+    """A hot key (one symbol with a third of all ticks) is reduced per task
+    before the exchange: partial aggregates sit below every Exchange."""
+    for name in ("hourly_price_rollup", "symbol_hour_sentiment", "hourly_news"):
+        plan = _plan(E.queries()[name](spark, SMALL))
+        lines = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln or "HashAggregate" in ln]
+        # each exchange is followed (below it) by a partial HashAggregate
+        for i, ln in enumerate(lines):
+            if "Exchange hashpartitioning" in ln:
+                assert i + 1 < len(lines) and "partial_" in lines[i + 1], (name, lines)

@@ -91,8 +91,10 @@ def parsed_stream(raw: DataFrame, kind: str, dedup_delay: str | None = "1 day",
 def start_stream(spark: SparkSession, kind: str, raw: DataFrame, paths: StreamPaths,
                  available_now: bool = False, dedup_delay: str | None = "1 day",
                  metrics: BatchMetrics | None = None, after=None,
-                 dedup_keys: list[str] | None = None):
-    """Start the bronze + silver query for one record kind."""
+                 dedup_keys: list[str] | None = None, fmt: str = "parquet"):
+    """Start the bronze + silver query for one record kind. ``fmt`` is the
+    table format of the layers (Parquet by default; a transactional format
+    when its jars are on the classpath)."""
     stream = parsed_stream(raw, kind, dedup_delay, dedup_keys)
     date_col = F.to_date(F.col(DATE_SOURCE[kind]))
     part = ("event_date", "symbol") if kind in ("tick", "message") else ("event_date",)
@@ -107,7 +109,7 @@ def start_stream(spark: SparkSession, kind: str, raw: DataFrame, paths: StreamPa
                                 name="quarantine"))
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        write_layers(batch, epoch, layers, metrics, after=after)
+        write_layers(batch, epoch, layers, metrics, fmt=fmt, after=after)
 
     w = (stream.writeStream.foreachBatch(sink)
          .outputMode("append")

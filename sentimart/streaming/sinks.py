@@ -77,19 +77,20 @@ def write_layers(batch: DataFrame, epoch: int, layers: list[LayerSpec],
         batch.unpersist()
 
 
-def read_layer(spark, path: str, schema=None, merge_schema: bool = False) -> DataFrame:
+def read_layer(spark, path: str, schema=None, merge_schema: bool = False,
+               fmt: str = "parquet") -> DataFrame:
     """Read every committed batch of a layer (batch_id becomes a column).
 
     SNK-5: batches may carry more columns over time. ``merge_schema=True``
     unions the file schemas (reads every footer — for ad-hoc use); for jobs,
     pass the declared ``schema`` instead, and missing columns read as NULL.
     """
-    r = spark.read.option("basePath", path)
+    r = spark.read.format(fmt).option("basePath", path)
     if schema is not None:
         r = r.schema(schema)
     elif merge_schema:
         r = r.option("mergeSchema", "true")
-    return r.parquet(path)
+    return r.load(path)
 
 
 def conform(df: DataFrame, target) -> DataFrame:

@@ -18,21 +18,17 @@ def tokens(text) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(c, F.lit(""))), TOKEN_SPLIT), "")
 
 
-def negator_mask(toks: str, negators: list[str]) -> Column:
-    """Per token: is it a negator? (``toks`` names an array column)"""
-    words = ", ".join("'" + w.replace("'", "''") + "'" for w in negators)
-    return F.expr(f"transform({toks}, t -> t IN ({words}))")
-
-
-def negated(mask: str, window: int = NEGATION_WINDOW) -> Column:
-    """Per token: is one of the ``window`` tokens before it a negator?
-
-    Built from whole-array shifts of the mask (``mask`` shifted right by k,
-    padded with false) OR-ed element-wise, so the work stays linear in the
-    text length even when the optimiser inlines the mask expression."""
-    def shift(k: int) -> str:
-        return f"slice(concat(array_repeat(false, {k}), {mask}), 1, size({mask}))"
-    expr = shift(1)
-    for k in range(2, window + 1):
-        expr = f"zip_with({expr}, {shift(k)}, (a, b) -> a OR b)"
-    return F.expr(f"CASE WHEN size({mask}) = 0 THEN array() ELSE {expr} END")
+def previous(toks: str, k: int) -> Column:
+    """For every token, the token ``k`` positions before it (NULL for the
+    first ``k``): the array shifted right — slice/concat/array_repeat are
+    codegen'd builtins, linear in the text length, no lambdas."""
+    return F.expr(f"slice(concat(array_repeat(CAST(NULL AS STRING), {k}), {toks}), 1, size({toks}))")
+
+
+def negated_by(prev_cols: list[str], negators: list[str]) -> Column:
+    """Is any of the previous-token columns a negator? (NULL counts as no)"""
+    cond = None
+    for c in prev_cols:
+        x = F.col(c).isin(negators)
+        cond = x if cond is None else (cond | x)
+    return F.coalesce(cond, F.lit(False))

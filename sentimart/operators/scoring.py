@@ -1,7 +1,8 @@
 """Distributed lexicon text scorer (ENR-14), re-aimed from a per-row library
 call in the producers to a Spark job.
 
-    tokens (in-row array functions; negation marks look back 3 tokens)
+    tokens (in-row array functions) zipped with the 3 previous tokens
+    (whole-array shifts, codegen'd)
       -> explode
       -> LEFT JOIN lexicon (broadcast after a row-count check, else shuffle),
          keeping hits plus one row per text that carries its token count
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentimart.functions.numeric import half_up
-from sentimart.functions.text import negated, negator_mask, tokens
+from sentimart.functions.text import NEGATION_WINDOW, negated_by, previous, tokens
 from sentimart.operators.joins import bounded_broadcast
 
 # A small multilingual (token, valence) lexicon and negators.
@@ -64,19 +65,22 @@ def score_texts(df: DataFrame, id_cols: list[str], text_col: str,
     lex = lex.select(F.col("token").alias("lex_token"),
                      F.round(F.col("valence") * 1000).cast("bigint").alias("v_milli"))
     toks = df.select(*id_cols, tokens(text_col).alias("toks"))
-    toks = toks.select(*id_cols, "toks", negator_mask("toks", NEGATORS).alias("negm"))
+    prev = [f"p{k}" for k in range(1, NEGATION_WINDOW + 1)]
     marked = toks.select(*id_cols, F.size("toks").alias("n_tok"),
-                         F.arrays_zip(F.col("toks").alias("token"), negated("negm").alias("neg")).alias("z"))
+                         F.arrays_zip(F.col("toks").alias("token"),
+                                      *[previous("toks", k).alias(p) for k, p in enumerate(prev, 1)]).alias("z"))
     # posexplode_outer: a plain explode makes the optimiser infer size(z) > 0
     # and push it below the projections, re-evaluating the tokenising per
     # reference; outer also keeps texts without tokens (one NULL row).
     exploded = marked.select(*id_cols, "n_tok", F.posexplode_outer("z").alias("pos", "t")).select(
-        *id_cols, "n_tok", "pos", F.col("t.token").alias("token"), F.col("t.neg").alias("neg"))
+        *id_cols, "n_tok", "pos", F.col("t.token").alias("token"), *[F.col(f"t.{p}").alias(p) for p in prev])
     j = exploded.join(bounded_broadcast(lex, max_broadcast_rows),
                       exploded["token"] == F.col("lex_token"), "left")
     # keep lexicon hits plus one row per text (its first token) that carries
-    # the in-row token count: the aggregate sees ~(texts + hits) rows
+    # the in-row token count: the aggregate sees ~(texts + hits) rows, and
+    # negation is decided for hits only
     j = j.filter(F.col("lex_token").isNotNull() | (F.coalesce(F.col("pos"), F.lit(0)) == 0))
+    j = j.withColumn("neg", negated_by(prev, NEGATORS))
     v = (F.coalesce(F.col("v_milli"), F.lit(0))
          * F.when(F.col("neg"), F.lit(NEGATION_SCALE_PCT)).otherwise(F.lit(100)))
     g = j.select(*id_cols, "n_tok", v.alias("v")).groupBy(*id_cols).agg(

@@ -273,4 +273,13 @@ SQL["stream_message_dedup"] = SQL["message_silver"]
 SQL["stream_article_silver"] = SQL["article_silver"]
 SQL["stream_market_mood_refresh"] = SQL["market_mood"]
 
+# Stateful mood: the hours the watermark closed — window end at or before the
+# smaller of the two streams' (max event time - 2 hours).
+SQL["stream_market_mood_stateful"] = SQL["market_mood"].replace(
+    "\nFROM mood", """
+FROM mood
+WHERE CAST(date AS TIMESTAMP) + to_hours(CAST(hour + 1 AS BIGINT)) <= (
+  SELECT least((SELECT max(created_at) FROM stg_sentiment), (SELECT max(published_at) FROM stg_news))
+         - INTERVAL 2 HOUR)""")
+
 _ = (NEWS_QUERIES,)

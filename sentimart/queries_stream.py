@@ -126,3 +126,24 @@ def q_stream_market_mood_refresh(spark, sf_dir):
         "date", "hour", "article_count", "avg_news_sentiment", "high_impact_count",
         "strong_positive_news", "strong_negative_news", "social_message_count",
         "avg_social_sentiment", "avg_influence", "market_mood_score", "market_mood_label"))
+
+
+STATEFUL_DELAY = "2 hours"
+
+
+@register("stream_market_mood_stateful")
+def q_stream_market_mood_stateful(spark, sf_dir):
+    """Low-latency stateful mood: hourly windows of both streams joined in
+    streaming state; returns the hours the watermark has closed."""
+    from sentimart.streaming.mood_stateful import mood_stream
+    root = run_folder(spark, "mood-stateful")
+    mfolder = _message_replay(spark, sf_dir, root)
+    afolder = _article_replay(spark, sf_dir, root)
+    m = L.parse_records(J.read_topic(spark, "market.sentiment", folder=mfolder), "message")
+    a = L.parse_records(J.read_topic(spark, "market.news", folder=afolder), "article")
+    q = (mood_stream(m, a, STATEFUL_DELAY).writeStream.outputMode("append").format("parquet")
+         .option("path", f"{root}/marts/market_mood_stateful")
+         .option("checkpointLocation", f"{root}/_checkpoints/mood_stateful")
+         .trigger(availableNow=True).start())
+    J.await_all(spark, [q])
+    return _present(spark.read.parquet(f"{root}/marts/market_mood_stateful"))

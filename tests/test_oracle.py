@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from conftest import SMALL
 
 STREAMING = {"stream_tick_silver", "stream_message_dedup", "stream_article_silver",
-             "stream_market_mood_refresh"}
+             "stream_market_mood_refresh", "stream_market_mood_stateful"}
 
 
 def _norm(v):

@@ -155,3 +155,37 @@ def test_late_rows_refresh_their_date_in_the_mood_mart(spark):
     assert rows[("2024-01-01", 10)]["social_message_count"] == 2          # late row folded in
     assert rows[("2024-01-01", 10)]["avg_social_sentiment"] == 0.0
     assert rows[("2024-01-03", 10)]["social_message_count"] == 1
+
+
+def test_stateful_mood_stream_emits_closed_hours_exactly(spark):
+    """Windowed aggregates of both streams, FULL OUTER joined on the hour
+    window in streaming state: every hour the watermark has closed is
+    emitted once and equals the batch mart; open hours are withheld."""
+    import datetime as dt
+    from conftest import SMALL
+    import __spark_entry__ as E
+    from sentimart.queries import _present
+    from sentimart.queries_stream import _article_replay, _message_replay
+    from sentimart.sources import landing as L
+    from sentimart.streaming.mood_stateful import mood_stream
+    root = run_folder(spark, "stateful")
+    mf, af = _message_replay(spark, SMALL, root), _article_replay(spark, SMALL, root)
+    m = L.parse_records(J.read_topic(spark, "m", folder=mf), "message")
+    a = L.parse_records(J.read_topic(spark, "a", folder=af), "article")
+    q = (mood_stream(m, a, "2 hours").writeStream.outputMode("append").format("parquet")
+         .option("path", f"{root}/mood").option("checkpointLocation", f"{root}/_ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = _present(spark.read.parquet(f"{root}/mood"))
+    batch = E.queries()["market_mood"](spark, SMALL)
+    cols = batch.columns
+    assert out.select(cols).exceptAll(batch).count() == 0           # every emitted hour is exact
+    # the global watermark is the smaller of the two streams' (max event time - 2 h)
+    m_max = spark.read.text(mf).select(F.max(F.get_json_object("value", "$.created_at"))).collect()[0][0]
+    a_max = spark.read.text(af).select(F.max(F.get_json_object("value", "$.published_at"))).collect()[0][0]
+    wm = min(dt.datetime.fromisoformat(m_max), dt.datetime.fromisoformat(a_max)).replace(tzinfo=None) \
+        - dt.timedelta(hours=2)
+    closed = batch.filter(F.expr("timestamp(date) + make_interval(0, 0, 0, 0, hour + 1, 0, 0)")
+                          <= F.lit(wm))
+    assert closed.exceptAll(out.select(cols)).count() == 0           # every closed hour was emitted
+    assert out.count() < batch.count()                               # open hours are withheld

@@ -273,6 +273,51 @@ SQL["stream_message_dedup"] = SQL["message_silver"]
 SQL["stream_article_silver"] = SQL["article_silver"]
 SQL["stream_market_mood_refresh"] = SQL["market_mood"]
 
+# Keyed publish: the JSON text exactly as the JVM writes it. Doubles use the
+# JVM's rendering: plain decimal for 1e-3 <= |x| < 1e7 (DuckDB's shortest
+# text; an integral value keeps ".0"), otherwise d.dddE<exp> with the same
+# shortest digits. NULL members are omitted (concat_ws skips NULLs).
+def jvm_double(x: str) -> str:
+    a = f"CAST(abs({x}) AS VARCHAR)"
+    small_zeros = f"length(regexp_extract({a}, '^0\\.(0*)', 1))"
+    small_digits = f"regexp_extract({a}, '^0\\.0*([0-9]+)$', 1)"
+    big_int = f"regexp_extract({a}, '^([0-9]+)', 1)"
+    big_digits = f"rtrim({big_int} || regexp_extract({a}, '\\.([0-9]+)$', 1), '0')"
+    sign = f"CASE WHEN {x} < 0 THEN '-' ELSE '' END"
+
+    def sci(digits: str, exp: str) -> str:
+        return (f"{sign} || substr({digits}, 1, 1) || '.' || coalesce(nullif(substr({digits}, 2), ''), '0')"
+                f" || 'E' || CAST({exp} AS VARCHAR)")
+    e_mant = f"regexp_extract({a}, '^([0-9.]+)e', 1)"
+    e_mant_jvm = f"CASE WHEN contains({e_mant}, '.') THEN {e_mant} ELSE {e_mant} || '.0' END"
+    e_exp = f"CAST(CAST(regexp_extract({a}, 'e([-+]?[0-9]+)$', 1) AS INTEGER) AS VARCHAR)"
+    return (f"CASE WHEN {x} IS NULL THEN NULL "
+            f"WHEN {x} = 0 OR (abs({x}) >= 0.001 AND abs({x}) < 10000000) THEN CAST({x} AS VARCHAR) "
+            f"WHEN contains({a}, 'e') THEN {sign} || {e_mant_jvm} || 'E' || {e_exp} "
+            f"WHEN abs({x}) < 0.001 THEN {sci(small_digits, f'-({small_zeros} + 1)')} "
+            f"ELSE {sci(big_digits, f'length({big_int}) - 1')} END")
+
+
+def _member(name: str, value_sql: str) -> str:
+    return f"""'"{name}":' || ({value_sql})"""
+
+
+_TICK_JSON_FIELDS = [
+    ("symbol", "to_json(symbol)"), ("price", jvm_double("price")), ("open", jvm_double("open")),
+    ("high", jvm_double("high")), ("low", jvm_double("low")), ("volume", jvm_double("volume")),
+    ("price_change", jvm_double("price_change")), ("change_pct", jvm_double("change_pct")),
+    ("ingested_at", "to_json(strftime(ingested_at, '%Y-%m-%dT%H:%M:%S.%f+00:00'))"),
+    ("source", "to_json(source)"),
+]
+
+_MEMBERS = ",\n    ".join(_member(n, v) for n, v in _TICK_JSON_FIELDS)
+SQL["keyed_publish"] = with_(TICKS) + f"""
+SELECT 'crypto.prices' AS topic, symbol AS key,
+  '{{' || concat_ws(',',
+    {_MEMBERS}) || '}}' AS value
+FROM ticks"""
+
+
 # Stateful mood: the hours the watermark closed — window end at or before the
 # smaller of the two streams' (max event time - 2 hours).
 SQL["stream_market_mood_stateful"] = SQL["market_mood"].replace(

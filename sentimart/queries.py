@@ -82,6 +82,13 @@ def q_hourly_price_rollup(spark, sf_dir):
     return _present(G.tick_rollup(staged(spark, sf_dir).prices, "hour"))
 
 
+@register("hourly_price_rollup_mode")
+def q_hourly_price_rollup_mode(spark, sf_dir):
+    """AGG-1 with Spark's deterministic ``mode`` for the dominant direction
+    (the alternative to per-direction counts; same result)."""
+    return _present(G.tick_rollup(staged(spark, sf_dir).prices, "hour", "mode"))
+
+
 @register("symbol_hour_sentiment")
 def q_symbol_hour_sentiment(spark, sf_dir):
     """AGG-2, AGG-7, AGG-8 at (social symbol, date, hour)."""

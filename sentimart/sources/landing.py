@@ -68,7 +68,8 @@ def split_quarantine(raw: DataFrame, kind: str, keep: list[str] | None = None) -
     d = d.select(*keep, "_no_value", "d.*")
     d = d.withColumns({c: F.try_to_timestamp(F.col(c)) for c in SC.TIME_COLUMNS[kind]})
     return (d.withColumn("quarantined", F.col(CORRUPT).isNotNull() | F.col("_no_value"))
-            .drop("_no_value"))
+            .drop("_no_value")
+            .withColumn("processed_at", F.current_timestamp()))
 
 
 # --- keyed publish (SNK-6) --------------------------------------------------

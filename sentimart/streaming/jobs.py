@@ -10,7 +10,8 @@ Dedup (STR-7) is ``dropDuplicatesWithinWatermark`` on the record id with the
 *arrival* time as event time: state for an id lives for ``dedup_delay``
 after its first arrival and then expires, so state stays bounded by
 arrival rate x delay. Rows without an arrival time bypass the stateful
-operator (their state would never expire) and go to a quarantine layer.
+operator (their state would never expire) and go to a quarantine layer,
+as do unparsable records (FLT-7), which keep their raw text.
 """
 
 from __future__ import annotations
@@ -77,12 +78,13 @@ def parsed_stream(raw: DataFrame, kind: str, dedup_delay: str | None = "1 day",
 
     ``dedup_keys`` defaults to the record id (a message seen under several
     symbols is kept once, as the producers did); ``["message_id", "symbol"]``
-    keeps one copy per symbol instead."""
-    p = L.parse_records(raw, kind)
+    keeps one copy per symbol instead. Unparsable records are kept with
+    their raw text (``_corrupt_record``) and flagged ``quarantined``."""
+    p = L.split_quarantine(raw, kind)
     if kind not in ID_COLUMN or dedup_delay is None:
         return p
-    timed = p.filter(F.col("ingested_at").isNotNull())
-    untimed = p.filter(F.col("ingested_at").isNull())
+    timed = p.filter(F.col("ingested_at").isNotNull() & ~F.col("quarantined"))
+    untimed = p.filter(F.col("ingested_at").isNull() | F.col("quarantined"))
     deduped = (timed.withWatermark("ingested_at", dedup_delay)
                .dropDuplicatesWithinWatermark(dedup_keys or [ID_COLUMN[kind]]))
     return deduped.unionByName(untimed)
@@ -98,15 +100,16 @@ def start_stream(spark: SparkSession, kind: str, raw: DataFrame, paths: StreamPa
     stream = parsed_stream(raw, kind, dedup_delay, dedup_keys)
     date_col = F.to_date(F.col(DATE_SOURCE[kind]))
     part = ("event_date", "symbol") if kind in ("tick", "message") else ("event_date",)
-    ok = F.col("ingested_at").isNotNull() if kind in ID_COLUMN else F.lit(True)
+    ok = ~F.col("quarantined")
+    if kind in ID_COLUMN:
+        ok = ok & F.col("ingested_at").isNotNull()
+    clean = lambda b: b.filter(ok).drop("quarantined", L.CORRUPT)
     layers = [
-        LayerSpec(paths.layer(kind, "bronze"), transform=lambda b: b.filter(ok), name="bronze"),
-        LayerSpec(paths.layer(kind, "silver"), transform=lambda b: SILVER[kind](b.filter(ok)),
+        LayerSpec(paths.layer(kind, "bronze"), transform=clean, name="bronze"),
+        LayerSpec(paths.layer(kind, "silver"), transform=lambda b: SILVER[kind](clean(b)),
                   partition_by=part, add_columns={"event_date": date_col}, name="silver"),
+        LayerSpec(paths.layer(kind, "quarantine"), transform=lambda b: b.filter(~ok), name="quarantine"),
     ]
-    if kind in ID_COLUMN:
-        layers.append(LayerSpec(paths.layer(kind, "quarantine"), transform=lambda b: b.filter(~ok),
-                                name="quarantine"))
 
     def sink(batch: DataFrame, epoch: int) -> None:
         write_layers(batch, epoch, layers, metrics, fmt=fmt, after=after)

@@ -189,3 +189,22 @@ def test_stateful_mood_stream_emits_closed_hours_exactly(spark):
                           <= F.lit(wm))
     assert closed.exceptAll(out.select(cols)).count() == 0           # every closed hour was emitted
     assert out.count() < batch.count()                               # open hours are withheld
+
+
+def test_corrupt_records_go_to_quarantine_with_their_text(spark):
+    root = run_folder(spark, "corrupt")
+    land = root.replace("file:", "") + "/landing"
+    os.makedirs(land, exist_ok=True)
+    with open(os.path.join(land, "a.json"), "w") as f:
+        f.write(json.dumps({"symbol": "BTCUSDT", "price": 1.0, "ingested_at": "2024-01-01T00:00:00Z"}) + "\n")
+        f.write('{"symbol": "ETHUSDT", "price": \n')                                # not JSON
+        f.write(json.dumps({"symbol": "SOLUSDT", "price": "n/a"}) + "\n")          # wrong type
+    paths = J.StreamPaths(root)
+    raw = J.read_topic(spark, "t", folder=land)
+    J.await_all(spark, [J.start_stream(spark, "tick", raw, paths, available_now=True)])
+    silver = read_layer(spark, paths.layer("tick", "silver")).collect()
+    assert [r["symbol"] for r in silver] == ["BTCUSDT"]
+    q = read_layer(spark, paths.layer("tick", "quarantine")).collect()
+    assert sorted(r["_corrupt_record"][:20] for r in q) == ['{"symbol": "ETHUSDT"', '{"symbol": "SOLUSDT"']
+    bronze = read_layer(spark, paths.layer("tick", "bronze"))
+    assert bronze.count() == 1 and "_corrupt_record" not in bronze.columns

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimart.llm import simhash_dedup
+from sentimart.llm import chat_format, quality_rules, sharding, simhash_dedup, source_mixing
 from sentimart.llm.common import table
 
 
@@ -14,6 +14,35 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_dedup.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratios = [r.name for r in quality_rules.RULES]
+    return quality_rules.judged(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        *[F.round(c, 6).alias(c) for c in ratios])
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = source_mixing.records(table(spark, sf_dir, "documents"))
+    return source_mixing.taken(source_mixing.mix(rows)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.placed(sharding.records(table(spark, sf_dir, "documents")))
+    return sharding.numbered(rows).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    control = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(control)
+    return chat_format.digests(chat_format.examples(turns))
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_source_mixing": op4_source_mixing,
+    "op5_sharding": op5_sharding,
+    "op8_chat_formatting": op8_chat_formatting,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimart.llm import chat_format, quality_rules, sharding, simhash_dedup, source_mixing
+from sentimart.llm import chat_format, html_extract, quality_rules, secret_scan, sharding, simhash_dedup, source_mixing
 from sentimart.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_dedup.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ratios = [r.name for r in quality_rules.RULES]
@@ -39,10 +43,16 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.examples(turns))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
+    "op2_secret_scan": op2_secret_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_source_mixing": op4_source_mixing,
     "op5_sharding": op5_sharding,
     "op8_chat_formatting": op8_chat_formatting,
+    "op10_html_extraction": op10_html_extraction,
 }

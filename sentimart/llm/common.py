@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -52,12 +53,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: cuts lineage, survives executors."""
+def written(df: DataFrame, release: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: cuts lineage, survives executors.
+
+    With ``release`` the driver collects its garbage, so that Spark's cleaner
+    lets the shuffle files of the finished step go now and not at its next
+    periodic collection.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    if release:
+        del df
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return table
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimart.llm import chat_format, html_extract, quality_rules, secret_scan, sharding, simhash_dedup, source_mixing
+from sentimart.llm import chat_format, html_extract, quality_rules, secret_scan, sharding, simhash_dedup, source_mixing, substring_dedup
 from sentimart.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.numbered(rows).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     control = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -53,6 +57,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_source_mixing": op4_source_mixing,
     "op5_sharding": op5_sharding,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_chat_formatting": op8_chat_formatting,
     "op10_html_extraction": op10_html_extraction,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimart.llm import chat_format, html_extract, quality_rules, secret_scan, sharding, simhash_dedup, source_mixing, substring_dedup
+from sentimart.llm import chat_format, decontamination, html_extract, quality_rules, secret_scan, sharding, simhash_dedup, source_mixing, substring_dedup
 from sentimart.llm.common import table
 
 
@@ -47,6 +47,10 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.examples(turns))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extracted(table(spark, sf_dir, "pages"))
 
@@ -59,5 +63,6 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_chat_formatting": op8_chat_formatting,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_html_extraction": op10_html_extraction,
 }

@@ -1,0 +1,119 @@
+"""Benchmark decontamination against an exact search, and its measured recall."""
+
+import random
+
+from sentimart.llm import decontamination as D
+from sentimart.llm import queries
+
+DOCS = "doc_id long, text string, item_id string, edits string"
+SMALL = "/root/testdata/sf0.001"
+
+
+def compared(text):
+    return [w for x in (text or "").encode().lower().split() if (w := x.strip(D.PUNCTUATION))]
+
+
+def slow_edits(item, text):
+    """The least edit distance of ``item`` to any passage of ``text``, by the plain recurrence."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        last, row = row, [i]
+        for j, y in enumerate(text, 1):
+            row.append(min(last[j - 1] + (x != y), last[j] + 1, row[-1] + 1))
+    return min(row)
+
+
+def edited(rng, words, edits, vocabulary):
+    words = list(words)
+    for _ in range(edits):
+        kind, at = rng.randrange(3), rng.randrange(len(words))
+        if kind == 0:
+            words[at] = rng.choice(vocabulary)
+        elif kind == 1 and len(words) > 1:
+            del words[at]
+        else:
+            words.insert(at, rng.choice(vocabulary))
+    return words
+
+
+def test_passage_is_exact():
+    import numpy as np
+
+    rng = random.Random(0)
+    for _ in range(200):
+        item = [rng.randrange(4) for _ in range(rng.randint(1, 9))]
+        text = [rng.randrange(4) for _ in range(rng.randint(0, 14))]
+        edits, a, b = D.passage(np.array(item, np.uint64), np.array(text, np.uint64))
+        assert edits == slow_edits(item, text) and 0 <= a <= b <= len(text)
+        whole = slow_edits(item, text[a:b])
+        assert whole == edits
+
+
+def test_recall_and_precision():
+    rng = random.Random(1)
+    vocabulary = [f"v{i}" for i in range(3000)] + ["the", "of", "and", "to"] * 200
+    items = [[rng.choice(vocabulary) for _ in range(rng.randint(14, 60))] for _ in range(150)]
+    index = D.Index([(i, " ".join(w).encode()) for i, w in enumerate(items)])
+    texts = []
+    for i, w in enumerate(items):
+        around = [rng.choice(vocabulary) for _ in range(300)]
+        texts.append(around[:150] + edited(rng, w, int(D.MAX_EDITS * len(w)) if i % 2 else 0, vocabulary) + around[150:])
+    found = index.matches([" ".join(t).title().encode() for t in texts])
+    hits = [any(m[0] == i for m in f) for i, f in enumerate(found)]
+    assert all(hits[::2]) and sum(hits[1::2]) >= 0.95 * len(hits[1::2])
+    for t, f in zip(texts, found):
+        for item, edits, n, _, _ in f:
+            exact = slow_edits(items[item], t)
+            assert exact <= edits <= D.MAX_EDITS * n
+    clean = index.matches([" ".join(rng.choice(vocabulary) for _ in range(400)).encode() for _ in range(100)])
+    assert not any(clean)
+
+
+def test_odd_rows(spark):
+    items = [(1, "Alpha beta, gamma delta epsilon"), (2, "one"), (3, ""), (4, None), (5, "two three four five six seven eight nine"), (None, "uno dos tres cuatro"),
+             (6, "... !!"), (5, "two three four five six seven eight nine")]
+    texts = [None, "", "nothing to see", "alpha BETA gamma. delta epsilon!", "x\none\ty", "alpha beta gamma delta zeta", "alpha beta zeta eta epsilon",
+             "two three four five eight nine", "two three four five six seven eight", "uno dos tres cuatro", "word " * 70_000 + "alpha beta gamma delta epsilon"]
+    rows = [(i, t, "c", "c") for i, t in enumerate(texts)] + [(None, texts[3], "c", "c"), (3, texts[3], "c", "c")]
+    docs, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((str(r.doc_id), str(r.item_id), r.edits) for r in D.leaks(docs, bench).collect())
+    want = []
+    for i, t, _, _ in rows:
+        for item, text in items:
+            w = compared(text)
+            if w and (e := slow_edits(w, compared(t))) <= int(D.MAX_EDITS * len(w)):
+                want.append((str(i), str(item), e))
+    assert got == sorted(want)
+    clean = D.clean(docs, bench)
+    leaked = {i for i, _, _ in want}
+    assert clean.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(r[0]) for r in rows if str(r[0]) not in leaked)
+
+
+def test_items_in_blocks(spark):
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(20))) for i in range(30)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    held = list(D.blocks(bench, 100))
+    assert len(held) > 3 and sorted(i for b in held for i, _ in b) == list(range(30))
+    text = spark.createDataFrame([(1, items[7][1] + " x " + items[21][1], "", "")], DOCS)
+    from pyspark.sql import functions as F
+
+    column = F.concat(*[D._matches("text", b) for b in held if b])
+    assert sorted(m.item_id for m in text.select(column.alias("m")).first().m) == [7, 21]
+
+
+def test_registered_query(spark):
+    bench = [(r.item_id, compared(r.text)) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    want = set()
+    for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect():
+        t = b" " + b" ".join(compared(r.text)) + b" "
+        want |= {(r.doc_id, i) for i, w in bench if b" " + b" ".join(w) + b" " in t}
+    got = {(r.doc_id, r.item_id) for r in queries.op9_benchmark_decontamination(spark, SMALL).where("edits = 0").collect()}
+    assert got == want and want
+
+
+def test_empty_tables(spark):
+    docs, bench = spark.createDataFrame([], DOCS), spark.createDataFrame([], "item_id long, text string")
+    some = spark.createDataFrame([(1, "a b c d")], "item_id long, text string")
+    assert D.leaks(docs, some).count() == 0 and D.leaks(spark.createDataFrame([(1, "a", "", "")], DOCS), bench).count() == 0
+    assert D.clean(docs, bench).count() == 0

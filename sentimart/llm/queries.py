@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimart.llm import chat_format, decontamination, html_extract, quality_rules, secret_scan, sharding, simhash_dedup, source_mixing, substring_dedup
+import corpus_pipeline
+from sentimart.llm import (
+    chat_format,
+    decontamination,
+    html_extract,
+    importance_resampling,
+    quality_rules,
+    secret_scan,
+    sharding,
+    simhash_dedup,
+    source_mixing,
+    substring_dedup,
+)
 from sentimart.llm.common import table
 
 
@@ -36,6 +48,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.numbered(rows).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.deduplicated(table(spark, sf_dir, "documents"), digest=True)
 
@@ -56,11 +72,13 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_source_mixing": op4_source_mixing,
     "op5_sharding": op5_sharding,
+    "op6_importance_resampling": op6_importance_resampling,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,

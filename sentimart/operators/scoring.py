@@ -1,25 +1,26 @@
-"""Distributed lexicon text scorer (ENR-14), re-aimed from a per-row library
-call in the producers to a Spark job.
-
-    tokens (in-row array functions) zipped with the 3 previous tokens
-    (whole-array shifts, codegen'd)
-      -> explode
-      -> LEFT JOIN lexicon (broadcast after a row-count check, else shuffle),
-         keeping hits plus one row per text that carries its token count
-      -> GROUP BY text id (partial aggregation collapses each text map-side,
-         because all tokens of a text come from one input row, so the
-         shuffle carries one row per text and task)
+"""Lexicon text scorer (ENR-14), re-aimed from a per-row library call in the
+producers to Spark jobs.
+
+Row-local form (the default): tokens are an array expression, and an
+Arrow-batched function with the lexicon (bounded: checked first) scores each
+text where it lies. One scan, no exchange, and the same function scores a
+stream. Relational form, for a lexicon too large to ship:
+
+    tokens zipped with the 3 previous tokens -> explode
+      -> LEFT JOIN lexicon, keeping hits plus one row per text
+      -> GROUP BY text id (partial aggregation collapses each text map-side)
 
 Scores follow the published rule-based method: a negated valence is scaled
 by -0.74; compound = s / sqrt(s^2 + 15) over the valence sum s; pos / neg /
 neu are the shares of (v + 1), |v - 1| and neutral-token counts. Valences are
 summed as integers (units of 1e-5), so results do not depend on summation
-order. Equality with any particular library is not claimed.
+order or form. Equality with any particular library is not claimed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentimart.functions.numeric import half_up
@@ -52,9 +53,84 @@ def lexicon_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(LEXICON, "token string, valence double")
 
 
+#: Lexicon entries that a scoring task holds, at most (about 100 bytes each).
+MAX_LOCAL_ENTRIES = 500_000
+
+
+def local_lexicon(lexicon: DataFrame, most: int = MAX_LOCAL_ENTRIES) -> dict[str, int] | None:
+    """token -> valence in units of 1e-3; None if there are more than ``most``."""
+    rows = (lexicon.select("token", F.round(F.col("valence") * 1000).cast("bigint").alias("v")).limit(most + 1).collect())
+    return {r.token: r.v for r in rows} if len(rows) <= most else None
+
+
+def sums_column(text_col: str, lexicon: dict[str, int]) -> Column:
+    """The integer sums of one text, as a struct; needs nothing but the row."""
+    negators, window, scale = frozenset(NEGATORS), NEGATION_WINDOW, NEGATION_SCALE_PCT
+
+    @F.pandas_udf("s_u long, pos_u long, neg_u long, n_scored long, n_tokens long")
+    def sums(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for toks in texts:
+            s = pos = neg = n = 0
+            last = -window - 1  # place of the last negator
+            for i, t in enumerate(toks):
+                v = lexicon.get(t, 0)
+                if v:
+                    v *= scale if i - last <= window else 100
+                    s, n = s + v, n + 1
+                    if v > 0:
+                        pos += v + UNIT
+                    else:
+                        neg += v - UNIT
+                if t in negators:
+                    last = i
+            out.append((s, pos, neg, n, len(toks)))
+        return pd.DataFrame(out, columns=["s_u", "pos_u", "neg_u", "n_scored", "n_tokens"])
+
+    return sums(tokens(text_col))
+
+
+def _scores(sums: str = "") -> list[Column]:
+    """The scores from the integer sums (columns, or fields of ``sums``)."""
+    f = lambda c: F.col(f"{sums}.{c}" if sums else c)
+    s = f("s_u").cast("double") / F.lit(float(UNIT))
+    neutral = (f("n_tokens") - f("n_scored")).cast("double")
+    total = (f("pos_u") - f("neg_u")).cast("double") / F.lit(float(UNIT)) + neutral
+    share = lambda x: F.when(total > 0, half_up(F.abs(x / total), 3)).otherwise(F.lit(0.0))
+    return [
+        share(f("pos_u").cast("double") / F.lit(float(UNIT))).alias("sentiment_pos"),
+        share(f("neg_u").cast("double") / F.lit(float(UNIT))).alias("sentiment_neg"),
+        share(neutral).alias("sentiment_neu"),
+        half_up(s / F.sqrt(s * s + F.lit(ALPHA)), 4).alias("sentiment_compound"),
+        f("n_tokens").alias("n_tokens"),
+    ]
+
+
+def attach_scores(df: DataFrame, id_cols: list[str], text_col: str,
+                  lexicon: DataFrame | None = None, max_local: int = MAX_LOCAL_ENTRIES) -> DataFrame:
+    """``df`` with the scores of ``text_col`` (batch or stream). A lexicon
+    beyond ``max_local`` entries goes by the relational form, on ``id_cols``."""
+    lexicon = lexicon if lexicon is not None else lexicon_table(df.sparkSession)
+    held = local_lexicon(lexicon, max_local)
+    if held is None:
+        return df.join(relational_scores(df, id_cols, text_col, lexicon).drop("n_tokens"), on=id_cols, how="left")
+    there = df.withColumn("_sums", sums_column(text_col, held))
+    return there.select(*df.columns, *_scores("_sums")[:-1])
+
+
 def score_texts(df: DataFrame, id_cols: list[str], text_col: str,
-                lexicon: DataFrame | None = None, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Scores per text id: (id_cols..., sentiment_pos/neg/neu/compound, n_tokens).
+                lexicon: DataFrame | None = None, max_local: int = MAX_LOCAL_ENTRIES) -> DataFrame:
+    """Scores per text: (id_cols..., sentiment_pos/neg/neu/compound, n_tokens)."""
+    lexicon = lexicon if lexicon is not None else lexicon_table(df.sparkSession)
+    held = local_lexicon(lexicon, max_local)
+    if held is None:
+        return relational_scores(df, id_cols, text_col, lexicon)
+    return df.select(*id_cols, sums_column(text_col, held).alias("_sums")).select(*id_cols, *_scores("_sums"))
+
+
+def relational_scores(df: DataFrame, id_cols: list[str], text_col: str,
+                      lexicon: DataFrame | None = None, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """The relational form of :func:`score_texts`.
 
     ``id_cols`` must identify a row. Every input row yields one output row
     (an empty text has no tokens and scores 0). One scan, one tokenising
@@ -89,23 +165,5 @@ def score_texts(df: DataFrame, id_cols: list[str], text_col: str,
         F.sum(F.when(F.col("v") < 0, F.col("v") - UNIT).otherwise(0)).alias("neg_u"),
         F.count_if(F.col("v") != 0).alias("n_scored"),
         F.max("n_tok").cast("bigint").alias("n_tokens"),
-    ).withColumn("neu_n", F.col("n_tokens") - F.col("n_scored"))
-    s = F.col("s_u").cast("double") / F.lit(float(UNIT))
-    total = (F.col("pos_u") - F.col("neg_u")).cast("double") / F.lit(float(UNIT)) + F.col("neu_n").cast("double")
-    share = lambda x: F.when(total > 0, half_up(F.abs(x / total), 3)).otherwise(F.lit(0.0))
-    return g.select(
-        *id_cols,
-        share(F.col("pos_u").cast("double") / F.lit(float(UNIT))).alias("sentiment_pos"),
-        share(F.col("neg_u").cast("double") / F.lit(float(UNIT))).alias("sentiment_neg"),
-        share(F.col("neu_n").cast("double")).alias("sentiment_neu"),
-        half_up(s / F.sqrt(s * s + F.lit(ALPHA)), 4).alias("sentiment_compound"),
-        "n_tokens",
     )
-
-
-def attach_scores(df: DataFrame, id_cols: list[str], text_col: str,
-                  lexicon: DataFrame | None = None) -> DataFrame:
-    """Score ``text_col`` and join the scores back on the row id (one
-    shuffle join on a unique key — no skew)."""
-    sc = score_texts(df, id_cols, text_col, lexicon).drop("n_tokens")
-    return df.join(sc, on=id_cols, how="left")
+    return g.select(*id_cols, *_scores())

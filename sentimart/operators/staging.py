@@ -2,7 +2,8 @@
 
 The silver predicates are repeated as a guard: the optimiser cannot know
 that stored files already satisfy them, and they cost nothing once pushed
-into the scan.
+into the scan. ``guard=False`` leaves them out, for quality checks on records
+as they landed.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentimart.functions import enrich as R
+from sentimart.operators.silver import valid
 
 STG_PRICES_COLUMNS = [
     "symbol", "price", "open", "high", "low", "volume", "price_change",
@@ -35,10 +37,9 @@ def _present(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if c in have]
 
 
-def stg_crypto_prices(silver: DataFrame) -> DataFrame:
+def stg_crypto_prices(silver: DataFrame, guard: bool = True) -> DataFrame:
     return (
-        silver
-        .filter(F.col("price").isNotNull() & (F.col("price") > 0) & F.col("symbol").isNotNull())
+        (valid(silver, "tick") if guard else silver)
         .select(
             *_present(silver, STG_PRICES_COLUMNS),
             R.price_range().alias("price_range"),
@@ -49,10 +50,9 @@ def stg_crypto_prices(silver: DataFrame) -> DataFrame:
     )
 
 
-def stg_sentiment(silver: DataFrame) -> DataFrame:
+def stg_sentiment(silver: DataFrame, guard: bool = True) -> DataFrame:
     return (
-        silver
-        .filter(F.col("message_id").isNotNull() & F.col("symbol").isNotNull())
+        (valid(silver, "message") if guard else silver)
         .select(
             *_present(silver, STG_SENTIMENT_COLUMNS),
             F.to_date("created_at").alias("sentiment_date"),
@@ -61,10 +61,9 @@ def stg_sentiment(silver: DataFrame) -> DataFrame:
     )
 
 
-def stg_news(silver: DataFrame) -> DataFrame:
+def stg_news(silver: DataFrame, guard: bool = True) -> DataFrame:
     return (
-        silver
-        .filter(F.col("article_id").isNotNull() & F.col("title").isNotNull())
+        (valid(silver, "article") if guard else silver)
         .select(
             *_present(silver, STG_NEWS_COLUMNS),
             F.to_date("published_at").alias("publish_date"),

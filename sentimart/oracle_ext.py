@@ -1,281 +1,226 @@
-"""Oracle SQL for the ingest, text, de-duplication and quality queries."""
+"""Oracle SQL for the ingest, text, de-duplication, quality and stream queries."""
 
 from __future__ import annotations
 
-from sentimart.functions.enrich import (FINAL_SENTIMENTS, NEWS_QUERIES, PRICE_DIRECTIONS,
-                                        STRENGTHS, TICK_SYMBOLS)
-from sentimart.operators.scoring import ALPHA, LEXICON, NEGATION_SCALE_PCT, NEGATORS, UNIT
-from sentimart.oracle import (ARTICLES, MESSAGES, SQL, STG_NEWS, STG_PRICES, STG_SENTIMENT,
-                              TICKS, polarity, r, with_)
+from sentimart.oracle import (ARTICLES, FACTS, MESSAGES, SQL, TICKS, agreement, article_facts, dbl, facts,
+                              message_facts, polarity, quote, r, tick_facts, with_)
 
 TICK_COLS = "symbol, price, open, high, low, volume, price_change, change_pct, ingested_at, source"
+SHARES = f"""greatest(sentiment_compound, 0.0) AS sentiment_pos, greatest(-sentiment_compound, 0.0) AS sentiment_neg,
+  {dbl('1.0')} - abs(sentiment_compound) AS sentiment_neu, sentiment_compound, {polarity('sentiment_compound')} AS sentiment_label"""
+USER = "user_id, username, user_followers, user_following, user_ideas, user_watchlist_count, user_sentiment"
 
-SQL["parse_ticks_json"] = with_(TICKS) + f"\nSELECT {TICK_COLS} FROM ticks"
-
-MESSAGE_FULL = f"""
-SELECT message_id, symbol, body, created_at, ingested_at, user_id, username, user_followers,
-  user_following, user_ideas, user_watchlist_count, user_sentiment,
-  greatest(sentiment_compound, 0.0) AS sentiment_pos,
-  greatest(-sentiment_compound, 0.0) AS sentiment_neg,
-  CAST(1.0 AS DOUBLE) - abs(sentiment_compound) AS sentiment_neu,
-  sentiment_compound,
-  {polarity('sentiment_compound')} AS sentiment_label,
-  user_sentiment = replace(replace({polarity('sentiment_compound')}, 'positive', 'bullish'), 'negative', 'bearish')
-    AS sentiment_agreement,
-  symbol AS symbols_mentioned_csv,
-  'stocktwits' AS data_source
-FROM messages"""
-
-SQL["parse_messages_json"] = with_(MESSAGES) + MESSAGE_FULL
-
-ARTICLE_FULL = f"""
-SELECT article_id, query, source, author, title, description, url, published_at, ingested_at,
-  greatest(sentiment_compound, 0.0) AS sentiment_pos,
-  greatest(-sentiment_compound, 0.0) AS sentiment_neg,
-  CAST(1.0 AS DOUBLE) - abs(sentiment_compound) AS sentiment_neu,
-  sentiment_compound,
-  {polarity('sentiment_compound')} AS sentiment_label,
-  'newsapi' AS data_source
-FROM articles"""
-
-SQL["parse_articles_json"] = with_(ARTICLES) + ARTICLE_FULL
+SQL["parse_ticks_json"] = with_(TICKS) + f"SELECT {TICK_COLS} FROM ticks"
+SQL["parse_messages_json"] = with_(MESSAGES) + f"""
+SELECT message_id, symbol, body, created_at, ingested_at, {USER}, {SHARES}, {agreement('sentiment_compound')} AS sentiment_agreement,
+  coalesce(symbol, '') AS symbols_mentioned_csv, 'stocktwits' AS data_source FROM messages"""
+SQL["parse_articles_json"] = with_(ARTICLES) + f"""
+SELECT article_id, query, source, author, title, description, url, published_at, ingested_at, {SHARES}, 'newsapi' AS data_source FROM articles"""
 
 SQL["quarantine_split"] = with_(TICKS) + """
-SELECT "offset", quarantined,
-  CASE WHEN NOT quarantined THEN symbol END AS symbol,
-  CASE WHEN NOT quarantined THEN price END AS price
-FROM (
-  SELECT e.event_id AS "offset",
-    (e.event_type = 'error' OR (e.event_type = 'signup' AND e.user_id % 10 = 0)) AS quarantined,
-    t.symbol, t.price
-  FROM events e JOIN ticks t ON t.event_id = e.event_id
-)"""
-
-SQL["keyed_publish_news"] = with_(ARTICLES) + """
-SELECT 'market.news' AS topic, substring(query, 1, 50) AS key, article_id FROM articles"""
+SELECT row_id AS "offset", bad AS quarantined, NOT bad AND text_price AS malformed, CASE WHEN NOT bad THEN symbol END AS symbol,
+  CASE WHEN NOT bad AND NOT text_price THEN price END AS price
+FROM (SELECT *, source = 'error' OR symbol IS NULL AS bad, source = 'signup' AND user_id % 10 = 0 AND price IS NOT NULL AS text_price FROM ticks)"""
 
 SQL["normalize_ticker_payload"] = with_(TICKS) + """
-SELECT event_id AS "offset", symbol,
-  coalesce(price, 0.0) AS price, coalesce(open, 0.0) AS open, coalesce(high, 0.0) AS high,
-  coalesce(low, 0.0) AS low, coalesce(volume, 0.0) AS volume,
-  coalesce(price_change, 0.0) AS price_change, coalesce(change_pct, 0.0) AS change_pct,
-  ingested_at, 'binance_ws' AS source, FALSE AS quarantined
-FROM ticks"""
-
-
-# --- lexicon scorer, written with UNNEST + window functions -------------------
-
-def _lexicon_values() -> str:
-    return ", ".join(f"('{t}', {v})" for t, v in LEXICON)
-
-
-def _negators() -> str:
-    return ", ".join(f"'{w}'" for w in NEGATORS)
-
-
-def scoring_ctes(src: str, ids: list[str], text: str) -> str:
-    """CTEs ending in ``scores`` keyed by ``ids`` (rows of ``src`` with no
-    token are absent; callers LEFT JOIN and default to zero)."""
-    idl = ", ".join(ids)
-    part = ", ".join(ids)
-    u = float(UNIT)
-    return f"""
-lexicon(token, valence) AS (VALUES {_lexicon_values()}),
-tok_lists AS (
-  SELECT {idl}, list_filter(string_split_regex(lower(coalesce({text}, '')), '[^\\p{{L}}]+'), lambda x: x <> '') AS tl
-  FROM {src}
-),
-toks AS (SELECT {idl}, unnest(tl) AS tok, unnest(generate_series(1, len(tl))) AS pos FROM tok_lists),
-marked AS (
-  SELECT *, coalesce(max(CASE WHEN tok IN ({_negators()}) THEN 1 ELSE 0 END)
-      OVER (PARTITION BY {part} ORDER BY pos ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS neg
-  FROM toks
-),
-vals AS (
-  SELECT {", ".join("m." + i for i in ids)}, m.tok,
-    coalesce(CAST(round(l.valence * 1000) AS BIGINT), 0)
-      * CASE WHEN m.neg = 1 THEN {NEGATION_SCALE_PCT} ELSE 100 END AS v
-  FROM marked m LEFT JOIN lexicon l ON m.tok = l.token
-),
-agg AS (
-  SELECT {idl}, sum(v) AS s_u,
-    sum(CASE WHEN v > 0 THEN v + {UNIT} ELSE 0 END) AS pos_u,
-    sum(CASE WHEN v < 0 THEN v - {UNIT} ELSE 0 END) AS neg_u,
-    count_if(v = 0) AS neu_n, count(*) AS n_tokens
-  FROM vals GROUP BY {idl}
-),
-agg2 AS (
-  SELECT *, CAST(s_u AS DOUBLE) / CAST({u} AS DOUBLE) AS s,
-    CAST(pos_u - neg_u AS DOUBLE) / CAST({u} AS DOUBLE) + CAST(neu_n AS DOUBLE) AS total
-  FROM agg
-),
-scores AS (
-  SELECT {idl}, n_tokens,
-    CASE WHEN total > 0 THEN {r(f'abs((CAST(pos_u AS DOUBLE) / CAST({u} AS DOUBLE)) / total)', 3)} ELSE 0.0 END AS sentiment_pos,
-    CASE WHEN total > 0 THEN {r(f'abs((CAST(neg_u AS DOUBLE) / CAST({u} AS DOUBLE)) / total)', 3)} ELSE 0.0 END AS sentiment_neg,
-    CASE WHEN total > 0 THEN {r('abs(CAST(neu_n AS DOUBLE) / total)', 3)} ELSE 0.0 END AS sentiment_neu,
-    {r(f's / sqrt(s * s + CAST({ALPHA} AS DOUBLE))', 4)} AS sentiment_compound
-  FROM agg2
-)"""
-
-
-def scored_select(src: str, ids: list[str], extra: str = "") -> str:
-    on = " AND ".join(f"d.{i} = s.{i}" for i in ids)
-    comp = "coalesce(s.sentiment_compound, 0.0)"
-    return f"""
-SELECT {", ".join("d." + i for i in ids)}, coalesce(s.n_tokens, 0) AS n_tokens,
-  coalesce(s.sentiment_pos, 0.0) AS sentiment_pos, coalesce(s.sentiment_neg, 0.0) AS sentiment_neg,
-  coalesce(s.sentiment_neu, 0.0) AS sentiment_neu, {comp} AS sentiment_compound,
-  {polarity(comp)} AS sentiment_label{extra}
-FROM {src} d LEFT JOIN scores s ON {on}"""
-
-
-SQL["lexicon_score_documents"] = with_(scoring_ctes("documents", ["doc_id"], "text")) + \
-    scored_select("documents", ["doc_id"])
-SQL["lexicon_score_conversations"] = with_(scoring_ctes("conversations", ["conv_id", "turn"], "text")) + \
-    scored_select("conversations", ["conv_id", "turn"])
-
-SOCIAL_PAGED = MESSAGES.replace("FROM events\n  WHERE event_type <> 'view'",
-                                "FROM events\n  WHERE event_type <> 'view'").replace(
-    "SELECT\n    CAST(event_id AS VARCHAR) AS message_id,",
-    "SELECT\n    event_id, CAST(event_id AS VARCHAR) AS message_id,")
-
-SOCIAL = SOCIAL_PAGED + """,
-social AS (
-  SELECT *, max(ingested_at) OVER (PARTITION BY symbol, event_id // 100) AS page_ingested_at
-  FROM messages
-)"""
-
-SQL["normalize_social_payload"] = with_(SOCIAL, scoring_ctes("social", ["event_id"], "body")) + f"""
-SELECT m.message_id, m.symbol, m.body, m.created_at, m.page_ingested_at AS ingested_at,
-  m.user_id, m.username, m.user_followers, m.user_following, m.user_ideas, m.user_watchlist_count,
-  m.user_sentiment,
-  coalesce(s.sentiment_pos, 0.0) AS sentiment_pos, coalesce(s.sentiment_neg, 0.0) AS sentiment_neg,
-  coalesce(s.sentiment_neu, 0.0) AS sentiment_neu,
-  coalesce(s.sentiment_compound, 0.0) AS sentiment_compound,
-  {polarity('coalesce(s.sentiment_compound, 0.0)')} AS sentiment_label,
-  m.user_sentiment = replace(replace({polarity('coalesce(s.sentiment_compound, 0.0)')}, 'positive', 'bullish'),
-    'negative', 'bearish') AS sentiment_agreement,
-  m.symbol AS symbols_mentioned_csv, 'stocktwits' AS data_source, FALSE AS quarantined
-FROM social m LEFT JOIN scores s ON m.event_id = s.event_id"""
-
-NEWS_PAGED = ARTICLES.replace("  SELECT\n    md5(coalesce(url, '')) AS article_id,",
-                              "  SELECT\n    page_id, md5(coalesce(url, '')) AS article_id,")
-
-NEWS = NEWS_PAGED + """,
-news AS (
-  SELECT *, concat_ws(' ', title, description) AS score_text,
-    max(ingested_at) OVER (PARTITION BY query, page_id // 20) AS page_ingested_at
-  FROM articles
-)"""
-
-SQL["normalize_news_payload"] = with_(NEWS, scoring_ctes("news", ["page_id"], "score_text")) + f"""
-SELECT a.article_id, a.query, a.source, a.author, a.title, a.description, a.url, a.published_at,
-  a.page_ingested_at AS ingested_at,
-  coalesce(s.sentiment_pos, 0.0) AS sentiment_pos, coalesce(s.sentiment_neg, 0.0) AS sentiment_neg,
-  coalesce(s.sentiment_neu, 0.0) AS sentiment_neu,
-  coalesce(s.sentiment_compound, 0.0) AS sentiment_compound,
-  {polarity('coalesce(s.sentiment_compound, 0.0)')} AS sentiment_label, 'newsapi' AS data_source
-FROM news a LEFT JOIN scores s ON a.page_id = s.page_id"""
-
-SQL["latest_n_per_query"] = with_(ARTICLES) + """,
-recent AS (
-  SELECT *, row_number() OVER (PARTITION BY query ORDER BY published_at DESC NULLS LAST, article_id) AS rn
-  FROM articles
-  WHERE published_at >= CAST(CAST(TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 24 HOUR AS DATE) AS TIMESTAMP)
-)
-SELECT article_id, query, title, published_at FROM recent WHERE rn <= 20"""
+SELECT row_id AS "offset", symbol, coalesce(price, 0.0) AS price, coalesce(open, 0.0) AS open, coalesce(high, 0.0) AS high,
+  coalesce(low, 0.0) AS low, coalesce(volume, 0.0) AS volume, coalesce(price_change, 0.0) AS price_change,
+  coalesce(change_pct, 0.0) AS change_pct, ingested_at, 'binance_ws' AS source, FALSE AS quarantined
+FROM ticks WHERE symbol IS NOT NULL"""
+
+
+# --- lexicon scorer, by UNNEST and windows ------------------------------------------
+
+# Fixed values, spelled out again: the lexicon in thousandths, and the negators.
+VALENCES = {
+    3200: "best love", 3100: "great", 3000: "excellent", 2800: "win", 2700: "happy success", 2400: "gain gains", 2300: "strong gewinn",
+    2100: "bullish profit", 1900: "good bon bonne gut bueno buena safe", 1800: "moon", 1500: "bull", 900: "buy", 600: "up",
+    -400: "selling", -600: "sell", -1100: "falling risk", -1200: "bear", -1300: "loss verlust", -1700: "crash problem", -1900: "weak",
+    -2000: "bearish", -2100: "terrible sad", -2200: "fear peur angst miedo", -2500: "bad mauvais schlecht malo mala",
+    -2700: "hate", -2900: "scam", -3100: "worst crisis",
+}
+NEGATIONS = "not no never none nobody cannot without pas jamais sans nicht kein keine nie nunca sin".split()
+SPLIT = "list_filter(string_split_regex(lower(coalesce({x}, '')), '[^\\p{{L}}]+'), lambda t: t <> '')"
+FIXED = ", ".join(f"({quote(w)}, {v})" for v, ws in VALENCES.items() for w in ws.split())
+LEXICON_SQL = f"""lexicon AS (
+  SELECT * FROM (VALUES {FIXED}) AS f(token, milli)
+  UNION ALL
+  SELECT token, CAST(round(CAST((length(token) * 17 + length(replace(token, 'e', '')) * 5) % 41 - 20 AS DOUBLE) / 10.0 * 1000) AS BIGINT)
+  FROM (SELECT DISTINCT unnest({SPLIT.format(x='text')}) AS token FROM benchmark)
+  WHERE token NOT IN (SELECT token FROM (VALUES {FIXED}) AS f(token, milli)))"""
+
+
+def scored(src: str, ids: list[str], text: str) -> list[str]:
+    """CTEs ending in ``scores``, a row for each row of ``src``."""
+    key = ", ".join(ids)
+    unit = dbl("100000.0")
+    total = f"(CAST(pos_u - neg_u AS DOUBLE) / {unit} + CAST(n_tokens - n_scored AS DOUBLE))"
+    share = lambda x: f"CASE WHEN {total} > 0 THEN {r(f'abs(({x}) / {total})', 3)} ELSE 0.0 END"
+    return [LEXICON_SQL, f"""token_lists AS (SELECT {key}, {SPLIT.format(x=text)} AS tl FROM {src})""",
+            f"""placed AS (SELECT {key}, unnest(tl) AS token, unnest(generate_series(1, len(tl))) AS spot FROM token_lists)""",
+            f"""weighed AS (
+  SELECT p.*, coalesce(l.milli, 0) * CASE WHEN max(CASE WHEN p.token IN ({', '.join(map(quote, NEGATIONS))}) THEN 1 ELSE 0 END)
+    OVER (PARTITION BY {key} ORDER BY spot ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) = 1 THEN -74 ELSE 100 END AS v
+  FROM placed p LEFT JOIN lexicon l ON p.token = l.token)""",
+            f"""summed AS (
+  SELECT {key}, sum(v) AS s_u, sum(v + 100000) FILTER (WHERE v > 0) AS pos_u, sum(v - 100000) FILTER (WHERE v < 0) AS neg_u,
+    count(*) FILTER (WHERE v <> 0) AS n_scored FROM weighed GROUP BY {key})""",
+            f"""filled AS (
+  SELECT {', '.join(f't.{i}' for i in ids)}, len(t.tl) AS n_tokens, coalesce(s_u, 0) AS s_u, coalesce(pos_u, 0) AS pos_u, coalesce(neg_u, 0) AS neg_u,
+    coalesce(n_scored, 0) AS n_scored FROM token_lists t LEFT JOIN summed s ON {' AND '.join(f't.{i} = s.{i}' for i in ids)})""",
+            f"""scores AS (
+  SELECT {key}, n_tokens, {share(f'CAST(pos_u AS DOUBLE) / {unit}')} AS sentiment_pos, {share(f'CAST(neg_u AS DOUBLE) / {unit}')} AS sentiment_neg,
+    {share('CAST(n_tokens - n_scored AS DOUBLE)')} AS sentiment_neu,
+    {r(f"(CAST(s_u AS DOUBLE) / {unit}) / sqrt((CAST(s_u AS DOUBLE) / {unit}) * (CAST(s_u AS DOUBLE) / {unit}) + {dbl('15.0')})", 4)} AS sentiment_compound
+  FROM filled)"""]
+
+
+SCORES = "sentiment_pos, sentiment_neg, sentiment_neu, sentiment_compound"
+for _src, _ids in (("documents", ["doc_id"]), ("conversations", ["conv_id", "turn"])):
+    SQL[f"lexicon_score_{_src}"] = with_(*scored(_src, _ids, "text")) + f"""
+SELECT {', '.join(_ids)}, CAST(n_tokens AS BIGINT) AS n_tokens, {SCORES}, {polarity('sentiment_compound')} AS sentiment_label FROM scores"""
+
+WATCHED = "'BTC.X', 'ETH.X', 'SOL.X', 'AAPL', 'TSLA', 'NVDA'"
+SOCIAL = """social AS (
+  SELECT * EXCLUDE (sentiment_compound), row_id // 100 AS page, max(ingested_at) OVER (PARTITION BY symbol, row_id // 100) AS polled_at
+  FROM messages)"""
+PAGE_PLACE = "CASE symbol WHEN 'BTC.X' THEN 0 WHEN 'ETH.X' THEN 1 WHEN 'SOL.X' THEN 2 WHEN 'AAPL' THEN 3 WHEN 'DOGE.X' THEN 4 ELSE 5 END"
+NEWS = """news AS (
+  SELECT * EXCLUDE (sentiment_compound), concat_ws(' ', title, description) AS score_text,
+    max(ingested_at) OVER (PARTITION BY query, row_id // 20) AS polled_at FROM articles)"""
+SOCIAL_SCORED = [MESSAGES, SOCIAL, *scored("social", ["row_id"], "body")]
+NEWS_SCORED = [ARTICLES, NEWS, *scored("news", ["row_id"], "score_text")]
+NEWS_WATCHED = ", ".join(map(quote, ("bitcoin cryptocurrency", "ethereum crypto", "stock market Wall Street", "NASDAQ S&P 500", "Tesla Apple Nvidia earnings")))
+
+SOCIAL_RECORDS = f"""SELECT CAST(m.row_id AS VARCHAR) AS message_id, m.symbol, m.body, m.created_at, m.polled_at AS ingested_at, {USER}, {SCORES},
+  {polarity('sentiment_compound')} AS sentiment_label, {agreement('sentiment_compound')} AS sentiment_agreement
+FROM social m JOIN scores s ON m.row_id = s.row_id WHERE m.symbol IN ({WATCHED})"""
+NEWS_RECORDS = f"""SELECT md5(coalesce(a.url, '')) AS article_id, a.query, a.source, a.author, a.title, a.description, a.url, a.published_at,
+  a.polled_at AS ingested_at, {SCORES}, {polarity('sentiment_compound')} AS sentiment_label
+FROM news a JOIN scores s ON a.row_id = s.row_id WHERE a.query IN ({NEWS_WATCHED})"""
+
+SQL["normalize_social_payload"] = with_(*SOCIAL_SCORED) + f"""
+SELECT *, symbol AS symbols_mentioned_csv, 'stocktwits' AS data_source, FALSE AS quarantined FROM ({SOCIAL_RECORDS})"""
+SQL["normalize_news_payload"] = with_(*NEWS_SCORED) + f"SELECT *, 'newsapi' AS data_source FROM ({NEWS_RECORDS})"
+
+SQL["latest_n_per_query"] = with_(ARTICLES) + """
+SELECT article_id, query, title, published_at FROM articles
+WHERE published_at >= CAST(CAST(TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 24 HOUR AS DATE) AS TIMESTAMP)
+QUALIFY row_number() OVER (PARTITION BY query ORDER BY published_at DESC NULLS LAST, article_id NULLS FIRST) <= 20"""
 
 SQL["dedup_first_wins"] = """
-WITH firsts AS (SELECT md5(text) AS h, min(doc_id) AS doc_id FROM documents GROUP BY md5(text))
-SELECT d.doc_id, md5(d.text) AS text_md5, d.lang, d.source, d.n_chars, d.text
-FROM documents d JOIN firsts f ON d.doc_id = f.doc_id"""
+SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars, text FROM documents
+QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) = 1"""
 
-SQL["dedup_messages"] = with_(SOCIAL_PAGED) + """
-SELECT message_id, symbol,
-  ((event_id // 100) * 10 + CASE symbol WHEN 'BTC.X' THEN 0 WHEN 'ETH.X' THEN 1 WHEN 'SOL.X' THEN 2 ELSE 3 END) * 1000
-    + row_number() OVER (PARTITION BY symbol, event_id // 100 ORDER BY event_id DESC) - 1 AS arrival
-FROM messages"""
+# Pages polled again come 10^9 offsets later; the first arrival of an id stays.
+SQL["dedup_messages"] = with_(MESSAGES, SOCIAL) + f""",
+polled AS (
+  SELECT row_id, symbol, page * 10 + {PAGE_PLACE} AS o, row_number() OVER (PARTITION BY symbol, page ORDER BY row_id DESC) - 1 AS spot FROM social),
+arrivals AS (
+  SELECT row_id, symbol, o * 1000 + spot AS arrival FROM polled
+  UNION ALL SELECT row_id, symbol, (o + 1000000000) * 1000 + spot FROM polled WHERE o % 3 = 0)
+SELECT CAST(row_id AS VARCHAR) AS message_id, min_by(symbol, arrival) AS symbol, min(arrival) AS arrival FROM arrivals GROUP BY row_id"""
 
-SQL["polarity_class"] = with_(STG_SENTIMENT) + f"""
-SELECT message_id, sentiment_compound, {polarity('sentiment_compound')} AS sentiment_label FROM stg_sentiment"""
+SQL["polarity_class"] = with_(*facts("message")) + "SELECT message_id, sentiment_compound, sentiment_label FROM stg_sentiment"
+SQL["label_agreement"] = with_(*facts("message")) + "SELECT message_id, user_sentiment, sentiment_compound, sentiment_agreement FROM stg_sentiment"
 
-SQL["label_agreement"] = with_(STG_SENTIMENT) + f"""
-SELECT message_id, user_sentiment, sentiment_compound,
-  user_sentiment = replace(replace({polarity('sentiment_compound')}, 'positive', 'bullish'), 'negative', 'bearish')
-    AS sentiment_agreement
-FROM stg_sentiment"""
-
-
-# --- quality ------------------------------------------------------------------
-
-def _in(values) -> str:
-    return ", ".join(f"'{v}'" for v in values)
 
+# --- quality ------------------------------------------------------------------------
 
 CHECKS_SQL = [
     ("not_null", "stg_crypto_prices", "symbol", None),
-    ("accepted_values", "stg_crypto_prices", "symbol", TICK_SYMBOLS),
+    ("accepted_values", "stg_crypto_prices", "symbol", "'BTCUSDT', 'ETHUSDT', 'SOLUSDT'"),
     ("not_null", "stg_crypto_prices", "price", None),
-    ("accepted_values", "stg_crypto_prices", "price_direction", PRICE_DIRECTIONS),
+    ("accepted_values", "stg_crypto_prices", "price_direction", "'bullish', 'bearish', 'neutral'"),
     ("not_null", "stg_sentiment", "message_id", None),
     ("unique", "stg_sentiment", "message_id", None),
-    ("accepted_values", "stg_sentiment", "final_sentiment", FINAL_SENTIMENTS),
+    ("accepted_values", "stg_sentiment", "final_sentiment", "'bullish', 'bearish', 'neutral'"),
     ("not_null", "stg_sentiment", "influence_score", None),
     ("not_null", "stg_news", "article_id", None),
     ("unique", "stg_news", "article_id", None),
-    ("accepted_values", "stg_news", "sentiment_strength", STRENGTHS),
+    ("accepted_values", "stg_news", "sentiment_strength", "'strong_positive', 'mild_positive', 'neutral', 'mild_negative', 'strong_negative'"),
 ]
 
 
 def _failing(kind, model, col, values) -> str:
-    name = f"{kind}_{model}_{col}"
-    head = f"SELECT '{name}' AS test_name, '{model}' AS model, '{col}' AS column_name"
-    if kind == "not_null":
-        return (f"{head}, CAST(NULL AS VARCHAR) AS value, count(*) AS n_records FROM {model} "
-                f"WHERE {col} IS NULL HAVING count(*) > 0")
-    if kind == "unique":
-        return (f"{head}, CAST({col} AS VARCHAR) AS value, count(*) AS n_records FROM {model} "
-                f"WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1")
-    return (f"{head}, CAST({col} AS VARCHAR) AS value, count(*) AS n_records FROM {model} "
-            f"GROUP BY {col} HAVING {col} NOT IN ({_in(values)})")
-
-
-STG_ALL = with_(STG_PRICES, STG_SENTIMENT, STG_NEWS)
-
-for kind in ("not_null", "unique", "accepted_values"):
-    parts = [_failing(*c) for c in CHECKS_SQL if c[0] == kind]
-    SQL[f"dq_{kind}"] = STG_ALL + "\n" + "\nUNION ALL\n".join(parts)
-
-
-def _count(kind, model, col, values) -> str:
-    name = f"{kind}_{model}_{col}"
-    inner = _failing(kind, model, col, values)
-    return (f"SELECT '{name}' AS test_name, '{model}' AS model, '{col}' AS column_name, "
-            f"'{kind}' AS test_kind, "
-            + (f"(SELECT coalesce(sum(n_records), 0) FROM ({inner}))" if kind == "not_null"
-               else f"(SELECT count(*) FROM ({inner}))")
-            + " AS failures")
-
-
-SQL["dq_report"] = STG_ALL + """
-, checks AS (
-""" + "\nUNION ALL\n".join(_count(*c) for c in CHECKS_SQL) + """
-)
-SELECT test_name, model, column_name, test_kind, CAST(failures AS BIGINT) AS failures,
-  failures <> 0 AS should_warn, failures <> 0 AS should_error,
-  CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status
-FROM checks"""
+    which = {"not_null": f"{col} IS NULL", "unique": f"{col} IS NOT NULL", "accepted_values": f"{col} NOT IN ({values})"}[kind]
+    least = 2 if kind == "unique" else 1
+    return (f"SELECT '{kind}_{model}_{col}' AS test_name, '{model}' AS model, '{col}' AS column_name, CAST({col} AS VARCHAR) AS value, "
+            f"count(*) AS n_records FROM {model} WHERE {which} GROUP BY {col} HAVING count(*) >= {least}")
+
+
+LANDED = [TICKS, tick_facts(valid="TRUE"), MESSAGES, "landed_messages AS (SELECT * FROM messages UNION ALL SELECT * FROM messages WHERE row_id % 5 = 0)",
+          message_facts(valid="TRUE", source="landed_messages"), ARTICLES,
+          "landed_articles AS (SELECT * FROM articles UNION ALL SELECT * FROM articles WHERE row_id % 3 = 0)", article_facts(valid="TRUE", source="landed_articles")]
+
+for _kind in ("not_null", "unique", "accepted_values"):
+    SQL[f"dq_{_kind}"] = with_(*LANDED) + "\nUNION ALL\n".join(_failing(*c) for c in CHECKS_SQL if c[0] == _kind)
+
+
+def _verdicts(tables: list[str]) -> str:
+    rows = [f"""SELECT '{k}_{m}_{c}' AS test_name, '{m}' AS model, '{c}' AS column_name, '{k}' AS test_kind,
+  (SELECT {'coalesce(sum(n_records), 0)' if k == 'not_null' else 'count(*)'} FROM ({_failing(k, m, c, v)})) AS failures""" for k, m, c, v in CHECKS_SQL]
+    return with_(*tables) + f"""SELECT test_name, model, column_name, test_kind, CAST(failures AS BIGINT) AS failures, failures <> 0 AS should_warn,
+  failures <> 0 AS should_error, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({' UNION ALL '.join(rows)})"""
+
+
+SQL["dq_report"] = _verdicts(facts("tick", "message", "article"))
+SQL["dq_report_landed"] = _verdicts(LANDED)
 
 # Both dominant-direction implementations answer the same SQL.
 SQL["hourly_price_rollup_mode"] = SQL["hourly_price_rollup"]
 
-# Streaming jobs are checked against the SQL of their batch twins.
+
+# --- streams: the SQL of the batch twins, and where records go -------------------------
+
 SQL["stream_tick_silver"] = SQL["tick_silver"]
 SQL["stream_message_dedup"] = SQL["message_silver"]
-SQL["stream_article_silver"] = SQL["article_silver"]
+SQL["stream_article_silver"] = with_(*facts("article")) + "SELECT * EXCLUDE (ingested_at) FROM stg_news"
 SQL["stream_market_mood_refresh"] = SQL["market_mood"]
 
+REPLAYED = """{kind}_copies AS (
+  SELECT * FROM {table} UNION ALL SELECT * FROM {table} WHERE row_id % 53 <> 0 AND row_id % 7 = 0 UNION ALL SELECT * FROM {table} WHERE row_id % 3 = 0)"""
+KINDS = {"tick": ("ticks", "symbol IS NULL", "price > 0", "row_id"),
+         "message": ("messages", "message_id IS NULL OR symbol IS NULL", "TRUE", "message_id"),
+         "article": ("articles", "article_id IS NULL", "title IS NOT NULL", "article_id")}
+
+
+def _whereabouts(kind: str) -> str:
+    """landed = bronze + quarantined; bronze = silver + repeated + invalid."""
+    table, keyless, valid, ident = KINDS[kind]
+    src = table if kind == "tick" else f"{kind}_copies"
+    return f"""SELECT '{kind}' AS kind, n + noise AS landed, n - keyless AS bronze, firsts AS silver, valid - firsts AS repeated,
+  n - keyless - valid AS invalid, keyless + noise AS quarantined, 0 AS unexplained
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE {keyless}) AS keyless, count(*) FILTER (WHERE NOT ({keyless}) AND {valid}) AS valid,
+        count(DISTINCT {ident}) FILTER (WHERE NOT ({keyless}) AND {valid}) AS firsts FROM {src}),
+     (SELECT count(*) AS noise FROM {table} WHERE row_id % 101 = 0)"""
+
+
+REPLAYS = [TICKS, MESSAGES, ARTICLES, *[REPLAYED.format(kind=k, table=KINDS[k][0]) for k in ("message", "article")]]
+SQL["stream_reconciliation"] = with_(*REPLAYS) + "\nUNION ALL\n".join(_whereabouts(k) for k in KINDS)
+SQL["stream_batch_counts"] = with_(*REPLAYS, f"w AS ({_whereabouts('message')})") + """
+SELECT 'bronze' AS layer, bronze AS n_rows FROM w UNION ALL SELECT 'silver', silver FROM w UNION ALL SELECT 'quarantine', quarantined FROM w"""
+
+SQL["layer_schema_evolution"] = """
+SELECT event_id, lpad(CAST(user_id AS VARCHAR), 6, '0') AS symbol, CASE WHEN event_id % 2 = 1 THEN value END AS price, CAST(ts AS DATE) AS event_date FROM events"""
+
+# A rebuild from silver since the 15th shows nothing older.
+_SINCE = {"tick": "ingested_at", "message": "created_at", "article": "published_at"}
+SQL["gold_rebuild"] = SQL["crypto_dashboard"]
+for _k, _t in (("tick", "ticks"), ("message", "messages"), ("article", "articles")):
+    _fact = FACTS[_k][1]
+    SQL["gold_rebuild"] = SQL["gold_rebuild"].replace(
+        _fact, _fact.replace(f"FROM {_t} WHERE ", f"FROM {_t} WHERE CAST({_SINCE[_k]} AS DATE) >= DATE '2024-01-15' AND "))
+
+# Stateful mood: the hours the watermark closed, i.e. window end at or before
+# the smaller of the two streams' (latest event time - 2 hours).
+SQL["stream_market_mood_stateful"] = SQL["market_mood"] + """
+WHERE CAST(date AS TIMESTAMP) + to_hours(CAST(hour + 1 AS BIGINT)) <= (
+  SELECT least((SELECT max(created_at) FROM stg_sentiment), (SELECT max(published_at) FROM stg_news)) - INTERVAL 2 HOUR)"""
+
+
+# --- keyed publish ---------------------------------------------------------------------
+
 # Keyed publish: the JSON text exactly as the JVM writes it. Doubles use the
 # JVM's rendering: plain decimal for 1e-3 <= |x| < 1e7 (DuckDB's shortest
 # text; an integral value keeps ".0"), otherwise d.dddE<exp> with the same
@@ -301,33 +246,44 @@ def jvm_double(x: str) -> str:
             f"ELSE {sci(big_digits, f'length({big_int}) - 1')} END")
 
 
-def _member(name: str, value_sql: str) -> str:
-    return f"""'"{name}":' || ({value_sql})"""
 
+def _object(members: list[tuple[str, str]]) -> str:
+    """A JSON object text; members that are NULL are left out."""
+    parts = ",\n    ".join(f"""'"{name}":' || ({value})""" for name, value in members)
+    return f"'{{' || concat_ws(',',\n    {parts}) || '}}'"
 
-_TICK_JSON_FIELDS = [
-    ("symbol", "to_json(symbol)"), ("price", jvm_double("price")), ("open", jvm_double("open")),
-    ("high", jvm_double("high")), ("low", jvm_double("low")), ("volume", jvm_double("volume")),
-    ("price_change", jvm_double("price_change")), ("change_pct", jvm_double("change_pct")),
-    ("ingested_at", "to_json(strftime(ingested_at, '%Y-%m-%dT%H:%M:%S.%f+00:00'))"),
-    ("source", "to_json(source)"),
-]
 
-_MEMBERS = ",\n    ".join(_member(n, v) for n, v in _TICK_JSON_FIELDS)
-SQL["keyed_publish"] = with_(TICKS) + f"""
-SELECT 'crypto.prices' AS topic, symbol AS key,
-  '{{' || concat_ws(',',
-    {_MEMBERS}) || '}}' AS value
-FROM ticks"""
+def _text(c: str) -> tuple[str, str]:
+    return c, f"to_json({c})"
 
 
-# Stateful mood: the hours the watermark closed — window end at or before the
-# smaller of the two streams' (max event time - 2 hours).
-SQL["stream_market_mood_stateful"] = SQL["market_mood"].replace(
-    "\nFROM mood", """
-FROM mood
-WHERE CAST(date AS TIMESTAMP) + to_hours(CAST(hour + 1 AS BIGINT)) <= (
-  SELECT least((SELECT max(created_at) FROM stg_sentiment), (SELECT max(published_at) FROM stg_news))
-         - INTERVAL 2 HOUR)""")
+def _number(c: str) -> tuple[str, str]:
+    return c, jvm_double(c)
+
+
+def _whole(c: str) -> tuple[str, str]:
+    return c, f"CAST({c} AS VARCHAR)"
+
+
+def _time(c: str) -> tuple[str, str]:
+    return c, f"to_json(strftime({c}, '%Y-%m-%dT%H:%M:%S.%f+00:00'))"
+
+
+_PRICES = [_number(c) for c in ("price", "open", "high", "low", "volume", "price_change", "change_pct")]
+_SCORES = [_number(c) for c in ("sentiment_pos", "sentiment_neg", "sentiment_neu", "sentiment_compound")]
+TICK_JSON = _object([_text("symbol"), *_PRICES, _time("ingested_at"), _text("source")])
+MESSAGE_JSON = _object([_text("message_id"), _text("symbol"), _text("body"), _time("created_at"), _time("ingested_at"), _text("user_id"), _text("username"),
+                        *[_whole(c) for c in ("user_followers", "user_following", "user_ideas", "user_watchlist_count")], _text("user_sentiment"),
+                        *_SCORES, _text("sentiment_label"), _whole("sentiment_agreement"), ("symbols_mentioned", "'[' || to_json(symbol) || ']'"),
+                        _text("data_source")])
+ARTICLE_JSON = _object([*[_text(c) for c in ("article_id", "query", "source", "author", "title", "description", "url")],
+                        _time("published_at"), _time("ingested_at"), *_SCORES, _text("sentiment_label"), _text("data_source")])
 
-_ = (NEWS_QUERIES,)
+SQL["keyed_publish"] = with_(TICKS) + f"SELECT 'crypto.prices' AS topic, symbol AS key, {TICK_JSON} AS value FROM ticks"
+SQL["keyed_publish_news"] = f"""SELECT 'market.news' AS topic, substring(query, 1, 50) AS key, {ARTICLE_JSON} AS value
+FROM ({SQL['parse_articles_json']})"""
+SQL["publish_ticks"] = f"SELECT 'crypto.prices' AS topic, symbol AS key, {TICK_JSON} AS value FROM ({SQL['normalize_ticker_payload']})"
+SQL["publish_social"] = with_(*SOCIAL_SCORED) + f"""SELECT 'market.sentiment' AS topic, symbol AS key, {MESSAGE_JSON} AS value
+FROM (SELECT *, 'stocktwits' AS data_source FROM ({SOCIAL_RECORDS}))"""
+SQL["publish_news"] = with_(*NEWS_SCORED) + f"""SELECT 'market.news' AS topic, substring(query, 1, 50) AS key, {ARTICLE_JSON} AS value
+FROM (SELECT *, 'newsapi' AS data_source FROM ({NEWS_RECORDS}))"""

@@ -79,7 +79,7 @@ def q_article_silver(spark, sf_dir):
 @register("hourly_price_rollup")
 def q_hourly_price_rollup(spark, sf_dir):
     """AGG-1 + AGG-6 (dominant direction, smallest on ties)."""
-    return _present(G.tick_rollup(staged(spark, sf_dir).prices, "hour"))
+    return _present(G.price_rollup(G.tick_partials(staged(spark, sf_dir).prices), "hour"))
 
 
 @register("hourly_price_rollup_mode")
@@ -99,7 +99,7 @@ def q_symbol_hour_sentiment(spark, sf_dir):
 @register("hourly_news")
 def q_hourly_news(spark, sf_dir):
     """AGG-3."""
-    return _present(G.news_rollup(staged(spark, sf_dir).news, "hour"))
+    return _present(G.news_rollup(G.news_partials(staged(spark, sf_dir).news), "hour"))
 
 
 @register("hourly_social")
@@ -129,21 +129,21 @@ def q_sentiment_leaderboard_top(spark, sf_dir):
 def q_price_sentiment_hourly(spark, sf_dir):
     """Correlation mart with the normalised join key (JOIN-1, ENR-17)."""
     st = staged(spark, sf_dir)
-    return _present(M.price_sentiment(st.prices, G.message_partials(st.sentiment), "hour", True))
+    return _present(M.price_sentiment(G.tick_partials(st.prices), G.message_partials(st.sentiment), "hour", True))
 
 
 @register("price_sentiment_hourly_raw_key")
 def q_price_sentiment_hourly_raw(spark, sf_dir):
     """Correlation mart with the reference's raw key (matches nothing)."""
     st = staged(spark, sf_dir)
-    return _present(M.price_sentiment(st.prices, G.message_partials(st.sentiment), "hour", False))
+    return _present(M.price_sentiment(G.tick_partials(st.prices), G.message_partials(st.sentiment), "hour", False))
 
 
 @register("market_mood")
 def q_market_mood(spark, sf_dir):
     """Mood mart (AGG-3, AGG-4, JOIN-2, ENR-15, ENR-16)."""
     st = staged(spark, sf_dir)
-    return _present(M.market_mood(st.news, G.message_partials(st.sentiment), "hour"))
+    return _present(M.market_mood(G.news_partials(st.news), G.message_partials(st.sentiment), "hour"))
 
 
 def dashboard_for(spark, sf_dir, grain: str = "hour", normalize: bool = True) -> DataFrame:
@@ -154,8 +154,8 @@ def dashboard_for(spark, sf_dir, grain: str = "hour", normalize: bool = True) ->
     st = staged(spark, sf_dir)
     ensure_checkpoint_dir(spark)
     partials = G.message_partials(st.sentiment).checkpoint(eager=True)
-    corr = M.price_sentiment(st.prices, partials, grain, normalize)
-    mood = M.market_mood(st.news, partials, grain)
+    corr = M.price_sentiment(G.tick_partials(st.prices), partials, grain, normalize)
+    mood = M.market_mood(G.news_partials(st.news), partials, grain)
     return _present(M.dashboard(corr, mood, grain))
 
 

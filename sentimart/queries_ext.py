@@ -8,7 +8,10 @@ from sentimart.functions import enrich as R
 from sentimart.operators import dedup as DD
 from sentimart.operators import quality as DQ
 from sentimart.operators import scoring as SCO
+from sentimart.operators import silver as SV
+from sentimart.operators import staging as ST
 from sentimart.plans.inputs import parsed_articles, staged
+from sentimart.plans import producers as PR
 from sentimart.queries import register
 from sentimart.sources import fixtures as FX
 from sentimart.sources import landing as L
@@ -43,11 +46,12 @@ def q_parse_articles_json(spark, sf_dir):
 
 @register("quarantine_split")
 def q_quarantine_split(spark, sf_dir):
-    """FLT-7: damaged wire records are flagged, never silently dropped."""
+    """FLT-7: damaged wire records are flagged, never silently dropped; a bad
+    field alone leaves the record standing."""
     raw = FX.tick_wire_landing(read_table(spark, sf_dir, "events"), corrupt=True)
     q = L.split_quarantine(raw, "tick", keep=["offset"])
     ok = ~F.col("quarantined")
-    return q.select("offset", "quarantined", F.when(ok, F.col("symbol")).alias("symbol"),
+    return q.select("offset", "quarantined", "malformed", F.when(ok, F.col("symbol")).alias("symbol"),
                     F.when(ok, F.col("price")).alias("price"))
 
 
@@ -62,7 +66,27 @@ def q_keyed_publish(spark, sf_dir):
 def q_keyed_publish_news(spark, sf_dir):
     """SNK-6 for articles: key = first 50 characters of the query (FN-24)."""
     a = FX.articles_from_pages(read_table(spark, sf_dir, "pages"))
-    return L.keyed_records(a, "article").select("topic", "key", F.get_json_object("value", "$.article_id").alias("article_id"))
+    return L.keyed_records(a, "article")
+
+
+@register("publish_ticks")
+def q_publish_ticks(spark, sf_dir):
+    """SRC-6, FLT-5, SNK-6 end to end: raw tickers to topic records."""
+    return PR.ticks(FX.ticker_landing(read_table(spark, sf_dir, "events")))
+
+
+@register("publish_social")
+def q_publish_social(spark, sf_dir):
+    """SRC-7, SRC-9, FLT-6, ENR-12..14, SNK-6 end to end, pages polled twice."""
+    raw = FX.social_landing(read_table(spark, sf_dir, "events"), repolled=True)
+    return PR.social(raw, lexicon(spark, sf_dir))
+
+
+@register("publish_news")
+def q_publish_news(spark, sf_dir):
+    """SRC-8, SRC-9, FLT-6, ENR-14, SNK-6 end to end, pages polled twice."""
+    raw = FX.news_landing(read_table(spark, sf_dir, "pages"), repolled=True)
+    return PR.news(raw, lexicon(spark, sf_dir))
 
 
 # --- ingest: raw payload normalisers (SRC-6..9) -------------------------------
@@ -73,10 +97,17 @@ def q_normalize_ticker_payload(spark, sf_dir):
     return L.normalize_ticker(raw)
 
 
+def lexicon(spark, sf_dir):
+    """The fixed lexicon and the words of the benchmark table: an input table,
+    so that texts of the fixtures' invented languages score."""
+    fixed = SCO.lexicon_table(spark)
+    return fixed.unionByName(FX.lexicon_from_items(read_table(spark, sf_dir, "benchmark")).join(fixed, "token", "left_anti"))
+
+
 def social_messages(spark, sf_dir):
     raw = FX.social_landing(read_table(spark, sf_dir, "events"))
     m = L.watchlist_filter(L.normalize_social(raw), "symbol", R.SOCIAL_SYMBOLS)
-    m = SCO.attach_scores(m, ["offset", "msg_pos"], "body")
+    m = SCO.attach_scores(m, ["offset", "msg_pos"], "body", lexicon(spark, sf_dir))
     return (m.withColumn("sentiment_label", R.polarity_class())
              .withColumn("sentiment_agreement", R.label_agreement()))
 
@@ -95,7 +126,7 @@ def q_normalize_social_payload(spark, sf_dir):
 def q_normalize_news_payload(spark, sf_dir):
     raw = FX.news_landing(read_table(spark, sf_dir, "pages"))
     a = L.watchlist_filter(L.normalize_news(raw), "query", R.NEWS_QUERIES)
-    a = SCO.attach_scores(a, ["offset", "art_pos"], "score_text")
+    a = SCO.attach_scores(a, ["offset", "art_pos"], "score_text", lexicon(spark, sf_dir))
     return a.select("article_id", "query", "source", "author", "title", "description", "url",
                     "published_at", "ingested_at", *SCO.SCORE_COLUMNS,
                     R.polarity_class().alias("sentiment_label"), "data_source")
@@ -125,7 +156,7 @@ def q_dedup_first_wins(spark, sf_dir):
 @register("dedup_messages")
 def q_dedup_messages(spark, sf_dir):
     """FLT-6: social messages de-duplicated on message id, first arrival wins."""
-    raw = FX.social_landing(read_table(spark, sf_dir, "events"))
+    raw = FX.social_landing(read_table(spark, sf_dir, "events"), repolled=True)
     m = L.normalize_social(raw).withColumn("arrival", F.col("offset") * 1000 + F.col("msg_pos"))
     return DD.first_wins(m, ["message_id"], "arrival").select("message_id", "symbol", "arrival")
 
@@ -149,14 +180,14 @@ def q_label_agreement(spark, sf_dir):
 @register("lexicon_score_documents")
 def q_lexicon_score_documents(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
-    sc = SCO.score_texts(docs, ["doc_id"], "text")
+    sc = SCO.score_texts(docs, ["doc_id"], "text", lexicon(spark, sf_dir))
     return sc.withColumn("sentiment_label", R.polarity_class())
 
 
 @register("lexicon_score_conversations")
 def q_lexicon_score_conversations(spark, sf_dir):
     conv = read_table(spark, sf_dir, "conversations")
-    sc = SCO.score_texts(conv, ["conv_id", "turn"], "text")
+    sc = SCO.score_texts(conv, ["conv_id", "turn"], "text", lexicon(spark, sf_dir))
     return sc.withColumn("sentiment_label", R.polarity_class())
 
 
@@ -167,21 +198,37 @@ def _tables(spark, sf_dir):
     return {"stg_crypto_prices": st.prices, "stg_sentiment": st.sentiment, "stg_news": st.news}
 
 
+def _landed_tables(spark, sf_dir):
+    """The checked relations over records as they landed: no validity filter,
+    and the copies that polling brings (one message in five, one article in three)."""
+    events, pages = read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "pages")
+    messages = FX.messages_from_events(events).unionByName(FX.messages_from_events(events.filter("event_id % 5 = 0")))
+    articles = FX.articles_from_pages(pages).unionByName(FX.articles_from_pages(pages.filter("page_id % 3 = 0")))
+    return {"stg_crypto_prices": ST.stg_crypto_prices(SV.tick_silver(FX.ticks_from_events(events), guard=False), guard=False),
+            "stg_sentiment": ST.stg_sentiment(SV.message_silver(messages, guard=False), guard=False),
+            "stg_news": ST.stg_news(SV.article_silver(articles, guard=False), guard=False)}
+
+
 @register("dq_not_null")
 def q_dq_not_null(spark, sf_dir):
-    return DQ.failures(_tables(spark, sf_dir), "not_null")
+    return DQ.failures(_landed_tables(spark, sf_dir), "not_null")
 
 
 @register("dq_unique")
 def q_dq_unique(spark, sf_dir):
-    return DQ.failures(_tables(spark, sf_dir), "unique")
+    return DQ.failures(_landed_tables(spark, sf_dir), "unique")
 
 
 @register("dq_accepted_values")
 def q_dq_accepted_values(spark, sf_dir):
-    return DQ.failures(_tables(spark, sf_dir), "accepted_values")
+    return DQ.failures(_landed_tables(spark, sf_dir), "accepted_values")
 
 
 @register("dq_report")
 def q_dq_report(spark, sf_dir):
     return DQ.report(_tables(spark, sf_dir))
+
+
+@register("dq_report_landed")
+def q_dq_report_landed(spark, sf_dir):
+    return DQ.report(_landed_tables(spark, sf_dir))

@@ -1,11 +1,15 @@
 """Registered streaming queries.
 
-Each one lands the canonical records of the driver's tables as JSON text
-files in a fresh run folder under ``spark.checkpoint.dir`` (a replay of the
-topic, one file set per week, re-polled duplicates landed after their
-originals), runs the streaming job with ``availableNow`` from an empty
-checkpoint (one file per micro-batch), and returns the table the job wrote
-— so the result is compared with the same SQL as its batch twin.
+Each one lands wire records of the driver's tables as JSON text files in a
+fresh run folder under ``spark.checkpoint.dir`` (a replay of the topic), runs
+the streaming jobs at their shipped settings with ``availableNow`` from an
+empty checkpoint, one file set per micro-batch, and returns the table the job
+wrote, so the result is compared with the same SQL as its batch twin.
+
+The replays are meant to be hard: every batch spans the whole month (so most
+rows are weeks out of order), ids come again inside a batch and in later
+batches with another content, some records lack their arrival time, some carry
+a field of the wrong type, some values are not JSON, and some lack their keys.
 """
 
 from __future__ import annotations
@@ -13,121 +17,171 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentimart.functions.enrich import NEWS_QUERIES, TOPICS
 from sentimart.operators import staging as ST
 from sentimart.queries import _present, register
 from sentimart.session import run_folder
 from sentimart.sources import fixtures as FX
 from sentimart.sources import landing as L
-from sentimart.sources.catalog import read_table
+from sentimart.sources.catalog import read_table, register_views
 from sentimart.streaming import jobs as J
-from sentimart.streaming.refresh import mood_refresher
-from sentimart.streaming.sinks import BatchMetrics, read_layer
-
-# The fixtures replay 30 days of history in a few micro-batches, so the
-# dedup state must outlive the replay span (production default: 1 day).
-REPLAY_DEDUP_DELAY = "45 days"
-CHUNK_SECONDS = 7 * 86400
-DUPLICATE_CHUNK = 10**9
-STREAM_COLUMNS_TO_DROP = ["processed_at", "batch_id", "event_date"]
-
+from sentimart.streaming.app import run as run_app
+from sentimart.streaming.app import start_ingest
+from sentimart.streaming.sinks import BatchMetrics, LayerSpec, read_layer, write_layer
 
-def land(records: DataFrame, kind: str, folder: str, time_col: str,
-         duplicates: DataFrame | None = None) -> None:
-    """Write the wire JSON as one file set per week of ``time_col`` (one
-    distributed write, folders ``chunk=<week>``), then the re-polled
-    duplicates in a later write, so they arrive after their originals."""
-    wired = records.select(F.floor(F.unix_seconds(F.col(time_col)) / CHUNK_SECONDS).alias("chunk"),
-                           L.wire_value(records, kind).alias("value"))
-    wired.write.partitionBy("chunk").text(folder)
-    if duplicates is not None:
-        (duplicates.select(F.lit(DUPLICATE_CHUNK).cast("long").alias("chunk"),
-                           L.wire_value(duplicates, kind).alias("value"))
-         .write.mode("append").partitionBy("chunk").text(folder))
+#: Batches of a replay; copies that come later land after all of them.
+CHUNKS, LATER = 3, 99
+ROW = {"tick": "event_id", "message": "event_id", "article": "page_id"}
+STREAM_COLUMNS_TO_DROP = ["processed_at", "batch_id", "event_date"]
 
 
-def run_kind(spark: SparkSession, kind: str, folder: str, paths: J.StreamPaths, after=None) -> BatchMetrics:
+def _copies(df: DataFrame, kind: str, hours: int) -> DataFrame:
+    """The same records polled again some hours later, with another content."""
+    out = df.withColumn("ingested_at", F.col("ingested_at") + F.make_interval(hours=F.lit(hours)))
+    if kind == "article":
+        query = F.element_at(F.array(*[F.lit(q) for q in NEWS_QUERIES]), (F.col("_row") % 5 + 1).cast("int"))
+        return out.withColumn("query", query).withColumn("title", F.concat(F.col("title"), F.lit(" (edited)")))
+    return out.withColumn("body", F.lit("edited"))
+
+
+def replay(records: DataFrame, kind: str) -> DataFrame:
+    """(chunk, value) of a hard replay of ``records`` (with their row id in ``_row``)."""
+    row, chunk = F.col("_row"), F.col("_row") % CHUNKS
+    first = records.withColumn("chunk", chunk)
+    if kind != "tick":
+        first = first.withColumn("ingested_at", F.when(row % 53 != 0, F.col("ingested_at")))  # no arrival time
+        timed = records.filter(row % 53 != 0)
+        again = [_copies(timed.filter(row % 7 == 0), kind, 5).withColumn("chunk", chunk),
+                 _copies(records.filter(row % 3 == 0), kind, 1).withColumn("chunk", F.lit(LATER).cast("long"))]
+        for c in again:
+            first = first.unionByName(c)
+    value = L.wire_value(first, kind)
+    if kind == "message":  # a field of the wrong type
+        value = F.when(row % 10 == 3, F.regexp_replace(value, r'"user_following":[0-9]+', '"user_following":"n/a"')).otherwise(value)
+    lines = first.select("chunk", value.alias("value"))
+    noise = records.filter(row % 101 == 0).select(chunk.alias("chunk"), F.concat(F.lit("not json "), row.cast("string")).alias("value"))
+    return lines.unionByName(noise)
+
+
+def source_records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    keep = [F.col(ROW[kind]).alias("_row")]
+    if kind == "tick":
+        return FX.ticks_from_events(read_table(spark, sf_dir, "events"), keep)
+    if kind == "message":
+        return FX.messages_from_events(read_table(spark, sf_dir, "events"), keep)
+    return FX.articles_from_pages(read_table(spark, sf_dir, "pages"), keep)
+
+
+def land(spark: SparkSession, sf_dir: str, kind: str, root: str, hard: bool = True) -> str:
+    """Land the replay of one kind as one file set per batch; returns the topic's folder."""
+    records = source_records(spark, sf_dir, kind)
+    lines = replay(records, kind) if hard else records.select(F.lit(0).alias("chunk"), L.wire_value(records, kind).alias("value"))
+    folder = f"{root}/landing/topic={TOPICS[kind]}"
+    lines.repartition(CHUNKS + 1, "chunk").write.partitionBy("chunk").text(folder)
+    return folder
+
+
+def run_kind(spark: SparkSession, kind: str, folder: str, paths: J.StreamPaths, **options) -> BatchMetrics:
     metrics = BatchMetrics()
-    raw = J.read_topic(spark, J.ID_COLUMN.get(kind, kind), folder=folder, max_files_per_trigger=1)
-    q = J.start_stream(spark, kind, raw, paths, available_now=True,
-                       dedup_delay=REPLAY_DEDUP_DELAY, metrics=metrics, after=after)
-    J.await_all(spark, [q])
+    raw = J.read_topic(spark, TOPICS[kind], folder=folder, max_files_per_trigger=1)
+    J.await_all(spark, [J.start_stream(spark, kind, raw, paths, available_now=True, metrics=metrics, **options)])
     return metrics
 
 
-def _message_replay(spark, sf_dir, root):
-    events = read_table(spark, sf_dir, "events")
-    msgs = FX.messages_from_events(events)
-    dups = (FX.messages_from_events(events.filter(F.col("event_type") == "click"))
-            .withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")))
-    land(msgs, "message", f"{root}/landing/message", "ingested_at", dups)
-    return f"{root}/landing/message"
-
-
-def _article_replay(spark, sf_dir, root):
-    pages = read_table(spark, sf_dir, "pages")
-    arts = FX.articles_from_pages(pages)
-    # the same article seen again under the next query, an hour later
-    from sentimart.functions.enrich import NEWS_QUERIES
-    nxt = F.element_at(F.array(*[F.lit(q) for q in NEWS_QUERIES + NEWS_QUERIES[:1]]),
-                       (F.col("page_id") % 5 + 2).cast("int"))
-    dups = (FX.articles_from_pages(pages.filter(F.col("page_id") % 3 == 0), keep=["page_id"])
-            .withColumn("query", nxt).drop("page_id")
-            .withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")))
-    land(arts, "article", f"{root}/landing/article", "ingested_at", dups)
-    return f"{root}/landing/article"
+def _streamed(spark, sf_dir, kind):
+    root = run_folder(spark, f"{kind}s")
+    paths = J.StreamPaths(root)
+    run_kind(spark, kind, land(spark, sf_dir, kind, root), paths)
+    return J.layer_table(spark, paths, kind, "silver")
 
 
 @register("stream_tick_silver")
 def q_stream_tick_silver(spark, sf_dir):
     """Ticks through the streaming job; returns staged silver as written."""
-    root = run_folder(spark, "ticks")
-    ticks = FX.ticks_from_events(read_table(spark, sf_dir, "events"))
-    land(ticks, "tick", f"{root}/landing/tick", "ingested_at")
-    paths = J.StreamPaths(root)
-    run_kind(spark, "tick", f"{root}/landing/tick", paths)
-    silver = read_layer(spark, paths.layer("tick", "silver"))
-    return ST.stg_crypto_prices(silver).drop(*STREAM_COLUMNS_TO_DROP)
+    return ST.stg_crypto_prices(_streamed(spark, sf_dir, "tick")).drop(*STREAM_COLUMNS_TO_DROP)
 
 
 @register("stream_message_dedup")
 def q_stream_message_dedup(spark, sf_dir):
-    """Messages with re-polled duplicates; first arrival per id wins."""
-    root = run_folder(spark, "messages")
-    folder = _message_replay(spark, sf_dir, root)
-    paths = J.StreamPaths(root)
-    run_kind(spark, "message", folder, paths)
-    silver = read_layer(spark, paths.layer("message", "silver"))
-    return ST.stg_sentiment(silver).drop(*STREAM_COLUMNS_TO_DROP)
+    """Messages with copies inside and across batches; first arrival per id wins."""
+    return ST.stg_sentiment(_streamed(spark, sf_dir, "message")).drop(*STREAM_COLUMNS_TO_DROP)
 
 
 @register("stream_article_silver")
 def q_stream_article_silver(spark, sf_dir):
-    """Articles with the same URL re-seen under another query; first wins."""
-    root = run_folder(spark, "articles")
-    folder = _article_replay(spark, sf_dir, root)
+    """Articles seen again under another query; first arrival wins. (Arrival
+    times are left out: some records have none.)"""
+    return ST.stg_news(_streamed(spark, sf_dir, "article")).drop(*STREAM_COLUMNS_TO_DROP, "ingested_at")
+
+
+@register("stream_reconciliation")
+def q_stream_reconciliation(spark, sf_dir):
+    """Three concurrent streams: where every landed record went, by kind."""
+    root = run_folder(spark, "reconcile")
     paths = J.StreamPaths(root)
-    run_kind(spark, "article", folder, paths)
-    silver = read_layer(spark, paths.layer("article", "silver"))
-    return ST.stg_news(silver).drop(*STREAM_COLUMNS_TO_DROP)
+    folders = {kind: land(spark, sf_dir, kind, root) for kind in TOPICS}
+    J.run_until_failure(spark, start_ingest(spark, root, f"{root}/landing", available_now=True, max_files_per_trigger=2))
+    rows = [J.reconciliation(spark, paths, kind, spark.read.text(f)) for kind, f in folders.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@register("stream_batch_counts")
+def q_stream_batch_counts(spark, sf_dir):
+    """SNK-10, AGG-13: the rows each layer's batches reported, summed."""
+    root = run_folder(spark, "counts")
+    paths = J.StreamPaths(root)
+    metrics = run_kind(spark, "message", land(spark, sf_dir, "message", root), paths)
+    layers = ("bronze", "silver", "quarantine")
+    return spark.createDataFrame([(x, metrics.total(x)) for x in layers], "layer string, n_rows long")
 
 
 @register("stream_market_mood_refresh")
 def q_stream_market_mood_refresh(spark, sf_dir):
-    """Both streams refresh the dates they touch in the mood mart."""
+    """The application: all streams, then the one refresher; the mood mart."""
     root = run_folder(spark, "mood")
-    paths = J.StreamPaths(root)
-    mood_path = f"{root}/marts/market_mood"
-    mfolder = _message_replay(spark, sf_dir, root)
-    afolder = _article_replay(spark, sf_dir, root)
-    run_kind(spark, "message", mfolder, paths, after=mood_refresher(spark, paths, "message", mood_path))
-    run_kind(spark, "article", afolder, paths, after=mood_refresher(spark, paths, "article", mood_path))
-    mood = spark.read.parquet(mood_path)
+    for kind in TOPICS:
+        land(spark, sf_dir, kind, root)
+    run_app(spark, root, f"{root}/landing", available_now=True)
+    mood = spark.read.parquet(f"{root}/models/mart_hourly_market_mood")
     return _present(mood.select(
         "date", "hour", "article_count", "avg_news_sentiment", "high_impact_count",
         "strong_positive_news", "strong_negative_news", "social_message_count",
         "avg_social_sentiment", "avg_influence", "market_mood_score", "market_mood_label"))
 
 
+@register("layer_schema_evolution")
+def q_layer_schema_evolution(spark, sf_dir):
+    """SNK-5, SRC-3: a layer whose symbols are digits and whose later batches
+    have one column more reads back exactly, by its declared schema."""
+    path = f"{run_folder(spark, 'evolve')}/ticks"
+    rows = read_table(spark, sf_dir, "events").select(
+        "event_id", F.lpad(F.col("user_id").cast("string"), 6, "0").alias("symbol"), F.col("value").alias("price"),
+        F.to_date("ts").alias("event_date"))
+    write_layer(rows.filter("event_id % 2 = 0").drop("price"), 0, LayerSpec(path))
+    write_layer(rows.filter("event_id % 2 = 1"), 1, LayerSpec(path))
+    return read_layer(spark, path, rows.schema).drop("batch_id")
+
+
+REBUILD_FROM = "2024-01-15"
+
+
+@register("gold_rebuild")
+def q_gold_rebuild(spark, sf_dir):
+    """SNK-7..9: the layered build twice, the second time from less silver;
+    the gold dashboard as its view shows it."""
+    from sentimart.operators import silver as SV
+    from sentimart.plans import inputs as I
+    from sentimart.plans.build import build_all
+    out = run_folder(spark, "models")
+    silver = {"tick": SV.tick_silver(I.parsed_ticks(spark, sf_dir)), "message": SV.message_silver(I.parsed_messages(spark, sf_dir)),
+              "article": SV.article_silver(I.parsed_articles(spark, sf_dir))}
+    build_all(spark, silver, out, with_quality=False)
+    less = {k: df.filter(F.to_date(J.DATE_SOURCE[k]) >= F.lit(REBUILD_FROM).cast("date")) for k, df in silver.items()}
+    paths = build_all(spark, less, out, with_quality=False)
+    register_views(spark, {"gold_crypto_dashboard": spark.read.parquet(paths["gold_crypto_dashboard"])})
+    return _present(spark.sql("SELECT * FROM gold_crypto_dashboard").drop("updated_at"))
+
+
 STATEFUL_DELAY = "2 hours"
 
 
@@ -137,10 +191,8 @@ def q_stream_market_mood_stateful(spark, sf_dir):
     streaming state; returns the hours the watermark has closed."""
     from sentimart.streaming.mood_stateful import mood_stream
     root = run_folder(spark, "mood-stateful")
-    mfolder = _message_replay(spark, sf_dir, root)
-    afolder = _article_replay(spark, sf_dir, root)
-    m = L.parse_records(J.read_topic(spark, "market.sentiment", folder=mfolder), "message")
-    a = L.parse_records(J.read_topic(spark, "market.news", folder=afolder), "article")
+    m, a = (L.parse_records(J.read_topic(spark, TOPICS[k], folder=land(spark, sf_dir, k, root, hard=False)), k)
+            for k in ("message", "article"))
     q = (mood_stream(m, a, STATEFUL_DELAY).writeStream.outputMode("append").format("parquet")
          .option("path", f"{root}/marts/market_mood_stateful")
          .option("checkpointLocation", f"{root}/_checkpoints/mood_stateful")

@@ -60,19 +60,25 @@ def build_session(master: str | None = None, app: str = "sentimart",
     return spark
 
 
+#: Reduce partitions of one shuffle, at most. Beyond it map-output metadata
+#: grows as maps x reducers; above 25 TB in one shuffle raise it (the driver
+#: then needs memory for it) or let reducers work on more than the target.
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
 def cluster_settings(input_bytes: int, total_cores: int,
-                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+                     target_partition_bytes: int = 256 * 1024 * 1024,
+                     max_shuffle_partitions: int = MAX_SHUFFLE_PARTITIONS) -> dict[str, str]:
     """Sizing for a large cluster run (e.g. 100 TB on 1000 executors).
 
     The initial shuffle width is chosen so each reducer starts at about
     ``target_partition_bytes`` of input (at least 3 waves of tasks, at most
-    100k partitions — beyond that map-output metadata grows as maps x
-    reducers and reducers spill instead); AQE then coalesces small
-    partitions toward the advisory size and splits skewed ones (a partition
-    5x the median and above 512 MB is split). Scan splits stay at 256 MB so
-    a task's input fits executor memory.
+    ``max_shuffle_partitions``); AQE then coalesces small partitions toward
+    the advisory size and splits skewed ones (a partition 5x the median and
+    above 512 MB is split). Scan splits stay at 256 MB so a task's input
+    fits executor memory.
     """
-    shuffle = min(100_000, max(3 * total_cores, -(-input_bytes // target_partition_bytes)))
+    shuffle = min(max_shuffle_partitions, max(3 * total_cores, -(-input_bytes // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
@@ -84,6 +90,22 @@ def cluster_settings(input_bytes: int, total_cores: int,
     }
 
 
+def cluster_session(app: str = "sentimart", input_bytes: int = 0) -> SparkSession:
+    """The session of an entry point: sized for the cluster it runs on.
+
+    Settings the submitter gave are kept; the rest comes from
+    :func:`cluster_settings` for ``input_bytes`` (0: from the cores alone).
+    """
+    spark = build_session(app=app)
+    given = spark.sparkContext.getConf()
+    if not spark.sparkContext.master.startswith("local"):
+        for k, v in cluster_settings(input_bytes, spark.sparkContext.defaultParallelism).items():
+            if not given.contains(k):
+                spark.conf.set(k, v)
+    pin_session(spark)
+    return spark
+
+
 def pin_session(spark: SparkSession) -> None:
     """Session settings the query semantics depend on (bucket zone)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -93,13 +115,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for materialised tables and stream checkpoints.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names a
-    shared, fault-tolerant folder there). Only if it is unset — as in tests
-    and local runs — a fresh folder is created and registered.
+    shared, fault-tolerant folder there). Only on a local master, as in
+    tests, a fresh folder stands in where it is unset; a cluster must name it.
     """
     d = spark.conf.get(CHECKPOINT_CONF, None)
     if not d:
         d = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="sentimart-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
     spark.sparkContext.setCheckpointDir(d)

@@ -6,8 +6,12 @@ records (bronze shape without ``processed_at``); the wire form is obtained
 with :func:`sentimart.sources.landing.to_wire`.
 
     tick    <- events
-    message <- events where event_type <> 'view'
+    message <- events
     article <- pages
+
+Fixed rules make some records bad, so that every filter and check has rows to
+act on: missing ids, symbols, titles and prices, prices below zero, symbols
+and queries off the watch-lists, a query longer than a publish key.
 """
 
 from __future__ import annotations
@@ -20,12 +24,12 @@ from sentimart.functions.enrich import (DATA_SOURCES, NEWS_QUERIES, TICK_SYMBOLS
 
 # Fixed values of the fixture mapping.
 MESSAGE_SYMBOLS = ["BTC.X", "ETH.X", "SOL.X", "AAPL"]
-MESSAGE_BODIES = {
-    "purchase": "great buy, price going up, strong gains ahead",
-    "error": "terrible crash, selling everything, weak and falling",
-    "click": "watching the chart today",
-    "signup": "new here, what do you think",
-}
+# A body is an opening, a link word (some negate) and a close: 7 x 5 x 11 texts.
+OPENINGS = ["strong buy today", "terrible crash", "watching the chart", "new here", "best gains ahead", "weak and falling", "great profit"]
+LINKS = ["and", "but not", "never", "with", "no"]
+CLOSES = ["good news", "a bad sign", "fear", "a win", "love it", "the worst loss", "safe", "more risk", "what do you think", "selling everything", "happy"]
+LONG_QUERY = "Tesla Apple Nvidia earnings and everything else that moved markets"
+OFF_LIST = {"tick": "DOGEUSDT", "message": "DOGE.X"}
 ARTICLE_EPOCH_SECONDS = 1704067200  # 2024-01-01T00:00:00Z
 
 
@@ -52,8 +56,9 @@ def _cols(exprs: dict[str, str]) -> list[Column]:
 
 OPEN = "(value * (CAST(97 + event_id % 7 AS DOUBLE) / 100D))"
 TICK_EXPRS = {
-    "symbol": _pick_sql(TICK_SYMBOLS, "user_id % 3"),
-    "price": "value",
+    "symbol": f"CASE WHEN event_id % 83 = 0 THEN NULL WHEN event_id % 71 = 0 THEN '{OFF_LIST['tick']}' "
+              f"ELSE {_pick_sql(TICK_SYMBOLS, 'user_id % 3')} END",
+    "price": "CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 97 = 0 THEN -value ELSE value END",
     "open": OPEN,
     "high": f"greatest(value, {OPEN}) * (CAST(1000 + (event_id % 3) * 5 AS DOUBLE) / 1000D)",
     "low": f"least(value, {OPEN})",
@@ -71,9 +76,11 @@ def ticks_from_events(events: DataFrame, keep: list | None = None) -> DataFrame:
 
 COMPOUND = _score_sql("(event_id * 37) % 201")
 MESSAGE_EXPRS = {
-    "message_id": "CAST(event_id AS STRING)",
-    "symbol": _pick_sql(MESSAGE_SYMBOLS, "user_id % 4"),
-    "body": "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in MESSAGE_BODIES.items()) + " END",
+    "message_id": "CASE WHEN event_id % 79 <> 0 THEN CAST(event_id AS STRING) END",
+    "symbol": f"CASE WHEN event_id % 67 = 0 THEN NULL WHEN event_id % 61 = 0 THEN '{OFF_LIST['message']}' "
+              f"ELSE {_pick_sql(MESSAGE_SYMBOLS, 'user_id % 4')} END",
+    "body": f"concat_ws(' ', {_pick_sql(OPENINGS, 'event_id % 7')}, {_pick_sql(LINKS, 'event_id % 5')}, "
+            f"{_pick_sql(CLOSES, 'event_id % 11')})",
     "created_at": "CAST(ts AS TIMESTAMP)",
     "ingested_at": "CAST(ts AS TIMESTAMP)",
     "user_id": "CAST(user_id AS STRING)",
@@ -93,8 +100,7 @@ MESSAGE_EXPRS = {
 
 def messages_from_events(events: DataFrame, keep: list | None = None) -> DataFrame:
     return (
-        events.filter(F.col("event_type") != "view")
-        .select(*(keep or []), *_cols(MESSAGE_EXPRS))
+        events.select(*(keep or []), *_cols(MESSAGE_EXPRS))
         .withColumns({
             "sentiment_label": polarity_class("sentiment_compound"),
             "sentiment_agreement": label_agreement("user_sentiment", "sentiment_compound"),
@@ -106,19 +112,19 @@ def messages_from_events(events: DataFrame, keep: list | None = None) -> DataFra
 
 URL_HOST_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)"
 TITLE_PATTERN = r"<title>([^<]*)</title>"
-HEADING_PATTERN = r"<h1>([^<]*)</h1>"
+MARKUP_PATTERN = r"<[^>]*>"
 PUBLISHED = f"timestamp_seconds({ARTICLE_EPOCH_SECONDS} + ((page_id * 7) % 800) * 3600)"
 ARTICLE_COMPOUND = _score_sql("(page_id * 53) % 201")
 
 
 def articles_from_pages(pages: DataFrame, keep: list | None = None) -> DataFrame:
     cols = [
-        article_id("url").alias("article_id"),
-        F.expr(_pick_sql(NEWS_QUERIES, "page_id % 5")).alias("query"),
+        F.when(F.col("page_id") % 31 != 0, article_id("url")).alias("article_id"),
+        F.expr(f"CASE WHEN page_id % 37 = 0 THEN '{LONG_QUERY}' ELSE {_pick_sql(NEWS_QUERIES, 'page_id % 5')} END").alias("query"),
         F.regexp_extract("url", URL_HOST_PATTERN, 1).alias("source"),
         F.expr("concat('author_', CAST(page_id % 17 AS STRING))").alias("author"),
-        F.regexp_extract("html", TITLE_PATTERN, 1).alias("title"),
-        F.nullif(F.regexp_extract("html", HEADING_PATTERN, 1), F.lit("")).alias("description"),
+        F.when(F.col("page_id") % 29 != 0, F.regexp_extract("html", TITLE_PATTERN, 1)).alias("title"),
+        F.regexp_replace("html", MARKUP_PATTERN, " ").alias("description"),
         F.col("url"),
         F.expr(PUBLISHED).alias("published_at"),
         F.expr(f"{PUBLISHED} + INTERVAL 5 MINUTES").alias("ingested_at"),
@@ -142,7 +148,7 @@ def tick_wire_landing(events: DataFrame, corrupt: bool = False) -> DataFrame:
     With ``corrupt=True`` two deterministic kinds of damage are applied, for
     the quarantine split: 'error' events lose their closing brace (not
     JSON), and 'signup' events of users with id % 10 = 0 carry the price as
-    the text "n/a" (wrong type)."""
+    the text "n/a" (malformed: the price reads NULL)."""
     from sentimart.sources.landing import wire_value
     t = ticks_from_events(events, keep=[F.col("event_id").alias("offset"),
                                         F.col("event_type").alias("_et"),
@@ -176,7 +182,17 @@ SOCIAL_BATCH = 100   # messages per polled page (bounded by construction)
 NEWS_BATCH = 20      # articles per polled page
 
 
-def social_landing(events: DataFrame) -> DataFrame:
+#: Offsets of pages that were polled once more.
+REPOLL_OFFSET = 10**9
+
+
+def _repolled(pages: DataFrame) -> DataFrame:
+    """The pages, and one in three of them again at a later offset."""
+    again = pages.filter(F.col("offset") % 3 == 0).withColumn("offset", F.col("offset") + REPOLL_OFFSET)
+    return pages.unionByName(again)
+
+
+def social_landing(events: DataFrame, repolled: bool = False) -> DataFrame:
     """Raw social pages ``{symbol:{symbol}, messages:[...]}``: messages of one
     symbol whose ids share ``event_id div 100`` form one page (at most 100
     messages, so each collected array is bounded)."""
@@ -203,12 +219,13 @@ def social_landing(events: DataFrame) -> DataFrame:
     payload = F.struct(F.struct(F.col("symbol").alias("symbol")).alias("symbol"),
                        F.transform("es", lambda e: e["m"]).alias("messages"))
     # offset: a unique page number per (page, symbol), like a queue offset
-    return pages.select(F.col("symbol").alias("key"), F.to_json(payload).alias("value"),
-                        (F.col("page") * 10 + F.expr(_index_sql(MESSAGE_SYMBOLS, "symbol"))).alias("offset"),
-                        "ingested_at")
+    out = pages.select(F.col("symbol").alias("key"), F.to_json(payload).alias("value"),
+                       (F.col("page") * 10 + F.expr(_index_sql([*MESSAGE_SYMBOLS, OFF_LIST["message"]], "symbol"))).alias("offset"),
+                       "ingested_at")
+    return _repolled(out) if repolled else out
 
 
-def news_landing(pages: DataFrame) -> DataFrame:
+def news_landing(pages: DataFrame, repolled: bool = False) -> DataFrame:
     """Raw news pages ``{status, query, articles:[...]}``: articles of one
     query whose page ids share ``page_id div 20`` form one response."""
     from sentimart.sources.landing import iso_utc
@@ -225,6 +242,15 @@ def news_landing(pages: DataFrame) -> DataFrame:
          .agg(F.sort_array(F.collect_list("e")).alias("es"), F.max("ingested_at").alias("ingested_at")))
     payload = F.struct(F.lit("ok").alias("status"), F.col("query"),
                        F.transform("es", lambda e: e["a"]).alias("articles"))
-    return g.select(F.substring("query", 1, 50).alias("key"), F.to_json(payload).alias("value"),
-                    (F.col("page") * 8 + F.expr(_index_sql(NEWS_QUERIES, "query"))).alias("offset"),
-                    "ingested_at")
+    out = g.select(F.substring("query", 1, 50).alias("key"), F.to_json(payload).alias("value"),
+                   (F.col("page") * 8 + F.expr(_index_sql(NEWS_QUERIES, "query"))).alias("offset"),
+                   "ingested_at")
+    return _repolled(out) if repolled else out
+
+
+def lexicon_from_items(items: DataFrame) -> DataFrame:
+    """A (token, valence) table of the words of a small text table, valence
+    by a rule: evidence for scoring texts in the fixtures' invented languages."""
+    from sentimart.functions.text import tokens
+    t = items.select(F.explode(tokens("text")).alias("token")).distinct()
+    return t.select("token", F.expr("((length(token) * 17 + length(replace(token, 'e', '')) * 5) % 41 - 20) / 10D").alias("valence"))

@@ -52,23 +52,33 @@ def parse_records(raw: DataFrame, kind: str, keep: list[str] | None = None) -> D
     return d.withColumn("processed_at", F.current_timestamp())
 
 
+#: Keys a record must carry; without them it is no record of its kind.
+REQUIRED = {"tick": ("symbol",), "message": ("message_id", "symbol"), "article": ("article_id",)}
+
+
 def split_quarantine(raw: DataFrame, kind: str, keep: list[str] | None = None) -> DataFrame:
-    """FLT-7: parse with a corrupt-record column and flag unparsable rows.
+    """FLT-7: parse and flag, never drop.
 
-    A value that is not JSON, or whose field has the wrong type, keeps its
-    original text in ``_corrupt_record``; ``quarantined`` marks those rows so
-    callers can route them to a quarantine table instead of dropping them.
+    ``quarantined``: the value is not JSON, or lacks a required key.
+    ``malformed``: the record stands, but a field of the wrong type reads
+    NULL. Both keep their original text in ``_corrupt_record``, so callers
+    can route quarantined rows to a table of their own and repair the rest.
     """
     keep = keep or []
     schema = T.StructType(SC.WIRE[kind].fields + [T.StructField(CORRUPT, T.StringType(), True)])
     text = F.col("value").cast("string")
-    d = raw.select(*keep, text.isNull().alias("_no_value"),
+    d = raw.select(*keep, text.alias("_text"),
                    F.from_json(text, schema, {"mode": "PERMISSIVE",
                                               "columnNameOfCorruptRecord": CORRUPT}).alias("d"))
-    d = d.select(*keep, "_no_value", "d.*")
+    d = d.select(*keep, "_text", "d.*")
     d = d.withColumns({c: F.try_to_timestamp(F.col(c)) for c in SC.TIME_COLUMNS[kind]})
-    return (d.withColumn("quarantined", F.col(CORRUPT).isNotNull() | F.col("_no_value"))
-            .drop("_no_value")
+    lacking = F.lit(False)
+    for c in REQUIRED[kind]:
+        lacking = lacking | F.col(c).isNull()
+    return (d.withColumn("quarantined", lacking)
+            .withColumn("malformed", F.col(CORRUPT).isNotNull() & ~lacking)
+            .withColumn(CORRUPT, F.when(F.col("quarantined") | F.col("malformed"), F.col("_text")))
+            .drop("_text")
             .withColumn("processed_at", F.current_timestamp()))
 
 

@@ -1,34 +1,53 @@
 """Streaming jobs (SRC-1, SRC-2, STR-1..9, SNK-1..5).
 
-One streaming query per topic: parse -> (dedup) -> foreachBatch that
-persists the batch and writes bronze and silver (the reference ran two
-queries over the same topic for ticks). Sources are a Kafka topic when the
-connector is on the classpath, otherwise a folder of JSON text files with
-the same one-record-per-line contract.
-
-Dedup (STR-7) is ``dropDuplicatesWithinWatermark`` on the record id with the
-*arrival* time as event time: state for an id lives for ``dedup_delay``
-after its first arrival and then expires, so state stays bounded by
-arrival rate x delay. Rows without an arrival time bypass the stateful
-operator (their state would never expire) and go to a quarantine layer,
-as do unparsable records (FLT-7), which keep their raw text.
+One streaming query per topic. Its only work inside the stream is parsing (no
+state, so nothing is ever late); the batch function writes
+
+* ``bronze``: every record, repeated ids included;
+* ``quarantine``: values that are no record of the kind, with their text;
+* ``silver``: valid records, of each id the first arrival (STR-7);
+* ``partials``: what the batch adds to the hourly roll-ups (mergeable sums
+  and counts of its new silver rows);
+* ``touched``: the dates it added to, for the refresher.
+
+First arrival. Inside a batch the row with the least arrival time wins (a row
+without one loses to any other); against earlier batches, ids that silver
+already has are anti-joined away. A record's date is part of what is polled
+again, so only the batch's own dates of silver are read. No watermark bounds
+this: a copy that comes a month late is still a copy, and a late first
+arrival is still kept (STR-9).
+
+Every parsed row ends in exactly one place: rows in = bronze + quarantine, and
+bronze = silver + repeated + invalid (:func:`reconciliation`).
 """
 
 from __future__ import annotations
 
+import contextlib
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import StreamingQueryException
 
+from sentimart.operators import rollups as G
 from sentimart.operators import silver as SV
+from sentimart.operators import staging as ST
 from sentimart.sources import landing as L
-from sentimart.streaming.sinks import BatchMetrics, LayerSpec, write_layers
+from sentimart.streaming.sinks import BATCH, DATE, BatchMetrics, LayerSpec, read_layer, write_layer
 
 TRIGGER_SECONDS = {"tick": 10, "message": 15, "article": 15}
 ID_COLUMN = {"message": "message_id", "article": "article_id"}
 DATE_SOURCE = {"tick": "ingested_at", "message": "created_at", "article": "published_at"}
 SILVER = {"tick": SV.tick_silver, "message": SV.message_silver, "article": SV.article_silver}
+PARTIALS = {"tick": lambda silver: G.tick_partials(ST.stg_crypto_prices(silver)),
+            "message": lambda silver: G.message_partials(ST.stg_sentiment(silver)),
+            "article": lambda silver: G.news_partials(ST.stg_news(silver))}
+PARTIAL_DATE = {"tick": "trade_date", "message": "sentiment_date", "article": "publish_date"}
+#: Input of one trigger, so that a replay from the start comes in batches of bounded size.
+MAX_OFFSETS_PER_TRIGGER, MAX_FILES_PER_TRIGGER = 5_000_000, 500
 
 
 def kafka_available(spark: SparkSession) -> bool:
@@ -40,25 +59,33 @@ def kafka_available(spark: SparkSession) -> bool:
 
 
 def read_topic(spark: SparkSession, topic: str, folder: str | None = None,
-               bootstrap: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+               bootstrap: str | None = None, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+               max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
     """Raw records ``value`` (string) from a topic or a landing folder.
 
-    Kafka: earliest offsets, ``failOnDataLoss=false`` (STR-5). Folder: files
-    are taken oldest first."""
-    if bootstrap and kafka_available(spark):
+    Kafka: earliest offsets, ``failOnDataLoss=false`` (STR-5); asking for it
+    without the connector is an error. Folder: oldest files first."""
+    if (bootstrap is None) == (folder is None):
+        raise ValueError("name either a broker or a folder")
+    if bootstrap:
+        if not kafka_available(spark):
+            raise RuntimeError("a broker was named, but the Kafka connector is not on the classpath")
         return (spark.readStream.format("kafka")
-                .option("kafka.bootstrap.servers", bootstrap)
-                .option("subscribe", topic)
-                .option("startingOffsets", "earliest")
-                .option("failOnDataLoss", "false")
-                .option("kafka.request.timeout.ms", "60000")
-                .option("kafka.session.timeout.ms", "60000")
-                .load()
+                .options(**kafka_options(topic, bootstrap, max_offsets_per_trigger)).load()
                 .select(F.col("value").cast("string").alias("value")))
-    r = spark.readStream.format("text")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(folder)
+    return spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(folder)
+
+
+def kafka_options(topic: str, bootstrap: str, max_offsets: int = MAX_OFFSETS_PER_TRIGGER) -> dict[str, str]:
+    return {
+        "kafka.bootstrap.servers": bootstrap,
+        "subscribe": topic,
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "false",
+        "kafka.request.timeout.ms": "60000",
+        "kafka.session.timeout.ms": "60000",
+        "maxOffsetsPerTrigger": str(max_offsets),
+    }
 
 
 @dataclass
@@ -66,62 +93,124 @@ class StreamPaths:
     root: str
 
     def layer(self, kind: str, layer: str) -> str:
-        return f"{self.root}/{layer}/{kind}"
+        return f"{self.root.rstrip('/')}/{layer}/{kind}"
 
     def checkpoint(self, kind: str) -> str:
-        return f"{self.root}/_checkpoints/{kind}"
+        return f"{self.root.rstrip('/')}/_checkpoints/{kind}"
+
+    @property
+    def touched(self) -> str:
+        return f"{self.root.rstrip('/')}/touched"
+
+
+@functools.cache
+def _layer_schema(kind: str, layer: str) -> str:
+    spark = SparkSession.builder.getOrCreate()
+    parsed = L.split_quarantine(spark.createDataFrame([], "value string"), kind)
+    out = parsed if layer == "quarantine" else _record(parsed)
+    if layer in ("silver", "partials"):
+        out = SILVER[kind](out).drop("malformed")
+    out = PARTIALS[kind](out).withColumn(DATE, F.col(PARTIAL_DATE[kind])) if layer == "partials" else _dated(out, kind)
+    return out.schema.json()
+
+
+def layer_schema(kind: str, layer: str) -> T.StructType:
+    """The declared schema of a layer (SRC-4, SNK-5)."""
+    import json
+    return T.StructType.fromJson(json.loads(_layer_schema(kind, layer)))
+
+
+def layer_table(spark: SparkSession, paths: StreamPaths, kind: str, layer: str, dates: list | None = None) -> DataFrame:
+    return read_layer(spark, paths.layer(kind, layer), layer_schema(kind, layer), dates)
 
 
-def parsed_stream(raw: DataFrame, kind: str, dedup_delay: str | None = "1 day",
-                  dedup_keys: list[str] | None = None) -> DataFrame:
-    """Parse and, for messages / articles, drop repeated ids (first wins).
+def _record(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(~F.col("quarantined")).drop("quarantined", L.CORRUPT)
 
-    ``dedup_keys`` defaults to the record id (a message seen under several
-    symbols is kept once, as the producers did); ``["message_id", "symbol"]``
-    keeps one copy per symbol instead. Unparsable records are kept with
-    their raw text (``_corrupt_record``) and flagged ``quarantined``."""
-    p = L.split_quarantine(raw, kind)
-    if kind not in ID_COLUMN or dedup_delay is None:
-        return p
-    timed = p.filter(F.col("ingested_at").isNotNull() & ~F.col("quarantined"))
-    untimed = p.filter(F.col("ingested_at").isNull() | F.col("quarantined"))
-    deduped = (timed.withWatermark("ingested_at", dedup_delay)
-               .dropDuplicatesWithinWatermark(dedup_keys or [ID_COLUMN[kind]]))
-    return deduped.unionByName(untimed)
+
+def _dated(df: DataFrame, kind: str) -> DataFrame:
+    return df.withColumn(DATE, F.to_date(DATE_SOURCE[kind]))
+
+
+def first_arrivals(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Of each key the row that arrived first; ties go to the least row."""
+    rest = [c for c in batch.columns if c != "ingested_at"]
+    row = F.struct(F.col("ingested_at").isNull().alias("late"), F.col("ingested_at"), *rest)
+    one = batch.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min(row).alias("r"))
+    return one.select(*[F.col("r")[c].alias(c) for c in batch.columns])
+
+
+def new_silver(spark: SparkSession, records: DataFrame, kind: str, paths: StreamPaths, epoch: int,
+               keys: list[str] | None = None) -> DataFrame:
+    """The batch's rows that silver lacks: valid, of each id the first."""
+    rows = _dated(SILVER[kind](records).drop("malformed"), kind)
+    keys = keys or ([ID_COLUMN[kind]] if kind in ID_COLUMN else [])
+    if not keys:
+        return rows
+    dates = [r[0] for r in rows.select(DATE).distinct().collect()]  # of one batch, bounded by its trigger
+    known = layer_table(spark, paths, kind, "silver", dates).filter(F.col(BATCH) != epoch)
+    return first_arrivals(rows, keys).join(known.select(*keys), keys, "left_anti").select(*rows.columns)
 
 
 def start_stream(spark: SparkSession, kind: str, raw: DataFrame, paths: StreamPaths,
-                 available_now: bool = False, dedup_delay: str | None = "1 day",
-                 metrics: BatchMetrics | None = None, after=None,
+                 available_now: bool = False, metrics: BatchMetrics | None = None,
                  dedup_keys: list[str] | None = None, fmt: str = "parquet"):
-    """Start the bronze + silver query for one record kind. ``fmt`` is the
+    """Start the query of one record kind. ``dedup_keys`` defaults to the
+    record id (a message seen under several symbols is kept once);
+    ``["message_id", "symbol"]`` keeps one copy per symbol. ``fmt`` is the
     table format of the layers (Parquet by default; a transactional format
     when its jars are on the classpath)."""
-    stream = parsed_stream(raw, kind, dedup_delay, dedup_keys)
-    date_col = F.to_date(F.col(DATE_SOURCE[kind]))
-    part = ("event_date", "symbol") if kind in ("tick", "message") else ("event_date",)
-    ok = ~F.col("quarantined")
-    if kind in ID_COLUMN:
-        ok = ok & F.col("ingested_at").isNotNull()
-    clean = lambda b: b.filter(ok).drop("quarantined", L.CORRUPT)
-    layers = [
-        LayerSpec(paths.layer(kind, "bronze"), transform=clean, name="bronze"),
-        LayerSpec(paths.layer(kind, "silver"), transform=lambda b: SILVER[kind](clean(b)),
-                  partition_by=part, add_columns={"event_date": date_col}, name="silver"),
-        LayerSpec(paths.layer(kind, "quarantine"), transform=lambda b: b.filter(~ok), name="quarantine"),
-    ]
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        write_layers(batch, epoch, layers, metrics, fmt=fmt, after=after)
-
-    w = (stream.writeStream.foreachBatch(sink)
-         .outputMode("append")
-         .option("checkpointLocation", paths.checkpoint(kind)))
+        batch = batch.persist()
+        try:
+            n, bad = batch.agg(F.count(F.lit(1)), F.count_if("quarantined")).first()
+            if not n:
+                return
+            if bad:
+                write_layer(batch, epoch, LayerSpec(paths.layer(kind, "quarantine"), lambda b: _dated(b.filter("quarantined"), kind), name="quarantine"), metrics, fmt)
+            records = _record(batch)
+            write_layer(records, epoch, LayerSpec(paths.layer(kind, "bronze"), lambda b: _dated(b, kind), name="bronze"), metrics, fmt)
+            silver = new_silver(spark, records, kind, paths, epoch, dedup_keys).persist()
+            try:
+                if write_layer(silver, epoch, LayerSpec(paths.layer(kind, "silver"), name="silver"), metrics, fmt):
+                    write_layer(PARTIALS[kind](silver), epoch,
+                                LayerSpec(paths.layer(kind, "partials"), add_columns={DATE: F.col(PARTIAL_DATE[kind])}, name="partials"), None, fmt)
+                    (silver.select(F.lit(kind).alias("kind"), DATE, F.lit(epoch).alias("epoch")).distinct().coalesce(1)
+                     .write.mode("overwrite").parquet(f"{paths.touched}/{kind}-{epoch}"))
+            finally:
+                silver.unpersist()
+        finally:
+            batch.unpersist()
+
+    w = (L.split_quarantine(raw, kind).writeStream.foreachBatch(sink)
+         .outputMode("append").option("checkpointLocation", paths.checkpoint(kind)))
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{TRIGGER_SECONDS[kind]} seconds")
     return w.queryName(f"{kind}_{abs(hash(paths.root)) % 10**6}").start()
 
 
+def reconciliation(spark: SparkSession, paths: StreamPaths, kind: str, landed: DataFrame) -> DataFrame:
+    """One row: where the ``landed`` raw records of a kind went.
+
+    ``bronze`` = ``silver`` + ``repeated`` + ``invalid`` and ``landed`` =
+    ``bronze`` + ``quarantined``; ``unexplained`` counts what breaks that."""
+    ok = F.coalesce(F.expr(SV.VALID[kind]), F.lit(False))
+    n = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n")
+    bronze = layer_table(spark, paths, kind, "bronze")
+    copies = bronze.filter(ok)
+    ids = copies.select(ID_COLUMN[kind]).distinct() if kind in ID_COLUMN else copies
+    parts = [n(landed, "landed"), n(bronze, "bronze"), n(bronze.filter(~ok), "invalid"), n(copies, "valid"), n(ids, "first"),
+             n(layer_table(spark, paths, kind, "silver"), "silver"), n(layer_table(spark, paths, kind, "quarantine"), "quarantined")]
+    counts = functools.reduce(DataFrame.unionByName, parts)
+    one = counts.agg(*[F.sum(F.when(F.col("what") == c, F.col("n"))).alias(c) for c in
+                       ("landed", "bronze", "silver", "valid", "first", "invalid", "quarantined")])
+    return one.withColumn("repeated", F.col("valid") - F.col("first")).select(
+        F.lit(kind).alias("kind"), "landed", "bronze", "silver", "repeated", "invalid", "quarantined",
+        (F.abs(F.col("landed") - F.col("bronze") - F.col("quarantined"))
+         + F.abs(F.col("bronze") - F.col("silver") - F.col("repeated") - F.col("invalid"))).alias("unexplained"))
+
+
 def await_all(spark: SparkSession, queries, timeout_s: int | None = None) -> None:
     """Wait for finite (``availableNow``) queries; the first failure is raised."""
     for q in queries:
@@ -137,11 +226,13 @@ def run_until_failure(spark: SparkSession, queries) -> None:
     restarts it from the checkpoints."""
     active = list(queries)
     while any(q.isActive for q in active):
-        spark.streams.awaitAnyTermination()
+        with contextlib.suppress(StreamingQueryException):  # raised below, once the others have stopped
+            spark.streams.awaitAnyTermination()
         spark.streams.resetTerminated()
-        failed = [q for q in active if not q.isActive and q.exception() is not None]
-        if failed:
-            for q in active:
-                if q.isActive:
-                    q.stop()
-            raise RuntimeError(str(failed[0].exception()))
+        if any(q.exception() is not None for q in active):
+            break
+    failed = [q.exception() for q in active if q.exception() is not None]
+    if failed:
+        for q in active:
+            q.stop()
+        raise RuntimeError(str(failed[0]))

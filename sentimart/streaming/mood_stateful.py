@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentimart.functions import enrich as R
+from sentimart.operators import rollups as G
 from sentimart.operators import silver as SV
 
 
@@ -32,13 +33,13 @@ def mood_stream(messages: DataFrame, articles: DataFrame, delay: str = "2 hours"
     s = _hourly(SV.message_silver(messages).filter(F.col("created_at").isNotNull()), "created_at",
                 "message_id", delay, {
         "social_message_count": "count(1)",
-        "s_sum": "sum(combined_sentiment_score)", "s_n": "count(combined_sentiment_score)",
-        "i_sum": "sum(influence_score)", "i_n": "count(influence_score)",
+        "s_sum": f"sum({G.SCORE_UNITS}) / {G.SCORE_UNIT}D", "s_n": "count(combined_sentiment_score)",
+        "i_sum": f"sum({G.WEIGHT_UNITS}) / {G.WEIGHT_UNIT}D", "i_n": "count(influence_score)",
     })
     n = _hourly(SV.article_silver(articles).filter(F.col("published_at").isNotNull()), "published_at",
                 "article_id", delay, {
         "article_count": "count(1)",
-        "n_sum": "sum(sentiment_compound)", "n_n": "count(sentiment_compound)",
+        "n_sum": f"sum({G.COMPOUND_UNITS}) / {G.COMPOUND_UNIT}D", "n_n": "count(sentiment_compound)",
         "high_impact_count": "count_if(is_high_impact)",
         "strong_positive_news": "count_if(sentiment_strength = 'strong_positive')",
         "strong_negative_news": "count_if(sentiment_strength = 'strong_negative')",

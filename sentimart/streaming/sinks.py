@@ -1,33 +1,38 @@
 """Idempotent micro-batch sinks (SNK-1..5, STR-3, STR-4, SNK-10, AGG-13).
 
-Every micro-batch is written to its own folder ``<table>/batch_id=<epoch>``
-with a *static* overwrite. A batch that is re-run after a crash (same epoch
-id, from the checkpoint) replaces exactly its own earlier output — bronze and
-silver alike — so a retry never duplicates rows. (A dynamic overwrite on
-``(batch_id, symbol)`` would leave a stale symbol folder behind when the
-retry yields other symbols, so it is not used.) Table paths and checkpoint
-paths come from one run folder, so a fresh checkpoint (epochs restarting at
-0) can never overwrite an older run's batches.
+A layer is a folder of ``event_date=D/batch_id=N`` partitions, date first, so
+a reader that wants some dates lists those dates only. A batch writes with a
+dynamic overwrite of its (date, batch) partitions: a batch that is re-run
+after a crash has the same input, hence the same partitions, and replaces its
+own earlier output and nothing else. Table paths and checkpoint paths come
+from one run folder, so a fresh checkpoint (epochs restarting at 0) never
+meets an older run's batches.
+
+Compaction (``compaction.py``) moves the batches of a date up to some epoch
+into ``<layer>_compact/event_date=D/upto=N``; readers take the newest complete
+compact folder of a date plus the batches after it.
 """
 
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
 
 log = logging.getLogger("sentimart.streaming")
 
+DATE, BATCH = "event_date", "batch_id"
+
 
 @dataclass
 class LayerSpec:
     path: str
     transform: Callable[[DataFrame], DataFrame] | None = None
-    partition_by: tuple[str, ...] = ()
     add_columns: dict = field(default_factory=dict)
     name: str | None = None
 
@@ -45,52 +50,100 @@ class BatchMetrics:
     def record(self, epoch: int, layer: str, n: int) -> None:
         self.rows[(epoch, layer)] = n
 
+    def total(self, layer: str) -> int:
+        return sum(n for (_, name), n in self.rows.items() if name == layer)
+
+
+def write_layer(df: DataFrame, epoch: int, spec: LayerSpec, metrics: BatchMetrics | None = None,
+                fmt: str = "parquet") -> int:
+    """Write one layer of a batch; returns its row count. An empty result
+    leaves no file behind."""
+    if spec.transform:
+        df = spec.transform(df)
+    if spec.add_columns:
+        df = df.withColumns(spec.add_columns)
+    parts = [DATE, BATCH] if DATE in df.columns else [BATCH]
+    obs = Observation(f"rows_{epoch}_{abs(hash(spec.path)) % 10**8}")
+    df = df.withColumn(BATCH, F.lit(epoch)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    (df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*parts).save(spec.path))
+    n = obs.get.get("rows", 0)
+    log.info("[%s] batch %d: %d rows -> %s", spec.layer_name, epoch, n, spec.path)
+    if log.isEnabledFor(logging.DEBUG) and n:
+        log.debug("[%s] batch %d preview: %s", spec.layer_name, epoch, preview(df))
+    if metrics is not None:
+        metrics.record(epoch, spec.layer_name, n)
+    return n
+
 
 def write_layers(batch: DataFrame, epoch: int, layers: list[LayerSpec],
-                 metrics: BatchMetrics | None = None, fmt: str = "parquet",
-                 skip_empty: bool = True,
-                 after: Callable[[DataFrame, int], None] | None = None) -> None:
+                 metrics: BatchMetrics | None = None, fmt: str = "parquet") -> None:
     """Fan one micro-batch out to several layers with one persisted read."""
     batch = batch.persist()
     try:
-        if skip_empty and batch.isEmpty():
-            return
-        for spec in layers:
-            df = spec.transform(batch) if spec.transform else batch
-            if spec.add_columns:
-                df = df.withColumns(spec.add_columns)
-            obs = Observation(f"rows_{epoch}_{abs(hash(spec.path)) % 10**8}")
-            df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-            w = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static")
-            if spec.partition_by:
-                w = w.partitionBy(*spec.partition_by)
-            w.save(f"{spec.path}/batch_id={epoch}")
-            n = obs.get.get("rows", 0)
-            log.info("[%s] batch %d: %d rows -> %s", spec.layer_name, epoch, n, spec.path)
-            if log.isEnabledFor(logging.DEBUG) and n:
-                log.debug("[%s] batch %d preview: %s", spec.layer_name, epoch, preview(df))
-            if metrics is not None:
-                metrics.record(epoch, spec.layer_name, n)
-        if after is not None:
-            after(batch, epoch)
+        if not batch.isEmpty():
+            for spec in layers:
+                write_layer(batch, epoch, spec, metrics, fmt)
     finally:
         batch.unpersist()
 
 
-def read_layer(spark, path: str, schema=None, merge_schema: bool = False,
+# --- reading -------------------------------------------------------------------
+
+def folder(spark: SparkSession, path: str):
+    """(file system, path object) of a folder, whatever store it is in."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = folder(spark, path)
+    return fs.exists(p)
+
+
+def compacted(spark: SparkSession, path: str) -> dict[str, int]:
+    """The newest complete compact folder of each date: date text -> epoch.
+
+    One entry per compacted date of the layer (a listing of the compact
+    folders, not of batches)."""
+    fs, p = folder(spark, f"{path}_compact/{DATE}=*/upto=*/_SUCCESS")
+    out: dict[str, int] = {}
+    for status in fs.globStatus(p) or []:
+        m = re.search(rf"{DATE}=([^/]+)/upto=(\d+)/_SUCCESS$", status.getPath().toString())
+        if m:
+            out[m[1]] = max(int(m[2]), out.get(m[1], -1))
+    return out
+
+
+def read_layer(spark: SparkSession, path: str, schema: T.StructType, dates: list | None = None,
                fmt: str = "parquet") -> DataFrame:
-    """Read every committed batch of a layer (batch_id becomes a column).
-
-    SNK-5: batches may carry more columns over time. ``merge_schema=True``
-    unions the file schemas (reads every footer — for ad-hoc use); for jobs,
-    pass the declared ``schema`` instead, and missing columns read as NULL.
-    """
-    r = spark.read.format(fmt).option("basePath", path)
-    if schema is not None:
-        r = r.schema(schema)
-    elif merge_schema:
-        r = r.option("mergeSchema", "true")
-    return r.load(path)
+    """Every committed row of a layer, in its declared ``schema``.
+
+    The schema names and types every column (also the partition column
+    ``event_date``), so a symbol of digits stays text and a batch written
+    before a column was added reads NULL there (SNK-5). A layer without a
+    commit is empty; any other failure to read is raised. ``dates`` prunes
+    partitions (None in it means rows without a date)."""
+    full = T.StructType([f for f in schema.fields if f.name != BATCH] + [T.StructField(BATCH, T.IntegerType())])
+    if not exists(spark, path):
+        return spark.createDataFrame([], full)
+    df = spark.read.format(fmt).schema(full).load(path)
+    done = compacted(spark, path) if DATE in full.fieldNames() else {}
+    if done:
+        # batches that a compact folder already holds are on their way out
+        upto = F.coalesce(*[F.when(F.col(DATE).cast("string") == d, F.lit(n)) for d, n in sorted(done.items())], F.lit(-1))
+        df = df.filter(F.col(BATCH) > upto)
+        for d, n in sorted(done.items()):
+            part = spark.read.format(fmt).schema(T.StructType([f for f in full.fields if f.name not in (DATE, BATCH)]))
+            df = df.unionByName(part.load(f"{path}_compact/{DATE}={d}/upto={n}").withColumn(DATE, F.lit(d).cast("date"))
+                                .withColumn(BATCH, F.lit(n)))
+    return df if dates is None else df.filter(on_dates(dates))
+
+
+def on_dates(dates: list):
+    known = [d for d in dates if d is not None]
+    cond = F.col(DATE).isin(known) if known else F.lit(False)
+    return cond | F.col(DATE).isNull() if None in dates else cond
 
 
 def conform(df: DataFrame, target) -> DataFrame:

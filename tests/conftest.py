@@ -24,6 +24,6 @@ def spark():
 def duck():
     import duckdb
     con = duckdb.connect()
-    for t in ("events", "pages", "documents", "conversations", "labels"):
+    for t in ("events", "pages", "documents", "conversations", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     return con

@@ -18,10 +18,12 @@ def test_quarantine_edge_cases(spark):
     values = ["not json", "{}", json.dumps({"symbol": "X", "price": "n/a"}), good, None,
               json.dumps({"symbol": "X", "price": 2.0, "ingested_at": ""})]
     out = {r["offset"]: r for r in L.split_quarantine(_raw(spark, values), "tick", keep=["offset"]).collect()}
-    assert [out[i]["quarantined"] for i in range(6)] == [True, False, True, False, True, False]
-    assert out[3]["price"] == 1.5 and out[3]["ingested_at"] is not None
+    assert [out[i]["quarantined"] for i in range(6)] == [True, True, False, False, True, False]
+    assert [out[i]["malformed"] for i in range(6)] == [False, False, True, False, False, False]
+    assert out[0]["_corrupt_record"] == "not json" and out[1]["_corrupt_record"] == "{}"
+    assert out[2]["symbol"] == "X" and out[2]["price"] is None and "n/a" in out[2]["_corrupt_record"]
+    assert out[3]["price"] == 1.5 and out[3]["ingested_at"] is not None and out[3]["_corrupt_record"] is None
     assert out[5]["ingested_at"] is None          # empty time -> NULL, no error
-    assert out[1]["symbol"] is None               # {} -> all NULL, filtered later by silver
 
 
 def test_ticker_defaults_and_bad_numbers(spark):

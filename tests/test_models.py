@@ -31,7 +31,7 @@ def test_mood_full_outer_with_null_keys(spark):
                              ("BTC.X", None, None, -0.4, 1.0, "bearish", 5)])
     news = _stg_news(spark, [(D1, 2, 0.6, True, "strong_positive"),
                              (None, None, -0.6, True, "strong_negative")])
-    out = M.market_mood(news, G.message_partials(sent), "hour").orderBy("date", "hour", "article_count").collect()
+    out = M.market_mood(G.news_partials(news), G.message_partials(sent), "hour").orderBy("date", "hour", "article_count").collect()
     got = [(r["date"], r["hour"], r["article_count"], r["social_message_count"], r["market_mood_score"],
             r["market_mood_label"]) for r in out]
     # NULL keys never match: two separate undated rows survive; hours 1 and 2 stay one-sided
@@ -61,11 +61,11 @@ def test_price_sentiment_key_normalisation(spark):
                              ("BTC", D1, 1, 0.1, 1.0, "neutral", 5),     # normalises onto the same pair
                              ("AAPL", D1, 1, 0.5, 1.0, "bullish", 5)])
     p = G.message_partials(sent)
-    norm = {r["symbol"]: r for r in M.price_sentiment(prices, p, "hour", True).collect()}
+    norm = {r["symbol"]: r for r in M.price_sentiment(G.tick_partials(prices), p, "hour", True).collect()}
     assert norm["BTCUSDT"]["sentiment_message_count"] == 2          # merged, grain stays unique
     assert norm["BTCUSDT"]["sentiment_price_agreement"] is True
     assert norm["ETHUSDT"]["sentiment_message_count"] is None
-    raw = {r["symbol"]: r for r in M.price_sentiment(prices, p, "hour", False).collect()}
+    raw = {r["symbol"]: r for r in M.price_sentiment(G.tick_partials(prices), p, "hour", False).collect()}
     # raw concatenation: BTC.X -> BTC.XUSDT never matches; only the plain "BTC" row does
     assert raw["BTCUSDT"]["sentiment_message_count"] == 1
     assert raw["ETHUSDT"]["sentiment_message_count"] is None
@@ -103,7 +103,7 @@ def test_dashboard_left_join_drops_mood_only_hours(spark):
     prices = _stg_prices(spark, [("BTCUSDT", D1, 1, 10.0, 1.0, 1.0, "bullish")])
     sent = _stg_sent(spark, [("BTC.X", D1, 5, 0.5, 1.0, "bullish", 5)])
     news = _stg_news(spark, [(D1, 1, 0.6, True, "strong_positive")])
-    p = G.message_partials(sent)
+    p, prices, news = G.message_partials(sent), G.tick_partials(prices), G.news_partials(news)
     dash = M.dashboard(M.price_sentiment(prices, p), M.market_mood(news, p)).collect()
     assert len(dash) == 1
     r = dash[0]
@@ -124,4 +124,4 @@ def test_partials_equal_direct_aggregation(spark):
     merged = (G.merge_partials(G.message_partials(st), ["sentiment_date"])
               .orderBy("sentiment_date").collect())
     assert [r["n"] for r in direct] == [r["n"] for r in merged]
-    assert all(abs(a["s"] - b["sum_score"]) < 1e-9 for a, b in zip(direct, merged))
+    assert all(abs(a["s"] - b["sum_score"] / G.SCORE_UNIT) < 1e-9 for a, b in zip(direct, merged))

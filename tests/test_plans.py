@@ -1,6 +1,7 @@
 """Plan properties the scale design relies on."""
 
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from sentimart.operators.joins import bounded_broadcast
@@ -20,11 +21,22 @@ def test_bounded_broadcast_falls_back_beyond_the_bound(spark):
 
 def test_filters_and_columns_reach_the_scan(spark):
     plan = _plan(E.queries()["hourly_price_rollup"](spark, SMALL))
-    assert "GreaterThan(value,0.0)" in plan                 # price > 0 pushed as value > 0
-    # only the four columns the roll-up needs are read (no props, event_type)
+    # only the columns the roll-up needs are read (no props, event_type)
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in plan
 
 
+def test_validity_is_pushed_into_the_scan_of_silver(spark):
+    from sentimart.operators import rollups as G
+    from sentimart.operators import staging as ST
+    from sentimart.plans.inputs import parsed_ticks
+    from sentimart.session import run_folder
+    path = f"{run_folder(spark, 'pushed')}/silver"
+    ST.valid(parsed_ticks(spark, SMALL), "tick").withColumns({c: F.lit(None).cast(t) for c, t in (
+        ("price_direction", "string"), ("is_volatile", "boolean"), ("change_magnitude", "double"))}).write.parquet(path)
+    plan = _plan(G.tick_partials(ST.stg_crypto_prices(spark.read.parquet(path))))
+    assert "GreaterThan(price,0.0)" in plan and "IsNotNull(symbol)" in plan
+
+
 def test_latest_n_uses_partial_group_limit(spark):
     plan = _plan(E.queries()["latest_n_per_query"](spark, SMALL))
     assert plan.count("WindowGroupLimit") >= 2               # partial (map side) + final
@@ -41,8 +53,8 @@ def test_cluster_settings_bounds():
     assert cluster_settings(10 ** 9, 8)["spark.sql.shuffle.partitions"] == "24"
 
 
-def test_first_wins_on_bucketed_documents_moves_only_the_small_side(spark):
-    from pyspark.sql import functions as F
+def test_first_wins_moves_losers_not_winners(spark):
+    """On documents bucketed by id only narrow (key, id) pairs are shuffled."""
     from sentimart.operators.dedup import first_wins
     from sentimart.sources.catalog import read_table, save_bucketed
     docs = save_bucketed(read_table(spark, SMALL, "documents"), "documents_by_id", "doc_id", 4)
@@ -51,15 +63,52 @@ def test_first_wins_on_bucketed_documents_moves_only_the_small_side(spark):
     try:
         out = first_wins(docs, [F.md5("text")], "doc_id")
         plan = out._jdf.queryExecution().executedPlan().toString()
-        # one exchange for the md5 aggregation, one moving the winners to the
-        # document buckets; the documents side itself is read in place
-        assert plan.count("Exchange hashpartitioning") == 2
-        assert "SortMergeJoin" in plan
+        for line in plan.splitlines():
+            if "Exchange hashpartitioning" in line:
+                assert "text" not in line
+        assert "LeftAnti" in plan
         assert out.count() == read_table(spark, SMALL, "documents").select(F.md5("text")).distinct().count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_scoring_needs_no_exchange(spark):
+    from sentimart.operators.scoring import attach_scores, relational_scores, score_texts
+    from sentimart.queries_ext import lexicon
+    from sentimart.sources.catalog import read_table
+    docs = read_table(spark, SMALL, "documents")
+    plan = _plan(attach_scores(docs, ["doc_id"], "text"))
+    assert plan.count("FileScan parquet") == 1 and "Exchange" not in plan
+    lex = lexicon(spark, SMALL)
+    local, joined = score_texts(docs, ["doc_id"], "text", lex), relational_scores(docs, ["doc_id"], "text", lex)
+    assert local.exceptAll(joined).count() == 0 and joined.exceptAll(local).count() == 0
+    assert local.filter("sentiment_compound <> 0").count() > 0.5 * docs.count()
+    assert score_texts(docs, ["doc_id"], "text", lex, max_local=3).exceptAll(local).count() == 0
+
+
+def test_settings_of_a_cluster(spark):
+    import pytest
+
+    from sentimart import session as SE
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://somewhere"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        SE.ensure_checkpoint_dir(Session())
+    assert SE.cluster_settings(100 * 1024 ** 4, 8000, max_shuffle_partitions=10 ** 6)["spark.sql.shuffle.partitions"] == "409600"
+
+
 def test_rollups_combine_map_side_before_the_shuffle(spark):
     """A hot key (one symbol with a third of all ticks) is reduced per task
     before the exchange: partial aggregates sit below every Exchange."""

@@ -1,210 +1,251 @@
-"""Streaming: retries are idempotent, duplicates across batches are dropped,
+"""Streaming at the shipped settings: nothing is lost, nothing is kept twice,
 and a replayed stream equals its batch twin."""
 
 import json
 import os
 
+import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+import __spark_entry__ as E
 from sentimart.operators import silver as SV
+from sentimart.plans import producers as PR
+from sentimart.queries_stream import land, run_kind, source_records
 from sentimart.session import run_folder
+from sentimart.sources import fixtures as FX
+from sentimart.sources import landing as L
+from sentimart.sources.catalog import read_table
 from sentimart.streaming import jobs as J
-from sentimart.streaming.sinks import BatchMetrics, LayerSpec, read_layer, write_layers
+from sentimart.streaming.app import compact_dates, run, start_ingest
+from sentimart.streaming.compaction import compact, retire
+from sentimart.streaming.refresh import refresh
+from sentimart.streaming.sinks import BatchMetrics, LayerSpec, conform, read_layer, write_layer, write_layers
+
+PRICES = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("price", T.DoubleType())])
 
 
 def test_retry_of_a_batch_does_not_duplicate(spark):
     root = run_folder(spark, "retry")
-    batch = spark.createDataFrame([("BTCUSDT", 1.0), ("ETHUSDT", 2.0), ("SOLUSDT", 3.0)],
-                                  "symbol string, price double")
-    layers = [LayerSpec(f"{root}/bronze"),
-              LayerSpec(f"{root}/silver", transform=lambda b: b.filter(F.col("price") > 1),
-                        partition_by=("symbol",))]
+    batch = spark.createDataFrame([("BTCUSDT", 1.0), ("ETHUSDT", 2.0), ("SOLUSDT", 3.0)], PRICES)
+    layers = [LayerSpec(f"{root}/bronze"), LayerSpec(f"{root}/silver", transform=lambda b: b.filter(F.col("price") > 1))]
     m = BatchMetrics()
     write_layers(batch, 0, layers, m)
-    # the retry of epoch 0 yields other rows (e.g. a re-read after a crash)
-    write_layers(batch.filter(F.col("symbol") != "ETHUSDT"), 0, layers, m)
+    write_layers(batch.filter(F.col("symbol") != "ETHUSDT"), 0, layers, m)  # the retry of epoch 0
     write_layers(batch.limit(0), 1, layers, m)          # empty batch: short-circuit, nothing written
-    assert read_layer(spark, f"{root}/bronze").count() == 2
-    silver = sorted(r["symbol"] for r in read_layer(spark, f"{root}/silver").collect())
-    assert silver == ["SOLUSDT"]                        # no stale ETHUSDT partition left behind
+    assert read_layer(spark, f"{root}/bronze", PRICES).count() == 2
+    assert [r["symbol"] for r in read_layer(spark, f"{root}/silver", PRICES).collect()] == ["SOLUSDT"]
     assert m.rows[(0, "bronze")] == 2 and (1, "bronze") not in m.rows
+    assert not os.path.exists(f"{root}/bronze/batch_id=1")
 
 
-def _land(folder, name, records):
-    os.makedirs(folder, exist_ok=True)
-    with open(os.path.join(folder, name), "w") as f:
+def _land(where, name, records):
+    os.makedirs(where, exist_ok=True)
+    with open(os.path.join(where, name), "w") as f:
         for r in records:
-            f.write(json.dumps(r) + "\n")
+            f.write((r if isinstance(r, str) else json.dumps(r)) + "\n")
 
 
-def test_dedup_across_batches_and_restart(spark):
-    root = run_folder(spark, "dedup")
-    land = root.replace("file:", "") + "/landing"
+def _msg(i, t, sym="BTC.X", **more):
+    return {"message_id": str(i), "symbol": sym, "created_at": t, "ingested_at": t,
+            "sentiment_compound": 0.5, "user_sentiment": "bullish", "user_followers": 50} | more
 
-    def msg(i, t, sym="BTC.X"):
-        return {"message_id": str(i), "symbol": sym, "created_at": t, "ingested_at": t,
-                "sentiment_compound": 0.5, "user_sentiment": "bullish", "user_followers": 50}
 
-    _land(land, "a.json", [msg(1, "2024-01-01T00:00:00Z"), msg(2, "2024-01-01T01:00:00Z"),
-                           {"message_id": "9", "symbol": "X"}])   # no arrival time -> quarantine
-    _land(land, "b.json", [msg(1, "2024-01-01T02:00:00Z", "ETH.X"), msg(3, "2024-01-01T02:00:00Z")])
-    paths = J.StreamPaths(root)
-    raw = J.read_topic(spark, "m", folder=land, max_files_per_trigger=1)
-    J.await_all(spark, [J.start_stream(spark, "message", raw, paths, available_now=True)])
-    # restart from the checkpoint with a later duplicate of id 2
-    _land(land, "c.json", [msg(2, "2024-01-01T03:00:00Z"), msg(4, "2024-01-01T03:00:00Z")])
-    raw = J.read_topic(spark, "m", folder=land, max_files_per_trigger=1)
-    J.await_all(spark, [J.start_stream(spark, "message", raw, paths, available_now=True)])
-    silver = read_layer(spark, paths.layer("message", "silver"))
-    got = sorted((r["message_id"], r["symbol"]) for r in silver.collect())
-    assert got == [("1", "BTC.X"), ("2", "BTC.X"), ("3", "BTC.X"), ("4", "BTC.X")]
-    q = read_layer(spark, paths.layer("message", "quarantine")).collect()
-    assert [r["message_id"] for r in q] == ["9"]
-
-
-def test_stream_equals_batch_for_ticks(spark):
-    from conftest import SMALL
-    from sentimart.sources import fixtures as FX
-    from sentimart.sources.catalog import read_table
-    from sentimart.queries_stream import land, run_kind
-    root = run_folder(spark, "twin")
-    ticks = FX.ticks_from_events(read_table(spark, SMALL, "events"))
-    land(ticks, "tick", f"{root}/landing", "ingested_at")
-    paths = J.StreamPaths(root)
-    m = run_kind(spark, "tick", f"{root}/landing", paths)
-    streamed = read_layer(spark, paths.layer("tick", "silver")).drop("batch_id", "event_date", "processed_at")
-    batch = SV.tick_silver(ticks)
-    cols = sorted(batch.columns)
-    assert streamed.select(cols).exceptAll(batch.select(cols)).count() == 0
-    assert batch.select(cols).exceptAll(streamed.select(cols)).count() == 0
-    assert sum(n for (e, layer), n in m.rows.items() if layer == "bronze") == ticks.count()
-
-
-def test_app_runs_all_topics_from_published_folders(spark):
-    from conftest import SMALL
-    from sentimart.sources import fixtures as FX
-    from sentimart.sources import landing as L
-    from sentimart.sources.catalog import read_table
-    from sentimart.streaming.app import start_all
-    root = run_folder(spark, "app")
-    events, pages = read_table(spark, SMALL, "events"), read_table(spark, SMALL, "pages")
-    land = f"{root}/landing"
-    L.publish(L.keyed_records(FX.ticks_from_events(events), "tick")
-              .unionByName(L.keyed_records(FX.messages_from_events(events), "message"))
-              .unionByName(L.keyed_records(FX.articles_from_pages(pages), "article")), folder=land)
-    qs = start_all(spark, root, landing=land, available_now=True, dedup_delay="45 days")
-    J.run_until_failure(spark, qs)
-    mood = spark.read.parquet(f"{root}/marts/market_mood")
-    assert read_layer(spark, f"{root}/silver/tick").count() == events.count()
-    assert read_layer(spark, f"{root}/silver/message").count() == FX.messages_from_events(events).count()
-    assert mood.count() > 0
-
-
-def test_schema_evolving_layer(spark):
-    from sentimart.streaming.sinks import conform
-    root = run_folder(spark, "evolve")
-    a = spark.createDataFrame([("BTCUSDT", 1.0)], "symbol string, price double")
-    b = spark.createDataFrame([("ETHUSDT", 2.0, 5.0)], "symbol string, price double, volume double")
-    write_layers(a, 0, [LayerSpec(f"{root}/t")])
-    write_layers(b, 1, [LayerSpec(f"{root}/t")])
-    merged = read_layer(spark, f"{root}/t", merge_schema=True)
-    assert sorted((r["symbol"], r["volume"]) for r in merged.collect()) == [("BTCUSDT", None), ("ETHUSDT", 5.0)]
-    from pyspark.sql import types as T
-    with_batch = T.StructType(b.schema.fields + [T.StructField("batch_id", T.IntegerType())])
-    declared = conform(read_layer(spark, f"{root}/t", schema=with_batch), b.schema)
-    assert declared.columns == ["symbol", "price", "volume"] and declared.count() == 2
+def _run(spark, kind, where, paths, **options):
+    raw = J.read_topic(spark, kind, folder=where, max_files_per_trigger=1)
+    J.await_all(spark, [J.start_stream(spark, kind, raw, paths, available_now=True, **options)])
+
+
+def _ids(spark, paths, layer="silver"):
+    return sorted((r["message_id"], r["symbol"]) for r in J.layer_table(spark, paths, "message", layer).collect())
+
+
+def test_first_arrival_wins_across_batches_and_restarts(spark):
+    root = run_folder(spark, "dedup")
+    where, paths = root + "/landing", J.StreamPaths(root)
+    day = "2024-01-01T0{}:00:00Z"
+    _land(where, "a.json", [_msg(1, day.format(0)), _msg(2, day.format(1), ingested_at=day.format(5), body="copy"), _msg(2, day.format(1), body="first"),
+                            _msg(9, day.format(1), ingested_at=None)])  # no arrival time: kept
+    _land(where, "b.json", [_msg(1, day.format(0), "ETH.X"), _msg(3, day.format(2))])
+    _run(spark, "message", where, paths)
+    _land(where, "c.json", [_msg(2, day.format(1), "SOL.X"), _msg(4, day.format(3)), _msg(5, "2023-12-01T00:00:00Z")])  # a month late: kept
+    _run(spark, "message", where, paths)
+    assert _ids(spark, paths) == [(i, "BTC.X") for i in "123459"]
+    body = {r["message_id"]: r["body"] for r in J.layer_table(spark, paths, "message", "silver").collect()}
+    assert body["2"] == "first"
+    assert J.layer_table(spark, paths, "message", "bronze").count() == 9
+    assert J.layer_table(spark, paths, "message", "quarantine").count() == 0 and not os.path.exists(paths.layer("message", "quarantine"))
+
+
+def test_part_bad_records_stand_as_in_batch(spark):
+    root = run_folder(spark, "dirty")
+    where, paths = root + "/landing", J.StreamPaths(root)
+    t = "2024-01-01T00:00:00Z"
+    lines = [_msg(1, t), _msg(2, t, user_following="n/a"), _msg(3, t, ingested_at=None), {"symbol": "BTC.X"}, "{broken", _msg(4, t, sym=None)]
+    _land(where, "a.json", lines)
+    _run(spark, "message", where, paths)
+    batch = SV.message_silver(L.parse_records(spark.read.text(where), "message"))
+    assert _ids(spark, paths) == sorted((r.message_id, r.symbol) for r in batch.collect()) == [(i, "BTC.X") for i in "123"]
+    bronze = {r["message_id"]: r["malformed"] for r in J.layer_table(spark, paths, "message", "bronze").collect()}
+    assert bronze == {"1": False, "2": True, "3": False}
+    bad = J.layer_table(spark, paths, "message", "quarantine").collect()
+    assert sorted(r["_corrupt_record"][:8] for r in bad) == ['{"messag', '{"symbol', "{broken"]
+    one = J.reconciliation(spark, paths, "message", spark.read.text(where)).first()
+    assert (one.landed, one.bronze, one.silver, one.quarantined, one.repeated, one.invalid, one.unexplained) == (6, 3, 3, 3, 0, 0, 0)
 
 
 def test_dedup_key_per_symbol(spark):
     root = run_folder(spark, "dedupsym")
-    land = root.replace("file:", "") + "/landing"
-    recs = [{"message_id": "1", "symbol": s, "created_at": "2024-01-01T00:00:00Z",
-             "ingested_at": "2024-01-01T00:00:00Z", "user_followers": 5} for s in ("BTC.X", "ETH.X")]
-    _land(land, "a.json", recs[:1])
-    _land(land, "b.json", recs[1:] + recs[:1])
-    paths = J.StreamPaths(root)
-    raw = J.read_topic(spark, "m", folder=land, max_files_per_trigger=1)
-    J.await_all(spark, [J.start_stream(spark, "message", raw, paths, available_now=True,
-                                       dedup_keys=["message_id", "symbol"])])
-    got = sorted(r["symbol"] for r in read_layer(spark, paths.layer("message", "silver")).collect())
-    assert got == ["BTC.X", "ETH.X"]
+    where, paths = root + "/landing", J.StreamPaths(root)
+    recs = [_msg(1, "2024-01-01T00:00:00Z", s) for s in ("BTC.X", "ETH.X")]
+    _land(where, "a.json", recs[:1])
+    _land(where, "b.json", recs[1:] + recs[:1])
+    _run(spark, "message", where, paths, dedup_keys=["message_id", "symbol"])
+    assert _ids(spark, paths) == [("1", "BTC.X"), ("1", "ETH.X")]
 
 
-def test_late_rows_refresh_their_date_in_the_mood_mart(spark):
-    from sentimart.streaming.refresh import mood_refresher
-    root = run_folder(spark, "late")
-    land = root.replace("file:", "") + "/landing"
-    paths = J.StreamPaths(root)
-    mood_path = f"{root}/marts/market_mood"
-
-    def msg(i, t, c):
-        return {"message_id": str(i), "symbol": "BTC.X", "created_at": t, "ingested_at": t,
-                "sentiment_compound": c, "user_sentiment": "neutral", "user_followers": 5}
-
-    _land(land, "a.json", [msg(1, "2024-01-01T10:00:00Z", 1.0)])
-    _land(land, "b.json", [msg(2, "2024-01-03T10:00:00Z", 1.0)])
-    # a late message for Jan 1 arrives after Jan 3 (created long before it landed)
-    late = msg(3, "2024-01-01T10:30:00Z", -1.0)
-    late["ingested_at"] = "2024-01-03T11:00:00Z"
-    _land(land, "c.json", [late])
-    raw = J.read_topic(spark, "m", folder=land, max_files_per_trigger=1)
-    q = J.start_stream(spark, "message", raw, paths, available_now=True,
-                       after=mood_refresher(spark, paths, "message", mood_path))
-    J.await_all(spark, [q])
-    rows = {(str(r["date"]), r["hour"]): r for r in spark.read.parquet(mood_path).collect()}
-    assert rows[("2024-01-01", 10)]["social_message_count"] == 2          # late row folded in
-    assert rows[("2024-01-01", 10)]["avg_social_sentiment"] == 0.0
-    assert rows[("2024-01-03", 10)]["social_message_count"] == 1
+def test_broker_without_connector_is_an_error(spark):
+    assert not J.kafka_available(spark)
+    with pytest.raises(RuntimeError, match="connector"):
+        J.read_topic(spark, "t", bootstrap="host:9092")
+    with pytest.raises(ValueError):
+        J.read_topic(spark, "t")
+    options = J.kafka_options("t", "host:9092", 7)
+    assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false" and options["maxOffsetsPerTrigger"] == "7"
 
 
-def test_stateful_mood_stream_emits_closed_hours_exactly(spark):
-    """Windowed aggregates of both streams, FULL OUTER joined on the hour
-    window in streaming state: every hour the watermark has closed is
-    emitted once and equals the batch mart; open hours are withheld."""
+def test_layers_read_by_declared_schema(spark):
+    root = run_folder(spark, "evolve")
+    full = T.StructType.fromDDL("symbol string, price double, volume double")
+    write_layers(spark.createDataFrame([("005930", 1.0)], PRICES), 0, [LayerSpec(f"{root}/t")])
+    write_layers(spark.createDataFrame([("005931", 2.0, 5.0)], full), 1, [LayerSpec(f"{root}/t")])
+    got = sorted((r["symbol"], r["volume"]) for r in read_layer(spark, f"{root}/t", full).collect())
+    assert got == [("005930", None), ("005931", 5.0)]
+    assert conform(read_layer(spark, f"{root}/t", PRICES), full).columns == ["symbol", "price", "volume"]
+    assert read_layer(spark, f"{root}/none", full).count() == 0   # never committed: empty
+    os.makedirs(f"{root}/broken/batch_id=0")
+    with open(f"{root}/broken/batch_id=0/part.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        read_layer(spark, f"{root}/broken", full).collect()       # anything else is raised
+
+
+def test_app_equals_batch_and_one_refresher_keeps_gold(spark):
+    """Three concurrent streams at the defaults, over hard replays; then late
+    rows in a second run. Gold equals the batch build, late rows included."""
+    root = run_folder(spark, "app")
+    for kind in ("tick", "message", "article"):
+        land(spark, SMALL, kind, root)
+    run(spark, root, f"{root}/landing", available_now=True)
+    gold = lambda: spark.read.parquet(f"{root}/models/gold_crypto_dashboard").drop("updated_at")
+    want = E.queries()["crypto_dashboard"](spark, SMALL)
+    key = ["symbol", "date", "hour", "composite_signal", "sentiment_message_count", "news_article_count", "price_tick_count"]
+    assert gold().select(key).exceptAll(want.select(key)).count() == 0 and want.select(key).exceptAll(gold().select(key)).count() == 0
+    hours = gold().groupBy("date").count().collect()
+    _land(f"{root}/landing/topic=crypto.prices/chunk=late", "z.json",
+          [{"symbol": "BTCUSDT", "price": 5.0, "open": 5.0, "ingested_at": "2024-01-02T23:59:00Z"}])
+    run(spark, root, f"{root}/landing", available_now=True)
+    after = {r["date"]: r["n"] for r in gold().groupBy("date").agg(F.sum("price_tick_count").alias("n")).collect()}
+    before = {r["date"]: r["n"] for r in want.groupBy("date").agg(F.sum("price_tick_count").alias("n")).collect()}
+    assert {str(d): after[d] - before[d] for d in after if after[d] != before.get(d)} == {"2024-01-02": 1}
+    assert len(hours) == len(after)
+
+
+def test_refresh_cost_does_not_grow_with_history(spark):
+    """The files that a refresh of one date reads are the same after 5 and
+    after 50 batches of other dates."""
+    root = run_folder(spark, "history")
+    paths = J.StreamPaths(root)
+    rows = source_records(spark, SMALL, "tick")
+    silver = J._dated(SV.tick_silver(rows.drop("_row").withColumn("processed_at", F.current_timestamp())), "tick").cache()
+    partials = J.PARTIALS["tick"](silver).cache()
+    dates = [r[0] for r in partials.select("trade_date").distinct().orderBy("trade_date").collect()]
+    spec = LayerSpec(paths.layer("tick", "partials"), add_columns={"event_date": F.col("trade_date")})
+    write_layer(partials.filter(F.col("trade_date") == F.lit(dates[0])), 0, spec)
+    reads = []
+    for epoch in range(1, 51):
+        if epoch in (6, 50):
+            df = J.layer_table(spark, paths, "tick", "partials", [dates[0]])
+            assert "PartitionFilters: [isnotnull(event_date" in df._jdf.queryExecution().executedPlan().toString()
+            reads.append(df.select(F.input_file_name()).distinct().count())
+        if epoch < 8 or epoch > 46:
+            write_layer(partials.filter(F.col("trade_date") == F.lit(dates[1 + epoch % 5])), epoch, spec)
+    assert reads[0] == reads[1]
+    refresh(spark, paths, f"{root}/models", [dates[0]])
+    got = spark.read.parquet(f"{root}/models/mart_price_sentiment_correlation")
+    assert [r[0] for r in got.select("date").distinct().collect()] == [dates[0]]
+
+
+def test_compaction_retires_batches_and_survives_a_crash(spark):
+    root = run_folder(spark, "compact")
+    path, schema = f"{root}/silver", T.StructType.fromDDL("symbol string, price double, event_date date")
+    rows = spark.createDataFrame([("A", float(i), f"2024-01-0{1 + i % 2}") for i in range(40)], "symbol string, price double, d string")
+    rows = rows.select("symbol", "price", F.col("d").cast("date").alias("event_date")).cache()
+    for epoch in range(4):
+        write_layer(rows.filter(F.col("price") % 4 == epoch), epoch, LayerSpec(path))
+    total = lambda: sorted(r["price"] for r in read_layer(spark, path, schema).collect())
+    want = [float(i) for i in range(40)]
     import datetime as dt
-    from conftest import SMALL
-    import __spark_entry__ as E
-    from sentimart.queries import _present
-    from sentimart.queries_stream import _article_replay, _message_replay
-    from sentimart.sources import landing as L
-    from sentimart.streaming.mood_stateful import mood_stream
-    root = run_folder(spark, "stateful")
-    mf, af = _message_replay(spark, SMALL, root), _article_replay(spark, SMALL, root)
-    m = L.parse_records(J.read_topic(spark, "m", folder=mf), "message")
-    a = L.parse_records(J.read_topic(spark, "a", folder=af), "article")
-    q = (mood_stream(m, a, "2 hours").writeStream.outputMode("append").format("parquet")
-         .option("path", f"{root}/mood").option("checkpointLocation", f"{root}/_ck")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    out = _present(spark.read.parquet(f"{root}/mood"))
-    batch = E.queries()["market_mood"](spark, SMALL)
-    cols = batch.columns
-    assert out.select(cols).exceptAll(batch).count() == 0           # every emitted hour is exact
-    # the global watermark is the smaller of the two streams' (max event time - 2 h)
-    m_max = spark.read.text(mf).select(F.max(F.get_json_object("value", "$.created_at"))).collect()[0][0]
-    a_max = spark.read.text(af).select(F.max(F.get_json_object("value", "$.published_at"))).collect()[0][0]
-    wm = min(dt.datetime.fromisoformat(m_max), dt.datetime.fromisoformat(a_max)).replace(tzinfo=None) \
-        - dt.timedelta(hours=2)
-    closed = batch.filter(F.expr("timestamp(date) + make_interval(0, 0, 0, 0, hour + 1, 0, 0)")
-                          <= F.lit(wm))
-    assert closed.exceptAll(out.select(cols)).count() == 0           # every closed hour was emitted
-    assert out.count() < batch.count()                               # open hours are withheld
-
-
-def test_corrupt_records_go_to_quarantine_with_their_text(spark):
-    root = run_folder(spark, "corrupt")
-    land = root.replace("file:", "") + "/landing"
-    os.makedirs(land, exist_ok=True)
-    with open(os.path.join(land, "a.json"), "w") as f:
-        f.write(json.dumps({"symbol": "BTCUSDT", "price": 1.0, "ingested_at": "2024-01-01T00:00:00Z"}) + "\n")
-        f.write('{"symbol": "ETHUSDT", "price": \n')                                # not JSON
-        f.write(json.dumps({"symbol": "SOLUSDT", "price": "n/a"}) + "\n")          # wrong type
+    day = dt.date(2024, 1, 1)
+    with pytest.MonkeyPatch.context() as m:  # a crash between writing and retiring
+        m.setattr("sentimart.streaming.compaction.retire", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):
+            compact(spark, path, schema, [day])
+    assert total() == want
+    retire(spark, path, "2024-01-01")
+    assert total() == want and not os.path.exists(f"{path}/event_date=2024-01-01/batch_id=0")
+    write_layer(rows.filter("price = 0"), 9, LayerSpec(path))  # a late row of the closed date
+    compact(spark, path, schema, [day, day])
+    compact(spark, path, schema, [day])
+    assert total() == sorted(want + [0.0])
+    assert os.listdir(f"{path}_compact/event_date=2024-01-01") == ["upto=9"]
+
+
+def test_compacted_layers_feed_the_build(spark):
+    from sentimart.plans.build import silver_tables
+    root = run_folder(spark, "compactapp")
+    where = land(spark, SMALL, "message", root)
     paths = J.StreamPaths(root)
-    raw = J.read_topic(spark, "t", folder=land)
-    J.await_all(spark, [J.start_stream(spark, "tick", raw, paths, available_now=True)])
-    silver = read_layer(spark, paths.layer("tick", "silver")).collect()
-    assert [r["symbol"] for r in silver] == ["BTCUSDT"]
-    q = read_layer(spark, paths.layer("tick", "quarantine")).collect()
-    assert sorted(r["_corrupt_record"][:20] for r in q) == ['{"symbol": "ETHUSDT"', '{"symbol": "SOLUSDT"']
-    bronze = read_layer(spark, paths.layer("tick", "bronze"))
-    assert bronze.count() == 1 and "_corrupt_record" not in bronze.columns
+    run_kind(spark, "message", where, paths)
+    before = silver_tables(spark, root)["message"].count()
+    compact_dates(spark, root, ["2024-01-03", "2024-01-04"])
+    assert silver_tables(spark, root)["message"].count() == before
+    assert not os.path.exists(f"{paths.layer('message', 'silver')}/event_date=2024-01-03/batch_id=0")
+    run_kind(spark, "message", where, paths)  # a restart finds nothing new
+    assert silver_tables(spark, root)["message"].count() == before
+
+
+def test_producers_run_on_a_stream(spark):
+    """The row-local producer gives the same records on a stream as in batch."""
+    root = run_folder(spark, "producer")
+    raw = FX.social_landing(read_table(spark, SMALL, "events"))
+    raw.write.parquet(f"{root}/raw")
+    stream = spark.readStream.schema(raw.schema).parquet(f"{root}/raw")
+    q = (PR.social(stream, dedup=False).writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/_ck").trigger(availableNow=True).start())
+    J.await_all(spark, [q])
+    got, want = spark.read.parquet(f"{root}/out"), PR.social(raw, dedup=False)
+    assert got.count() > 900 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_a_failing_stream_stops_the_others(spark):
+    root = run_folder(spark, "fail")
+    _land(f"{root}/landing/topic=crypto.prices", "a.json", [{"symbol": "A", "price": 1.0, "ingested_at": "2024-01-01T00:00:00Z"}])
+    for t in ("market.sentiment", "market.news"):
+        os.makedirs(f"{root}/landing/topic={t}")
+    os.makedirs(f"{root}/bronze")
+    with open(f"{root}/bronze/tick", "w") as f:  # a file where the layer's folder should be
+        f.write("x")
+    with pytest.raises(RuntimeError):
+        J.run_until_failure(spark, start_ingest(spark, root, f"{root}/landing", available_now=True))
+
+
+@pytest.mark.parametrize("name", ["stream_message_dedup", "stream_article_silver", "stream_reconciliation", "stream_market_mood_refresh"])
+def test_registered_streams_match_the_oracle(spark, duck, name):
+    from test_oracle import _rows
+    df = E.queries()[name](spark, SMALL)
+    res = duck.execute(E.oracle_sql()[name])
+    cols = [d[0] for d in res.description]
+    assert sorted(df.columns) == sorted(cols)
+    assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(cols, res.fetchall())

@@ -1,5 +1,101 @@
-"""DuckDB SQL of the queries that SQL can express, by query name."""
+"""DuckDB SQL of the queries that SQL can express, by query name.
+
+The others (fingerprints, automata, Newton steps, random walks, trained models)
+are tested against plain Python versions in ``tests/llm``.
+"""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+WORD = r"'[^\x20\x09-\x0D]+'"
+TEXTS = "texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents)"
+TOKENS = f"tokens AS (SELECT *, regexp_extract_all(t, {WORD}) AS w FROM texts)"
+
+# --- quality rules: windows by unnesting, ratios by their definitions ---------------
+
+STOP = """the of and to in a is that for it as was with be by on not he his are this at from have or an they which you we
+der die das und den von zu mit sich des auf für ist im dem nicht ein eine als auch
+le la les de des et en un une du dans que qui est pour pas au sur par avec
+el los las y con del se por para su al no una lo como""".split()
+QUALITY = f"""
+WITH {TEXTS}, {TOKENS},
+starts AS (SELECT r, w, unnest(generate_series(1, len(w) - 2)) AS p FROM tokens WHERE len(w) >= 3),
+repeated AS (SELECT r, p FROM starts QUALIFY count(*) OVER (PARTITION BY r, w[p], w[p + 1], w[p + 2]) > 1),
+covered AS (SELECT r, count(DISTINCT p + k) AS n FROM repeated, (VALUES (0), (1), (2)) AS s(k) GROUP BY r),
+counts AS (
+  SELECT r, doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(list_filter(w, lambda x: x IN ({', '.join(f"'{x}'" for x in sorted(set(STOP)))}))) AS n_stop,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM tokens),
+measured AS (
+  SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+    coalesce(CAST(word_chars AS DOUBLE) / nullif(n_words, 0), 0.0) AS mean_word_chars,
+    coalesce(CAST(n_symbols AS DOUBLE) / nullif(n_words, 0), 0.0) AS symbol_ratio,
+    coalesce(CAST(n_stop AS DOUBLE) / nullif(n_words, 0), 0.0) AS stop_word_ratio,
+    coalesce(CAST(len(lines) - len(list_distinct(lines)) AS DOUBLE) / nullif(len(lines), 0), 0.0) AS dup_line_ratio
+  FROM counts LEFT JOIN covered USING (r)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
+SELECT *, NOT base_failed AND mean_word_chars BETWEEN 2 AND 15 AND symbol_ratio <= 0.2 AND stop_word_ratio >= 0.05 AND dup_line_ratio <= 0.3 AS kept
+FROM judged"""
+
+# --- sharding: the law by its definition, the checksum by its polynomial --------------
+
+SHARDING = """
+WITH tables AS (
+  SELECT list_transform(generate_series(0, 255), lambda n: list_reduce(list_prepend(n, generate_series(1, 8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc),
+bytes AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+records AS (
+  SELECT doc_id, CAST(n + 16 AS BIGINT) AS size,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(generate_series(1, n), lambda i: CAST('0x' || substr(h, 2 * i - 1, 2) AS BIGINT))),
+      lambda c, b: xor(crc[CAST(xor(c, b) & 255 AS INTEGER) + 1], c >> 8))) AS text_crc32
+  FROM bytes, tables),
+scores AS (
+  SELECT *, list_transform(generate_series(0, 40), lambda j: -ln((CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/' || CAST(j AS VARCHAR)), 1, 13))
+    AS BIGINT) + 0.5) / 4503599627370496.0)) AS s
+  FROM records),
+placed AS (
+  SELECT doc_id, size, text_crc32, list_position(s, list_min(s[1:40])) - 1 AS shard, list_position(s, list_min(s)) - 1 AS grown_shard FROM scores)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard, CAST(grown_shard AS INTEGER) AS grown_shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot
+FROM placed"""
+
+# --- substring dedup: every window unnested ---------------------------------------------
+
+SUBSTRINGS = f"""
+WITH {TEXTS}, {TOKENS},
+windows AS (SELECT r, doc_id, p, array_to_string(w[p:p + 12], ' ') AS key
+  FROM (SELECT *, unnest(generate_series(1, len(w) - 12)) AS p FROM tokens WHERE len(w) >= 13 AND doc_id IS NOT NULL)),
+late AS (SELECT r, p FROM windows QUALIFY min(doc_id) OVER (PARTITION BY key) < doc_id),
+gone AS (SELECT DISTINCT r, p + k AS p FROM late, generate_series(0, 12) AS s(k)),
+spread AS (SELECT r, unnest(generate_series(1, len(w))) AS p, unnest(w) AS x FROM tokens),
+kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM spread ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM tokens LEFT JOIN kept USING (r)"""
+
+# --- chat formatting: sizes and digests from the turns themselves ------------------------
+
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, row_number() OVER w AS n, count(*) OVER (PARTITION BY conv_id) AS turns,
+    sum(length(regexp_replace(text, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g'))
+      + CASE WHEN role = 'assistant' THEN 7 ELSE 14 + length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'),
+        '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g')) END) OVER w AS upto
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(upto) FILTER (WHERE role = 'assistant' OR n = turns) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_quality_rules": QUALITY,
+    "op5_sharding": SHARDING,
+    "op7_substring_dedup": SUBSTRINGS,
+    "op8_chat_formatting": CHAT,
+}

@@ -35,7 +35,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratios = [r.name for r in quality_rules.RULES]
     return quality_rules.judged(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        *[F.round(c, 6).alias(c) for c in ratios])
+        *ratios)
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from sentimart.queries import _present, register
 from sentimart.session import run_folder
 from sentimart.sources import fixtures as FX
 from sentimart.sources import landing as L
-from sentimart.sources.catalog import read_table, register_views
+from sentimart.sources.catalog import SILVER_SOURCES, read_source, read_table, register_views
 from sentimart.streaming import jobs as J
 from sentimart.streaming.app import run as run_app
 from sentimart.streaming.app import start_ingest
@@ -92,7 +92,8 @@ def _streamed(spark, sf_dir, kind):
     root = run_folder(spark, f"{kind}s")
     paths = J.StreamPaths(root)
     run_kind(spark, kind, land(spark, sf_dir, kind, root), paths)
-    return J.layer_table(spark, paths, kind, "silver")
+    name = next(n for n, source in SILVER_SOURCES.items() if source.kind == kind)
+    return read_source(spark, root, name)
 
 
 @register("stream_tick_silver")

@@ -6,6 +6,7 @@ Locations are parameters, never hard-coded paths inside a model.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,14 +17,30 @@ INPUT_TABLES = (
     "conversations",
 )
 
-# Declared silver sources with their descriptions.
+
+class Source(NamedTuple):
+    """A declared source: which layer of a streaming root holds it."""
+
+    kind: str
+    layer: str
+    description: str
+
+
+# The declared silver sources of the models (SRC-4).
 SILVER_SOURCES = {
-    "crypto_prices": "Cleaned price ticks",
-    "sentiment": "Cleaned social messages with sentiment scores",
-    "news": "Cleaned news articles with sentiment scores",
+    "crypto_prices": Source("tick", "silver", "Cleaned price ticks"),
+    "sentiment": Source("message", "silver", "Cleaned social messages with sentiment scores"),
+    "news": Source("article", "silver", "Cleaned news articles with sentiment scores"),
 }
 
 
+def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A declared source below a streaming root, in its declared schema."""
+    from sentimart.streaming.jobs import StreamPaths, layer_table
+    source = SILVER_SOURCES[name]
+    return layer_table(spark, StreamPaths(root), source.kind, source.layer)
+
+
 def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}.parquet"
 

@@ -58,7 +58,8 @@ def written(df: DataFrame, release: bool = False) -> DataFrame:
 
     With ``release`` the driver collects its garbage, so that Spark's cleaner
     lets the shuffle files of the finished step go now and not at its next
-    periodic collection.
+    periodic collection. (The listener bus holds the last event, and with it
+    the plan just run, until another event comes; the empty statement is one.)
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}"
@@ -67,6 +68,7 @@ def written(df: DataFrame, release: bool = False) -> DataFrame:
     if release:
         del df
         gc.collect()
+        spark.sql("SELECT 1").collect()
         spark.sparkContext._jvm.System.gc()
     return table
 

@@ -6,8 +6,8 @@ the streaming jobs at their shipped settings with ``availableNow`` from an
 empty checkpoint, one file set per micro-batch, and returns the table the job
 wrote, so the result is compared with the same SQL as its batch twin.
 
-The replays are meant to be hard: every batch spans the whole month (so most
-rows are weeks out of order), ids come again inside a batch and in later
+The replays are meant to be hard: but for ticks (a batch a week) every batch
+spans the whole month, so most rows are weeks out of order; ids come again inside a batch and in later
 batches with another content, some records lack their arrival time, some carry
 a field of the wrong type, some values are not JSON, and some lack their keys.
 """
@@ -30,7 +30,8 @@ from sentimart.streaming.app import start_ingest
 from sentimart.streaming.sinks import BatchMetrics, LayerSpec, read_layer, write_layer
 
 #: Batches of a replay; copies that come later land after all of them.
-CHUNKS, LATER = 3, 99
+CHUNKS, LATER = 3, 10**6
+WEEK = 7 * 86400
 ROW = {"tick": "event_id", "message": "event_id", "article": "page_id"}
 STREAM_COLUMNS_TO_DROP = ["processed_at", "batch_id", "event_date"]
 
@@ -46,7 +47,8 @@ def _copies(df: DataFrame, kind: str, hours: int) -> DataFrame:
 
 def replay(records: DataFrame, kind: str) -> DataFrame:
     """(chunk, value) of a hard replay of ``records`` (with their row id in ``_row``)."""
-    row, chunk = F.col("_row"), F.col("_row") % CHUNKS
+    row = F.col("_row")
+    chunk = row % CHUNKS if kind != "tick" else F.floor(F.unix_seconds("ingested_at") / WEEK)
     first = records.withColumn("chunk", chunk)
     if kind != "tick":
         first = first.withColumn("ingested_at", F.when(row % 53 != 0, F.col("ingested_at")))  # no arrival time
@@ -77,7 +79,7 @@ def land(spark: SparkSession, sf_dir: str, kind: str, root: str, hard: bool = Tr
     records = source_records(spark, sf_dir, kind)
     lines = replay(records, kind) if hard else records.select(F.lit(0).alias("chunk"), L.wire_value(records, kind).alias("value"))
     folder = f"{root}/landing/topic={TOPICS[kind]}"
-    lines.repartition(CHUNKS + 1, "chunk").write.partitionBy("chunk").text(folder)
+    lines.repartition("chunk").write.partitionBy("chunk").text(folder)
     return folder
 
 

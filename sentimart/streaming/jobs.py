@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import contextlib
 import functools
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -167,15 +168,19 @@ def start_stream(spark: SparkSession, kind: str, raw: DataFrame, paths: StreamPa
             n, bad = batch.agg(F.count(F.lit(1)), F.count_if("quarantined")).first()
             if not n:
                 return
-            if bad:
-                write_layer(batch, epoch, LayerSpec(paths.layer(kind, "quarantine"), lambda b: _dated(b.filter("quarantined"), kind), name="quarantine"), metrics, fmt)
             records = _record(batch)
-            write_layer(records, epoch, LayerSpec(paths.layer(kind, "bronze"), lambda b: _dated(b, kind), name="bronze"), metrics, fmt)
             silver = new_silver(spark, records, kind, paths, epoch, dedup_keys).persist()
+            partials = PARTIALS[kind](silver)
+            layers = [(records, LayerSpec(paths.layer(kind, "bronze"), lambda b: _dated(b, kind), name="bronze")),
+                      (silver, LayerSpec(paths.layer(kind, "silver"), name="silver")),
+                      (partials, LayerSpec(paths.layer(kind, "partials"), add_columns={DATE: F.col(PARTIAL_DATE[kind])}, name="partials"))]
+            if bad:
+                layers.append((batch.filter("quarantined"), LayerSpec(paths.layer(kind, "quarantine"), lambda b: _dated(b, kind), name="quarantine")))
             try:
-                if write_layer(silver, epoch, LayerSpec(paths.layer(kind, "silver"), name="silver"), metrics, fmt):
-                    write_layer(PARTIALS[kind](silver), epoch,
-                                LayerSpec(paths.layer(kind, "partials"), add_columns={DATE: F.col(PARTIAL_DATE[kind])}, name="partials"), None, fmt)
+                # the layers don't depend on each other; a batch that fails half-way is written again whole
+                with ThreadPoolExecutor(len(layers)) as pool:
+                    rows = list(pool.map(lambda x: write_layer(x[0], epoch, x[1], metrics, fmt), layers))
+                if rows[1]:  # note the dates last, when everything about them is there
                     (silver.select(F.lit(kind).alias("kind"), DATE, F.lit(epoch).alias("epoch")).distinct().coalesce(1)
                      .write.mode("overwrite").parquet(f"{paths.touched}/{kind}-{epoch}"))
             finally:

@@ -3,7 +3,8 @@
 Each stage takes what its predecessor kept, as a table read again from disk,
 and returns a DataFrame; all but the last return the columns of documents.
 
-1. quality_classifier: documents that importance resampling rejects go.
+1. quality_classifier: documents that importance resampling rejects or finds
+   toxic go.
 2. simhash_dedup: of each class of near copies the document of the smallest
    doc_id stays.
 3. decontamination: documents that leak a benchmark item go.

@@ -13,7 +13,7 @@ import corpus_pipeline
 from sentimart.llm import importance_resampling as R
 from sentimart.llm import simhash_dedup
 
-SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+SMALL, MEDIUM, LARGE = "/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, fits int"
 LABELS = "doc_id long, quality int, toxic int"
 M = (1 << 64) - 1
@@ -86,6 +86,16 @@ def test_held_out_accuracy(spark):
     assert np.mean(good) > 0.96 and np.mean(bad) < 0.25  # 200 labels: the cut is the least of about 85
 
 
+def test_held_out_toxic(spark):
+    """Labels hidden from the fit: documents with a few toxic words go, clean ones stay."""
+    labels = spark.read.parquet(f"{LARGE}/labels.parquet")
+    shown, hidden = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1 and quality = 1").collect()
+    kept = {r.doc_id for r in R.accepted(spark.read.parquet(f"{LARGE}/documents.parquet"), shown).select("doc_id").collect()}
+    clean, toxic = ([r.doc_id in kept for r in hidden if r.toxic == which] for which in (0, 1))
+    print(f"toxic recall {1 - np.mean(toxic):.3f} of {len(toxic)}, clean loss {1 - np.mean(clean):.4f} of {len(clean)}")
+    assert np.mean(toxic) < 0.2 and np.mean(clean) > 0.985
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 0, 0)]])
 def test_nothing_labelled_good(spark, labels):
     docs = spark.createDataFrame(corpus(random.Random(2), 20)[0], DOCS)

@@ -5,7 +5,11 @@ values they find are labelled credentials. From a bounded sample of each kind
 a probabilistic automaton is inferred: a prefix tree of the values whose
 states are merged where their symbol and end frequencies are statistically
 compatible (Hoeffding bounds, states in breadth-first order). More
-automata are inferred from runs that no base pattern covers. Then every
+automata are inferred from runs that no base pattern covers: plain numbers,
+words in capitals, and as ordinary text those runs only that different texts
+share, counted over all documents. Unlabelled credentials are nearly all
+distinct, so they do not train the automaton that would then spare them,
+however many they are. (If no run is shared, runs without digits.) Then every
 candidate, a run of credential characters outside the base spans, is scored by
 format likelihood: the log-likelihood under the best credential automaton less
 the one under the best of the automata for what is no credential: ordinary
@@ -167,7 +171,7 @@ _SIZE = defaultdict(lambda: 1, {"9": 10, "f": 6, "z": 20, "Z": 26})
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """``(doc_id, base, values, runs)``: base spans, labelled values by kind, candidates and text samples.
+    """``(doc_id, text_hash, base, labelled, runs)``: base spans, labelled values by kind, candidates and text samples.
 
     Written once; texts are not needed after it.
     """
@@ -187,7 +191,7 @@ def scanned(docs: DataFrame) -> DataFrame:
             runs.append([{"start": m.start(), "value": m[0]} for m in free])
         return pd.DataFrame({"base": base, "labelled": labelled, "runs": runs})
 
-    return written(docs.select("doc_id", scan(text_of("text")).alias("x")).select("doc_id", "x.*"))
+    return written(docs.select("doc_id", F.xxhash64(text_of("text")).alias("text_hash"), scan(text_of("text")).alias("x")).select("doc_id", "text_hash", "x.*"))
 
 
 def _plain(run: str) -> str:
@@ -196,11 +200,18 @@ def _plain(run: str) -> str:
 
 
 def learned(found: DataFrame, sample: dict[str, int] = SAMPLE, alpha: float = ALPHA) -> dict[str, Automaton]:
-    """Automata by kind, from the labelled values (of each kind those first by hash)."""
-    values = found.select(F.explode("labelled").alias("x")).select("x.*").distinct()
+    """Automata by kind, from the labelled values (of each kind those first by hash).
+
+    Copies of a text count once: a value is shared if texts of different hashes have it.
+    """
+    values = found.select("text_hash", F.explode("labelled").alias("x")).groupBy("x.kind", "x.value").agg(
+        (F.min("text_hash") < F.max("text_hash")).alias("shared"))
     out = {}
     for kind, most in sample.items():
-        rows = values.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(most).collect()
+        own = values.where(F.col("kind") == kind)
+        for known in ("shared", "NOT value RLIKE '[0-9]'") if kind == "text" else ("true",):
+            if rows := own.where(known).orderBy(F.xxhash64("value"), "value").limit(most).collect():
+                break
         if rows:
             out[kind] = Automaton([r.value for r in rows], alpha)
     return out

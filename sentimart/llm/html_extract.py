@@ -12,8 +12,10 @@ The tree has a few nodes and goes with the task; pages are handled one by one,
 so the job is one pass without a shuffle.
 
 Defined results: a null page is an empty one and has the empty text; a tag,
-comment or script cut off by the end of the page ends there, and a character
-reference cut off stays as text; a ``<`` that starts no tag is text; repeated
+comment, script, style, textarea or title cut off by the end of the page ends
+there, and a character reference cut off stays as text; a head is no scope, its
+end tag may be left out; an unclosed noscript, button, select, object, svg or
+the like ends at body or at the end tag of an element around it; a ``<`` that starts no tag is text; repeated
 rows give equal results; null keys are kept; an empty table gives an empty
 result; other columns are ignored.
 """
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from functools import cache
 from typing import NamedTuple
 
@@ -40,9 +43,14 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup "
     "time tt u var wbr img".split())
 #: Elements whose whole content is no text of the page.
-OPAQUE = frozenset("script style head title noscript template svg math iframe object select textarea button datalist".split())
+OPAQUE = frozenset("script style title noscript template svg math iframe object select textarea button datalist".split())
+#: Of those, the ones that hold no tags.
+RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in ("script", "style", "textarea", "title")}
+#: Of those, the ones that can stand in one another; and those where titles and the like are no raw text if unclosed.
+NESTED, FOREIGN = frozenset("object template svg math".split()), frozenset(("svg", "math"))
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Containers that open no scope of their own in the markup that pages have (often unclosed).
-FLAT = frozenset("p br hr h1 h2 h3 h4 h5 h6 li dt dd tr td th tbody thead tfoot option pre blockquote input img meta link".split())
+FLAT = frozenset("p br hr h1 h2 h3 h4 h5 h6 li dt dd tr td th tbody thead tfoot option pre blockquote input img meta link head base".split())
 FURNITURE_TAGS = frozenset("nav header footer aside form menu dialog".split())
 FURNITURE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice "
@@ -71,6 +79,10 @@ def blocks(page: str) -> list[Block]:
     scopes: list[tuple[str, int, bool]] = [("", NEUTRAL, False)]  # tag, container, deep
     in_link = False
     opaque, at = "", 0
+    inside: Counter = Counter()  # elements open in the opaque one, also as a list; FLAT ones open around it; RAW ones that no end tag follows
+    inner: list[str] = []
+    around: Counter = Counter()
+    endless: set[str] = set()
 
     def flush() -> None:
         if pieces:
@@ -88,30 +100,54 @@ def blocks(page: str) -> list[Block]:
             if in_link:
                 linked.append(text)
 
-    for m in TOKEN.finditer(page):
-        if m.start() < at:
-            continue  # inside a script
+    while m := TOKEN.search(page, at):
         say(page[at:m.start()])
         at = m.end()
         tag = (m["tag"] or m["tag2"] or "").lower()
         if not tag:
             continue
         end = bool(m["end"] or m["end2"])
+        empty = (m["attributes"] or "").endswith("/")
+        if tag in RAW and not end and not empty:
+            close = None if tag in endless else RAW[tag].search(page, at)
+            if close:
+                flush()
+                at = close.start()
+                continue
+            endless.add(tag)
+            if opaque not in FOREIGN:
+                at = len(page)
+                break
         if opaque:
-            if end and tag == opaque:
+            if not end:
+                if tag != "body":
+                    if tag == opaque and tag not in NESTED:
+                        inside.clear()
+                        inner.clear()
+                    elif not empty and tag not in VOID:
+                        inside[tag] += 1
+                        inner.append(tag)
+                    continue
+            elif inside[tag]:
+                while True:
+                    inside[last := inner.pop()] -= 1
+                    if last == tag:
+                        break
+                continue
+            elif tag == opaque:
                 opaque = ""
-            continue
+                continue
+            elif tag not in ("body", "html", "head") and not around[tag] and all(tag != x for x, _, _ in scopes):
+                continue
+            opaque = ""
+        if tag in FLAT and tag not in VOID:
+            around[tag] = max(0, around[tag] - 1) if end else around[tag] + 1
         if tag in OPAQUE:
             flush()
-            if end or (m["attributes"] or "").endswith("/"):
-                continue
-            if tag in ("script", "style"):
-                close = re.compile(f"</{tag}", re.IGNORECASE).search(page, at)
-                if close is None:
-                    at = len(page)
-                    break
-                at = close.start()
-            opaque = tag
+            if not end and not empty:
+                opaque = tag
+                inside.clear()
+                inner.clear()
         elif tag == "br":
             say(" ")
         elif tag == "a":

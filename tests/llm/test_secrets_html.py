@@ -136,6 +136,26 @@ def test_pages(spark):
         assert want[r.page_id] in (None, r.text) and r.n_chars == len(r.text)
 
 
+@pytest.mark.parametrize("tag", ["noscript", "button", "select", "object", "svg", "iframe", "template"])
+def test_unclosed_elements(tag):
+    article = f"<article><p>{PARA}</p></article>"
+    assert H.main_text(f"<body><div><{tag}>no <b>text</b><p>here</div>{article}") == PLAIN
+    assert H.main_text(f"<ul><li><{tag}>no text</li></ul>{article}") == PLAIN
+    assert H.main_text(f"<div><{tag}><div>no</div> text <style>a </div> b</style></{tag}></div>{article}") == PLAIN
+    assert H.main_text(f"<head><title>T</title><{tag}>no<body>{article}") == PLAIN
+    assert H.main_text(f"<article><p>{PARA}</p><section><{tag}>no</section><p>{PARA}</p></article>") == f"{PLAIN} {PLAIN}"
+
+
+def test_head_left_open():
+    article = f"<article><p>{PARA}</p></article>"
+    for head in ("<head><title>T a <b </title><meta charset=utf-8>", "<head><base href=x><script>'<body>'</script><style>p</style>", "<head>", "<HEAD><link rel=x></HEAD>"):
+        for body in ("<body>", ""):
+            assert H.main_text(f"<html>{head}{body}{article}") == PLAIN
+    for tag in ("script", "style", "textarea", "title"):
+        assert H.main_text(f"<head>{article}<{tag}>no {article}") == PLAIN
+    assert H.main_text(f"<svg><title>no<title>no</svg>{article}") == PLAIN
+
+
 def test_registered_pages(spark):
     import html
 

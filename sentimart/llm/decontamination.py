@@ -8,8 +8,10 @@ Embedding. A CGK walk goes along a window of words: at each step it emits the
 word under it, and moves on by one or stays, as a random bit of (step, word)
 says. Two windows of small edit distance fall into step again after an edit,
 so their walks emit the same words at most steps: edit distance becomes
-Hamming distance. Windows have the size of the items (``SIZES``, the largest
-that an item fills); longer items contribute each of their windows.
+Hamming distance. An item contributes each of its windows. Their size goes by
+the item's words (``SIZES``): the shorter the item, the shorter its windows, so
+that some of them hold no edit; an item too short for any edit has a window
+whose walk cannot leave it.
 
 Search. Bit sampling keeps ``SAMPLED`` steps of a walk as the bucket's key;
 ``REPEATS`` independent walks and samples reach the target recall (measured in
@@ -43,8 +45,8 @@ from sentimart.llm.common import text_of, words
 
 #: An item counts as leaked if so large a share of its words, at most, is edited.
 MAX_EDITS = 0.2
-#: Window sizes in words; steps of a walk for each word of a window.
-SIZES, STEPS = (1, 2, 3, 4, 6, 8, 12), 2  # 32 steps at most
+#: Window sizes in words, by the least words of an item; steps of a walk for each word of a window (one step for a window of 0).
+SIZES, STEPS = {1: 0, 2: 1, 4: 2, 8: 3, 12: 6, 24: 12}, 2  # 32 steps at most
 #: Sampled steps of a walk, and independent walks.
 SAMPLED, REPEATS = 4, 4
 #: Benchmark words in a block of items, at most (about 100 bytes each in a task).
@@ -63,7 +65,7 @@ def tokens(raw: bytes) -> np.ndarray:
 def buckets(t: np.ndarray, size: int, repeat: int, sampled: int = SAMPLED) -> np.ndarray:
     """The bucket key of the window at each position of ``t`` (padded at its end)."""
     rng = np.random.default_rng([size, repeat])
-    steps, n = STEPS * size, len(t)
+    steps, n = max(1, STEPS * size), len(t)
     chosen = set(rng.choice(steps, min(sampled, steps), replace=False).tolist())
     salt = np.uint64(int(rng.integers(1 << 63)) * 2 + 1)
     padded = np.r_[t, np.zeros(steps, np.uint64)]
@@ -89,7 +91,7 @@ class Index:
         by_size = defaultdict(list)
         for i, t in enumerate(self.tokens):
             if len(t):
-                by_size[max(s for s in SIZES if s <= len(t))].append(i)
+                by_size[SIZES[max(n for n in SIZES if n <= len(t))]].append(i)
         for size, group in by_size.items():
             for repeat in range(repeats):
                 at: dict[int, list[tuple[int, int]]] = defaultdict(list)
@@ -117,7 +119,7 @@ class Index:
         every = np.concatenate(held)
         places: dict[int, set[tuple[int, int]]] = defaultdict(set)
         for part in range(0, len(every), WALK):
-            piece = every[part:part + WALK + STEPS * max(SIZES)]  # a walk goes on into the next piece
+            piece = every[part:part + WALK + STEPS * max(SIZES.values())]  # a walk goes on into the next piece
             for (size, repeat), (bits, at) in self.tables.items():
                 keys = buckets(piece, size, repeat, self.sampled)[:WALK]
                 for p in np.flatnonzero(bits[keys >> np.uint64(44)]).tolist():

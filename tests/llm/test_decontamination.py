@@ -69,6 +69,22 @@ def test_recall_and_precision():
     assert not any(clean)
 
 
+def test_recall_by_item_length():
+    """At the largest number of edits, for items of each length."""
+    rng = random.Random(4)
+    vocabulary = [f"v{i}" for i in range(20_000)] + ["the", "of", "and", "to"] * 1000
+    worst = {}
+    for n in [*range(1, 33), 40, 48, 60]:
+        items = [[rng.choice(vocabulary[:20_000] if n < 5 else vocabulary) for _ in range(n)] for _ in range(200)]
+        index = D.Index([(i, " ".join(w).encode()) for i, w in enumerate(items)])
+        around = lambda: [rng.choice(vocabulary) for _ in range(20)]
+        texts = [around() + edited(rng, w, int(D.MAX_EDITS * n), vocabulary) + around() for w in items]
+        found = index.matches([" ".join(t).encode() for t in texts])
+        worst[n] = sum(any(m[0] == i for m in f) for i, f in enumerate(found)) / len(items)
+    print("recall by item length", worst)
+    assert all(worst[n] == 1 for n in range(1, 5)) and min(worst.values()) >= 0.97
+
+
 def test_odd_rows(spark):
     items = [(1, "Alpha beta, gamma delta epsilon"), (2, "one"), (3, ""), (4, None), (5, "two three four five six seven eight nine"), (None, "uno dos tres cuatro"),
              (6, "... !!"), (5, "two three four five six seven eight nine")]

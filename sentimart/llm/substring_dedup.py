@@ -11,8 +11,9 @@ equal anchors, and one anchor stands for a run of neighbouring windows
 Documents are joined on anchors: each anchor's least and greatest doc_id show
 whether another document has it, and only occurrences of those are seeds.
 
-Extend. A seed is extended to the left and right, over every window that
-elected it, and each window is compared in full, by a 95-bit hash of its words
+Extend. A seed stands for every window that elected it; texts are not compared
+beside an anchor, as that would pair documents up in hot groups. Those windows
+are hashed and grouped instead: each is compared in full, by a 95-bit hash of its words
 (at 10^13 windows the odds of any collision are about 1 in 1000): its least
 doc_id decides. Neighbouring repeats join to maximal repeats.
 

@@ -17,6 +17,7 @@ from sentimart.llm import (
     simhash_dedup,
     source_mixing,
     substring_dedup,
+    warc,
 )
 from sentimart.llm.common import table
 
@@ -72,6 +73,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extracted(table(spark, sf_dir, "pages"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(table(spark, sf_dir, "pages"), least_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_simhash_dedup": op1_simhash_dedup,
@@ -84,4 +90,5 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_html_extraction": op10_html_extraction,
+    "op11_warc": op11_warc,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -122,3 +122,21 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str, start: int = 0) ->
     return (parts.withColumn("_within", within).join(offsets.select(part, "_offset"), part)
             .withColumn(name, F.col("_offset") + F.col("_within") - 1 + start)
             .drop(part, "_offset", "_within"))
+
+
+def blocks_by_weight(df: DataFrame, weight: Column, limit: int, seed: int = 0) -> Iterator[DataFrame]:
+    """``df`` (a written table of distinct rows) in parts of at most ``limit`` in weight, or of one row that weighs more.
+
+    Rows fall into hash bins of half the limit on average; a bin beyond the
+    limit is split again. Only sums come to the driver.
+    """
+    total, rows = df.agg(F.sum(weight), F.count(F.lit(1))).first()
+    if not rows:
+        return
+    if rows == 1 or total <= limit:
+        yield df
+        return
+    bins = max(2, int(-(-2 * total // limit)))
+    bin_of = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(bins))
+    for k in range(bins):
+        yield from blocks_by_weight(df.where(bin_of == k), weight, limit, seed + 1)

@@ -93,9 +93,26 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(sum(upto) FILTER (WHERE role = 'assistant' OR n = turns) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id"""
 
+# --- ranked lexical search: every posting scored ----------------------------------------
+
+TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+SEARCH = f"""
+WITH docs AS (SELECT * FROM (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS w FROM documents) WHERE len(w) > 0),
+totals AS (SELECT count(*) AS docs_all, CAST(sum(len(w)) AS BIGINT) AS terms_all FROM docs),
+postings AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY r, t),
+weights AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(docs_all) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM postings, totals GROUP BY t),
+wanted AS (SELECT DISTINCT item_id, unnest({TERMS}) AS t FROM benchmark),
+scores AS (SELECT item_id, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(w) * docs_all) // terms_all)))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (t) JOIN postings USING (t) JOIN docs USING (r), totals GROUP BY item_id, r)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores JOIN docs USING (r) WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": QUALITY,
     "op5_sharding": SHARDING,
     "op7_substring_dedup": SUBSTRINGS,
     "op8_chat_formatting": CHAT,
+    "op12_lexical_search": SEARCH,
 }

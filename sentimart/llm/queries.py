@@ -11,6 +11,7 @@ from sentimart.llm import (
     decontamination,
     html_extract,
     importance_resampling,
+    lexical_search,
     quality_rules,
     secret_scan,
     sharding,
@@ -78,6 +79,10 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_simhash_dedup": op1_simhash_dedup,
@@ -91,4 +96,5 @@ QUERIES = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_html_extraction": op10_html_extraction,
     "op11_warc": op11_warc,
+    "op12_lexical_search": op12_lexical_search,
 }

@@ -109,10 +109,30 @@ scores AS (SELECT item_id, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf
 SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
 FROM scores JOIN docs USING (r) WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10"""
 
+# --- phrase mining: every n-gram unnested, products in 128 bits ---------------------------
+
+PHRASES = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+said AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM said, (VALUES (1), (2), (3)) AS s(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g, count(*) AS f FROM starts GROUP BY lang, k, g),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cuts AS (SELECT *, array_to_string(w[1:c], ' ') AS lg, array_to_string(w[c + 1:k], ' ') AS rg FROM (SELECT *, unnest(generate_series(1, k - 1)) AS c FROM candidates)),
+scored AS (SELECT cuts.*, x.f AS l, y.f AS r, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = lg JOIN f y ON y.lang = cuts.lang AND y.g = rg),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+held AS (SELECT s.lang, s.g FROM candidates s JOIN (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS g
+  FROM candidates WHERE k = 3) t ON t.lang = s.lang AND t.g = s.g AND 100 * t.a >= 50 * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM lowest ANTI JOIN held USING (lang, g))
+SELECT lang, rank, g AS phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": QUALITY,
     "op5_sharding": SHARDING,
     "op7_substring_dedup": SUBSTRINGS,
     "op8_chat_formatting": CHAT,
     "op12_lexical_search": SEARCH,
+    "op13_phrase_mining": PHRASES,
 }

@@ -12,6 +12,7 @@ from sentimart.llm import (
     html_extract,
     importance_resampling,
     lexical_search,
+    phrases,
     quality_rules,
     secret_scan,
     sharding,
@@ -83,6 +84,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_simhash_dedup": op1_simhash_dedup,
@@ -97,4 +102,5 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
     "op11_warc": op11_warc,
     "op12_lexical_search": op12_lexical_search,
+    "op13_phrase_mining": op13_phrase_mining,
 }

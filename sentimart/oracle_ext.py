@@ -121,6 +121,32 @@ arrivals AS (
   UNION ALL SELECT row_id, symbol, (o + 1000000000) * 1000 + spot FROM polled WHERE o % 3 = 0)
 SELECT CAST(row_id AS VARCHAR) AS message_id, min_by(symbol, arrival) AS symbol, min(arrival) AS arrival FROM arrivals GROUP BY row_id"""
 
+# Producers over damaged payloads: where every landed entry goes.
+NEWS_PLACE = f"CASE query {' '.join(f'WHEN {q} THEN {i}' for i, q in enumerate(NEWS_WATCHED.split(', ')))} ELSE 5 END"
+ENTRIES = [TICKS, MESSAGES, ARTICLES, SOCIAL, NEWS, f"""entries AS (
+  SELECT 'tick' AS kind, row_id AS o, 0 AS spot, 'o' || row_id AS page, row_id AS ident, symbol IS NULL AS no_symbol, FALSE AS off_list,
+    row_id % 17 = 3 AS torn, CASE WHEN row_id % 13 = 5 THEN 'bad number' END AS reason FROM ticks
+  UNION ALL
+  SELECT 'message', page * 10 + {PAGE_PLACE}, row_number() OVER (PARTITION BY symbol, page ORDER BY row_id DESC) - 1, NULL, row_id, FALSE,
+    symbol IS NULL OR symbol NOT IN ({WATCHED}), (page * 10 + {PAGE_PLACE}) % 11 = 5, CASE WHEN CAST(user_id AS BIGINT) % 10 = 7 THEN 'bad number' END FROM social
+  UNION ALL
+  SELECT 'article', o, row_number() OVER (PARTITION BY o ORDER BY row_id) - 1, NULL, first_id, FALSE,
+    query NOT IN ({NEWS_WATCHED}), o % 11 = 5, CASE WHEN o % 7 = 3 THEN 'status' END
+  FROM (SELECT *, row_id // 20 * 8 + {NEWS_PLACE} AS o, min(row_id) OVER (PARTITION BY coalesce(url, '')) AS first_id FROM news)),
+polled AS (SELECT * EXCLUDE (page) FROM entries
+  UNION ALL SELECT * EXCLUDE (page) REPLACE (o + 1000000000 AS o) FROM entries WHERE kind <> 'tick' AND o % 3 = 0),
+landed_entries AS (
+  SELECT kind, o, spot, ident, no_symbol, off_list, CASE WHEN NOT off_list AND NOT no_symbol THEN reason END AS reason FROM polled WHERE NOT torn
+  UNION ALL SELECT kind, o, 0, NULL, FALSE, FALSE, 'unreadable' FROM polled WHERE torn GROUP BY kind, o)"""]
+SQL["publish_rejects"] = with_(*ENTRIES) + """
+SELECT kind, o AS "offset", CAST(spot AS INTEGER) AS pos, reason FROM landed_entries WHERE reason IS NOT NULL"""
+SQL["publish_reconciliation"] = with_(*ENTRIES) + """
+SELECT kind, count(*) AS landed, published, count(*) FILTER (WHERE good) - published AS repeated, count(*) FILTER (WHERE off_list) AS off_list,
+  count(*) FILTER (WHERE no_symbol) AS no_symbol, count(reason) AS quarantined, 0 AS unexplained
+FROM (SELECT *, reason IS NULL AND NOT off_list AND NOT no_symbol AS good FROM landed_entries)
+  JOIN (SELECT kind, count(DISTINCT ident) FILTER (WHERE reason IS NULL AND NOT off_list AND NOT no_symbol) AS published FROM landed_entries GROUP BY kind) USING (kind)
+GROUP BY kind, published"""
+
 SQL["polarity_class"] = with_(*facts("message")) + "SELECT message_id, sentiment_compound, sentiment_label FROM stg_sentiment"
 SQL["label_agreement"] = with_(*facts("message")) + "SELECT message_id, user_sentiment, sentiment_compound, sentiment_agreement FROM stg_sentiment"
 

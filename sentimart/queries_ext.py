@@ -89,6 +89,27 @@ def q_publish_news(spark, sf_dir):
     return PR.news(raw, lexicon(spark, sf_dir))
 
 
+def damaged_landing(spark, sf_dir):
+    """Raw payloads of every kind, polled twice, some of them damaged."""
+    events, pages = read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "pages")
+    return {"tick": FX.ticker_landing(events, damaged=True), "message": FX.social_landing(events, repolled=True, damaged=True),
+            "article": FX.news_landing(pages, repolled=True, damaged=True)}
+
+
+@register("publish_rejects")
+def q_publish_rejects(spark, sf_dir):
+    """FLT-7 in the producers: every entry that cannot be published."""
+    parts = [PR.rejects(raw, kind) for kind, raw in damaged_landing(spark, sf_dir).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("kind", "offset", "pos", "reason")
+
+
+@register("publish_reconciliation")
+def q_publish_reconciliation(spark, sf_dir):
+    """Landed = published + repeated + off-list + without symbol + quarantined, by kind."""
+    parts = [PR.reconciliation(raw, kind) for kind, raw in damaged_landing(spark, sf_dir).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # --- ingest: raw payload normalisers (SRC-6..9) -------------------------------
 
 @register("normalize_ticker_payload")
@@ -157,8 +178,8 @@ def q_dedup_first_wins(spark, sf_dir):
 def q_dedup_messages(spark, sf_dir):
     """FLT-6: social messages de-duplicated on message id, first arrival wins."""
     raw = FX.social_landing(read_table(spark, sf_dir, "events"), repolled=True)
-    m = L.normalize_social(raw).withColumn("arrival", F.col("offset") * 1000 + F.col("msg_pos"))
-    return DD.first_wins(m, ["message_id"], "arrival").select("message_id", "symbol", "arrival")
+    m = PR.first_arrivals(L.normalize_social(raw), "message")
+    return m.select("message_id", "symbol", (F.col("offset") * 1000 + F.col("msg_pos")).alias("arrival"))
 
 
 # --- text (ENR-12..14) ----------------------------------------------------------

@@ -163,10 +163,19 @@ def tick_wire_landing(events: DataFrame, corrupt: bool = False) -> DataFrame:
     return t.select(F.col("symbol").alias("key"), v.alias("value"), "offset", "ingested_at")
 
 
-def ticker_landing(events: DataFrame) -> DataFrame:
+def _cut(value: str | Column, damaged: Column) -> Column:
+    """A JSON text without its last character where ``damaged``."""
+    v = F.col(value) if isinstance(value, str) else value
+    return F.when(damaged, F.substring(v, F.lit(1), F.length(v) - 1)).otherwise(v)
+
+
+def ticker_landing(events: DataFrame, damaged: bool = False) -> DataFrame:
     """Raw ticker envelopes ``{stream, data:{s,c,o,h,l,v,p,P}}`` with the
-    numbers as strings and a lower-case pair, one per event."""
+    numbers as strings and a lower-case pair, one per event. ``damaged``: one
+    price in 13 is text, one payload in 17 is cut."""
     t = ticks_from_events(events, keep=[F.col("event_id").alias("offset")])
+    if damaged:
+        t = t.withColumn("price", F.when(F.col("offset") % 13 == 5, "n/a").otherwise(F.col("price").cast("string")))
     s = lambda c: F.col(c).cast("string")
     payload = F.struct(
         F.concat(F.lower("symbol"), F.lit("@ticker")).alias("stream"),
@@ -174,8 +183,8 @@ def ticker_landing(events: DataFrame) -> DataFrame:
                      F.lit("h"), s("high"), F.lit("l"), s("low"), F.lit("v"), s("volume"),
                      F.lit("p"), s("price_change"), F.lit("P"), s("change_pct")).alias("data"),
     )
-    return t.select(F.col("symbol").alias("key"), F.to_json(payload).alias("value"),
-                    "offset", "ingested_at")
+    value = _cut(F.to_json(payload), F.col("offset") % 17 == 3) if damaged else F.to_json(payload)
+    return t.select(F.col("symbol").alias("key"), value.alias("value"), "offset", "ingested_at")
 
 
 SOCIAL_BATCH = 100   # messages per polled page (bounded by construction)
@@ -192,20 +201,24 @@ def _repolled(pages: DataFrame) -> DataFrame:
     return pages.unionByName(again)
 
 
-def social_landing(events: DataFrame, repolled: bool = False) -> DataFrame:
+def social_landing(events: DataFrame, repolled: bool = False, damaged: bool = False) -> DataFrame:
     """Raw social pages ``{symbol:{symbol}, messages:[...]}``: messages of one
     symbol whose ids share ``event_id div 100`` form one page (at most 100
-    messages, so each collected array is bounded)."""
+    messages, so each collected array is bounded). ``damaged``: users whose id
+    ends in 7 have a follower count of text, one page in 11 is cut."""
     from sentimart.sources.landing import iso_utc
     m = messages_from_events(events, keep=[F.col("event_id"), F.col("event_type").alias("_et")])
     basic = (F.when(F.col("_et") == "purchase", F.lit("Bullish"))
              .when(F.col("_et") == "error", F.lit("Bearish")))
+    followers = F.col("user_followers")
+    if damaged:
+        followers = F.when(F.col("user_id").cast("long") % 10 == 7, "n/a").otherwise(followers.cast("string"))
     msg = F.struct(
         F.col("event_id").alias("id"),
         F.col("body"),
         iso_utc("created_at").alias("created_at"),
         F.struct(F.col("user_id").cast("long").alias("id"), F.col("username"),
-                 F.col("user_followers").alias("followers"), F.col("user_following").alias("following"),
+                 followers.alias("followers"), F.col("user_following").alias("following"),
                  F.col("user_ideas").alias("ideas"),
                  F.col("user_watchlist_count").alias("watchlist_stocks_count")).alias("user"),
         F.struct(F.when(basic.isNotNull(), F.struct(basic.alias("basic"))).alias("sentiment"),
@@ -222,12 +235,15 @@ def social_landing(events: DataFrame, repolled: bool = False) -> DataFrame:
     out = pages.select(F.col("symbol").alias("key"), F.to_json(payload).alias("value"),
                        (F.col("page") * 10 + F.expr(_index_sql([*MESSAGE_SYMBOLS, OFF_LIST["message"]], "symbol"))).alias("offset"),
                        "ingested_at")
+    if damaged:
+        out = out.withColumn("value", _cut("value", F.col("offset") % 11 == 5))
     return _repolled(out) if repolled else out
 
 
-def news_landing(pages: DataFrame, repolled: bool = False) -> DataFrame:
+def news_landing(pages: DataFrame, repolled: bool = False, damaged: bool = False) -> DataFrame:
     """Raw news pages ``{status, query, articles:[...]}``: articles of one
-    query whose page ids share ``page_id div 20`` form one response."""
+    query whose page ids share ``page_id div 20`` form one response.
+    ``damaged``: one response in 7 reports an error, one in 11 is cut."""
     from sentimart.sources.landing import iso_utc
     a = articles_from_pages(pages, keep=[F.col("page_id")])
     art = F.struct(
@@ -240,11 +256,13 @@ def news_landing(pages: DataFrame, repolled: bool = False) -> DataFrame:
                   F.col("ingested_at"), F.struct(F.col("page_id").alias("k"), art.alias("a")).alias("e"))
          .groupBy("query", "page")
          .agg(F.sort_array(F.collect_list("e")).alias("es"), F.max("ingested_at").alias("ingested_at")))
-    payload = F.struct(F.lit("ok").alias("status"), F.col("query"),
+    offset = F.col("page") * 8 + F.expr(_index_sql(NEWS_QUERIES, "query"))
+    status = F.when(offset % 7 == 3, "error").otherwise("ok") if damaged else F.lit("ok")
+    payload = F.struct(status.alias("status"), F.col("query"),
                        F.transform("es", lambda e: e["a"]).alias("articles"))
-    out = g.select(F.substring("query", 1, 50).alias("key"), F.to_json(payload).alias("value"),
-                   (F.col("page") * 8 + F.expr(_index_sql(NEWS_QUERIES, "query"))).alias("offset"),
-                   "ingested_at")
+    out = g.select(F.substring("query", 1, 50).alias("key"), F.to_json(payload).alias("value"), offset.alias("offset"), "ingested_at")
+    if damaged:
+        out = out.withColumn("value", _cut("value", F.col("offset") % 11 == 5))
     return _repolled(out) if repolled else out
 
 

@@ -110,7 +110,24 @@ TICKER_FIELDS = [("price", "c"), ("open", "o"), ("high", "h"), ("low", "l"),
                  ("volume", "v"), ("price_change", "p"), ("change_pct", "P")]
 
 
-def normalize_ticker(landing: DataFrame, source: str = R.DATA_SOURCES["tick"]) -> DataFrame:
+ENVELOPE = {"tick": (SC.TICKER_PAYLOAD, "data"), "message": (SC.SOCIAL_PAYLOAD, "messages"), "article": (SC.NEWS_PAYLOAD, "articles")}
+
+
+def unreadable(landing: DataFrame, kind: str) -> DataFrame:
+    """``(offset, pos, value)`` of what no normaliser turns into a row: payloads
+    that are not JSON or lack their envelope (with their text), and null
+    entries of a page. A page without entries holds nothing and is not listed."""
+    schema, field = ENVELOPE[kind]
+    text = F.col("value").cast("string")
+    p = landing.select("offset", text.alias("value"), F.from_json(text, schema)[field].alias("e"))
+    torn = p.filter(F.col("e").isNull()).select("offset", F.lit(0).alias("pos"), "value")
+    if kind == "tick":
+        return torn
+    entries = p.select("offset", F.posexplode("e").alias("pos", "entry")).filter("entry is null")
+    return torn.unionByName(entries.select("offset", "pos", F.lit("null").alias("value")))
+
+
+def normalize_ticker(landing: DataFrame, source: str = R.DATA_SOURCES["tick"], raw: bool = False) -> DataFrame:
     """Ticker envelope ``{data:{s,c,o,h,l,v,p,P}}`` -> tick records.
 
     Symbol is upper-cased (missing -> '' and dropped, FLT-5); numbers arrive
@@ -128,7 +145,7 @@ def normalize_ticker(landing: DataFrame, source: str = R.DATA_SOURCES["tick"]) -
         quarantined = quarantined | b
     return (
         d.select(
-            "offset",
+            "offset", *([F.to_json("p.data").alias("value")] if raw else []),
             F.upper(F.coalesce(F.element_at(F.col("p.data"), F.lit("s")), F.lit(""))).alias("symbol"),
             *[c.alias(n) for n, c in cols.items()],
             F.col("ingested_at"),
@@ -143,7 +160,7 @@ SOCIAL_INTS = [("user_followers", "followers"), ("user_following", "following"),
                ("user_ideas", "ideas"), ("user_watchlist_count", "watchlist_stocks_count")]
 
 
-def normalize_social(landing: DataFrame) -> DataFrame:
+def normalize_social(landing: DataFrame, raw: bool = False) -> DataFrame:
     """Social envelope ``{symbol, messages:[...]}`` -> message records
     without text scores (see :func:`sentimart.operators.scoring.attach_scores`).
 
@@ -152,8 +169,9 @@ def normalize_social(landing: DataFrame) -> DataFrame:
     mentioned symbols are extracted from the entity array (FN-27)."""
     p = landing.select("offset", "ingested_at",
                        F.from_json(F.col("value").cast("string"), SC.SOCIAL_PAYLOAD).alias("p"))
-    m = p.select("offset", "ingested_at", F.col("p.symbol.symbol").alias("symbol"),
-                 F.posexplode_outer("p.messages").alias("msg_pos", "m"))
+    # only the page's symbol goes along with each message, not the page
+    p = p.select("offset", "ingested_at", F.col("p.symbol.symbol").alias("symbol"), F.col("p.messages").alias("messages"))
+    m = p.select("offset", "ingested_at", "symbol", F.posexplode("messages").alias("msg_pos", "m"))
     m = m.filter(F.col("m").isNotNull())
     ints, bads = {}, []
     for name, f in SOCIAL_INTS:
@@ -164,7 +182,7 @@ def normalize_social(landing: DataFrame) -> DataFrame:
     for b in bads:
         quarantined = quarantined | b
     return m.select(
-        "offset", "msg_pos",
+        "offset", "msg_pos", *([F.to_json("m").alias("value")] if raw else []),
         F.coalesce(F.col("m.id"), F.lit("")).alias("message_id"),
         F.col("symbol"),
         F.coalesce(F.col("m.body"), F.lit("")).alias("body"),
@@ -182,19 +200,18 @@ def normalize_social(landing: DataFrame) -> DataFrame:
     )
 
 
-def normalize_news(landing: DataFrame) -> DataFrame:
+def normalize_news(landing: DataFrame, raw: bool = False) -> DataFrame:
     """News envelope ``{status, query, articles:[...]}`` -> article records
     without text scores. Id = md5(url); source name defaults to 'unknown';
     the text to score is title and description joined, skipping NULLs."""
     p = landing.select("offset", "ingested_at",
                        F.from_json(F.col("value").cast("string"), SC.NEWS_PAYLOAD).alias("p"))
-    a = p.select("offset", "ingested_at", F.col("p.status").alias("status"),
-                 F.col("p.query").alias("query"),
-                 F.posexplode_outer("p.articles").alias("art_pos", "a"))
+    p = p.select("offset", "ingested_at", *[F.col(f"p.{c}").alias(c) for c in ("status", "query", "articles")])
+    a = p.select("offset", "ingested_at", "status", "query", F.posexplode("articles").alias("art_pos", "a"))
     a = a.filter(F.col("a").isNotNull())
     url = F.coalesce(F.col("a.url"), F.lit(""))
     return a.select(
-        "offset", "art_pos", "status",
+        "offset", "art_pos", *([F.to_json("a").alias("value")] if raw else []), "status",
         R.article_id("a.url").alias("article_id"),
         F.col("query"),
         F.coalesce(F.col("a.source.name"), F.lit(R.UNKNOWN_NEWS_SOURCE)).alias("source"),

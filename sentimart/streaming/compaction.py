@@ -27,7 +27,7 @@ def compact(spark: SparkSession, path: str, schema, dates: list, writers: int =
         upto = rows.agg(F.max(BATCH)).first()[0]
         if upto is None:
             continue
-        if upto > compacted(spark, path).get(str(date), -1):
+        if upto > compacted(spark, path, [date]).get(str(date), -1):
             out = rows.filter(F.col(BATCH) <= upto).drop(BATCH, DATE)
             salt = F.pmod(F.xxhash64(*out.columns), F.lit(writers))
             (out.repartition(writers, salt).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
@@ -37,7 +37,7 @@ def compact(spark: SparkSession, path: str, schema, dates: list, writers: int =
 
 def retire(spark: SparkSession, path: str, date: str) -> None:
     """Delete what the newest complete compact folder of ``date`` has replaced."""
-    upto = compacted(spark, path).get(date, -1)
+    upto = compacted(spark, path, [date]).get(date, -1)
     for pattern, name, last in ((f"{path}/{DATE}={date}/{BATCH}=*", BATCH, upto), (f"{path}_compact/{DATE}={date}/upto=*", "upto", upto - 1)):
         fs, p = folder(spark, pattern)
         for status in fs.globStatus(p) or []:

@@ -1,7 +1,8 @@
 """Idempotent micro-batch sinks (SNK-1..5, STR-3, STR-4, SNK-10, AGG-13).
 
-A layer is a folder of ``event_date=D/batch_id=N`` partitions, date first, so
-a reader that wants some dates lists those dates only. A batch writes with a
+A layer is a folder of ``event_date=D/batch_id=N`` partitions, date first: a
+reader that wants some dates loads the folders of those dates, and Spark lists
+nothing else. A batch writes with a
 dynamic overwrite of its (date, batch) partitions: a batch that is re-run
 after a crash has the same input, hence the same partitions, and replaces its
 own earlier output and nothing else. Table paths and checkpoint paths come
@@ -101,17 +102,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def compacted(spark: SparkSession, path: str) -> dict[str, int]:
-    """The newest complete compact folder of each date: date text -> epoch.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
-    One entry per compacted date of the layer (a listing of the compact
-    folders, not of batches)."""
-    fs, p = folder(spark, f"{path}_compact/{DATE}=*/upto=*/_SUCCESS")
+
+def date_folder(path: str, date) -> str:
+    return f"{path}/{DATE}={NO_DATE if date is None else date}"
+
+
+def compacted(spark: SparkSession, path: str, dates: list | None = None) -> dict[str, int]:
+    """The newest complete compact folder of each date (of ``dates``, or of all): date text -> epoch."""
     out: dict[str, int] = {}
-    for status in fs.globStatus(p) or []:
-        m = re.search(rf"{DATE}=([^/]+)/upto=(\d+)/_SUCCESS$", status.getPath().toString())
-        if m:
-            out[m[1]] = max(int(m[2]), out.get(m[1], -1))
+    for d in ["*"] if dates is None else [str(d) for d in dates if d is not None]:
+        fs, p = folder(spark, f"{path}_compact/{DATE}={d}/upto=*/_SUCCESS")
+        for status in fs.globStatus(p) or []:
+            m = re.search(rf"{DATE}=([^/]+)/upto=(\d+)/_SUCCESS$", status.getPath().toString())
+            if m:
+                out[m[1]] = max(int(m[2]), out.get(m[1], -1))
     return out
 
 
@@ -122,21 +128,26 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType, dates: list
     The schema names and types every column (also the partition column
     ``event_date``), so a symbol of digits stays text and a batch written
     before a column was added reads NULL there (SNK-5). A layer without a
-    commit is empty; any other failure to read is raised. ``dates`` prunes
-    partitions (None in it means rows without a date)."""
+    commit is empty; any other failure to read is raised. With ``dates`` (None
+    in it means rows without a date) only the folders of those dates are listed
+    and loaded, however many others the layer has."""
     full = T.StructType([f for f in schema.fields if f.name != BATCH] + [T.StructField(BATCH, T.IntegerType())])
+    empty = spark.createDataFrame([], full)
     if not exists(spark, path):
-        return spark.createDataFrame([], full)
-    df = spark.read.format(fmt).schema(full).load(path)
-    done = compacted(spark, path) if DATE in full.fieldNames() else {}
+        return empty
+    if DATE not in full.fieldNames():
+        return spark.read.format(fmt).schema(full).load(path)
+    done = compacted(spark, path, dates)
+    folders = [path] if dates is None else [f for f in dict.fromkeys(date_folder(path, d) for d in dates) if exists(spark, f)]
+    df = spark.read.format(fmt).schema(full).option("basePath", path).load(folders) if folders else empty
     if done:
-        # batches that a compact folder already holds are on their way out
-        upto = F.coalesce(*[F.when(F.col(DATE).cast("string") == d, F.lit(n)) for d, n in sorted(done.items())], F.lit(-1))
-        df = df.filter(F.col(BATCH) > upto)
-        for d, n in sorted(done.items()):
-            part = spark.read.format(fmt).schema(T.StructType([f for f in full.fields if f.name not in (DATE, BATCH)]))
-            df = df.unionByName(part.load(f"{path}_compact/{DATE}={d}/upto={n}").withColumn(DATE, F.lit(d).cast("date"))
-                                .withColumn(BATCH, F.lit(n)))
+        # batches that a compact folder already holds are on their way out; both columns are partitions, so this prunes
+        upto = F.create_map(*[F.lit(x) for d, n in sorted(done.items()) for x in (d, n)])
+        df = df.filter(F.col(BATCH) > F.coalesce(F.try_element_at(upto, F.col(DATE).cast("string")), F.lit(-1)))
+        compact = T.StructType([T.StructField("upto", f.dataType) if f.name == BATCH else f for f in full.fields])
+        held = spark.read.format(fmt).schema(compact).option("basePath", f"{path}_compact").load(
+            [f"{path}_compact/{DATE}={d}/upto={n}" for d, n in sorted(done.items())])
+        df = df.unionByName(held.withColumnRenamed("upto", BATCH))
     return df if dates is None else df.filter(on_dates(dates))
 
 

@@ -2,9 +2,11 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from sentimart.operators import dedup as DD
+from sentimart.plans import producers as PR
 from sentimart.sources import landing as L
 
 
@@ -131,3 +133,30 @@ def test_latest_n_language_filter(spark):
     df = spark.createDataFrame(rows, "article_id string, query string, published_at timestamp, language string")
     out = DD.latest_per_query(df, "2024-01-02 12:00:00", 24, 1, language="en").collect()
     assert [r["article_id"] for r in out] == ["c"]
+
+
+@pytest.mark.parametrize("size", [999, 1000, 1001, 5000])
+def test_long_pages_lose_no_message(spark, size):
+    """A page of any length, followed by one that repeats one of its messages."""
+    page = lambda ids: json.dumps({"symbol": {"symbol": "BTC.X"}, "messages": [{"id": i, "body": "b"} for i in ids]})
+    raw = spark.createDataFrame([("k", page(range(size)), 0, None), ("k", page([size - 1, size, 0]), 1, None)],
+                                "key string, value string, offset long, ingested_at timestamp")
+    ids = [json.loads(r.value)["message_id"] for r in PR.social(raw).collect()]
+    assert sorted(map(int, ids)) == list(range(size + 1))
+    assert PR.reconciliation(raw, "message").first()[1:4] == (size + 3, size + 1, 2)
+
+
+def test_every_entry_is_published_or_kept(spark):
+    """Torn payloads, null entries, empty pages, bad numbers and off-list symbols."""
+    texts = ["{torn", "null", '{"symbol":{"symbol":"BTC.X"}}', '{"symbol":{"symbol":"BTC.X"},"messages":[]}',
+             '{"symbol":{"symbol":"BTC.X"},"messages":[null,{"id":1,"user":{"followers":"x"}},{"id":2},{"id":2}]}',
+             '{"symbol":{"symbol":"ZZZ"},"messages":[{"id":3,"user":{"followers":"x"}}]}', None]
+    raw = spark.createDataFrame([("k", t, i, None) for i, t in enumerate(texts)], "key string, value string, offset long, ingested_at timestamp")
+    assert PR.reconciliation(raw, "message").first().asDict() == {
+        "kind": "message", "landed": 9, "published": 1, "repeated": 1, "off_list": 1, "no_symbol": 0, "quarantined": 6, "unexplained": 0}
+    assert sorted((r.offset, r.pos, r.reason, r.value) for r in PR.rejects(raw, "message").collect() if r.value) == sorted(
+        [(0, 0, "unreadable", texts[0]), (1, 0, "unreadable", "null"), (2, 0, "unreadable", texts[2]), (4, 0, "unreadable", "null"),
+         (4, 1, "bad number", '{"id":"1","user":{"followers":"x"}}')])
+    ticks = spark.createDataFrame([("k", t, i, None) for i, t in enumerate(['{"data":{"s":"btcusdt","c":"x"}}', '{"data":{"c":"1"}}', "{", '{"data":{"s":"a"}}'])],
+                                  "key string, value string, offset long, ingested_at timestamp")
+    assert PR.reconciliation(ticks, "tick").first()[1:] == (4, 1, 0, 0, 1, 2, 0)

@@ -152,29 +152,52 @@ def test_app_equals_batch_and_one_refresher_keeps_gold(spark):
     assert len(hours) == len(after)
 
 
-def test_refresh_cost_does_not_grow_with_history(spark):
-    """The files that a refresh of one date reads are the same after 5 and
-    after 50 batches of other dates."""
+def _layer_of_batches(path, dates, batches):
+    """Batches of a (symbol, price) layer, a file each, laid down as the sink does."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    rows = pa.table({"symbol": ["A"], "price": [1.0]})
+    for d in dates:
+        for n in batches:
+            os.makedirs(f"{path}/event_date={d}/batch_id={n}")
+            pq.write_table(rows, f"{path}/event_date={d}/batch_id={n}/part-0.parquet")
+
+
+def test_reading_a_date_lists_that_date_only(spark):
+    """The files in the relation's index (not only those read) are those of the
+    date asked for, after few and after many batches and compacted dates of others."""
     root = run_folder(spark, "history")
+    path, schema = f"{root}/silver", T.StructType.fromDDL("symbol string, price double, event_date date")
+    days = [f"2024-{m:02d}-{d:02d}" for m in range(1, 6) for d in range(1, 22)]
+    import datetime as dt
+    asked = dt.date.fromisoformat(days[0])
+    _layer_of_batches(path, days[:1], range(5))
+    index = lambda: sorted(read_layer(spark, path, schema, [asked]).inputFiles())
+    before = index()
+    _layer_of_batches(path, days[1:], range(5))  # 500 and more batches of other dates
+    assert index() == before and len(before) == 5
+    for d in days[3:]:  # and a hundred compacted dates
+        os.makedirs(f"{path}_compact/event_date={d}/upto=3")
+        os.system(f"cp {path}/event_date={d}/batch_id=3/part-0.parquet {path}_compact/event_date={d}/upto=3/ && touch {path}_compact/event_date={d}/upto=3/_SUCCESS")
+    df = read_layer(spark, path, schema, [asked])
+    assert sorted(df.inputFiles()) == before and "Union" not in df._jdf.queryExecution().analyzed().toString()
+    one = read_layer(spark, path, schema, [asked, dt.date.fromisoformat(days[50]), None, dt.date(2030, 1, 1)])
+    assert len(one.inputFiles()) == 11 and one.count() == 7  # five; batch 4 and the compact file of the other
+    assert read_layer(spark, path, schema).count() == 15 + 102 * 2
+    assert read_layer(spark, path, schema, []).count() == 0
+
+
+def test_a_refresh_of_one_date_rebuilds_that_date(spark):
+    root = run_folder(spark, "onedate")
     paths = J.StreamPaths(root)
     rows = source_records(spark, SMALL, "tick")
-    silver = J._dated(SV.tick_silver(rows.drop("_row").withColumn("processed_at", F.current_timestamp())), "tick").cache()
+    silver = J._dated(SV.tick_silver(rows.drop("_row").withColumn("processed_at", F.current_timestamp())), "tick")
     partials = J.PARTIALS["tick"](silver).cache()
-    dates = [r[0] for r in partials.select("trade_date").distinct().orderBy("trade_date").collect()]
-    spec = LayerSpec(paths.layer("tick", "partials"), add_columns={"event_date": F.col("trade_date")})
-    write_layer(partials.filter(F.col("trade_date") == F.lit(dates[0])), 0, spec)
-    reads = []
-    for epoch in range(1, 51):
-        if epoch in (6, 50):
-            df = J.layer_table(spark, paths, "tick", "partials", [dates[0]])
-            assert "PartitionFilters: [isnotnull(event_date" in df._jdf.queryExecution().executedPlan().toString()
-            reads.append(df.select(F.input_file_name()).distinct().count())
-        if epoch < 8 or epoch > 46:
-            write_layer(partials.filter(F.col("trade_date") == F.lit(dates[1 + epoch % 5])), epoch, spec)
-    assert reads[0] == reads[1]
-    refresh(spark, paths, f"{root}/models", [dates[0]])
+    write_layer(partials, 0, LayerSpec(paths.layer("tick", "partials"), add_columns={"event_date": F.col("trade_date")}))
+    date = partials.agg(F.min("trade_date")).first()[0]
+    refresh(spark, paths, f"{root}/models", [date])
     got = spark.read.parquet(f"{root}/models/mart_price_sentiment_correlation")
-    assert [r[0] for r in got.select("date").distinct().collect()] == [dates[0]]
+    assert [r[0] for r in got.select("date").distinct().collect()] == [date]
 
 
 def test_compaction_retires_batches_and_survives_a_crash(spark):

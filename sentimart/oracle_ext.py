@@ -201,6 +201,7 @@ SQL["hourly_price_rollup_mode"] = SQL["hourly_price_rollup"]
 
 SQL["stream_tick_silver"] = SQL["tick_silver"]
 SQL["stream_message_dedup"] = SQL["message_silver"]
+SQL["stream_seen_keys"] = SQL["message_silver"]
 SQL["stream_article_silver"] = with_(*facts("article")) + "SELECT * EXCLUDE (ingested_at) FROM stg_news"
 SQL["stream_market_mood_refresh"] = SQL["market_mood"]
 

@@ -45,8 +45,15 @@ def _copies(df: DataFrame, kind: str, hours: int) -> DataFrame:
     return out.withColumn("body", F.lit("edited"))
 
 
-def replay(records: DataFrame, kind: str) -> DataFrame:
-    """(chunk, value) of a hard replay of ``records`` (with their row id in ``_row``)."""
+def _redated(df: DataFrame, kind: str) -> DataFrame:
+    """Records whose source has changed the event date."""
+    date = {"message": "created_at", "article": "published_at"}[kind]
+    return df.withColumn(date, F.col(date) + F.expr("make_interval(0, 0, 0, 1 + cast(_row % 40 as int))"))
+
+
+def replay(records: DataFrame, kind: str, redated: bool = False) -> DataFrame:
+    """(chunk, value) of a hard replay of ``records`` (with their row id in
+    ``_row``); ``redated`` copies have another event date, too."""
     row = F.col("_row")
     chunk = row % CHUNKS if kind != "tick" else F.floor(F.unix_seconds("ingested_at") / WEEK)
     first = records.withColumn("chunk", chunk)
@@ -56,7 +63,7 @@ def replay(records: DataFrame, kind: str) -> DataFrame:
         again = [_copies(timed.filter(row % 7 == 0), kind, 5).withColumn("chunk", chunk),
                  _copies(records.filter(row % 3 == 0), kind, 1).withColumn("chunk", F.lit(LATER).cast("long"))]
         for c in again:
-            first = first.unionByName(c)
+            first = first.unionByName(_redated(c, kind) if redated else c)
     value = L.wire_value(first, kind)
     if kind == "message":  # a field of the wrong type
         value = F.when(row % 10 == 3, F.regexp_replace(value, r'"user_following":[0-9]+', '"user_following":"n/a"')).otherwise(value)
@@ -74,10 +81,10 @@ def source_records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return FX.articles_from_pages(read_table(spark, sf_dir, "pages"), keep)
 
 
-def land(spark: SparkSession, sf_dir: str, kind: str, root: str, hard: bool = True) -> str:
+def land(spark: SparkSession, sf_dir: str, kind: str, root: str, hard: bool = True, redated: bool = False) -> str:
     """Land the replay of one kind as one file set per batch; returns the topic's folder."""
     records = source_records(spark, sf_dir, kind)
-    lines = replay(records, kind) if hard else records.select(F.lit(0).alias("chunk"), L.wire_value(records, kind).alias("value"))
+    lines = replay(records, kind, redated) if hard else records.select(F.lit(0).alias("chunk"), L.wire_value(records, kind).alias("value"))
     folder = f"{root}/landing/topic={TOPICS[kind]}"
     lines.repartition("chunk").write.partitionBy("chunk").text(folder)
     return folder
@@ -117,6 +124,16 @@ def q_stream_article_silver(spark, sf_dir):
     return ST.stg_news(_streamed(spark, sf_dir, "article")).drop(*STREAM_COLUMNS_TO_DROP, "ingested_at")
 
 
+@register("stream_seen_keys")
+def q_stream_seen_keys(spark, sf_dir):
+    """STR-7, SORT-4: messages whose copies come under other event dates; the
+    seen-key index keeps the first arrival of each id, whatever its date."""
+    root = run_folder(spark, "seen")
+    paths = J.StreamPaths(root)
+    run_kind(spark, "message", land(spark, sf_dir, "message", root, redated=True), paths)
+    return ST.stg_sentiment(read_source(spark, root, "sentiment")).drop(*STREAM_COLUMNS_TO_DROP)
+
+
 @register("stream_reconciliation")
 def q_stream_reconciliation(spark, sf_dir):
     """Three concurrent streams: where every landed record went, by kind."""

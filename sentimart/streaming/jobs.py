@@ -1,7 +1,8 @@
 """Streaming jobs (SRC-1, SRC-2, STR-1..9, SNK-1..5).
 
-One streaming query per topic. Its only work inside the stream is parsing (no
-state, so nothing is ever late); the batch function writes
+One streaming query per topic. Inside the stream records are parsed and marked
+as first of their id or not (:mod:`sentimart.streaming.seen`); no watermark, so
+nothing is ever late. The batch function writes
 
 * ``bronze``: every record, repeated ids included;
 * ``quarantine``: values that are no record of the kind, with their text;
@@ -11,11 +12,11 @@ state, so nothing is ever late); the batch function writes
 * ``touched``: the dates it added to, for the refresher.
 
 First arrival. Inside a batch the row with the least arrival time wins (a row
-without one loses to any other); against earlier batches, ids that silver
-already has are anti-joined away. A record's date is part of what is polled
-again, so only the batch's own dates of silver are read. No watermark bounds
-this: a copy that comes a month late is still a copy, and a late first
-arrival is still kept (STR-9).
+without one loses to any other); against earlier batches, the seen-key index
+decides. It looks up the batch's ids only and knows no dates: a copy that comes
+a month late, or under another date, is still a copy, and a late first arrival
+is still kept (STR-9). ``seen="silver"`` does without the index and reads the
+ids of the batch's dates from silver (a copy under another date then stays).
 
 Every parsed row ends in exactly one place: rows in = bronze + quarantine, and
 bronze = silver + repeated + invalid (:func:`reconciliation`).
@@ -37,6 +38,7 @@ from sentimart.operators import rollups as G
 from sentimart.operators import silver as SV
 from sentimart.operators import staging as ST
 from sentimart.sources import landing as L
+from sentimart.streaming.seen import mark_first
 from sentimart.streaming.sinks import BATCH, DATE, BatchMetrics, LayerSpec, read_layer, write_layer
 
 TRIGGER_SECONDS = {"tick": 10, "message": 15, "article": 15}
@@ -141,11 +143,21 @@ def first_arrivals(batch: DataFrame, keys: list[str]) -> DataFrame:
     return one.select(*[F.col("r")[c].alias(c) for c in batch.columns])
 
 
+def marked(spark: SparkSession, raw: DataFrame, kind: str, keys: list[str], ttl_hours: float | None) -> DataFrame:
+    """The parsed stream with ``first``: valid, and the first of its keys by the seen-key index."""
+    parsed = L.split_quarantine(raw, kind, keep=["value"])
+    ok = ~F.col("quarantined") & F.coalesce(F.expr(SV.VALID[kind]), F.lit(False))
+    ident = F.to_json(F.struct(*keys)) if len(keys) > 1 else F.col(keys[0])
+    rows = parsed.select("value", F.when(ok, ident).alias("id"), F.unix_micros("ingested_at").alias("arrival"))
+    return L.split_quarantine(mark_first(spark, rows, ttl_hours), kind, keep=["first"])
+
+
 def new_silver(spark: SparkSession, records: DataFrame, kind: str, paths: StreamPaths, epoch: int,
-               keys: list[str] | None = None) -> DataFrame:
+               keys: list[str]) -> DataFrame:
     """The batch's rows that silver lacks: valid, of each id the first."""
+    if "first" in records.columns:
+        return _dated(SILVER[kind](records.filter("first").drop("first", "malformed")), kind)
     rows = _dated(SILVER[kind](records).drop("malformed"), kind)
-    keys = keys or ([ID_COLUMN[kind]] if kind in ID_COLUMN else [])
     if not keys:
         return rows
     dates = [r[0] for r in rows.select(DATE).distinct().collect()]  # of one batch, bounded by its trigger
@@ -155,12 +167,19 @@ def new_silver(spark: SparkSession, records: DataFrame, kind: str, paths: Stream
 
 def start_stream(spark: SparkSession, kind: str, raw: DataFrame, paths: StreamPaths,
                  available_now: bool = False, metrics: BatchMetrics | None = None,
-                 dedup_keys: list[str] | None = None, fmt: str = "parquet"):
+                 dedup_keys: list[str] | None = None, fmt: str = "parquet", seen: str = "state",
+                 ttl_hours: float | None = None):
     """Start the query of one record kind. ``dedup_keys`` defaults to the
     record id (a message seen under several symbols is kept once);
-    ``["message_id", "symbol"]`` keeps one copy per symbol. ``fmt`` is the
-    table format of the layers (Parquet by default; a transactional format
-    when its jars are on the classpath)."""
+    ``["message_id", "symbol"]`` keeps one copy per symbol. ``seen`` says what
+    tells a copy: the index (``state``, of ids first seen in the last
+    ``ttl_hours``; by default for ever) or ``silver``. ``fmt`` is the table
+    format of the layers (Parquet by default; a transactional format when its
+    jars are on the classpath)."""
+    keys = dedup_keys or ([ID_COLUMN[kind]] if kind in ID_COLUMN else [])
+    if seen not in ("state", "silver"):
+        raise ValueError("seen is state or silver")
+    rows = marked(spark, raw, kind, keys, ttl_hours) if keys and seen == "state" else L.split_quarantine(raw, kind)
 
     def sink(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
@@ -169,13 +188,13 @@ def start_stream(spark: SparkSession, kind: str, raw: DataFrame, paths: StreamPa
             if not n:
                 return
             records = _record(batch)
-            silver = new_silver(spark, records, kind, paths, epoch, dedup_keys).persist()
+            silver = new_silver(spark, records, kind, paths, epoch, keys).persist()
             partials = PARTIALS[kind](silver)
-            layers = [(records, LayerSpec(paths.layer(kind, "bronze"), lambda b: _dated(b, kind), name="bronze")),
+            layers = [(records.drop("first"), LayerSpec(paths.layer(kind, "bronze"), lambda b: _dated(b, kind), name="bronze")),
                       (silver, LayerSpec(paths.layer(kind, "silver"), name="silver")),
                       (partials, LayerSpec(paths.layer(kind, "partials"), add_columns={DATE: F.col(PARTIAL_DATE[kind])}, name="partials"))]
             if bad:
-                layers.append((batch.filter("quarantined"), LayerSpec(paths.layer(kind, "quarantine"), lambda b: _dated(b, kind), name="quarantine")))
+                layers.append((batch.filter("quarantined").drop("first"), LayerSpec(paths.layer(kind, "quarantine"), lambda b: _dated(b, kind), name="quarantine")))
             try:
                 # the layers don't depend on each other; a batch that fails half-way is written again whole
                 with ThreadPoolExecutor(len(layers)) as pool:
@@ -188,7 +207,7 @@ def start_stream(spark: SparkSession, kind: str, raw: DataFrame, paths: StreamPa
         finally:
             batch.unpersist()
 
-    w = (L.split_quarantine(raw, kind).writeStream.foreachBatch(sink)
+    w = (rows.writeStream.foreachBatch(sink)
          .outputMode("append").option("checkpointLocation", paths.checkpoint(kind)))
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{TRIGGER_SECONDS[kind]} seconds")

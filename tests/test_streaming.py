@@ -61,16 +61,17 @@ def _ids(spark, paths, layer="silver"):
     return sorted((r["message_id"], r["symbol"]) for r in J.layer_table(spark, paths, "message", layer).collect())
 
 
-def test_first_arrival_wins_across_batches_and_restarts(spark):
+@pytest.mark.parametrize("seen", ["state", "silver"])
+def test_first_arrival_wins_across_batches_and_restarts(spark, seen):
     root = run_folder(spark, "dedup")
     where, paths = root + "/landing", J.StreamPaths(root)
     day = "2024-01-01T0{}:00:00Z"
     _land(where, "a.json", [_msg(1, day.format(0)), _msg(2, day.format(1), ingested_at=day.format(5), body="copy"), _msg(2, day.format(1), body="first"),
                             _msg(9, day.format(1), ingested_at=None)])  # no arrival time: kept
     _land(where, "b.json", [_msg(1, day.format(0), "ETH.X"), _msg(3, day.format(2))])
-    _run(spark, "message", where, paths)
+    _run(spark, "message", where, paths, seen=seen)
     _land(where, "c.json", [_msg(2, day.format(1), "SOL.X"), _msg(4, day.format(3)), _msg(5, "2023-12-01T00:00:00Z")])  # a month late: kept
-    _run(spark, "message", where, paths)
+    _run(spark, "message", where, paths, seen=seen)
     assert _ids(spark, paths) == [(i, "BTC.X") for i in "123459"]
     body = {r["message_id"]: r["body"] for r in J.layer_table(spark, paths, "message", "silver").collect()}
     assert body["2"] == "first"
@@ -78,6 +79,54 @@ def test_first_arrival_wins_across_batches_and_restarts(spark):
     assert J.layer_table(spark, paths, "message", "quarantine").count() == 0 and not os.path.exists(paths.layer("message", "quarantine"))
 
 
+def test_a_copy_under_another_date_is_a_copy(spark):
+    """The seen-key index knows no dates; its batches read nothing of silver and
+    look up their own ids only, however many are there."""
+    root = run_folder(spark, "redated")
+    where, paths = root + "/landing", J.StreamPaths(root)
+    for day in range(1, 7):  # each batch: 30 new ids, and 10 old ones under a new date
+        ids = [*range(day * 30, day * 30 + 30), *range(30, 40)]
+        _land(where, f"{day}.json", [_msg(i, f"2024-01-{day:02d}T00:00:00Z") for i in ids])
+        os.utime(f"{where}/{day}.json", (1.7e9 + day, 1.7e9 + day))  # batches in this order
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(J, "layer_table", lambda *a: (_ for _ in ()).throw(AssertionError("a layer was read")))
+        raw = J.read_topic(spark, "message", folder=where, max_files_per_trigger=1)
+        q = J.start_stream(spark, "message", raw, paths, available_now=True)
+        J.await_all(spark, [q])
+    rows = J.layer_table(spark, paths, "message", "silver").collect()
+    assert sorted(int(r["message_id"]) for r in rows) == list(range(30, 210))
+    assert {str(r["event_date"]) for r in rows if int(r["message_id"]) < 40} == {"2024-01-01"}
+    state = [p["stateOperators"][0] for p in q.recentProgress if p["numInputRows"]]
+    assert [s["numRowsUpdated"] for s in state] == [30] * 6 and state[-1]["numRowsTotal"] == 180
+
+
+def test_seen_keys_inside_a_batch_and_after_their_time():
+    from pyspark.sql import Row
+
+    from sentimart.streaming.seen import SeenKeys
+
+    class Handle:
+        def getMapState(self, name, key, value, ttl):
+            self.held, self.ttl = {}, ttl
+            return self
+
+        def containsKey(self, key):
+            return key in self.held
+
+        def updateValue(self, key, value):
+            self.held[key] = value
+    p, h = SeenKeys(ttl_hours=2), Handle()
+    p.init(h)
+    assert h.ttl == 7_200_000
+    row = lambda i, at, v: Row(id=i, arrival=at, value=v)
+    call = lambda *rows: sorted((r.value, r.first) for r in p.handleInputRows((0,), iter(rows), None))
+    assert call(row("a", None, "untimed"), row("a", 5, "later"), row("a", 3, "z"), row("a", 3, "y"), row(None, 1, "bad"), row(None, 1, "bad")) == [
+        ("bad", False), ("bad", False), ("later", False), ("untimed", False), ("y", True), ("z", False)]
+    assert call(row("a", 1, "copy"), row("b", None, "only")) == [("copy", False), ("only", True)]
+    h.held.clear()  # what the store does when the time is up
+    assert call(row("a", 1, "again")) == [("again", True)]
+
+
 def test_part_bad_records_stand_as_in_batch(spark):
     root = run_folder(spark, "dirty")
     where, paths = root + "/landing", J.StreamPaths(root)

@@ -201,7 +201,7 @@ SQL["hourly_price_rollup_mode"] = SQL["hourly_price_rollup"]
 
 SQL["stream_tick_silver"] = SQL["tick_silver"]
 SQL["stream_message_dedup"] = SQL["message_silver"]
-SQL["stream_seen_keys"] = SQL["message_silver"]
+SQL["stream_log_replay"] = SQL["stream_seen_keys"] = SQL["message_silver"]
 SQL["stream_article_silver"] = with_(*facts("article")) + "SELECT * EXCLUDE (ingested_at) FROM stg_news"
 SQL["stream_market_mood_refresh"] = SQL["market_mood"]
 
@@ -314,3 +314,4 @@ SQL["publish_social"] = with_(*SOCIAL_SCORED) + f"""SELECT 'market.sentiment' AS
 FROM (SELECT *, 'stocktwits' AS data_source FROM ({SOCIAL_RECORDS}))"""
 SQL["publish_news"] = with_(*NEWS_SCORED) + f"""SELECT 'market.news' AS topic, substring(query, 1, 50) AS key, {ARTICLE_JSON} AS value
 FROM (SELECT *, 'newsapi' AS data_source FROM ({NEWS_RECORDS}))"""
+SQL["publish_twice"] = SQL["publish_ticks"]

@@ -14,15 +14,21 @@ a field of the wrong type, some values are not JSON, and some lack their keys.
 
 from __future__ import annotations
 
+import contextlib
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentimart.functions.enrich import NEWS_QUERIES, TOPICS
 from sentimart.operators import staging as ST
+from sentimart.plans import producers as PR
 from sentimart.queries import _present, register
 from sentimart.session import run_folder
 from sentimart.sources import fixtures as FX
 from sentimart.sources import landing as L
+from sentimart.sources import topic_log
 from sentimart.sources.catalog import SILVER_SOURCES, read_source, read_table, register_views
 from sentimart.streaming import jobs as J
 from sentimart.streaming.app import run as run_app
@@ -134,6 +140,50 @@ def q_stream_seen_keys(spark, sf_dir):
     return ST.stg_sentiment(read_source(spark, root, "sentiment")).drop(*STREAM_COLUMNS_TO_DROP)
 
 
+def _publish(records: DataFrame, log: str, epoch: int, fails: bool = False) -> None:
+    """One try to publish an epoch; with ``fails`` a task dies on its last rows."""
+    if fails:
+        records = records.withColumn("value", F.when(F.col("key") == "ETHUSDT", F.raise_error(F.lit("a task fails")).cast("string"))
+                                     .otherwise(F.col("value")))
+        with contextlib.suppress(PySparkException, Py4JJavaError):
+            L.publish(records, log=log, writer="ticks", epoch=epoch, topics=(TOPICS["tick"],))
+    else:
+        L.publish(records, log=log, writer="ticks", epoch=epoch, topics=(TOPICS["tick"],))
+
+
+@register("publish_twice")
+def q_publish_twice(spark, sf_dir):
+    """SNK-6: every epoch is published three times, once with a failing task;
+    the topic holds each record once."""
+    log = f"{run_folder(spark, 'publish')}/topics"
+    raw = FX.ticker_landing(read_table(spark, sf_dir, "events"))
+    for epoch in range(2):
+        records = PR.ticks(raw.filter(F.col("offset") % 2 == epoch))
+        for fails in (True, False, False):
+            _publish(records, log, epoch, fails)
+    return topic_log.read(spark, f"{log}/{TOPICS['tick']}").select(F.lit(TOPICS["tick"]).alias("topic"), "key", "value")
+
+
+@register("stream_log_replay")
+def q_stream_log_replay(spark, sf_dir):
+    """SRC-1, SRC-2, STR-5: messages published to a topic log of three
+    partitions, then streamed from the earliest offset in runs of bounded size,
+    each a restart in the middle of the log."""
+    root = run_folder(spark, "log")
+    lines = replay(source_records(spark, sf_dir, "message"), "message")
+    topic, log = TOPICS["message"], f"{root}/topics"
+    for epoch, some in enumerate((F.col("chunk") < LATER, F.col("chunk") == LATER)):
+        keyed = lines.filter(some).select(F.lit(topic).alias("topic"), F.get_json_object("value", "$.message_id").alias("key"), "value")
+        L.publish(keyed, log=log, writer="replay", epoch=epoch, topics=(topic,))
+    paths, progress = J.StreamPaths(root), f"{root}/progress.json"
+    ends = topic_log.Topic(f"{log}/{topic}").last()[1]["ends"]
+    limit = -(-sum(ends.values()) // 4)
+    while (topic_log.get(progress) or {"end": None})["end"] != ends:
+        raw = J.read_topic(spark, topic, log=log, progress=progress, max_offsets_per_trigger=limit)
+        J.await_all(spark, [J.start_stream(spark, "message", raw, paths, available_now=True)])
+    return ST.stg_sentiment(read_source(spark, root, "sentiment")).drop(*STREAM_COLUMNS_TO_DROP)
+
+
 @register("stream_reconciliation")
 def q_stream_reconciliation(spark, sf_dir):
     """Three concurrent streams: where every landed record went, by kind."""

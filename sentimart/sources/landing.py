@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from sentimart import schemas as SC
 from sentimart.functions import enrich as R
+from sentimart.sources import topic_log
 
 CORRUPT = "_corrupt_record"
 ISO_MICROS_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
@@ -231,18 +232,23 @@ def watchlist_filter(df: DataFrame, column: str, watchlist: list[str]) -> DataFr
     return df.filter(F.col(column).isin(watchlist))
 
 
-def publish(records: DataFrame, bootstrap: str | None = None, folder: str | None = None) -> None:
+def publish(records: DataFrame, bootstrap: str | None = None, folder: str | None = None, log: str | None = None,
+            writer: str | None = None, epoch: int | None = None, topics: tuple = tuple(R.TOPICS.values())) -> None:
     """Write ``(topic, key, value)`` records (SNK-6).
 
-    To the broker when a bootstrap address is given and the connector is on
-    the classpath (the ``topic`` column routes each record); otherwise as
-    one-JSON-per-line text files per topic under ``folder`` — the layout the
-    streaming jobs read. Both are plain distributed writes (no driver loop).
+    ``bootstrap``: to the broker, if its connector is on the classpath (the
+    ``topic`` column routes each record). ``log``: to the topic logs under that
+    folder, records of a key to one partition; an ``epoch`` of a ``writer`` is
+    published once, however often it is tried. ``folder``: as one-JSON-per-line
+    text files per topic, appended to. All are plain distributed writes.
     """
     if bootstrap:
         (records.select("topic", "key", "value").write.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap).save())
-        return
-    if folder is None:
-        raise ValueError("either bootstrap or folder is required")
-    records.select("topic", "value").write.mode("append").partitionBy("topic").text(folder)
+    elif log is not None:
+        for topic in topics:
+            topic_log.append(records.filter(F.col("topic") == topic), f"{log.rstrip('/')}/{topic}", writer, epoch)
+    elif folder is not None:
+        records.select("topic", "value").write.mode("append").partitionBy("topic").text(folder)
+    else:
+        raise ValueError("name a broker, a log or a folder")

@@ -38,6 +38,7 @@ from sentimart.operators import rollups as G
 from sentimart.operators import silver as SV
 from sentimart.operators import staging as ST
 from sentimart.sources import landing as L
+from sentimart.sources import topic_log
 from sentimart.streaming.seen import mark_first
 from sentimart.streaming.sinks import BATCH, DATE, BatchMetrics, LayerSpec, read_layer, write_layer
 
@@ -63,19 +64,24 @@ def kafka_available(spark: SparkSession) -> bool:
 
 def read_topic(spark: SparkSession, topic: str, folder: str | None = None,
                bootstrap: str | None = None, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
-               max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
-    """Raw records ``value`` (string) from a topic or a landing folder.
-
-    Kafka: earliest offsets, ``failOnDataLoss=false`` (STR-5); asking for it
-    without the connector is an error. Folder: oldest files first."""
-    if (bootstrap is None) == (folder is None):
-        raise ValueError("name either a broker or a folder")
+               max_offsets_per_trigger: int | None = None, log: str | None = None, progress: str | None = None) -> DataFrame:
+    """Raw records ``value`` (string) of a topic, from the earliest on (STR-5).
+
+    ``bootstrap``: a broker, ``failOnDataLoss=false``; asking for it without
+    the connector is an error. ``log``: the topic log under that folder, with
+    its offsets; ``progress`` names the file its admission needs. ``folder``: a
+    landing folder of text files, oldest first."""
+    if sum(x is not None for x in (bootstrap, folder, log)) != 1:
+        raise ValueError("name either a broker, a log or a folder")
     if bootstrap:
         if not kafka_available(spark):
             raise RuntimeError("a broker was named, but the Kafka connector is not on the classpath")
         return (spark.readStream.format("kafka")
-                .options(**kafka_options(topic, bootstrap, max_offsets_per_trigger)).load()
+                .options(**kafka_options(topic, bootstrap, max_offsets_per_trigger or MAX_OFFSETS_PER_TRIGGER)).load()
                 .select(F.col("value").cast("string").alias("value")))
+    if log:
+        limit = max_offsets_per_trigger or (MAX_OFFSETS_PER_TRIGGER if progress else None)
+        return topic_log.read_stream(spark, f"{log.rstrip('/')}/{topic}", limit, progress).select("value")
     return spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(folder)
 
 

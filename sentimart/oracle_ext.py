@@ -239,6 +239,8 @@ for _k, _t in (("tick", "ticks"), ("message", "messages"), ("article", "articles
     SQL["gold_rebuild"] = SQL["gold_rebuild"].replace(
         _fact, _fact.replace(f"FROM {_t} WHERE ", f"FROM {_t} WHERE CAST({_SINCE[_k]} AS DATE) >= DATE '2024-01-15' AND "))
 
+SQL["gold_publish"] = f"SELECT * FROM ({SQL['crypto_dashboard']}) WHERE symbol <> 'DOGEUSDT'"
+
 # Stateful mood: the hours the watermark closed, i.e. window end at or before
 # the smaller of the two streams' (latest event time - 2 hours).
 SQL["stream_market_mood_stateful"] = SQL["market_mood"] + """

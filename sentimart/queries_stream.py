@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from sentimart.functions.enrich import NEWS_QUERIES, TOPICS
 from sentimart.operators import staging as ST
 from sentimart.plans import producers as PR
+from sentimart.plans.publish import publish, read_published
 from sentimart.queries import _present, register
 from sentimart.session import run_folder
 from sentimart.sources import fixtures as FX
@@ -212,7 +213,7 @@ def q_stream_market_mood_refresh(spark, sf_dir):
     for kind in TOPICS:
         land(spark, sf_dir, kind, root)
     run_app(spark, root, f"{root}/landing", available_now=True)
-    mood = spark.read.parquet(f"{root}/models/mart_hourly_market_mood")
+    mood = read_published(spark, f"{root}/models", "mart_hourly_market_mood")
     return _present(mood.select(
         "date", "hour", "article_count", "avg_news_sentiment", "high_impact_count",
         "strong_positive_news", "strong_negative_news", "social_message_count",
@@ -252,6 +253,28 @@ def q_gold_rebuild(spark, sf_dir):
     return _present(spark.sql("SELECT * FROM gold_crypto_dashboard").drop("updated_at"))
 
 
+@register("gold_publish")
+def q_gold_publish(spark, sf_dir):
+    """SNK-8, SNK-9, DQ-4: a build whose checks fail (ticks off the list) publishes
+    nothing; one that passes is published, then some dates of it anew; the gold
+    dashboard as its readers see it."""
+    from sentimart.functions.enrich import TICK_SYMBOLS
+    from sentimart.operators import silver as SV
+    from sentimart.plans import inputs as I
+    out = run_folder(spark, "published")
+    silver = {"tick": SV.tick_silver(I.parsed_ticks(spark, sf_dir)), "message": SV.message_silver(I.parsed_messages(spark, sf_dir)),
+              "article": SV.article_silver(I.parsed_articles(spark, sf_dir))}
+    good = silver | {"tick": silver["tick"].filter(F.col("symbol").isin(TICK_SYMBOLS))}
+    since = lambda tables, d: {k: df.filter(F.to_date(J.DATE_SOURCE[k]) >= F.lit(d).cast("date")) for k, df in tables.items()}
+    publish(spark, good | {"article": since(good, REBUILD_FROM)["article"]}, out)  # older articles are not there yet
+    publish(spark, silver, out)                                                    # fails its checks
+    dates = [r[0] for r in good["article"].filter(F.to_date("published_at") < F.lit(REBUILD_FROM).cast("date"))
+             .select(F.to_date("published_at")).distinct().collect()]              # at most the days before REBUILD_FROM
+    late = {k: df.withColumn("event_date", F.to_date(J.DATE_SOURCE[k])) for k, df in good.items()}
+    publish(spark, late, out, dates)
+    return _present(read_published(spark, out, "gold_crypto_dashboard").drop("updated_at"))
+
+
 STATEFUL_DELAY = "2 hours"
 
 

@@ -37,6 +37,8 @@ def build_session(master: str | None = None, app: str = "sentimart",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # models of a build run side by side, each in a pool of its own
+        "spark.scheduler.mode": "FAIR",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "static",
         # no Python call-site capture per Column call (error-message context

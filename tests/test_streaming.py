@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 import __spark_entry__ as E
 from sentimart.operators import silver as SV
 from sentimart.plans import producers as PR
+from sentimart.plans.publish import read_published
 from sentimart.queries_stream import land, run_kind, source_records
 from sentimart.session import run_folder
 from sentimart.sources import fixtures as FX
@@ -187,7 +188,7 @@ def test_app_equals_batch_and_one_refresher_keeps_gold(spark):
     for kind in ("tick", "message", "article"):
         land(spark, SMALL, kind, root)
     run(spark, root, f"{root}/landing", available_now=True)
-    gold = lambda: spark.read.parquet(f"{root}/models/gold_crypto_dashboard").drop("updated_at")
+    gold = lambda: read_published(spark, f"{root}/models", "gold_crypto_dashboard").drop("updated_at")
     want = E.queries()["crypto_dashboard"](spark, SMALL)
     key = ["symbol", "date", "hour", "composite_signal", "sentiment_message_count", "news_article_count", "price_tick_count"]
     assert gold().select(key).exceptAll(want.select(key)).count() == 0 and want.select(key).exceptAll(gold().select(key)).count() == 0
@@ -245,7 +246,7 @@ def test_a_refresh_of_one_date_rebuilds_that_date(spark):
     write_layer(partials, 0, LayerSpec(paths.layer("tick", "partials"), add_columns={"event_date": F.col("trade_date")}))
     date = partials.agg(F.min("trade_date")).first()[0]
     refresh(spark, paths, f"{root}/models", [date])
-    got = spark.read.parquet(f"{root}/models/mart_price_sentiment_correlation")
+    got = read_published(spark, f"{root}/models", "mart_price_sentiment_correlation")
     assert [r[0] for r in got.select("date").distinct().collect()] == [date]
 
 

@@ -165,5 +165,63 @@ def test_registered_pages(spark):
         assert r.text == " ".join(html.unescape(re.sub(r"<[^>]*(?:>|\Z)", " ", inside)).split())
 
 
+@pytest.mark.parametrize("opening", [
+    "<div id=page class='hfeed has-sidebar'><article>", "<article class='post-1 comments-open'>", "<main class=search-enabled>",
+    "<div class='entry-content ad-supported'>", "<div id='page' class='site no-banner'><div class='content-area'>", "<section class='menu-item-has-children'>",
+    "<body class='home share-count sidebar-none'><article role=main id=login-required>"])
+def test_everyday_markup_keeps_its_article(opening):
+    page = f"<nav><a>Home</a> <a>News</a></nav>{opening}<p>{PARA}</p><p>He said no.</p><p>{PARA}</p>"
+    assert H.main_text(page) == f"{PLAIN} He said no. {PLAIN}"
+
+
+@pytest.mark.parametrize("name", ["sidebar", "cookie-notice", "site-footer", "ad", "comments", "primary-menu", "related-posts", "newsletter", "top_banner"])
+def test_furniture_by_its_whole_name(name):
+    for attribute in (f"class='{name}'", f"id={name}", f'class="x {name.upper()} y"'):
+        assert H.main_text(f"<div {attribute}><p>{PARA}</p></div><article><p>{PARA}</p></article>") == PLAIN
+
+
+LONG = "A paragraph that runs on for long enough to be told from the links around it, as the paragraphs of an article do, with some words to spare at its end."
+MENU = "<div><a>Home</a></div><div><a>All news</a></div><div><a>Contact us here</a></div>"
+DIVS = [  # pages without a word of markup that helps
+    (f"{MENU}<div>{LONG}</div><div>He said no.</div><div>{LONG}</div>{MENU}", f"{LONG} He said no. {LONG}"),
+    (f"{MENU}<div>A heading of the article</div><div>{LONG}</div>{MENU}<div>Copyright of the site</div>{MENU}", f"A heading of the article {LONG}"),
+    (f"{MENU}<div>{LONG}</div><div><a>A linked paragraph between two others that are not linked</a></div><div>{LONG}</div>{MENU}",
+     f"{LONG} A linked paragraph between two others that are not linked {LONG}"),
+    (f"<div>{LONG}</div>" + "<div><a>One more linked headline of the many that follow each other here</a></div>" * 5 + "<div>Read these</div>" + MENU, LONG),
+    (f"{MENU}<div>{LONG}</div><div>No.</div><div>Why not?</div><div>He said no.</div><div>{LONG}</div>{MENU}", f"{LONG} No. Why not? He said no. {LONG}"),
+    (f"{MENU}<div>{LONG}</div><div>{LONG}</div><div>The end.</div>", f"{LONG} {LONG} The end."),
+]
+
+
+@pytest.mark.parametrize("page, text", DIVS)
+def test_neighbours_decide_where_markup_does_not(page, text):
+    assert H.main_text(page) == text
+
+
+def _nodes(tree):
+    return [tree, *_nodes(tree.low), *_nodes(tree.high)] if isinstance(tree, H.Node) else []
+
+
+@pytest.mark.parametrize("feature", ["words_before", "link_density_before", "words_after", "link_density_after"])
+def test_each_neighbour_feature_counts(feature):
+    """It occurs in the tree, and a tree without it misjudges labelled blocks."""
+    at = H.FEATURES.index(feature)
+    assert any(n.feature == at for n in _nodes(H.default_tree()))
+    blank = lambda x: (*x[:at], 0, *x[at + 1:])
+    rows = H.labelled()
+    without = H.train([(blank(x), y) for x, y in rows])
+    assert sum(H.keeps(without, blank(x)) != bool(y) for x, y in rows) > 0
+
+
+def test_deep_pages_in_linear_time():
+    import time
+    took = []
+    for n in (20_000, 80_000):
+        t = time.process_time()
+        assert H.main_text("<div>" * n + "</section>" * n + f"<article><p>{PARA}</p></article>" + "</div>" * n) == PLAIN
+        took.append(time.process_time() - t)
+    assert took[1] < 12 * took[0] + 0.5
+
+
 def test_empty_pages(spark):
     assert H.extracted(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0

@@ -3,8 +3,11 @@ producers to Spark jobs.
 
 Row-local form (the default): tokens are an array expression, and an
 Arrow-batched function with the lexicon (bounded: checked first) scores each
-text where it lies. One scan, no exchange, and the same function scores a
-stream. Relational form, for a lexicon too large to ship:
+text where it lies: all tokens of a batch are one flat array, looked up and
+summed at once. One scan, no exchange, and the same function scores a stream.
+A token that the lexicon has more than once counts with its greatest valence.
+:mod:`sentimart.operators.phrases` adds multi-word entries, boosters and
+contrast clauses. Relational form, for a lexicon too large to ship:
 
     tokens zipped with the 3 previous tokens -> explode
       -> LEFT JOIN lexicon, keeping hits plus one row per text
@@ -19,7 +22,9 @@ order or form. Equality with any particular library is not claimed.
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,49 +62,81 @@ def lexicon_table(spark: SparkSession) -> DataFrame:
 MAX_LOCAL_ENTRIES = 500_000
 
 
+def unambiguous(lexicon: DataFrame) -> DataFrame:
+    """``(token, v)``, a row for each token: its greatest valence, in units of 1e-3."""
+    return lexicon.groupBy("token").agg(F.max(F.round(F.col("valence") * 1000).cast("bigint")).alias("v"))
+
+
 def local_lexicon(lexicon: DataFrame, most: int = MAX_LOCAL_ENTRIES) -> dict[str, int] | None:
     """token -> valence in units of 1e-3; None if there are more than ``most``."""
-    rows = (lexicon.select("token", F.round(F.col("valence") * 1000).cast("bigint").alias("v")).limit(most + 1).collect())
+    rows = unambiguous(lexicon).limit(most + 1).collect()
     return {r.token: r.v for r in rows} if len(rows) <= most else None
 
 
+SUMS = "s_u long, pos_u long, neg_u long, n_scored long, n_tokens long"
+
+
+class Tokens:
+    """The tokens of a batch of texts as one flat array."""
+
+    def __init__(self, lists: pa.Array):
+        self.values = lists.flatten()
+        self.offsets = lists.offsets.to_numpy().astype(np.int64)
+        self.offsets = self.offsets - self.offsets[0]
+        self.sizes = np.diff(self.offsets)
+        self.text = np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    def places(self, words) -> np.ndarray:
+        """Of each token its place in ``words`` (-1: not there)."""
+        return pc.index_in(self.values, pa.array(words, pa.string())).fill_null(-1).to_numpy().astype(np.int64)
+
+    def before(self, x: np.ndarray, k: int) -> np.ndarray:
+        """``x`` of the token ``k`` places before each, 0 where the text has none."""
+        out = np.zeros_like(x)
+        same = self.text[k:] == self.text[:-k] if k < len(x) else np.zeros(0, bool)
+        out[k:][same] = x[:-k][same] if k < len(x) else 0
+        return out
+
+    def negated(self) -> np.ndarray:
+        """Is one of the NEGATION_WINDOW tokens before each a negator?"""
+        found = self.places(NEGATORS) >= 0
+        return np.logical_or.reduce([self.before(found, k) for k in range(1, NEGATION_WINDOW + 1)])
+
+    def total(self, x: np.ndarray) -> np.ndarray:
+        """Sums of ``x`` by text; whole numbers, so exact."""
+        upto = np.concatenate([[0], np.cumsum(x, dtype=np.int64)])
+        return upto[self.offsets[1:]] - upto[self.offsets[:-1]]
+
+    def sums(self, v: np.ndarray, unit: int, tokens_of: np.ndarray | int = 1) -> pa.StructArray:
+        """Columns SUMS from the valence at each token, which stands for ``tokens_of`` tokens."""
+        columns = [v, np.where(v > 0, v + unit, 0), np.where(v < 0, v - unit, 0), (v != 0) * tokens_of]
+        return pa.StructArray.from_arrays([pa.array(x) for x in [*map(self.total, columns), self.sizes]],
+                                          [c.split()[0] for c in SUMS.split(", ")])
+
+
 def sums_column(text_col: str, lexicon: dict[str, int]) -> Column:
     """The integer sums of one text, as a struct; needs nothing but the row."""
-    negators, window, scale = frozenset(NEGATORS), NEGATION_WINDOW, NEGATION_SCALE_PCT
-
-    @F.pandas_udf("s_u long, pos_u long, neg_u long, n_scored long, n_tokens long")
-    def sums(texts: pd.Series) -> pd.DataFrame:
-        out = []
-        for toks in texts:
-            s = pos = neg = n = 0
-            last = -window - 1  # place of the last negator
-            for i, t in enumerate(toks):
-                v = lexicon.get(t, 0)
-                if v:
-                    v *= scale if i - last <= window else 100
-                    s, n = s + v, n + 1
-                    if v > 0:
-                        pos += v + UNIT
-                    else:
-                        neg += v - UNIT
-                if t in negators:
-                    last = i
-            out.append((s, pos, neg, n, len(toks)))
-        return pd.DataFrame(out, columns=["s_u", "pos_u", "neg_u", "n_scored", "n_tokens"])
+    words, valence = list(lexicon), np.array([*lexicon.values(), 0], np.int64)
+
+    @F.arrow_udf(SUMS)
+    def sums(lists: pa.Array) -> pa.Array:
+        t = Tokens(lists)
+        v = valence[t.places(words)]  # -1, not found, is the last: 0
+        return t.sums(v * np.where(t.negated(), NEGATION_SCALE_PCT, 100), UNIT)
 
     return sums(tokens(text_col))
 
 
-def _scores(sums: str = "") -> list[Column]:
-    """The scores from the integer sums (columns, or fields of ``sums``)."""
+def _scores(sums: str = "", unit: int = UNIT) -> list[Column]:
+    """The scores from the integer sums (columns, or fields of ``sums``) in units of 1 / ``unit``."""
     f = lambda c: F.col(f"{sums}.{c}" if sums else c)
-    s = f("s_u").cast("double") / F.lit(float(UNIT))
+    s = f("s_u").cast("double") / F.lit(float(unit))
     neutral = (f("n_tokens") - f("n_scored")).cast("double")
-    total = (f("pos_u") - f("neg_u")).cast("double") / F.lit(float(UNIT)) + neutral
+    total = (f("pos_u") - f("neg_u")).cast("double") / F.lit(float(unit)) + neutral
     share = lambda x: F.when(total > 0, half_up(F.abs(x / total), 3)).otherwise(F.lit(0.0))
     return [
-        share(f("pos_u").cast("double") / F.lit(float(UNIT))).alias("sentiment_pos"),
-        share(f("neg_u").cast("double") / F.lit(float(UNIT))).alias("sentiment_neg"),
+        share(f("pos_u").cast("double") / F.lit(float(unit))).alias("sentiment_pos"),
+        share(f("neg_u").cast("double") / F.lit(float(unit))).alias("sentiment_neg"),
         share(neutral).alias("sentiment_neu"),
         half_up(s / F.sqrt(s * s + F.lit(ALPHA)), 4).alias("sentiment_compound"),
         f("n_tokens").alias("n_tokens"),
@@ -138,8 +175,7 @@ def relational_scores(df: DataFrame, id_cols: list[str], text_col: str,
     """
     spark = df.sparkSession
     lex = lexicon if lexicon is not None else lexicon_table(spark)
-    lex = lex.select(F.col("token").alias("lex_token"),
-                     F.round(F.col("valence") * 1000).cast("bigint").alias("v_milli"))
+    lex = unambiguous(lex).select(F.col("token").alias("lex_token"), F.col("v").alias("v_milli"))
     toks = df.select(*id_cols, tokens(text_col).alias("toks"))
     prev = [f"p{k}" for k in range(1, NEGATION_WINDOW + 1)]
     marked = toks.select(*id_cols, F.size("toks").alias("n_tok"),

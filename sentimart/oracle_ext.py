@@ -80,6 +80,49 @@ for _src, _ids in (("documents", ["doc_id"]), ("conversations", ["conv_id", "tur
     SQL[f"lexicon_score_{_src}"] = with_(*scored(_src, _ids, "text")) + f"""
 SELECT {', '.join(_ids)}, CAST(n_tokens AS BIGINT) AS n_tokens, {SCORES}, {polarity('sentiment_compound')} AS sentiment_label FROM scores"""
 
+# Phrases, boosters and contrast: entries of one to three words by joining all runs of a text.
+RULE = "CAST(round(CAST((length({x}) * 17 + length(replace({x}, 'e', '')) * 5) % 41 - 20 AS DOUBLE) / 10.0 * 1000) AS BIGINT)"
+SQL["lexicon_phrase_scores"] = with_(
+    LEXICON_SQL,
+    f"items AS (SELECT {SPLIT.format(x='text')} AS tl FROM benchmark)",
+    f"""entries AS (
+  SELECT token AS entry, milli FROM lexicon
+  UNION ALL SELECT entry, {RULE.format(x='entry')} FROM (
+    SELECT DISTINCT array_to_string(tl[i:i + k - 1], ' ') AS entry FROM (
+      SELECT tl, k, unnest(generate_series(1, len(tl) - k + 1)) AS i FROM items, (VALUES (2), (3)) AS s(k) WHERE len(tl) >= k))
+  WHERE length(entry) % 3 = 0)""",
+    """boosters AS (SELECT DISTINCT token, CASE WHEN contains(token, 'r') THEN -293 ELSE 293 END AS amount
+  FROM (SELECT unnest(tl) AS token FROM items) WHERE length(token) % 4 = 2)""",
+    f"token_lists AS (SELECT doc_id, {SPLIT.format(x='text')} AS tl FROM documents)",
+    "spots AS (SELECT doc_id, tl, unnest(tl) AS token, unnest(generate_series(1, len(tl))) AS spot FROM token_lists)",
+    """hits AS (
+  SELECT doc_id, spot, k AS n, milli FROM (SELECT doc_id, spot, k, array_to_string(tl[spot:spot + k - 1], ' ') AS g
+    FROM spots, (VALUES (1), (2), (3)) AS s(k) WHERE spot + k - 1 <= len(tl)) JOIN entries ON g = entry
+  QUALIFY row_number() OVER (PARTITION BY doc_id, spot ORDER BY k DESC) = 1)""",
+    """beaten AS (
+  SELECT a.doc_id, a.spot FROM hits a JOIN hits b ON a.doc_id = b.doc_id AND b.spot BETWEEN a.spot - 2 AND a.spot + 2 AND b.spot <> a.spot
+  WHERE b.spot < a.spot + a.n AND a.spot < b.spot + b.n AND (b.n > a.n OR b.n = a.n AND b.spot < a.spot))""",
+    """around AS (
+  SELECT s.doc_id, spot, 100 * coalesce(lag(amount, 1) OVER w, 0) + 95 * coalesce(lag(amount, 2) OVER w, 0) + 90 * coalesce(lag(amount, 3) OVER w, 0) AS boost,
+    max(CASE WHEN token IN (""" + ", ".join(map(quote, NEGATIONS)) + """) THEN 1 ELSE 0 END) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) = 1 AS negated,
+    min(CASE WHEN token IN ('with', 'avec', 'mit', 'con') THEN spot END) OVER (PARTITION BY s.doc_id) AS turn
+  FROM spots s LEFT JOIN boosters USING (token) WINDOW w AS (PARTITION BY s.doc_id ORDER BY spot))""",
+    """valued AS (
+  SELECT doc_id, n, CASE WHEN milli = 0 THEN 0 ELSE (milli * 100 + sign(milli) * boost) * CASE WHEN negated THEN -74 ELSE 100 END
+    * CASE WHEN turn IS NULL OR spot = turn THEN 100 WHEN spot < turn THEN 50 ELSE 150 END END AS v
+  FROM hits ANTI JOIN beaten USING (doc_id, spot) JOIN around USING (doc_id, spot))""",
+    """sums AS (
+  SELECT doc_id, sum(v) AS s_u, sum(v + 1000000000) FILTER (WHERE v > 0) AS pos_u, sum(v - 1000000000) FILTER (WHERE v < 0) AS neg_u,
+    sum(n) FILTER (WHERE v <> 0) AS n_scored FROM valued GROUP BY doc_id)""",
+    """totals AS (SELECT doc_id, len(tl) AS n_tokens, coalesce(s_u, 0) AS s_u, coalesce(pos_u, 0) AS pos_u, coalesce(neg_u, 0) AS neg_u,
+    coalesce(n_scored, 0) AS n_scored FROM token_lists LEFT JOIN sums USING (doc_id))""",
+    *(lambda unit, total: [f"""scores AS (
+  SELECT doc_id, n_tokens, {', '.join(f"CASE WHEN {total} > 0 THEN {r(f'abs(({x}) / {total})', 3)} ELSE 0.0 END AS sentiment_{n}" for n, x in (
+      ('pos', f'CAST(pos_u AS DOUBLE) / {unit}'), ('neg', f'CAST(neg_u AS DOUBLE) / {unit}'), ('neu', 'CAST(n_tokens - n_scored AS DOUBLE)')))},
+    {r(f"(CAST(s_u AS DOUBLE) / {unit}) / sqrt((CAST(s_u AS DOUBLE) / {unit}) * (CAST(s_u AS DOUBLE) / {unit}) + {dbl('15.0')})", 4)} AS sentiment_compound
+  FROM totals)"""])(dbl("1000000000.0"), f"(CAST(pos_u - neg_u AS DOUBLE) / {dbl('1000000000.0')} + CAST(n_tokens - n_scored AS DOUBLE))")) + f"""
+SELECT doc_id, CAST(n_tokens AS BIGINT) AS n_tokens, {SCORES}, {polarity('sentiment_compound')} AS sentiment_label FROM scores"""
+
 WATCHED = "'BTC.X', 'ETH.X', 'SOL.X', 'AAPL', 'TSLA', 'NVDA'"
 SOCIAL = """social AS (
   SELECT * EXCLUDE (sentiment_compound), row_id // 100 AS page, max(ingested_at) OVER (PARTITION BY symbol, row_id // 100) AS polled_at

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sentimart.functions import enrich as R
 from sentimart.operators import dedup as DD
+from sentimart.operators import phrases as PH
 from sentimart.operators import quality as DQ
 from sentimart.operators import scoring as SCO
 from sentimart.operators import silver as SV
@@ -212,6 +213,21 @@ def q_lexicon_score_conversations(spark, sf_dir):
     return sc.withColumn("sentiment_label", R.polarity_class())
 
 
+#: Words of the fixtures' invented languages that serve as contrast words.
+FIXTURE_CONTRAST = ["with", "avec", "mit", "con"]
+
+
+@register("lexicon_phrase_scores")
+def q_lexicon_phrase_scores(spark, sf_dir):
+    """ENR-14 with entries of several words, boosters and contrast clauses; the
+    phrase and booster tables come from the benchmark table."""
+    items = read_table(spark, sf_dir, "benchmark")
+    entries = lexicon(spark, sf_dir).withColumnRenamed("token", "entry").unionByName(FX.phrases_from_items(items))
+    docs = read_table(spark, sf_dir, "documents")
+    sc = PH.phrase_scores(docs, ["doc_id"], "text", entries, FX.boosters_from_items(items), FIXTURE_CONTRAST)
+    return sc.withColumn("sentiment_label", R.polarity_class())
+
+
 # --- quality (DQ-1..4) ----------------------------------------------------------
 
 def _tables(spark, sf_dir):

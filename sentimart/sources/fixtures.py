@@ -272,3 +272,21 @@ def lexicon_from_items(items: DataFrame) -> DataFrame:
     from sentimart.functions.text import tokens
     t = items.select(F.explode(tokens("text")).alias("token")).distinct()
     return t.select("token", F.expr("((length(token) * 17 + length(replace(token, 'e', '')) * 5) % 41 - 20) / 10D").alias("valence"))
+
+
+def phrases_from_items(items: DataFrame) -> DataFrame:
+    """An (entry, valence) table: neighbouring word pairs and triples of a small
+    text table whose text has a length divisible by 3, valence by the rule above."""
+    from sentimart.functions.text import tokens
+    t = items.select(tokens("text").alias("w"))
+    runs = "transform(sequence(1, size(w) - {k} + 1), i -> array_join(slice(w, i, {k}), ' '))"
+    found = [t.where(f"size(w) >= {k}").select(F.explode(F.expr(runs.format(k=k))).alias("entry")) for k in (2, 3)]
+    e = found[0].unionByName(found[1]).distinct().where("length(entry) % 3 = 0")
+    return e.select("entry", F.expr("((length(entry) * 17 + length(replace(entry, 'e', '')) * 5) % 41 - 20) / 10D").alias("valence"))
+
+
+def boosters_from_items(items: DataFrame) -> DataFrame:
+    """A (token, valence) table of amounts: words of a small text table by a rule."""
+    from sentimart.functions.text import tokens
+    t = items.select(F.explode(tokens("text")).alias("token")).distinct().where("length(token) % 4 = 2")
+    return t.select("token", F.expr("CASE WHEN contains(token, 'r') THEN -0.293D ELSE 0.293D END").alias("valence"))

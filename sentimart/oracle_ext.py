@@ -246,7 +246,8 @@ SQL["stream_tick_silver"] = SQL["tick_silver"]
 SQL["stream_message_dedup"] = SQL["message_silver"]
 SQL["stream_log_replay"] = SQL["stream_seen_keys"] = SQL["message_silver"]
 SQL["stream_article_silver"] = with_(*facts("article")) + "SELECT * EXCLUDE (ingested_at) FROM stg_news"
-SQL["stream_market_mood_refresh"] = SQL["market_mood"]
+SQL["stream_latest_n"] = SQL["latest_n_per_query"]
+SQL["stream_mood_changelog"] = SQL["stream_market_mood_refresh"] = SQL["market_mood"]
 
 REPLAYED = """{kind}_copies AS (
   SELECT * FROM {table} UNION ALL SELECT * FROM {table} WHERE row_id % 53 <> 0 AND row_id % 7 = 0 UNION ALL SELECT * FROM {table} WHERE row_id % 3 = 0)"""

@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentimart.functions.enrich import NEWS_QUERIES, TOPICS
+from sentimart.operators import dedup as DD
 from sentimart.operators import staging as ST
 from sentimart.plans import producers as PR
 from sentimart.plans.publish import publish, read_published
 from sentimart.queries import _present, register
+from sentimart.queries_ext import LATEST_REFERENCE_TIME
 from sentimart.session import run_folder
 from sentimart.sources import fixtures as FX
 from sentimart.sources import landing as L
@@ -34,6 +36,9 @@ from sentimart.sources.catalog import SILVER_SOURCES, read_source, read_table, r
 from sentimart.streaming import jobs as J
 from sentimart.streaming.app import run as run_app
 from sentimart.streaming.app import start_ingest
+from sentimart.streaming.latest import current, start_latest
+from sentimart.streaming.metrics import batch_metrics, settle
+from sentimart.streaming.refresh import merged_mood
 from sentimart.streaming.sinks import BatchMetrics, LayerSpec, read_layer, write_layer
 
 #: Batches of a replay; copies that come later land after all of them.
@@ -198,12 +203,54 @@ def q_stream_reconciliation(spark, sf_dir):
 
 @register("stream_batch_counts")
 def q_stream_batch_counts(spark, sf_dir):
-    """SNK-10, AGG-13: the rows each layer's batches reported, summed."""
+    """SNK-10, AGG-13: the rows each layer's batches reported, from the metrics
+    table that two runs of the stream have left."""
     root = run_folder(spark, "counts")
     paths = J.StreamPaths(root)
-    metrics = run_kind(spark, "message", land(spark, sf_dir, "message", root), paths)
-    layers = ("bronze", "silver", "quarantine")
-    return spark.createDataFrame([(x, metrics.total(x)) for x in layers], "layer string, n_rows long")
+    where = land(spark, sf_dir, "message", root)
+    for part in (f"{where}/chunk=[0-9]", f"{where}/chunk=*"):  # the second run takes what the first left
+        listener = J.keep_metrics(spark, paths)
+        raw = J.read_topic(spark, TOPICS["message"], folder=part, max_files_per_trigger=1)
+        J.await_all(spark, [J.start_stream(spark, "message", raw, paths, available_now=True)])
+        settle(spark)
+        spark.streams.removeListener(listener)
+    sums = batch_metrics(spark, paths.metrics).agg(*[F.sum(c).alias(c) for c in ("bronze", "silver", "quarantine")])
+    return sums.select(F.expr("stack(3, 'bronze', bronze, 'silver', silver, 'quarantine', quarantine) AS (layer, n_rows)"))
+
+
+@register("stream_latest_n")
+def q_stream_latest_n(spark, sf_dir):
+    """SRC-10, SORT-2: the newest 20 articles of each query since the lookback
+    start, kept current by a stream whose state is 20 rows a query."""
+    root = run_folder(spark, "latest")
+    records = source_records(spark, sf_dir, "article")
+    lines = records.select((F.col("_row") % 4).alias("chunk"), L.wire_value(records, "article").alias("value"))
+    lines.repartition("chunk").write.partitionBy("chunk").text(f"{root}/landing")
+    raw = J.read_topic(spark, TOPICS["article"], folder=f"{root}/landing", max_files_per_trigger=1)
+    rows = L.parse_records(raw, "article").select("article_id", "query", "title", "published_at")
+    recent = rows.filter(F.col("published_at") >= DD.lookback_start(F.lit(LATEST_REFERENCE_TIME).cast("timestamp"), 24))
+    J.await_all(spark, [start_latest(recent, f"{root}/latest", f"{root}/_ck", "query", "published_at", 20, "article_id", available_now=True)])
+    return current(spark, f"{root}/latest", rows.schema)
+
+
+@register("stream_mood_changelog")
+def q_stream_mood_changelog(spark, sf_dir):
+    """STR-9: the mood of every hour as its changelog has it, after a run over
+    half the messages and articles and one over the rest, late rows included."""
+    root = run_folder(spark, "moodlog")
+    for kind in TOPICS:
+        records = source_records(spark, sf_dir, kind)
+        lines = records.select((F.col("_row") % 2).alias("chunk"), L.wire_value(records, kind).alias("value"))
+        lines.repartition("chunk").write.partitionBy("chunk").text(f"{root}/all/topic={TOPICS[kind]}")
+    for chunk in (0, 1):
+        for kind in TOPICS:
+            part = spark.read.text(f"{root}/all/topic={TOPICS[kind]}/chunk={chunk}")
+            part.write.mode("append").text(f"{root}/landing/topic={TOPICS[kind]}")
+        run_app(spark, root, f"{root}/landing", available_now=True)
+    return _present(merged_mood(spark, f"{root}/models").select(
+        "date", "hour", "article_count", "avg_news_sentiment", "high_impact_count",
+        "strong_positive_news", "strong_negative_news", "social_message_count",
+        "avg_social_sentiment", "avg_influence", "market_mood_score", "market_mood_label"))
 
 
 @register("stream_market_mood_refresh")

@@ -39,6 +39,7 @@ from sentimart.operators import silver as SV
 from sentimart.operators import staging as ST
 from sentimart.sources import landing as L
 from sentimart.sources import topic_log
+from sentimart.streaming.metrics import MetricsTable, observed
 from sentimart.streaming.seen import mark_first
 from sentimart.streaming.sinks import BATCH, DATE, BatchMetrics, LayerSpec, read_layer, write_layer
 
@@ -107,6 +108,10 @@ class StreamPaths:
     def checkpoint(self, kind: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{kind}"
 
+    @property
+    def metrics(self) -> str:
+        return f"{self.root.rstrip('/')}/metrics"
+
     @property
     def touched(self) -> str:
         return f"{self.root.rstrip('/')}/touched"
@@ -185,7 +190,10 @@ def start_stream(spark: SparkSession, kind: str, raw: DataFrame, paths: StreamPa
     keys = dedup_keys or ([ID_COLUMN[kind]] if kind in ID_COLUMN else [])
     if seen not in ("state", "silver"):
         raise ValueError("seen is state or silver")
-    rows = marked(spark, raw, kind, keys, ttl_hours) if keys and seen == "state" else L.split_quarantine(raw, kind)
+    stateful = bool(keys) and seen == "state"
+    rows = marked(spark, raw, kind, keys, ttl_hours) if stateful else L.split_quarantine(raw, kind)
+    # with seen="silver" the stream itself cannot know the copies of earlier batches: it counts valid rows
+    rows = observed(rows, F.col("first") if stateful else F.expr(SV.VALID[kind]))
 
     def sink(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
@@ -217,7 +225,18 @@ def start_stream(spark: SparkSession, kind: str, raw: DataFrame, paths: StreamPa
          .outputMode("append").option("checkpointLocation", paths.checkpoint(kind)))
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{TRIGGER_SECONDS[kind]} seconds")
-    return w.queryName(f"{kind}_{abs(hash(paths.root)) % 10**6}").start()
+    return w.queryName(query_name(kind, paths)).start()
+
+
+def query_name(kind: str, paths: StreamPaths) -> str:
+    return f"{kind}_{abs(hash(paths.root)) % 10**6}"
+
+
+def keep_metrics(spark: SparkSession, paths: StreamPaths) -> MetricsTable:
+    """From now on the batches of this root's streams leave their figures in its metrics table."""
+    listener = MetricsTable(paths.metrics, {query_name(kind, paths): kind for kind in SILVER})
+    spark.streams.addListener(listener)
+    return listener
 
 
 def reconciliation(spark: SparkSession, paths: StreamPaths, kind: str, landed: DataFrame) -> DataFrame:

@@ -24,7 +24,8 @@ covered AS (SELECT r, count(DISTINCT p + k) AS n FROM repeated, (VALUES (0), (1)
 counts AS (
   SELECT r, doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-    len(list_filter(w, lambda x: x IN ({', '.join(f"'{x}'" for x in sorted(set(STOP)))}))) AS n_stop,
+    len(list_filter(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZÜ', 'abcdefghijklmnopqrstuvwxyzü'), '\\p{{L}}+'),
+      lambda x: x IN ({', '.join(f"'{x}'" for x in sorted(set(STOP)))}))) AS n_stop,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM tokens),
 measured AS (

@@ -29,7 +29,8 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW = 3
 SYMBOLS = r"[#*$%&|<>]+"
-#: Common function words of the languages of the corpus, lower case.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZÜ", "abcdefghijklmnopqrstuvwxyzü"
+#: Common function words of the languages of the corpus, lower case; counted in any case, without what stands around them.
 STOP_WORDS = (
     "the", "of", "and", "to", "in", "a", "is", "that", "for", "it", "as", "was", "with", "be", "by", "on", "not",
     "he", "his", "are", "this", "at", "from", "have", "or", "an", "they", "which", "you", "we",
@@ -41,6 +42,14 @@ STOP_WORDS = (
 )
 
 
+def _any_of(words: Sequence[str]) -> str:
+    """A pattern of whole words, those of one first letter together."""
+    by_letter: dict[str, list[str]] = {}
+    for w in sorted(set(words), key=lambda w: (-len(w), w)):
+        by_letter.setdefault(w[0], []).append(w[1:])
+    return r"(?<!\p{L})(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in sorted(by_letter.items())) + r")(?!\p{L})"
+
+
 class Rule(NamedTuple):
     """A text passes if ``low <= ratio <= high``."""
 
@@ -63,14 +72,13 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
     whole = text_of(text)
     lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     found = df.withColumn("_words", words(text)).withColumn("_lines", lines)
-    stop = F.array(*[F.lit(w) for w in sorted(set(STOP_WORDS))])
     return found.withColumns({
         "n_words": F.size("_words").cast("long"),
         "word_chars": F.length(F.regexp_replace(whole, WHITESPACE, "")).cast("long"),
         "n_symbols": (F.length(whole) - F.length(F.regexp_replace(whole, SYMBOLS, ""))).cast("long"),
         "n_lines": F.size("_lines").cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_stop_words": F.size(F.filter("_words", lambda w: F.array_contains(stop, w))).cast("long"),
+        "n_stop_words": F.regexp_count(F.translate(whole, UPPER, LOWER), F.lit(_any_of(STOP_WORDS))).cast("long"),
         "n_repeat_words": _repeated(F.col("_words")).cast("long"),
     }).drop("_words", "_lines")
 

@@ -155,3 +155,11 @@ def test_chat_registered_query(spark):
 def test_chat_empty(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_format.digests(chat_format.examples(empty)).count() == 0
+
+
+def test_stop_words_in_any_case(spark):
+    from sentimart.llm import quality_rules as Q
+    rows = [(1, "the cat and the hat of it", 5), (2, "The Cat And THE Hat, Of (it).", 5), (3, "FÜR und-für theory andy lathe", 3), (4, None, 0), (5, "l'eau de la mer", 3)]
+    df = spark.createDataFrame(rows, "id int, text string, want int")
+    got = {r.id: r.n_stop_words for r in Q.measured(df).collect()}
+    assert got == {i: n for i, _, n in rows} | {5: 2}

@@ -22,9 +22,11 @@ Check. A bucket hit names an item and a place. Of those, a place needs as many
 words in common with the item as the distance allows, and then the exact edit
 distance of the item to the best passage there decides.
 
-The items are the query set: they go to the tasks in blocks of at most
-``BLOCK_WORDS`` words, so memory is bounded for any benchmark; documents are
-handled in one pass per block, without a shuffle.
+The items are the query set: they go to the tasks in blocks of about
+``BLOCK_WORDS`` words, one after the other; a block's matches are written
+before the next one is collected, so driver and tasks hold one block's index
+for any benchmark. Documents are handled in one pass per block, without a
+shuffle.
 
 Defined results: a null text or item is empty; an item without words matches
 nothing; repeated rows and items give repeated results; null ids are kept; an
@@ -41,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentimart.llm.common import text_of, words
+from sentimart.llm.common import text_of, words, written
 
 #: An item counts as leaked if so large a share of its words, at most, is edited.
 MAX_EDITS = 0.2
@@ -166,11 +168,15 @@ def passage(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
     return int(row[end]), end - int(back.argmin()), end
 
 
+def n_blocks(items: DataFrame, block_words: int = BLOCK_WORDS) -> int:
+    total, longest = items.agg(F.sum(F.size(words("text"))), F.max(F.size(words("text")))).first()
+    return max(1, -(-(total or 0) // max(block_words - (longest or 0), block_words // 2)))
+
+
 def blocks(items: DataFrame, block_words: int = BLOCK_WORDS):
     """The items in lists of bounded size."""
-    total, longest = items.agg(F.sum(F.size(words("text"))), F.max(F.size(words("text")))).first()
-    n = -(-(total or 0) // max(block_words - (longest or 0), block_words // 2))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(n, 1)))
+    n = n_blocks(items, block_words)
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     for k in range(n):
         yield [(r.item_id, bytes(r.raw)) for r in items.where(part == k).select("item_id", text_of("text").cast("binary").alias("raw"))
                .orderBy("item_id", "raw").collect()]
@@ -179,12 +185,6 @@ def blocks(items: DataFrame, block_words: int = BLOCK_WORDS):
 MATCH = "array<struct<item_id:bigint,edits:bigint,item_words:bigint,start:bigint,end:bigint>>"
 
 
-def matches(text: str | Column, items: DataFrame, **options) -> Column:
-    """The leaked items of a text, as an array of structs."""
-    found = [_matches(text, block, **options) for block in blocks(items)]
-    return F.concat(*found) if found else F.array().cast(MATCH)
-
-
 def _matches(text: str | Column, items: list, **options) -> Column:
     index = Index(items, **options)
 
@@ -196,11 +196,28 @@ def _matches(text: str | Column, items: list, **options) -> Column:
     return find(text_of(text).cast("binary"))
 
 
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``(doc_id, item_id, edits, item_words, start, end)``: a row for each leaked item of each document."""
-    return docs.select("doc_id", F.explode(matches("text", items)).alias("x")).select("doc_id", "x.*")
+    found = None
+    for last, block in _in_turn(items, block_words):
+        part = docs.select("doc_id", F.explode(_matches("text", block)).alias("x")).select("doc_id", "x.*")
+        if found is not None or not last:
+            part = written(part)
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
-def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` that leak no item, all columns."""
-    return docs.where(F.size(matches("text", items)) == 0)
+    for last, block in _in_turn(items, block_words):
+        docs = docs.where(F.size(_matches("text", block)) == 0)
+        if not last:
+            docs = written(docs)
+    return docs
+
+
+def _in_turn(items: DataFrame, block_words: int):
+    """``(is it the last, block)``; a block is collected when the one before it has had its pass."""
+    n = n_blocks(items, block_words)
+    for k, block in enumerate(blocks(items, block_words), 1):
+        yield k == n, block

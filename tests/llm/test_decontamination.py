@@ -133,3 +133,18 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, "a b c d")], "item_id long, text string")
     assert D.leaks(docs, some).count() == 0 and D.leaks(spark.createDataFrame([(1, "a", "", "")], DOCS), bench).count() == 0
     assert D.clean(docs, bench).count() == 0
+
+
+def test_a_block_at_a_time(spark, monkeypatch):
+    """A benchmark of several blocks through ``leaks`` and ``clean``: one block's index at once, the same rows."""
+    bench = spark.createDataFrame([(i, f"item number {i} says word{i} and word{i * 7} after other{i} things{i}") for i in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"before it item number {i} says word{i} and word{i * 7} after other{i} things{i} behind" if i % 3 else "nothing of it here")
+                                  for i in range(60)], "doc_id long, text string")
+    whole = sorted(map(tuple, D.leaks(docs, bench).collect()))
+    kept = sorted(r.doc_id for r in D.clean(docs, bench).collect())
+    held, alive = D.Index, []
+    monkeypatch.setattr(D, "Index", lambda items, **o: (alive.append(len(items)), held(items, **o))[1])
+    assert sorted(map(tuple, D.leaks(docs, bench, 100).collect())) == whole and len(whole) == 40
+    assert len(alive) > 4 and max(alive) < 30 and sum(alive) == 60
+    assert sorted(r.doc_id for r in D.clean(docs, bench, 100).collect()) == kept == list(range(0, 60, 3))
+    assert D.leaks(docs, bench.limit(0)).count() == 0 and D.clean(docs, bench.limit(0)).count() == 60

@@ -10,7 +10,8 @@ words in capitals, and as ordinary text those runs only that different texts
 share, counted over all documents. Unlabelled credentials are nearly all
 distinct, so they do not train the automaton that would then spare them,
 however many they are. (If no run is shared, runs without digits.) Then every
-candidate, a run of credential characters outside the base spans, is scored by
+candidate, a run of LEAST_RUN or more credential characters outside the base
+spans (of a run that touches one, each piece beside it), is scored by
 format likelihood: the log-likelihood under the best credential automaton less
 the one under the best of the automata for what is no credential: ordinary
 text, words in capitals and plain numbers. Those above the threshold are spans of the kind
@@ -54,7 +55,8 @@ LEAST_RUN, THRESHOLD = 12, 12.0
 RUN = re.compile(SHORT.pattern[:-1] + "{%d,}" % LEAST_RUN)
 #: Labelled credentials of each kind, and ordinary runs, that automata are inferred from.
 SAMPLE = {"assign": 300, "access": 300, "hex": 300, "text": 3000, "capitals": 1000, "number": 300}
-#: One in so many documents, by hash, offers its short runs as ordinary text.
+#: Runs shorter than LEAST_RUN train the automaton of ordinary text and are no candidates (every other word is one);
+#: one in so many documents, by hash, offers them.
 ONE_IN = 16
 ALPHA = 0.05
 
@@ -70,6 +72,28 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def free_runs(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """``(start, stop)`` of the candidates: runs without the base spans, in one walk along both."""
+    out, i, covered = [], 0, []
+    for a, _, b in spans:  # sorted by start: disjoint stretches
+        if covered and a < covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], b)
+        else:
+            covered.append([a, b])
+    for m in RUN.finditer(text):
+        at = m.start()
+        while i < len(covered) and covered[i][1] <= at:
+            i += 1
+        while i < len(covered) and covered[i][0] < m.end():
+            out.append((at, covered[i][0]))
+            at = covered[i][1]
+            if at >= m.end():
+                break
+            i += 1
+        out.append((at, m.end()))
+    return [(a, b) for a, b in out if b - a >= LEAST_RUN]
+
+
 class Automaton:
     """A probabilistic automaton inferred from strings by state merging."""
 
@@ -182,13 +206,13 @@ def scanned(docs: DataFrame) -> DataFrame:
         for text in texts:
             spans = base_spans(text)
             values = {("assign", ASSIGN.match(text, a)[2]) if k == 0 else (KINDS[k], text[a:b]) for a, k, b in spans}
-            free = [m for m in RUN.finditer(text) if not any(a < m.end() and m.start() < b for a, _, b in spans)]
-            values |= {(_plain(m[0]), m[0]) for m in free}
+            free = [(a, text[a:b]) for a, b in free_runs(text, spans)]
+            values |= {(_plain(v), v) for _, v in free}
             if zlib.crc32(text.encode()) % ONE_IN == 0:
                 values |= {("text", w) for w in SHORT.findall(text) if len(w) < LEAST_RUN}
             base.append([{"start": a, "kind": k, "stop": b} for a, k, b in spans])
             labelled.append([{"kind": k, "value": v} for k, v in sorted(values)])
-            runs.append([{"start": m.start(), "value": m[0]} for m in free])
+            runs.append([{"start": a, "value": v} for a, v in free])
         return pd.DataFrame({"base": base, "labelled": labelled, "runs": runs})
 
     return written(docs.select("doc_id", F.xxhash64(text_of("text")).alias("text_hash"), scan(text_of("text")).alias("x")).select("doc_id", "text_hash", "x.*"))

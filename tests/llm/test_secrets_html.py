@@ -80,6 +80,37 @@ def test_many_bare_credentials(spark):
     assert all(r.n_grammar == 0 for r in got if r.doc_id >= 2000 or r.doc_id < 1000)
 
 
+def test_pieces_beside_base_spans():
+    """What is left of a run beside base spans is a candidate; what lies in one is none."""
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "".join(rng.choice(["password=", "AKIA" + "B" * 16, "f" * 24, "/", "xY7", "longerword", " ", "= ", "token:abcdef"]) for _ in range(rng.randint(1, 25)))
+        spans = S.base_spans(text)
+        inside = {i for a, _, b in spans for i in range(a, b)}
+        want, at = [], None
+        for i in range(len(text) + 1):  # maximal stretches of credential characters outside the spans, within runs of LEAST_RUN
+            ok = i < len(text) and i not in inside and re.match(S.SHORT.pattern, text[i])
+            if ok and at is None:
+                at = i
+            elif not ok and at is not None:
+                want.append((at, i))
+                at = None
+        assert S.free_runs(text, spans) == [(a, b) for a, b in want if b - a >= S.LEAST_RUN]
+    key = "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEYab"
+    assert S.free_runs("AKIA" + "Z9" * 8 + "/" + key, [(0, 1, 20)]) == [(20, 21 + len(key))]
+
+
+def test_long_text_in_linear_time():
+    import time
+    took = []
+    for n in (4_000, 16_000):
+        text = "password=abcdef1 someLongerRunOfText " * n
+        t = time.process_time()
+        assert len(S.free_runs(text, S.base_spans(text))) == n
+        took.append(time.process_time() - t)
+    assert took[1] < 8 * took[0] + 0.2
+
+
 def test_automaton_generalises():
     rng = random.Random(6)
     a = S.Automaton(["AB" + "".join(rng.choice("01") for _ in range(rng.randint(4, 9))) for _ in range(200)])

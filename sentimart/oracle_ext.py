@@ -244,7 +244,8 @@ SQL["hourly_price_rollup_mode"] = SQL["hourly_price_rollup"]
 
 SQL["stream_tick_silver"] = SQL["tick_silver"]
 SQL["stream_message_dedup"] = SQL["message_silver"]
-SQL["stream_log_replay"] = SQL["stream_seen_keys"] = SQL["message_silver"]
+SQL["batch_preview"] = with_(TICKS) + "SELECT symbol, price, ingested_at FROM ticks WHERE price IS NOT NULL ORDER BY ingested_at, row_id LIMIT 3"
+SQL["stream_processing_time"] = SQL["stream_log_replay"] = SQL["stream_seen_keys"] = SQL["message_silver"]
 SQL["stream_article_silver"] = with_(*facts("article")) + "SELECT * EXCLUDE (ingested_at) FROM stg_news"
 SQL["stream_latest_n"] = SQL["latest_n_per_query"]
 SQL["stream_mood_changelog"] = SQL["stream_market_mood_refresh"] = SQL["market_mood"]

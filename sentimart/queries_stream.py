@@ -39,7 +39,7 @@ from sentimart.streaming.app import start_ingest
 from sentimart.streaming.latest import current, start_latest
 from sentimart.streaming.metrics import batch_metrics, settle
 from sentimart.streaming.refresh import merged_mood
-from sentimart.streaming.sinks import BatchMetrics, LayerSpec, read_layer, write_layer
+from sentimart.streaming.sinks import BatchMetrics, LayerSpec, first_rows, read_layer, write_layer
 
 #: Batches of a replay; copies that come later land after all of them.
 CHUNKS, LATER = 3, 10**6
@@ -136,6 +136,31 @@ def q_stream_article_silver(spark, sf_dir):
     return ST.stg_news(_streamed(spark, sf_dir, "article")).drop(*STREAM_COLUMNS_TO_DROP, "ingested_at")
 
 
+@register("batch_preview")
+def q_batch_preview(spark, sf_dir):
+    """SORT-3: the three rows that a debug log shows of a batch of ticks."""
+    return first_rows(source_records(spark, sf_dir, "tick").filter("price is not null"), 3, "ingested_at", "_row").select(
+        "symbol", "price", "ingested_at")
+
+
+@register("stream_processing_time")
+def q_stream_processing_time(spark, sf_dir):
+    """STR-1, STR-4: a stream on its processing-time trigger that meets an empty
+    batch first, then records; returns what silver holds when it is stopped."""
+    root = run_folder(spark, "timed")
+    paths, where = J.StreamPaths(root), f"{root}/landing"
+    spark.range(0).select(F.lit("").alias("value")).write.mode("append").text(where)
+    records = source_records(spark, sf_dir, "message")
+    q = J.start_stream(spark, "message", J.read_topic(spark, TOPICS["message"], folder=where), paths)
+    try:
+        q.processAllAvailable()
+        records.select(L.wire_value(records, "message").alias("value")).write.mode("append").text(where)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return ST.stg_sentiment(read_source(spark, root, "sentiment")).drop(*STREAM_COLUMNS_TO_DROP)
+
+
 @register("stream_seen_keys")
 def q_stream_seen_keys(spark, sf_dir):
     """STR-7, SORT-4: messages whose copies come under other event dates; the

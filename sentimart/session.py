@@ -92,6 +92,19 @@ def cluster_settings(input_bytes: int, total_cores: int,
     }
 
 
+def ship(spark: SparkSession) -> str:
+    """Send the package to the executors, where functions of its tasks import it; returns the archive's path.
+
+    Needed where ``sentimart`` is not installed on them (``pip install .``) and the
+    driver runs from a checkout; the entry points call it on a cluster."""
+    import shutil
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="sentimart-ship-"), "sentimart")
+    archive = shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
+    return archive
+
+
 def cluster_session(app: str = "sentimart", input_bytes: int = 0) -> SparkSession:
     """The session of an entry point: sized for the cluster it runs on.
 
@@ -104,6 +117,7 @@ def cluster_session(app: str = "sentimart", input_bytes: int = 0) -> SparkSessio
         for k, v in cluster_settings(input_bytes, spark.sparkContext.defaultParallelism).items():
             if not given.contains(k):
                 spark.conf.set(k, v)
+        ship(spark)
     pin_session(spark)
     return spark
 

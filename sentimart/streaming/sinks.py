@@ -165,6 +165,11 @@ def conform(df: DataFrame, target) -> DataFrame:
                        else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields])
 
 
+def first_rows(df: DataFrame, n: int = 3, *order: str) -> DataFrame:
+    """SORT-3: ``n`` rows of a batch, the first in ``order`` if given (a top-n per task, then of those)."""
+    return (df.orderBy(*order) if order else df).limit(n)
+
+
 def preview(batch: DataFrame, n: int = 3) -> list:
-    """SNK-10 / SORT-3: the first ``n`` rows of a batch for a debug log."""
-    return batch.limit(n).collect()
+    """SNK-10: the first ``n`` rows of a batch for a debug log."""
+    return first_rows(batch, n).collect()

@@ -276,6 +276,12 @@ SELECT 'bronze' AS layer, bronze AS n_rows FROM w UNION ALL SELECT 'silver', sil
 SQL["layer_schema_evolution"] = """
 SELECT event_id, lpad(CAST(user_id AS VARCHAR), 6, '0') AS symbol, CASE WHEN event_id % 2 = 1 THEN value END AS price, CAST(ts AS DATE) AS event_date FROM events"""
 
+SQL["variant_ingest"] = with_(TICKS) + """
+SELECT row_id AS "offset", CASE WHEN torn THEN 'no json' WHEN symbol IS NULL THEN 'incomplete' ELSE 'record' END AS status,
+  CASE WHEN NOT torn THEN symbol END AS symbol, CASE WHEN NOT torn THEN price END AS price, CASE WHEN NOT torn THEN ingested_at END AS ingested_at,
+  CASE WHEN NOT torn AND row_id % 4 = 0 THEN 'V' || (row_id % 3) END AS venue
+FROM (SELECT *, row_id % 17 IN (3, 4) AS torn FROM ticks)"""
+
 # A rebuild from silver since the 15th shows nothing older.
 _SINCE = {"tick": "ingested_at", "message": "created_at", "article": "published_at"}
 SQL["gold_rebuild"] = SQL["crypto_dashboard"]

@@ -29,6 +29,7 @@ from sentimart.plans.publish import publish, read_published
 from sentimart.queries import _present, register
 from sentimart.queries_ext import LATEST_REFERENCE_TIME
 from sentimart.session import run_folder
+from sentimart.sources import drift as DR
 from sentimart.sources import fixtures as FX
 from sentimart.sources import landing as L
 from sentimart.sources import topic_log
@@ -305,6 +306,25 @@ def q_layer_schema_evolution(spark, sf_dir):
     return read_layer(spark, path, rows.schema).drop("batch_id")
 
 
+@register("variant_ingest")
+def q_variant_ingest(spark, sf_dir):
+    """SNK-5, FLT-7: ticks whose source adds a field, sends prices as text,
+    renames a key and sends what is no JSON, kept as VARIANT in a layer, read
+    back, repaired; the added field is read without a schema of its own."""
+    raw = FX.tick_wire_landing(read_table(spark, sf_dir, "events"))
+    row, v = F.col("offset"), F.col("value")
+    v = F.when(row % 4 == 0, F.concat(F.expr("substring(value, 1, length(value) - 1)"), F.lit(',"venue":{"name":"V'), (row % 3).cast("string"),
+                                      F.lit('"}}'))).otherwise(v)
+    v = F.when(row % 10 == 1, F.regexp_replace(v, r'"price":([^,]*),', '"price":"$1",')).otherwise(v)
+    v = F.when(row % 6 == 5, F.replace(v, F.lit('"symbol":'), F.lit('"sym":'))).otherwise(v)
+    v = F.when(row % 17 == 3, F.expr("substring(value, 1, 20)")).when(row % 17 == 4, F.lit("[1, 2]")).otherwise(v)
+    rows = DR.drift_records(raw.withColumn("value", v), "tick", keep=["offset"]).withColumn("event_date", F.to_date("ingested_at"))
+    path = f"{run_folder(spark, 'variant')}/bronze"
+    write_layer(rows, 0, LayerSpec(path))
+    fixed = DR.repaired(read_layer(spark, path, rows.schema), "tick", {"symbol": ["sym"]})
+    return fixed.select("offset", "status", "symbol", "price", "ingested_at", DR.field("$.venue.name", "string").alias("venue"))
+
+
 REBUILD_FROM = "2024-01-15"
 
 

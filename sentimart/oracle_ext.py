@@ -276,6 +276,10 @@ SELECT 'bronze' AS layer, bronze AS n_rows FROM w UNION ALL SELECT 'silver', sil
 SQL["layer_schema_evolution"] = """
 SELECT event_id, lpad(CAST(user_id AS VARCHAR), 6, '0') AS symbol, CASE WHEN event_id % 2 = 1 THEN value END AS price, CAST(ts AS DATE) AS event_date FROM events"""
 
+SQL["hourly_top_word"] = with_(MESSAGES) + f"""
+SELECT * FROM (SELECT CAST(created_at AS DATE) AS date, CAST(hour(created_at) AS INTEGER) AS hour, word, count(*) AS n
+  FROM (SELECT created_at, unnest({SPLIT.format(x='body')}) AS word FROM messages) GROUP BY ALL)
+QUALIFY row_number() OVER (PARTITION BY date, hour ORDER BY n DESC, word) = 1"""
 SQL["variant_ingest"] = with_(TICKS) + """
 SELECT row_id AS "offset", CASE WHEN torn THEN 'no json' WHEN symbol IS NULL THEN 'incomplete' ELSE 'record' END AS status,
   CASE WHEN NOT torn THEN symbol END AS symbol, CASE WHEN NOT torn THEN price END AS price, CASE WHEN NOT torn THEN ingested_at END AS ingested_at,

@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentimart.functions.enrich import NEWS_QUERIES, TOPICS
+from sentimart.functions.text import tokens
 from sentimart.operators import dedup as DD
+from sentimart.operators import mode as MO
 from sentimart.operators import staging as ST
 from sentimart.plans import producers as PR
 from sentimart.plans.publish import publish, read_published
@@ -325,6 +327,20 @@ def q_variant_ingest(spark, sf_dir):
     return fixed.select("offset", "status", "symbol", "price", "ingested_at", DR.field("$.venue.name", "string").alias("venue"))
 
 
+@register("hourly_top_word")
+def q_hourly_top_word(spark, sf_dir):
+    """AGG-6 over an open set: the most used word of the messages of each hour,
+    from bounded partials of three batches and an exact second pass."""
+    m = FX.messages_from_events(read_table(spark, sf_dir, "events"), keep=["event_id"])
+    words = m.select("event_id", F.to_date("created_at").alias("event_date"), F.hour("created_at").alias("hour"), F.explode(tokens("body")).alias("word"))
+    path, group = f"{run_folder(spark, 'topword')}/words", ["event_date", "hour"]
+    for batch in range(CHUNKS):
+        part = MO.summaries(words.filter(F.col("event_id") % CHUNKS == batch), group, "word", k=4)
+        write_layer(part, batch, LayerSpec(path))
+    partials = read_layer(spark, path, part.schema)
+    return MO.mode_of(words, partials, group, "word", "batch_id").select(F.col("event_date").alias("date"), "hour", F.col("value").alias("word"), "n")
+
+
 REBUILD_FROM = "2024-01-15"
 
 

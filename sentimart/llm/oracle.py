@@ -129,11 +129,24 @@ held AS (SELECT s.lang, s.g FROM candidates s JOIN (SELECT lang, a, unnest([arra
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM lowest ANTI JOIN held USING (lang, g))
 SELECT lang, rank, g AS phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
 
+# --- WARC: the kinds of records by equal payloads, the digest by its alphabet ------------
+
+WARC = """
+WITH payloads AS (SELECT page_id, url, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+ranked AS (SELECT *, row_number() OVER w AS place, first_value(page_id) OVER w AS head FROM payloads
+  WINDOW w AS (PARTITION BY t ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST))
+SELECT page_id, CAST(octet_length(encode(t)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST((CAST('0x' || substr(h, 1 + CAST(i // 8 AS INTEGER) * 10, 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN head END AS refers_to
+FROM ranked"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": QUALITY,
     "op5_sharding": SHARDING,
     "op7_substring_dedup": SUBSTRINGS,
     "op8_chat_formatting": CHAT,
+    "op11_warc": WARC,
     "op12_lexical_search": SEARCH,
     "op13_phrase_mining": PHRASES,
 }

@@ -140,3 +140,9 @@ def test_long_record(spark):
 def test_query(spark):
     pages = table(spark, SMALL, "pages").select("page_id", "url", "html").collect()
     assert digest_rows(QUERIES["op11_warc"](spark, SMALL)) == expected([tuple(r) for r in pages])
+
+
+def test_query_equals_sql(spark, duck):
+    from sentimart.llm.oracle import ORACLE_SQL
+    got = sorted((tuple(r) for r in QUERIES["op11_warc"](spark, SMALL).collect()), key=str)
+    assert got == sorted(duck.execute(ORACLE_SQL["op11_warc"]).fetchall(), key=str)

@@ -11,11 +11,16 @@ equal anchors, and one anchor stands for a run of neighbouring windows
 Documents are joined on anchors: each anchor's least and greatest doc_id show
 whether another document has it, and only occurrences of those are seeds.
 
-Extend. A seed stands for every window that elected it; texts are not compared
-beside an anchor, as that would pair documents up in hot groups. Those windows
-are hashed and grouped instead: each is compared in full, by a 95-bit hash of its words
-(at 10^13 windows the odds of any collision are about 1 in 1000): its least
-doc_id decides. Neighbouring repeats join to maximal repeats.
+Extend. A seed is extended both ways over all words of its run. Seeds of one
+anchor whose extensions agree are one branch, and a branch is worth its least
+doc_id. Where that is the least of the anchor, the whole run is a repeat in
+every other document of the branch, as no document before it has the anchor.
+Other branches shrink: their windows, and those of the anchor in its least
+document (which has all that its branches hold), are grouped word for word, and
+a window's least doc_id decides. Neighbouring repeats join to maximal repeats.
+
+Extensions and windows are compared by 95-bit hashes of their words' 64-bit
+hashes.
 
 No step pairs documents up: groups are reduced to a least and a greatest
 doc_id (with map-side partial aggregation), and the joins back are on single
@@ -50,19 +55,36 @@ BLOCK_BITS = 20
 #: A run of windows is one number: its first window, and how many.
 RUN_BITS = 8
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+#: The second polynomial of a span; both bases are odd.
+_BASE2, _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x94D049BB133111EB)
+
+
+def hashed(tokens: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * _MIX
+    return x ^ (x >> np.uint64(32))
+
+
+def spans(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(64 bits, 31 bits)`` of the words from ``starts`` up to ``ends``: polynomials by sums of prefixes, scaled to the start."""
+    out = []
+    for base, own in ((_BASE, hashes), (_BASE2, (hashes ^ (hashes >> np.uint64(31))) * _MIX2)):
+        powers = np.cumprod(np.r_[np.uint64(1), np.full(len(own), base)])
+        inverse = np.cumprod(np.r_[np.uint64(1), np.full(len(own), np.uint64(pow(int(base), -1, 1 << 64)))])
+        sums = np.r_[np.uint64(0), np.cumsum(own * inverse[:-1])]
+        out.append(_mixed((sums[ends] - sums[starts]) * powers[starts]))
+    return out[0].view(np.int64), (out[1] >> np.uint64(33)).astype(np.int32)
 
 
-def runs(tokens: list[bytes], length: int = LENGTH, k: int = K) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per block ``(anchor, first window, windows)`` of the runs of windows that elect one anchor."""
-    span, windows = length - k + 1, len(tokens) - length + 1
-    if windows < 1:
-        return
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
+def runs(hashes: np.ndarray, length: int = LENGTH, k: int = K) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per block ``(anchor, first window, windows)`` of the runs of windows that elect one anchor, of a text's word hashes."""
+    span, windows = length - k + 1, len(hashes) - length + 1
     for start in range(0, windows, (1 << BLOCK_BITS) - length):
         part = hashes[start:start + (1 << BLOCK_BITS) - 1]
-        grams = _grams(part, k)
-        grams = (grams ^ (grams >> np.uint64(29))) * _MIX
-        grams ^= grams >> np.uint64(32)
+        grams = _mixed(_grams(part, k))
         # Least hash first, then position: both in one number.
         least = (grams >> np.uint64(BLOCK_BITS) << np.uint64(BLOCK_BITS)) | np.arange(len(grams), dtype=np.uint64)
         done = 1
@@ -88,52 +110,64 @@ def _grams(part: np.ndarray, k: int) -> np.ndarray:
     return out * _BASE + part[k - 1:] if k % 2 else out
 
 
-def seeds(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
-    """``(anchor, doc_id, version, run)`` of all anchors of ``docs(doc_id, version, raw)``."""
-    schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("version", pa.int64()), ("run", pa.int64())])
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+
+
+def seeds(docs: DataFrame, length: int = LENGTH, k: int = K, extended: bool = False) -> DataFrame:
+    """``(anchor, doc_id)`` of all anchors of ``docs(doc_id, version, raw)``.
+
+    If ``extended`` also ``version``, the run, and the hash ``hi``, ``lo`` of all words that the run's windows cover.
+    """
+    schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64())])
+    if extended:
+        schema = pa.schema([*schema, ("version", pa.int64()), ("run", pa.int64()), ("hi", pa.int64()), ("lo", pa.int32())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
+            out, held = [], 0
             for doc_id, version, raw in zip(batch["doc_id"].to_pylist(), batch["version"].to_pylist(), batch["raw"], strict=True):
-                for anchor, first, n in runs(raw.as_py().split(), length, k):
-                    for column, x in zip(out, (anchor, np.full(len(anchor), doc_id), np.full(len(anchor), version), first << RUN_BITS | n), strict=True):
-                        column.append(x)
-                if sum(map(len, out[0])) > 1 << 17:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], schema=schema)
-                    out = [[], [], [], []]
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], schema=schema)
-
-    return docs.mapInArrow(find, "anchor long, doc_id long, version long, run long")
+                tokens = raw.as_py().split()
+                if len(tokens) < length:
+                    continue
+                hashes = hashed(tokens)
+                for anchor, first, n in runs(hashes, length, k):
+                    row = anchor, np.full(len(anchor), doc_id)
+                    if extended:
+                        low = int(first[0])
+                        there = hashes[low:int(first[-1] + n[-1]) + length - 1]
+                        row += np.full(len(anchor), version), first << RUN_BITS | n, *spans(there, first - low, first - low + n + length - 1)
+                    out.append(row)
+                    held += len(anchor)
+                if held > 1 << 17:
+                    yield _batch(out, schema)
+                    out, held = [], 0
+            if out:
+                yield _batch(out, schema)
+
+    return docs.mapInArrow(find, "anchor long, doc_id long" + (", version long, run long, hi long, lo int" if extended else ""))
 
 
 def _windows(docs: DataFrame, length: int) -> DataFrame:
     """``(hi, lo, doc_id, version, at)`` of every window in ``runs`` of ``docs(doc_id, version, raw, runs)``."""
     schema = pa.schema([("hi", pa.int64()), ("lo", pa.int32()), *[(c, pa.int64()) for c in ("doc_id", "version", "at")]])
 
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc_id, version, raw, found in zip(batch["doc_id"].to_pylist(), batch["version"].to_pylist(), batch["raw"], batch["runs"], strict=True):
-                tokens = raw.as_py().split()
-                joined = b" ".join(tokens)
-                sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-                ends = np.cumsum(sizes + 1) - 1
+                hashes = hashed(raw.as_py().split())
                 found = np.unique(found.values.to_numpy(zero_copy_only=False))
                 first, n = found >> RUN_BITS, found & ((1 << RUN_BITS) - 1)
                 at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                for block in np.array_split(at, len(at) // (1 << 18) + 1):
-                    spans = zip((ends - sizes)[block].tolist(), ends[block + length - 1].tolist(), strict=True)
-                    keys = np.frombuffer(b"".join([xxhash.xxh3_128_digest(joined[a:b]) for a, b in spans]), "<i8").reshape(-1, 2)
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((
-                        keys[:, 0].copy(), (keys[:, 1] & 0x7FFFFFFF).astype(np.int32), np.full(len(block), doc_id),
-                        np.full(len(block), version), block), schema.types, strict=True)], schema=schema)
+                row = *spans(hashes, at, at + length), np.full(len(at), doc_id), np.full(len(at), version), at
+                for low in range(0, len(at), 1 << 18):
+                    yield _batch([tuple(x[low:low + (1 << 18)] for x in row)], schema)
 
-    return docs.mapInArrow(extend, "hi long, lo int, doc_id long, version long, at long")
+    return docs.mapInArrow(shrink, "hi long, lo int, doc_id long, version long, at long")
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
-    """``(doc_id, version, starts)``: the windows of each document that start in one of smaller doc_id.
+    """``(doc_id, version, runs)``: the windows of each document that start in one of smaller doc_id, as runs.
 
     ``docs(doc_id, version, raw)``; ``version`` tells texts of one doc_id apart.
     """
@@ -141,14 +175,21 @@ def repeats(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
         raise ValueError("k must be from 1 to length, and near it")
     docs = docs.where("doc_id is not null")
     two = [F.min("doc_id").alias("least"), F.max("doc_id").alias("greatest")]
-    shared = written(seeds(docs, length, k).groupBy("anchor").agg(*two).where("least < greatest").select("anchor"), release=True)
-    found = written(seeds(docs, length, k).join(shared, "anchor").select("doc_id", "version", "run"), release=True)
-    found = found.groupBy("doc_id", "version").agg(F.collect_set("run").alias("runs"))
-    windows = written(_windows(docs.join(found, ["doc_id", "version"]), length), release=True)
+    shared = written(seeds(docs, length, k).groupBy("anchor").agg(*two).where("least < greatest").select("anchor", "least"), release=True)
+    found = written(seeds(docs, length, k, extended=True).join(shared, "anchor"), release=True)
+    # Branches that do not hold for the least document of their anchor.
+    branch = ["anchor", "hi", "lo"]
+    split = written(found.groupBy(*branch).agg(F.min("doc_id").alias("first"), F.min("least").alias("least")).where("first > least").select(*branch), release=True)
+    asked = found.join(split.withColumn("open", F.lit(True)), branch, "left").where("doc_id > least").select(
+        "doc_id", "version", "run", F.col("open").isNotNull().alias("open"))
+    asked = written(asked, release=True)
+    sources = found.where("doc_id = least").join(split.select("anchor").distinct(), "anchor", "left_semi").select("doc_id", "version", "run")
+    opened = asked.where("open").drop("open").unionByName(sources).groupBy("doc_id", "version").agg(F.collect_set("run").alias("runs"))
+    windows = written(_windows(docs.join(opened, ["doc_id", "version"]), length), release=True)
     first = written(windows.groupBy("hi", "lo").agg(*two).where("least < greatest").select("hi", "lo", "least"), release=True)
-    late = windows.join(first, ["hi", "lo"]).where("doc_id > least").select("doc_id", "version", "at")
-    late = written(late.groupBy("doc_id", "version").agg(F.collect_set("at").alias("starts")), release=True)
-    return late
+    late = windows.join(first, ["hi", "lo"]).where("doc_id > least").select("doc_id", "version", (F.shiftleft("at", RUN_BITS) + 1).alias("run"))
+    late = late.unionByName(asked.where("not open").drop("open"))
+    return written(late.groupBy("doc_id", "version").agg(F.collect_set("run").alias("runs")), release=True)
 
 
 def versioned(docs: DataFrame) -> DataFrame:
@@ -156,19 +197,20 @@ def versioned(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(raw).alias("version"), raw.cast("binary").alias("raw"))
 
 
-def covered(n: int, starts: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """Of ``n`` words, which ones the windows at ``starts`` cover."""
+def covered(n: int, found: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """Of ``n`` words, which ones the windows of the runs ``found`` cover."""
+    first, windows = found >> RUN_BITS, found & ((1 << RUN_BITS) - 1)
     edges = np.zeros(n + 1, np.int64)
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, starts + length, -1)
+    np.add.at(edges, first, 1)
+    np.add.at(edges, first + windows + length - 1, -1)
     return np.cumsum(edges[:-1]) > 0
 
 
-def kept_words(raw: bytes, starts, length: int = LENGTH) -> tuple[int, int, bytes]:
+def kept_words(raw: bytes, found, length: int = LENGTH) -> tuple[int, int, bytes]:
     tokens = raw.split()
-    if starts is None or not len(starts):
+    if found is None or not len(found):
         return len(tokens), 0, b" ".join(tokens)
-    gone = covered(len(tokens), np.asarray(starts, np.int64), length)
+    gone = covered(len(tokens), np.asarray(found, np.int64), length)
     return len(tokens), int(gone.sum()), b" ".join([t for t, g in zip(tokens, gone.tolist(), strict=True) if not g])
 
 
@@ -179,9 +221,9 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, k: int = K, digest: bool
     name = "kept_sha256" if digest else "kept"
 
     @F.pandas_udf(f"n_words long, n_removed long, {name} string")
-    def cut(raw: pd.Series, starts: pd.Series) -> pd.DataFrame:
-        rows = [kept_words(r, s, length) for r, s in zip(raw, starts, strict=True)]
+    def cut(raw: pd.Series, found: pd.Series) -> pd.DataFrame:
+        rows = [kept_words(r, x, length) for r, x in zip(raw, found, strict=True)]
         return pd.DataFrame([(n, gone, hashlib.sha256(kept).hexdigest() if digest else kept.decode()) for n, gone, kept in rows],
                             columns=["n_words", "n_removed", name])
 
-    return there.select("doc_id", cut("raw", "starts").alias("x")).select("doc_id", "x.*")
+    return there.select("doc_id", cut("raw", "runs").alias("x")).select("doc_id", "x.*")

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import brute
@@ -74,14 +75,42 @@ def test_runs_cover_each_window_once_across_blocks(monkeypatch):
     monkeypatch.setattr(S, "BLOCK_BITS", 6)
     rng = random.Random(2)
     tokens = [str(rng.randrange(30)).encode() for _ in range(700)]
-    seen = [w for _, first, n in S.runs(tokens) for a, m in zip(first.tolist(), n.tolist()) for w in range(a, a + m)]
+    found = list(S.runs(S.hashed(tokens)))
+    seen = [w for _, first, n in found for a, m in zip(first.tolist(), n.tolist()) for w in range(a, a + m)]
     assert seen == list(range(700 - 12))
     anchor = {}
-    for h, first, n in S.runs(tokens):
+    for h, first, n in found:
         for x, a, m in zip(h.tolist(), first.tolist(), n.tolist()):
             for w in range(a, a + m):
                 assert anchor.setdefault(tuple(tokens[w:w + 13]), x) == x
 
 
+def test_spans_tell_words_apart():
+    """Equal words have equal hashes wherever they stand; the sums of prefixes wrap around."""
+    rng = random.Random(5)
+    tokens = [rng.choice([b"a", b"b"]) for _ in range(4000)]
+    starts = np.array([rng.randrange(3900) for _ in range(3000)])
+    ends = starts + np.array([rng.randint(1, 18) for _ in range(3000)])
+    keys = {}
+    for s, e, *key in zip(starts.tolist(), ends.tolist(), *(x.tolist() for x in S.spans(S.hashed(tokens), starts, ends))):
+        assert keys.setdefault(tuple(tokens[s:e]), key) == key
+    assert len({tuple(x) for x in keys.values()}) == len(keys)
+    assert len({x[0] for x in keys.values()}) == len(keys)
+
+
+def test_branches_shrink(spark, monkeypatch):
+    """One anchor in three contexts: whole extensions agree for some, only a window or two for others."""
+    middle = "m0 m1 m2 m3 m4 m5 m6 m7 m8 m9 m10 m11 m12 m13"
+    rows = [(9, f"a b c d e f {middle} x y z u v w"), (3, f"a b c d e f {middle} 1 2 3 4 5 6"), (5, f"7 8 9 10 11 12 {middle} x y z u v w"),
+            (7, f"a b c d e f {middle} x y z u v w"), (8, f"{middle}"), (4, f"q q q c d e f {middle} x y r r r")]
+    compare(spark, rows)
+    calls = []
+    whole = S._windows
+    monkeypatch.setattr(S, "_windows", lambda docs, length: calls.append(docs) or whole(docs, length))
+    long = " ".join(f"t{i}" for i in range(400))
+    compare(spark, [(i, long) for i in range(6)])  # copies agree as a whole: no window is looked at
+    assert calls and all(c.count() == 0 for c in calls)
+
+
 def test_empty(spark):
     assert S.deduplicated(spark.createDataFrame([], DOCS)).count() == 0

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -77,6 +78,51 @@ def test_noise_is_gumbel(spark):
     assert abs(np.mean(noise) - 0.5772) < 0.03 and abs(np.var(noise) - math.pi ** 2 / 6) < 0.08
 
 
+def slow_compared(text):
+    tokens = re.findall(rb"[a-z0-9\x80-\xff]+", (text or "").encode().lower())
+    a = [zlib.crc32(w) for w in tokens]
+    one = [x * 0x9E3779B97F4A7C15 & M for x in a]
+    return {*one, *(((x + y) & M) * 0xBF58476D1CE4E5B9 & M for x, y in zip(one, a[1:]))}
+
+
+def test_toxicity_by_hand(spark):
+    rng = random.Random(12)
+    plain = [f"w{i}" for i in range(40)]
+    rows, labels = [], []
+    for i in range(400):
+        text = [rng.choice(plain) for _ in range(30)]
+        toxic = i % 4 == 0
+        if toxic or i % 57 == 0:
+            text.insert(rng.randrange(30), rng.choice(["Vile!", "vile", "rotten,", "é-foul"]))
+        rows.append((i, " ".join(text), "en", "s", 1, "c", 2))
+        if i % 3:
+            labels.append((i, 1, int(toxic)))
+    rows += [(500, None, "en", "s", 1, "c", 2), rows[4], (None, rows[8][1], "en", "s", 1, "c", 2)]
+    docs, marks = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS)
+    fit = {r.doc_id: r.fits for r in R.labelled(marks).collect()}
+    bad = [slow_compared(t) for i, t, *_ in rows if (i, 1, 1) in labels]
+    clean = [slow_compared(t) for i, t, *_ in rows if fit.get(i)]
+    t, c = Counter(x for d in bad for x in d), Counter(x for d in clean for x in d)
+    n, m = len(bad), len(clean)
+    p, chance, strength = n / (n + m), math.log(len(t)), {}
+    for key, x in t.items():
+        y = c[key]
+        q = x / (x + y)
+        tail = (x + y) * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if y else 0))
+        if x >= 2 and q > p and tail >= chance:
+            strength[key] = math.log((x + 0.5) / (n + 1)) - math.log((y + 0.5) / (m + 1))
+    assert strength
+    slow = {text: sum(sorted(strength[x] for x in slow_compared(text) if x in strength)[-3:]) for text in {t for _, t, *_ in rows}}
+    held = sorted(slow[text] for i, text, *_ in rows if fit.get(i) is False)
+    most = held[math.ceil(0.998 * len(held)) - 1]
+    model = R.fitted(docs, marks)
+    assert sorted(model.marks.keys.tolist()) == sorted(strength) and math.isclose(model.most_toxic, most, abs_tol=1e-6)
+    text = {i: t for i, t, *_ in rows}
+    for r in model.scores.collect():
+        assert math.isclose(r.toxicity, slow[text[r.doc_id]], abs_tol=1e-6)
+    assert Counter(r.toxic for r in R.judged(docs, marks).collect()) == Counter(slow[t] > most + 1e-7 for _, t, *_ in rows)
+
+
 def test_held_out_accuracy(spark):
     """Labels hidden from the fit: clean documents stay, low quality goes."""
     labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")

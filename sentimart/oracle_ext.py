@@ -225,6 +225,12 @@ LANDED = [TICKS, tick_facts(valid="TRUE"), MESSAGES, "landed_messages AS (SELECT
 for _kind in ("not_null", "unique", "accepted_values"):
     SQL[f"dq_{_kind}"] = with_(*LANDED) + "\nUNION ALL\n".join(_failing(*c) for c in CHECKS_SQL if c[0] == _kind)
 
+REDATED = [MESSAGES, "redated_messages AS (SELECT * FROM messages UNION ALL SELECT * FROM messages WHERE row_id % 97 = 0)",
+           message_facts(valid="TRUE", source="redated_messages"), ARTICLES,
+           "redated_articles AS (SELECT * FROM articles UNION ALL SELECT * FROM articles WHERE row_id % 41 = 0)",
+           article_facts(valid="TRUE", source="redated_articles")]
+SQL["dq_unique_incremental"] = with_(*REDATED) + "\nUNION ALL\n".join(_failing(*c) for c in CHECKS_SQL if c[0] == "unique")
+
 
 def _verdicts(tables: list[str]) -> str:
     rows = [f"""SELECT '{k}_{m}_{c}' AS test_name, '{m}' AS model, '{c}' AS column_name, '{k}' AS test_kind,

@@ -11,9 +11,11 @@ from sentimart.operators import quality as DQ
 from sentimart.operators import scoring as SCO
 from sentimart.operators import silver as SV
 from sentimart.operators import staging as ST
+from sentimart.operators.unique_index import UniqueIndex
 from sentimart.plans.inputs import parsed_articles, staged
 from sentimart.plans import producers as PR
 from sentimart.queries import register
+from sentimart.session import run_folder
 from sentimart.sources import fixtures as FX
 from sentimart.sources import landing as L
 from sentimart.sources.catalog import read_table
@@ -256,6 +258,41 @@ def q_dq_unique(spark, sf_dir):
     return DQ.failures(_landed_tables(spark, sf_dir), "unique")
 
 
+def _again_later(df, every: str, date: str):
+    """``df`` and, of its rows ``every``, copies whose date is one to five days later."""
+    later = F.col(date) + F.expr("make_interval(0, 0, 0, 1 + cast(_row % 5 as int))")
+    return df.unionByName(df.where(every).withColumn(date, later)).drop("_row")
+
+
+def _kept_by_date(spark, sf_dir):
+    """``(model, key, date, table, path)``: the relations with a unique key as tables kept by date, with copies on other dates."""
+    events, pages = read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "pages")
+    messages = FX.messages_from_events(events, [F.col("event_id").alias("_row")])
+    articles = FX.articles_from_pages(pages, [F.col("page_id").alias("_row")])
+    relations = {
+        "stg_sentiment": ("message_id", "sentiment_date", ST.stg_sentiment(SV.message_silver(_again_later(messages, "_row % 97 = 0", "created_at"), guard=False), guard=False)),
+        "stg_news": ("article_id", "publish_date", ST.stg_news(SV.article_silver(_again_later(articles, "_row % 41 = 0", "published_at"), guard=False), guard=False))}
+    for model, (key, date, rows) in relations.items():
+        path = f"{run_folder(spark, 'unique')}/{model}"
+        rows = rows.select(key, date)
+        rows.repartition(date, F.pmod(F.xxhash64(key), F.lit(4))).write.partitionBy(date).parquet(path)
+        yield model, key, date, spark.read.schema(rows.schema).parquet(path), path
+
+
+@register("dq_unique_incremental")
+def q_dq_unique_incremental(spark, sf_dir):
+    """DQ-2, AGG-11: all dates but the last three at once, then one date a step."""
+    parts = []
+    for model, key, date, rows, path in _kept_by_date(spark, sf_dir):
+        index = UniqueIndex(f"{path}_index", key, date)
+        dates = [r[0] for r in rows.select(date).distinct().orderBy(date).collect()]
+        for step in [dates[:-3], *([d] for d in dates[-3:])]:
+            index.add(rows, step, str(step[-1]) if step else "none")
+        parts.append(index.failures(spark).select(
+            F.lit(f"unique_{model}_{key}").alias("test_name"), F.lit(model).alias("model"), F.lit(key).alias("column_name"), "value", "n_records"))
+    return parts[0].unionByName(parts[1])
+
+
 @register("dq_accepted_values")
 def q_dq_accepted_values(spark, sf_dir):
     return DQ.failures(_landed_tables(spark, sf_dir), "accepted_values")

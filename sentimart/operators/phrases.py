@@ -92,7 +92,6 @@ def sums_column(text_col: str, entries: dict[str, int], boosters: dict[str, int]
     trie, words = Trie(entries), list(boosters)
     amount = np.array([*boosters.values(), 0], np.int64)
 
-    @F.arrow_udf(SCO.SUMS)
     def sums(lists: pa.Array) -> pa.Array:
         t = SCO.Tokens(lists)
         length, valence = trie.longest(t)
@@ -107,7 +106,11 @@ def sums_column(text_col: str, entries: dict[str, int], boosters: dict[str, int]
         first = turn & (behind == 1)
         return t.sums(v * np.where(~some | first, 100, np.where(behind == 0, 50, 150)), UNIT_BOOSTED, length)
 
-    return sums(tokens(text_col))
+    @F.arrow_udf(SCO.SUMS)
+    def batch_sums(lists: pa.Array) -> pa.Array:
+        return SCO.sliced(sums)(lists)
+
+    return batch_sums(tokens(text_col))
 
 
 def bounded(table: DataFrame, key: str, most: int = MAX_ENTRIES) -> dict[str, int]:

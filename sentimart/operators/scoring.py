@@ -73,6 +73,24 @@ def local_lexicon(lexicon: DataFrame, most: int = MAX_LOCAL_ENTRIES) -> dict[str
     return {r.token: r.v for r in rows} if len(rows) <= most else None
 
 
+#: Tokens that a scoring task looks up at once, but for a longer text (each takes some 100 bytes while it does).
+SLICE_TOKENS = 200_000
+
+
+def sliced(sums):
+    """``sums`` (token lists -> SUMS of each) over a batch of any size, some texts at a time, so that a task's
+    memory does not grow with the batch."""
+    def parts(lists: pa.Array) -> pa.Array:
+        ends = lists.offsets.to_numpy()
+        out, low = [], 0
+        while low < len(lists):
+            high = max(int(np.searchsorted(ends, ends[low] + SLICE_TOKENS, "right")) - 1, low + 1)
+            out.append(sums(lists.slice(low, high - low)))
+            low = high
+        return pa.concat_arrays(out) if out else sums(lists)
+    return parts
+
+
 SUMS = "s_u long, pos_u long, neg_u long, n_scored long, n_tokens long"
 
 
@@ -118,13 +136,16 @@ def sums_column(text_col: str, lexicon: dict[str, int]) -> Column:
     """The integer sums of one text, as a struct; needs nothing but the row."""
     words, valence = list(lexicon), np.array([*lexicon.values(), 0], np.int64)
 
-    @F.arrow_udf(SUMS)
     def sums(lists: pa.Array) -> pa.Array:
         t = Tokens(lists)
         v = valence[t.places(words)]  # -1, not found, is the last: 0
         return t.sums(v * np.where(t.negated(), NEGATION_SCALE_PCT, 100), UNIT)
 
-    return sums(tokens(text_col))
+    @F.arrow_udf(SUMS)
+    def batch_sums(lists: pa.Array) -> pa.Array:
+        return sliced(sums)(lists)
+
+    return batch_sums(tokens(text_col))
 
 
 def _scores(sums: str = "", unit: int = UNIT) -> list[Column]:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from sentimart.functions import enrich as R
 from sentimart.operators import dedup as DD
 from sentimart.operators import scoring as SCO
+from sentimart.session import run_folder
 from sentimart.sources import landing as L
 
 NORMALIZE = {"tick": L.normalize_ticker, "message": L.normalize_social, "article": L.normalize_news}
@@ -28,6 +29,9 @@ ID = {"message": "message_id", "article": "article_id"}
 LISTED = {"message": ("symbol", R.SOCIAL_SYMBOLS), "article": ("query", R.NEWS_QUERIES)}
 #: Why a normalised row is not published; false and NULL let it pass.
 BAD = {"tick": {"bad number": "quarantined"}, "message": {"bad number": "quarantined"}, "article": {"status": "not status <=> 'ok'"}}
+#: What tells where a normalised row goes.
+JUDGED = {"tick": ("offset", "quarantined"), "message": ("offset", "msg_pos", "message_id", "symbol", "quarantined"),
+          "article": ("offset", "art_pos", "article_id", "query", "status")}
 
 
 def ticks(landing: DataFrame) -> DataFrame:
@@ -90,22 +94,29 @@ def reconciliation(landing: DataFrame, kind: str) -> DataFrame:
 
     ``landed`` = ``published`` + ``repeated`` + ``off_list`` + ``no_symbol`` +
     ``quarantined``, each counted by itself; ``unexplained`` is what breaks that.
-    Entries are counted in the payloads, independently of the normalisers."""
+    Entries are counted in the payloads, independently of the normalisers. The
+    payloads are normalised once for all counts of rows, into a table of JUDGED."""
     schema, field = L.ENVELOPE[kind]
     n = lambda df, what: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "n")
     entries = F.from_json(F.col("value").cast("string"), schema)[field]
     size = F.lit(1) if kind == "tick" else F.coalesce(F.when(entries.isNotNull(), F.size(entries)), F.lit(1))
-    rows = NORMALIZE[kind](landing)
+    spark, path = landing.sparkSession, f"{run_folder(landing.sparkSession, 'judged')}/{kind}"
+    rows = NORMALIZE[kind](landing).select(*JUDGED[kind])
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
     listed = L.watchlist_filter(rows, *LISTED[kind]) if kind in LISTED else rows
     good = readable(listed, kind)
     parts = [landing.agg(F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("n")).select(F.lit("landed").alias("what"), "n"),
-             n(rows, "rows"), n(listed, "listed"), n(good, "good"), n(rejects(landing, kind), "quarantined"), n(L.unreadable(landing, kind), "torn")]
+             n(rows, "rows"), n(listed, "listed"), n(good, "good"),
+             rejects(landing, kind).groupBy((F.col("reason") == "unreadable").alias("torn")).agg(F.count(F.lit(1)).alias("n"))
+             .select(F.explode(F.expr("if(torn, array('quarantined', 'torn'), array('quarantined'))")).alias("what"), "n")]
     if kind in ID:
         parts += [n(first_arrivals(good, kind), "published"), n(DD.losers(_arrivals(good, kind), [ID[kind]], "arrival"), "repeated")]
     counts = reduce(DataFrame.unionByName, parts)
     names = ["landed", "rows", "listed", "good", "quarantined", "torn", "published", "repeated"]
     one = counts.agg(*[F.sum(F.when(F.col("what") == c, F.col("n"))).alias(c) for c in names])
-    one = one.withColumns({"published": F.coalesce("published", "good"), "repeated": F.coalesce("repeated", F.lit(0)),
+    one = one.withColumns({"quarantined": F.coalesce("quarantined", F.lit(0)), "torn": F.coalesce("torn", F.lit(0)),
+                           "published": F.coalesce("published", "good"), "repeated": F.coalesce("repeated", F.lit(0)),
                            "off_list": F.col("rows") - F.col("listed"), "no_symbol": F.col("landed") - F.col("rows") - F.col("torn")})
     return one.select(F.lit(kind).alias("kind"), "landed", "published", "repeated", "off_list", "no_symbol", "quarantined",
                       F.abs(F.col("landed") - F.col("published") - F.col("repeated") - F.col("off_list") - F.col("no_symbol")

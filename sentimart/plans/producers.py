@@ -115,8 +115,8 @@ def reconciliation(landing: DataFrame, kind: str) -> DataFrame:
     counts = reduce(DataFrame.unionByName, parts)
     names = ["landed", "rows", "listed", "good", "quarantined", "torn", "published", "repeated"]
     one = counts.agg(*[F.sum(F.when(F.col("what") == c, F.col("n"))).alias(c) for c in names])
-    one = one.withColumns({"quarantined": F.coalesce("quarantined", F.lit(0)), "torn": F.coalesce("torn", F.lit(0)),
-                           "published": F.coalesce("published", "good"), "repeated": F.coalesce("repeated", F.lit(0)),
+    one = one.fillna(0, ["quarantined", "torn"])
+    one = one.withColumns({"published": F.coalesce("published", "good"), "repeated": F.coalesce("repeated", F.lit(0)),
                            "off_list": F.col("rows") - F.col("listed"), "no_symbol": F.col("landed") - F.col("rows") - F.col("torn")})
     return one.select(F.lit(kind).alias("kind"), "landed", "published", "repeated", "off_list", "no_symbol", "quarantined",
                       F.abs(F.col("landed") - F.col("published") - F.col("repeated") - F.col("off_list") - F.col("no_symbol")
